@@ -16,7 +16,7 @@ from lakemart.functions.columns import (
     typed,
     whole_years_between,
 )
-from lakemart.functions.exact import floor_div, half_up_div
+from lakemart.functions.exact import floor_div, floor_div_long, half_up_div, half_up_div_long
 
 __all__ = [
     "CASUAL",
@@ -25,7 +25,9 @@ __all__ = [
     "duration_minutes",
     "epoch_seconds",
     "floor_div",
+    "floor_div_long",
     "half_up_div",
+    "half_up_div_long",
     "member_type",
     "minutes_rounded",
     "minutes_to_seconds",

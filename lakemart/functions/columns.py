@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lakemart.functions.exact import half_up_div
+from lakemart.functions.exact import half_up_div, half_up_div_long
 
 
 def col_or_name(c: Column | str) -> Column:
@@ -67,7 +67,7 @@ def minutes_rounded(seconds: Column | str, count: Column | str | int = 1) -> Col
     With ``count`` = number of rides this is the average ride minutes, with
     ``count`` = 1 the total ride minutes. NULL when ``count`` is 0 or NULL."""
     count = F.lit(count) if isinstance(count, int) else col_or_name(count)
-    cents = half_up_div(col_or_name(seconds).cast("decimal(38,0)") * 100, count.cast("decimal(38,0)") * 60)
+    cents = half_up_div_long(col_or_name(seconds).cast("long") * 100, count.cast("long") * 60)
     return cents.cast("double") / F.lit(100.0)
 
 
@@ -96,5 +96,5 @@ def money_ratio(amount_sum: Column | str, count: Column | str) -> Column:
 
 def ratio_rounded(num: Column | str, den: Column | str) -> Column:
     """round(num / den, 2) HALF_UP for integral num and den, exact, as double."""
-    q = half_up_div(col_or_name(num).cast("decimal(38,0)") * 100, col_or_name(den))
+    q = half_up_div_long(col_or_name(num).cast("long") * 100, col_or_name(den))
     return q.cast("double") / F.lit(100.0)

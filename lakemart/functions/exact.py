@@ -1,4 +1,4 @@
-"""Exact integer rounding on decimal(38,0) columns.
+"""Exact integer rounding, on longs or on decimal(38,0) columns.
 
 Averages of doubles depend on the order in which partial sums are added, so
 the same data can round differently on a different partitioning. Reports keep
@@ -29,3 +29,24 @@ def half_up_div(num: Column, den: Column) -> Column:
     den = F.when(den.cast(_INT) > 0, den.cast(_INT))
     q = floor_div(F.abs(num) * 2 + den, den * 2)
     return F.when(num < 0, -q).otherwise(q)
+
+
+def floor_div_long(x: Column, y: Column) -> Column:
+    """floor(x / y) for longs x >= 0 and 0 < y < 2^52, exact.
+
+    The double quotient q0 is off by at most a few units; the exact long
+    remainder r = x - q0 * y is then small, and q0 + floor(r / y) is exact.
+    Stays in generated code (no BigDecimal); under ANSI an overflow raises
+    instead of returning a wrong value."""
+    x = x.cast("long")
+    y = y.cast("long")
+    q0 = F.floor(x / y).cast("long")
+    return q0 + F.floor((x - q0 * y) / y).cast("long")
+
+
+def half_up_div_long(num: Column, den: Column) -> Column:
+    """``half_up_div`` on longs (|2 * num + den| must fit a long)."""
+    num = num.cast("long")
+    den = F.when(den.cast("long") > 0, den.cast("long"))
+    q = floor_div_long(F.abs(num) * 2 + den, den * 2)
+    return F.when(num < 0, -q).otherwise(q)

@@ -2,12 +2,20 @@
 
 from lakemart.operators.counts import row_counts
 from lakemart.operators.dedup import one_row_per_key
-from lakemart.operators.measures import Measure, aggregate, payment_measure, ride_measure, via_dimension
+from lakemart.operators.measures import (
+    Measure,
+    aggregate,
+    join_then_aggregate,
+    payment_measure,
+    ride_measure,
+    via_dimension,
+)
 from lakemart.operators.standardize import required_present, standardize, typed_columns
 
 __all__ = [
     "Measure",
     "aggregate",
+    "join_then_aggregate",
     "one_row_per_key",
     "payment_measure",
     "required_present",

@@ -3,10 +3,13 @@
 Every report measure is kept as exact, additive parts (row counts, whole
 seconds, decimal amounts) until the last step. That makes two things possible:
 
-* eager aggregation: a fact is first reduced by its foreign key (map-side
-  combined, so hot keys shrink before any shuffle), then joined to the
-  dimension, then re-grouped by the dimension's attributes. Exact because
-  dimension keys are unique and the parts are sums;
+* eager aggregation for a dimension that grows with the data (riders): the
+  fact is first reduced by its foreign key (map-side combined, so a hot key
+  shrinks before any shuffle), then joined, then re-grouped by the
+  dimension's attributes. Exact because dimension keys are unique and the
+  parts are sums. A dimension bounded by nature (calendar days, stations) is
+  joined row by row instead (``join_then_aggregate``): Spark broadcasts it
+  after checking its size, so the only shuffle is the final aggregation;
 * rounding that does not depend on partitioning (see ``functions.exact``).
 """
 
@@ -77,6 +80,25 @@ def aggregate(df: DataFrame, keys: Sequence[Column | str], measure: Measure, mer
     return df.groupBy(*keys).agg(*aggs)
 
 
+def join_then_aggregate(
+    fact: DataFrame,
+    fact_key: str,
+    dim: DataFrame,
+    dim_key: str,
+    group: Sequence[Column | str],
+    measure: Measure,
+) -> DataFrame:
+    """fact LEFT JOIN dim ON fact_key = dim_key, grouped by ``group``.
+
+    No join strategy is forced: Spark broadcasts ``dim`` when its estimated
+    size is under ``spark.sql.autoBroadcastJoinThreshold`` (then the join is a
+    map-side lookup and the partial aggregate runs before the one shuffle),
+    AQE re-checks with runtime sizes, and beyond that it is a sort-merge join
+    whose skewed partitions AQE splits."""
+    joined = fact.join(dim, fact[fact_key] == dim[dim_key], "left")
+    return aggregate(joined, group, measure)
+
+
 def via_dimension(
     fact: DataFrame,
     fact_key: str,

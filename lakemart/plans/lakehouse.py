@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,11 +15,33 @@ from lakemart.sources.catalog import create_layers, write_table
 from lakemart.sources.csv_feed import read_feed
 
 
+class Lazy(Mapping[str, DataFrame]):
+    """Name -> DataFrame, each built on first access and then reused."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders = builders
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __contains__(self, name: object) -> bool:
+        return name in self._builders
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
 @dataclass(frozen=True)
 class Layers:
-    raw: dict[str, DataFrame]
-    silver: dict[str, DataFrame]
-    gold: dict[str, DataFrame]
+    raw: Mapping[str, DataFrame]
+    silver: Mapping[str, DataFrame]
+    gold: Mapping[str, DataFrame]
 
     def __getattr__(self, name: str) -> DataFrame:
         for layer in (self.gold, self.silver):
@@ -27,52 +50,68 @@ class Layers:
         raise AttributeError(name)
 
 
-def build_silver(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {name: CLEANERS[name](raw[name]) for name in SILVER_TABLES}
+def build_silver(raw: Mapping[str, DataFrame]) -> Lazy:
+    return Lazy({name: (lambda n=name: CLEANERS[n](raw[n])) for name in SILVER_TABLES})
 
 
-def build_gold(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    dim_rider = G.dim_rider(silver["riders"])
-    return {
-        "dim_rider": dim_rider,
-        "dim_station": G.dim_station(silver["stations"]),
-        "dim_date": G.dim_date(silver["trips"], silver["payments"]),
-        "fact_trip": G.fact_trip(silver["trips"], dim_rider),
-        "fact_payment": G.fact_payment(silver["payments"]),
-    }
+def build_gold(silver: Mapping[str, DataFrame]) -> Lazy:
+    gold: Lazy = Lazy({
+        "dim_rider": lambda: G.dim_rider(silver["riders"]),
+        "dim_station": lambda: G.dim_station(silver["stations"]),
+        "dim_date": lambda: G.dim_date(silver["trips"], silver["payments"]),
+        "fact_trip": lambda: G.fact_trip(silver["trips"], gold["dim_rider"]),
+        "fact_payment": lambda: G.fact_payment(silver["payments"]),
+    })
+    return gold
 
 
-def build_layers(raw: dict[str, DataFrame]) -> Layers:
-    """All layers as one lazy plan per table (nothing is run or written)."""
+def build_layers(raw: Mapping[str, DataFrame]) -> Layers:
+    """All layers as lazy plans: a table's plan is built when first asked for,
+    and nothing is run or written."""
     silver = build_silver(raw)
     return Layers(raw, silver, build_gold(silver))
 
 
-def read_csv_feeds(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
+def read_csv_feeds(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
     """Raw feeds from header-less CSV files: {feed name: path}."""
     return {name: read_feed(spark, path, name) for name, path in paths.items()}
 
 
 def materialize(
     spark: SparkSession,
-    raw: dict[str, DataFrame],
+    raw: Mapping[str, DataFrame],
     fmt: str = "parquet",
     location: str | None = None,
+    catalog: bool = True,
 ) -> Layers:
     """Write bronze, silver and gold tables (each replaced whole) and return
     layers that read the written tables.
 
-    Each layer is planned from the tables of the layer below, so every write
-    cuts the lineage. ``location`` puts the layer schemas (and their table
-    files) under a shared folder; without it the session's warehouse is used.
+    Each layer is planned from the written tables of the layer below (facts
+    from the written dimensions), so every write cuts the lineage and a lost
+    executor costs a re-read, not a recomputation of the layers below.
+
+    ``catalog=True`` writes ``bronze.*``, ``silver.*``, ``gold.*`` catalog
+    tables (schemas under ``location`` when given, else the warehouse);
+    ``catalog=False`` writes plain ``fmt`` folders ``location/layer/name``.
     """
     apply_runtime_conf(spark)
-    create_layers(spark, location)
-
-    def land(layer: str, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-        for name, df in tables.items():
-            write_table(df, f"{layer}.{name}", fmt)
-        return {name: spark.table(f"{layer}.{name}") for name in tables}
+    if catalog:
+        create_layers(spark, location)
+    elif not location:
+        raise ValueError("a location is needed when not writing catalog tables")
+
+    def land(layer: str, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+        out = {}
+        for name in tables:
+            if catalog:
+                write_table(tables[name], f"{layer}.{name}", fmt)
+                out[name] = spark.table(f"{layer}.{name}")
+            else:
+                path = f"{location}/{layer}/{name}"
+                tables[name].write.format(fmt).mode("overwrite").save(path)
+                out[name] = spark.read.format(fmt).load(path)
+        return out
 
     bronze = land("bronze", {name: raw[name] for name in SILVER_TABLES})
     silver = land("silver", build_silver(bronze))
@@ -87,3 +126,17 @@ def materialize(
     })
     gold = {**dims, **facts}
     return Layers(bronze, silver, {name: gold[name] for name in GOLD_TABLES})
+
+
+def step_layers(written: Layers) -> Layers:
+    """Each silver and gold table recomputed (lazily) from the *written* layer
+    below it: the work of one step of the run, as a plan."""
+    silver = build_silver(written.raw)
+    gold = Lazy({
+        "dim_rider": lambda: G.dim_rider(written.silver["riders"]),
+        "dim_station": lambda: G.dim_station(written.silver["stations"]),
+        "dim_date": lambda: G.dim_date(written.silver["trips"], written.silver["payments"]),
+        "fact_trip": lambda: G.fact_trip(written.silver["trips"], written.gold["dim_rider"]),
+        "fact_payment": lambda: G.fact_payment(written.silver["payments"]),
+    })
+    return Layers(written.raw, silver, gold)

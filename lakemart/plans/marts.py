@@ -1,11 +1,15 @@
 """Reports on the star schema.
 
-Each report is the source program's join-then-group, planned as
-group-then-join (``operators.measures.via_dimension``): the fact is reduced
-by its foreign key first, map-side, so the join and the final shuffle see one
-row per distinct key instead of one row per trip or payment. Results equal
-the plain plan (checked in the tests) because dimension keys are unique and
-the measures are exact sums.
+Each report is the source program's join-then-group on exact, additive
+measure parts (``operators.measures``). Joins to the bounded dimensions
+(dates, stations) stay row-by-row so Spark can broadcast them after its size
+check and the only shuffle is the final aggregation. Joins to the rider
+dimension, which grows with the user base, are planned group-then-join
+(``via_dimension``): the fact is reduced per rider map-side first, so the
+join sees one row per rider (and key) instead of one per trip, and a rider
+with a third of all trips is combined before any shuffle. Both plans give
+the plain plan's result (checked in the tests): dimension keys are unique
+and the measures are exact sums.
 
 Sorts follow the source program; where it leaves ties open the group keys
 break them, so the order is the same on every run.
@@ -23,7 +27,7 @@ from lakemart.functions import (
     ratio_rounded,
     whole_years_between,
 )
-from lakemart.operators import aggregate, payment_measure, ride_measure, via_dimension
+from lakemart.operators import aggregate, join_then_aggregate, payment_measure, ride_measure, via_dimension
 
 RIDE_AVG = ("ride_count", "avg_trip_minutes")
 RIDE_AVG_TOTAL = ("ride_count", "avg_trip_minutes", "total_trip_minutes")
@@ -47,7 +51,7 @@ def rides_by_date_attrs(fact_trip: DataFrame, dim_date: DataFrame, attrs: tuple[
                         measures: tuple[str, ...] = RIDE_AVG_TOTAL) -> DataFrame:
     """Ride time by start-date attributes of dim_date (year, month, day_of_week, ...)."""
     m = ride_measure()
-    parts = via_dimension(
+    parts = join_then_aggregate(
         fact_trip, "start_date_key", _dates(dim_date, *attrs), "date_key", [F.col(a) for a in attrs], m
     )
     return parts.select(*attrs, *m.final(measures)).orderBy(*attrs)
@@ -87,14 +91,13 @@ def rides_by_station_pair(fact_trip: DataFrame, dim_station: DataFrame) -> DataF
 
     Stations sharing a name merge; unknown stations fall in the NULL name."""
     m = ride_measure()
-    pre = aggregate(fact_trip, ["start_station_id", "end_station_id"], m)
     ss = _station_names(dim_station, "start")
     es = _station_names(dim_station, "end")
     joined = (
-        pre.join(ss, pre["start_station_id"] == ss["_start_id"], "left")
-        .join(es, pre["end_station_id"] == es["_end_id"], "left")
+        fact_trip.join(ss, fact_trip["start_station_id"] == ss["_start_id"], "left")
+        .join(es, fact_trip["end_station_id"] == es["_end_id"], "left")
     )
-    parts = aggregate(joined, ["start_station", "end_station"], m, merge=True)
+    parts = aggregate(joined, ["start_station", "end_station"], m)
     return parts.select("start_station", "end_station", *m.final(RIDE_AVG)).orderBy(
         F.desc("ride_count"), "start_station", "end_station"
     )
@@ -104,7 +107,7 @@ def rides_by_station_role(fact_trip: DataFrame, dim_station: DataFrame, role: st
     """V2: ride time by start station name alone, or by end station name alone."""
     m = ride_measure()
     names = _station_names(dim_station, role)
-    parts = via_dimension(
+    parts = join_then_aggregate(
         fact_trip, f"{role}_station_id", names, f"_{role}_id", [F.col(f"{role}_station")], m
     )
     key = f"{role}_station"
@@ -157,7 +160,7 @@ def payments_by_month(fact_payment: DataFrame, dim_date: DataFrame) -> DataFrame
     """Year, quarter, month of payment -> count, total, average amount."""
     m = payment_measure()
     keys = ("year", "quarter", "month")
-    parts = via_dimension(
+    parts = join_then_aggregate(
         fact_payment, "payment_date_key", _dates(dim_date, *keys), "date_key", [F.col(k) for k in keys], m
     )
     return parts.select(*keys, *m.final(PAYMENT_MEASURES)).orderBy(*keys)
@@ -168,13 +171,14 @@ def payments_rollup(fact_payment: DataFrame, dim_date: DataFrame) -> DataFrame:
 
     ``grouping_level`` is Spark's grouping_id over (year, quarter, month):
     0 month rows, 1 quarter subtotals, 3 year subtotals, 7 the grand total.
-    The rollup runs on per-date parts, not on payment rows."""
+    The rollup expands each row into its four grouping sets before the
+    partial aggregate, map-side, so the shuffle carries one row per set and
+    key per task."""
     m = payment_measure()
     keys = ("year", "quarter", "month")
-    pre = aggregate(fact_payment, ["payment_date_key"], m)
     d = _dates(dim_date, *keys)
-    joined = pre.join(d, pre["payment_date_key"] == d["date_key"], "left")
-    parts = joined.rollup(*keys).agg(*m.merge(), F.grouping_id().cast("int").alias("grouping_level"))
+    joined = fact_payment.join(d, fact_payment["payment_date_key"] == d["date_key"], "left")
+    parts = joined.rollup(*keys).agg(*m.partial(), F.grouping_id().cast("int").alias("grouping_level"))
     return parts.select(*keys, "grouping_level", *m.final(PAYMENT_MEASURES)).orderBy(
         "grouping_level", *keys
     )
@@ -219,17 +223,17 @@ def spend_by_start_age(fact_payment: DataFrame, dim_rider: DataFrame) -> DataFra
 
 def _rides_monthly_parts(fact_trip: DataFrame, dim_date: DataFrame) -> DataFrame:
     m = ride_measure()
-    return via_dimension(
+    return join_then_aggregate(
         fact_trip, "start_date_key", _dates(dim_date, "year", "month"), "date_key",
-        ["rider_id", F.col("year"), F.col("month")], m, extra_fact_keys=("rider_id",),
+        ["rider_id", F.col("year"), F.col("month")], m,
     )
 
 
 def _spend_monthly_parts(fact_payment: DataFrame, dim_date: DataFrame) -> DataFrame:
     m = payment_measure()
-    return via_dimension(
+    return join_then_aggregate(
         fact_payment, "payment_date_key", _dates(dim_date, "year", "month"), "date_key",
-        ["rider_id", F.col("year"), F.col("month")], m, extra_fact_keys=("rider_id",),
+        ["rider_id", F.col("year"), F.col("month")], m,
     )
 
 

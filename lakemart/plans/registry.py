@@ -1,14 +1,25 @@
 """Every data product by name: ``(spark, sf_dir) -> DataFrame`` over the test tables.
 
-Each callable derives the four raw feeds from the parquet tables in
-``sf_dir`` (``sources.testfeeds``), builds the layers lazily and returns one
-product; Catalyst prunes whatever that product does not need. The catalog
-products (CSV landing, table listing, SQL counts) write their tables under
-the session's shared scratch folder first.
+The run is a lakehouse, as in the source program: the four raw feeds are
+derived from the parquet tables in ``sf_dir`` (``sources.testfeeds``) and
+landed as bronze, then silver and gold are written, each from the written
+layer below, under the session's shared scratch folder. That happens once
+per (Spark application, ``sf_dir``), on first use.
+
+A product is then one step of the run, as a lazy plan:
+
+* ``clean_*``: the silver step over the written bronze feed;
+* ``dim_*``, ``fact_*``: the gold step over the written silver tables (facts
+  over the written dimensions);
+* reports: over the written gold tables (and silver trips for the hour of day).
+
+The catalog products (CSV landing, table listing, SQL counts) write their own
+tables first.
 """
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +27,7 @@ from pyspark.sql import functions as F
 
 from lakemart.operators import row_counts
 from lakemart.plans import marts as M
-from lakemart.plans.lakehouse import Layers, build_layers, materialize, read_csv_feeds
+from lakemart.plans.lakehouse import Layers, materialize, read_csv_feeds, step_layers
 from lakemart.schemas import FEEDS, GOLD_TABLES, SILVER_TABLES
 from lakemart.session import apply_runtime_conf, scratch_dir
 from lakemart.sources.catalog import count_sql, describe_tables, show_tables
@@ -25,33 +36,60 @@ from lakemart.sources.testfeeds import raw_feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+_WRITTEN: dict[tuple[str, str], Layers] = {}
 
-def layers(spark: SparkSession, sf_dir: str) -> Layers:
+
+def written_layers(spark: SparkSession, sf_dir: str) -> Layers:
+    """Bronze, silver and gold written once per application and ``sf_dir``."""
     apply_runtime_conf(spark)
-    return build_layers(raw_feeds(spark, sf_dir))
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if key not in _WRITTEN:
+        location = scratch_dir(spark, "lakehouse")
+        _WRITTEN[key] = materialize(spark, raw_feeds(spark, sf_dir), location=location, catalog=False)
+    return _WRITTEN[key]
 
 
-def _layer_query(product: Callable[[Layers], DataFrame]) -> Query:
+def layers(spark: SparkSession, sf_dir: str) -> Layers:
+    """Per-step plans: each table computed from the written layer below."""
+    return step_layers(written_layers(spark, sf_dir))
+
+
+def _step(product: Callable[[Layers], DataFrame]) -> Query:
     return lambda spark, sf_dir: product(layers(spark, sf_dir))
 
 
+def _report(product: Callable[[Layers], DataFrame]) -> Query:
+    return lambda spark, sf_dir: product(written_layers(spark, sf_dir))
+
+
 # ------------------------------------------------------------ catalog products
 
 RAW_WIDTH = max(spec.width for spec in FEEDS.values())
 
 
+_CSV: dict[tuple[str, str], dict[str, str]] = {}
+
+
+def csv_feed_paths(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """The four feeds written once per application and ``sf_dir`` as
+    header-less CSV files, the form the pipeline takes as input."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if key not in _CSV:
+        bronze = written_layers(spark, sf_dir).raw
+        root = scratch_dir(spark, "raw-csv")
+        paths = {name: f"{root}/{name}" for name in SILVER_TABLES}
+        for name, path in paths.items():
+            write_feed(bronze[name], path)
+        _CSV[key] = paths
+    return _CSV[key]
+
+
 def raw_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Land the four feeds as header-less CSV, read them back by position.
+    """Scan the four header-less CSV feeds by position, all columns as text.
 
-    Returns every landed row: feed name and ``_c0.._c7`` as text (NULL past a
-    feed's width)."""
-    apply_runtime_conf(spark)
-    root = scratch_dir(spark, "raw-csv")
-    paths = {}
-    for name, df in raw_feeds(spark, sf_dir).items():
-        paths[name] = f"{root}/{name}"
-        write_feed(df, paths[name])
-    landed = read_csv_feeds(spark, paths)
+    Returns every landed row: feed name and ``_c0.._c7`` (NULL past a feed's
+    width)."""
+    landed = read_csv_feeds(spark, csv_feed_paths(spark, sf_dir))
     out = None
     for name in SILVER_TABLES:
         df = landed[name]
@@ -62,33 +100,46 @@ def raw_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-def _materialized(spark: SparkSession, sf_dir: str) -> Layers:
-    apply_runtime_conf(spark)
-    return materialize(spark, raw_feeds(spark, sf_dir), location=scratch_dir(spark, "lakehouse"))
+_CATALOG: dict[str, tuple[str, Layers]] = {}
+
+
+def catalog_layers(spark: SparkSession, sf_dir: str) -> Layers:
+    """All layers as ``bronze.*``, ``silver.*``, ``gold.*`` catalog tables.
+
+    The catalog names are global to the session, so they hold one run at a
+    time: rewritten when the last run written there was for another input."""
+    app = spark.sparkContext.applicationId
+    source = os.path.abspath(sf_dir)
+    last = _CATALOG.get(app)
+    if last is None or last[0] != source:
+        bronze = written_layers(spark, sf_dir).raw
+        layers_ = materialize(spark, bronze, location=scratch_dir(spark, "catalog"), catalog=True)
+        _CATALOG[app] = (source, layers_)
+    return _CATALOG[app][1]
 
 
 def gold_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Build and write all layers, then count the gold tables with one SQL text."""
-    _materialized(spark, sf_dir)
+    """Write the catalog tables, then count the gold tables with one SQL text."""
+    catalog_layers(spark, sf_dir)
     return spark.sql(count_sql("gold", GOLD_TABLES))
 
 
 def show_gold_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _materialized(spark, sf_dir)
+    catalog_layers(spark, sf_dir)
     return show_tables(spark, "gold").where(F.col("tableName").isin(*GOLD_TABLES))
 
 
 def describe_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _materialized(spark, sf_dir)
+    catalog_layers(spark, sf_dir)
     return describe_tables(spark, "gold", GOLD_TABLES)
 
 
 def layer_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows per bronze, silver and gold table, one Spark job, nothing written."""
-    L = layers(spark, sf_dir)
-    named = [(f"bronze.{n}", L.raw[n]) for n in SILVER_TABLES]
-    named += [(f"silver.{n}", L.silver[n]) for n in SILVER_TABLES]
-    named += [(f"gold.{n}", L.gold[n]) for n in GOLD_TABLES]
+    """Rows per bronze, silver and gold table of the run, in one Spark job."""
+    W = written_layers(spark, sf_dir)
+    named = [(f"bronze.{n}", W.raw[n]) for n in SILVER_TABLES]
+    named += [(f"silver.{n}", W.silver[n]) for n in SILVER_TABLES]
+    named += [(f"gold.{n}", W.gold[n]) for n in GOLD_TABLES]
     return row_counts(named)
 
 
@@ -96,40 +147,40 @@ def layer_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     # R1, the flagship
-    "rides_by_year_month_dow": _layer_query(lambda L: M.rides_by_year_month_dow(L.fact_trip, L.dim_date)),
-    # silver
-    "clean_stations": _layer_query(lambda L: L.silver["stations"]),
-    "clean_riders": _layer_query(lambda L: L.silver["riders"]),
-    "clean_payments": _layer_query(lambda L: L.silver["payments"]),
-    "clean_trips": _layer_query(lambda L: L.silver["trips"]),
-    # gold
-    "dim_rider": _layer_query(lambda L: L.dim_rider),
-    "dim_station": _layer_query(lambda L: L.dim_station),
-    "dim_date": _layer_query(lambda L: L.dim_date),
-    "fact_trip": _layer_query(lambda L: L.fact_trip),
-    "fact_payment": _layer_query(lambda L: L.fact_payment),
+    "rides_by_year_month_dow": _report(lambda L: M.rides_by_year_month_dow(L.fact_trip, L.dim_date)),
+    # silver step
+    "clean_stations": _step(lambda L: L.silver["stations"]),
+    "clean_riders": _step(lambda L: L.silver["riders"]),
+    "clean_payments": _step(lambda L: L.silver["payments"]),
+    "clean_trips": _step(lambda L: L.silver["trips"]),
+    # gold step
+    "dim_rider": _step(lambda L: L.dim_rider),
+    "dim_station": _step(lambda L: L.dim_station),
+    "dim_date": _step(lambda L: L.dim_date),
+    "fact_trip": _step(lambda L: L.fact_trip),
+    "fact_payment": _step(lambda L: L.fact_payment),
     # reports
-    "rides_by_hour": _layer_query(lambda L: M.rides_by_hour(L.silver["trips"])),
-    "rides_by_station_pair": _layer_query(lambda L: M.rides_by_station_pair(L.fact_trip, L.dim_station)),
-    "rides_by_age_member": _layer_query(lambda L: M.rides_by_age_member(L.fact_trip, L.dim_rider)),
-    "payments_by_month": _layer_query(lambda L: M.payments_by_month(L.fact_payment, L.dim_date)),
-    "spend_by_rider": _layer_query(lambda L: M.spend_by_rider(L.fact_payment, L.dim_rider)),
-    "rides_monthly": _layer_query(lambda L: M.rides_monthly(L.fact_trip, L.dim_date)),
-    "spend_monthly": _layer_query(lambda L: M.spend_monthly(L.fact_payment, L.dim_date)),
-    "spend_and_rides_monthly": _layer_query(
+    "rides_by_hour": _report(lambda L: M.rides_by_hour(L.silver["trips"])),
+    "rides_by_station_pair": _report(lambda L: M.rides_by_station_pair(L.fact_trip, L.dim_station)),
+    "rides_by_age_member": _report(lambda L: M.rides_by_age_member(L.fact_trip, L.dim_rider)),
+    "payments_by_month": _report(lambda L: M.payments_by_month(L.fact_payment, L.dim_date)),
+    "spend_by_rider": _report(lambda L: M.spend_by_rider(L.fact_payment, L.dim_rider)),
+    "rides_monthly": _report(lambda L: M.rides_monthly(L.fact_trip, L.dim_date)),
+    "spend_monthly": _report(lambda L: M.spend_monthly(L.fact_payment, L.dim_date)),
+    "spend_and_rides_monthly": _report(
         lambda L: M.spend_and_rides_monthly(L.fact_trip, L.fact_payment, L.dim_date)
     ),
     # variants promised in the source program's text
-    "rides_by_day": _layer_query(lambda L: M.rides_by_day(L.fact_trip, L.dim_date)),
-    "rides_by_year": _layer_query(lambda L: M.rides_by_year(L.fact_trip, L.dim_date)),
-    "rides_by_start_station": _layer_query(lambda L: M.rides_by_start_station(L.fact_trip, L.dim_station)),
-    "rides_by_end_station": _layer_query(lambda L: M.rides_by_end_station(L.fact_trip, L.dim_station)),
-    "rides_by_age": _layer_query(lambda L: M.rides_by_age(L.fact_trip)),
-    "rides_by_member": _layer_query(lambda L: M.rides_by_member(L.fact_trip, L.dim_rider)),
-    "rides_by_hour_total": _layer_query(lambda L: M.rides_by_hour_total(L.silver["trips"])),
-    "payments_rollup": _layer_query(lambda L: M.payments_rollup(L.fact_payment, L.dim_date)),
-    "spend_by_start_age": _layer_query(lambda L: M.spend_by_start_age(L.fact_payment, L.dim_rider)),
-    "spend_vs_avg_rides": _layer_query(
+    "rides_by_day": _report(lambda L: M.rides_by_day(L.fact_trip, L.dim_date)),
+    "rides_by_year": _report(lambda L: M.rides_by_year(L.fact_trip, L.dim_date)),
+    "rides_by_start_station": _report(lambda L: M.rides_by_start_station(L.fact_trip, L.dim_station)),
+    "rides_by_end_station": _report(lambda L: M.rides_by_end_station(L.fact_trip, L.dim_station)),
+    "rides_by_age": _report(lambda L: M.rides_by_age(L.fact_trip)),
+    "rides_by_member": _report(lambda L: M.rides_by_member(L.fact_trip, L.dim_rider)),
+    "rides_by_hour_total": _report(lambda L: M.rides_by_hour_total(L.silver["trips"])),
+    "payments_rollup": _report(lambda L: M.payments_rollup(L.fact_payment, L.dim_date)),
+    "spend_by_start_age": _report(lambda L: M.spend_by_start_age(L.fact_payment, L.dim_rider)),
+    "spend_vs_avg_rides": _report(
         lambda L: M.spend_vs_avg_rides(L.fact_trip, L.fact_payment, L.dim_date)
     ),
     # landing, catalog and audits
