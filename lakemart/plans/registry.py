@@ -33,6 +33,7 @@ from lakemart.session import apply_runtime_conf, scratch_dir
 from lakemart.sources.catalog import count_sql, describe_tables, show_tables
 from lakemart.sources.csv_feed import write_feed
 from lakemart.sources.testfeeds import raw_feeds
+from lakemart.streaming import run_silver_increment
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -100,6 +101,14 @@ def raw_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def clean_trips_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver trips produced by the streaming silver step over the CSV feed:
+    every landed file, processed incrementally into a fresh sink."""
+    trips_csv = csv_feed_paths(spark, sf_dir)["trips"]
+    out = scratch_dir(spark, "stream-silver")
+    return run_silver_increment(spark, "trips", trips_csv, f"{out}/trips", f"{out}/_checkpoint")
+
+
 _CATALOG: dict[str, tuple[str, Layers]] = {}
 
 
@@ -185,6 +194,7 @@ QUERIES: dict[str, Query] = {
     ),
     # landing, catalog and audits
     "raw_csv_scan": raw_csv_scan,
+    "clean_trips_streamed": clean_trips_streamed,
     "layer_row_counts": layer_row_counts,
     "gold_row_counts": gold_row_counts,
     "show_gold_tables": show_gold_tables,

@@ -240,6 +240,7 @@ FINAL = {
     "clean_riders": "SELECT * FROM silver_riders",
     "clean_payments": "SELECT * FROM silver_payments",
     "clean_trips": "SELECT * EXCLUDE (dur_s) FROM silver_trips",
+    "clean_trips_streamed": "SELECT * EXCLUDE (dur_s) FROM silver_trips",
     "dim_rider": "SELECT * FROM dim_rider",
     "dim_station": "SELECT * FROM dim_station",
     "dim_date": "SELECT * FROM dim_date",
