@@ -299,3 +299,28 @@ def spend_vs_avg_rides(fact_trip: DataFrame, fact_payment: DataFrame, dim_date:
         ratio_rounded("_rides", "months_paid").alias("avg_rides_per_month"),
         minutes_rounded("_seconds", "months_paid").alias("avg_minutes_per_month"),
     ).orderBy("rider_id")
+
+
+# Every report by name, over layers (written or lazy) that expose the gold
+# tables as attributes and silver trips as ``silver["trips"]``.
+REPORTS = {
+    "rides_by_year_month_dow": lambda L: rides_by_year_month_dow(L.fact_trip, L.dim_date),
+    "rides_by_hour": lambda L: rides_by_hour(L.silver["trips"]),
+    "rides_by_station_pair": lambda L: rides_by_station_pair(L.fact_trip, L.dim_station),
+    "rides_by_age_member": lambda L: rides_by_age_member(L.fact_trip, L.dim_rider),
+    "payments_by_month": lambda L: payments_by_month(L.fact_payment, L.dim_date),
+    "spend_by_rider": lambda L: spend_by_rider(L.fact_payment, L.dim_rider),
+    "rides_monthly": lambda L: rides_monthly(L.fact_trip, L.dim_date),
+    "spend_monthly": lambda L: spend_monthly(L.fact_payment, L.dim_date),
+    "spend_and_rides_monthly": lambda L: spend_and_rides_monthly(L.fact_trip, L.fact_payment, L.dim_date),
+    "rides_by_day": lambda L: rides_by_day(L.fact_trip, L.dim_date),
+    "rides_by_year": lambda L: rides_by_year(L.fact_trip, L.dim_date),
+    "rides_by_start_station": lambda L: rides_by_start_station(L.fact_trip, L.dim_station),
+    "rides_by_end_station": lambda L: rides_by_end_station(L.fact_trip, L.dim_station),
+    "rides_by_age": lambda L: rides_by_age(L.fact_trip),
+    "rides_by_member": lambda L: rides_by_member(L.fact_trip, L.dim_rider),
+    "rides_by_hour_total": lambda L: rides_by_hour_total(L.silver["trips"]),
+    "payments_rollup": lambda L: payments_rollup(L.fact_payment, L.dim_date),
+    "spend_by_start_age": lambda L: spend_by_start_age(L.fact_payment, L.dim_rider),
+    "spend_vs_avg_rides": lambda L: spend_vs_avg_rides(L.fact_trip, L.fact_payment, L.dim_date),
+}

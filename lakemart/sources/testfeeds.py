@@ -155,8 +155,12 @@ def _line_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     j = li.join(o, li["l_orderkey"] == o["o_orderkey"], "left")
     ok, ln = F.col("l_orderkey"), F.col("l_linenumber")
+    # start and end are computed once: a later projection that uses them twice
+    # keeps them as columns instead of inlining the expressions
     start = _plus_seconds(F.col("l_shipdate"), (ok * 7919 + ln * 131) % 86400)
-    end = _plus_seconds(start, F.floor(F.col("l_quantity") * ln * 60).cast("long"))
+    timed = j.select("*", start.alias("_t0")).select(
+        "*", _plus_seconds(F.col("_t0"), F.floor(F.col("l_quantity") * ln * 60).cast("long")).alias("_t1")
+    )
     swapped = ok % SWAPPED_TIMES_MOD == 0
     flag = F.col("l_returnflag")
     rideable = (
@@ -164,11 +168,11 @@ def _line_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(flag == "A", F.lit("docked_bike"))
         .otherwise(F.lit("classic_bike"))
     )
-    return j.select(
+    return timed.select(
         F.concat(_text(ok), F.lit("-"), _text(ln)).alias("_c0"),
         rideable.alias("_c1"),
-        _ts_text(F.when(swapped, end).otherwise(start)).alias("_c2"),
-        _ts_text(F.when(swapped, start).otherwise(end)).alias("_c3"),
+        _ts_text(F.when(swapped, F.col("_t1")).otherwise(F.col("_t0"))).alias("_c2"),
+        _ts_text(F.when(swapped, F.col("_t0")).otherwise(F.col("_t1"))).alias("_c3"),
         _text(F.col("l_suppkey")).alias("_c4"),
         _text(F.col("l_partkey") % STATION_SPAN).alias("_c5"),
         _text(F.col("o_custkey")).alias("_c6"),

@@ -63,3 +63,21 @@ def test_catalog_layers_and_sql_counts(spark):
     assert counts == {"gold.fact_trip": W.fact_trip.count(), "gold.dim_date": W.dim_date.count()}
     assert dict(spark.table("gold.fact_payment").dtypes)["payment_amount"] == "decimal(10,2)"
     assert C.fact_trip.count() == W.fact_trip.count()
+
+
+def test_cli_runs_the_whole_flow(spark, capsys):
+    from lakemart.cli import main
+    from lakemart.plans.registry import csv_feed_paths
+
+    paths = csv_feed_paths(spark, SF_SMALL)
+    out = tempfile.mkdtemp(prefix="lakemart-cli-")
+    main([f"--{k}={v}" for k, v in paths.items()]
+         + [f"--location={out}/lake", f"--out={out}/reports", "--show=3",
+            "--reports=rides_by_year_month_dow,spend_and_rides_monthly"])
+    printed = capsys.readouterr().out
+    assert "== rides_by_year_month_dow" in printed and "gold.fact_trip" in printed
+    W = written_layers(spark, SF_SMALL)
+    r1 = spark.read.parquet(f"{out}/reports/rides_by_year_month_dow")
+    from lakemart.plans import marts
+    want = marts.REPORTS["rides_by_year_month_dow"](W)
+    assert sorted(map(tuple, r1.collect())) == sorted(map(tuple, want.collect()))
