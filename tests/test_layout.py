@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from conftest import raw
 from fixture_rows import PAYMENTS, RIDERS, STATIONS, TRIPS
 from lakemart.functions import member_type
-from lakemart.operators import aggregate, join_then_aggregate, ride_measure
+from lakemart.operators import join_then_aggregate, ride_measure
 from lakemart.plans import marts as M
 from lakemart.plans.lakehouse import build_layers
 from lakemart.plans.registry import written_layers
