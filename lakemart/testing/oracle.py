@@ -66,7 +66,7 @@ def _ts_text(ts: str) -> str:
 
 # ----------------------------------------------------------------- the chain
 
-BASE = f"""
+RAW = f"""
 raw_stations AS (
     SELECT CAST(s.s_suppkey AS VARCHAR) AS _c0, n.n_name AS _c1,
            '41.' || lpad(CAST(s.s_suppkey % 1000 AS VARCHAR), 3, '0') AS _c2,
@@ -131,7 +131,12 @@ raw_trips AS (
            {_ts_text('CASE WHEN l_orderkey % 61 = 0 THEN t0 ELSE t1 END')},
            CAST(l_suppkey AS VARCHAR), CAST(l_partkey % 110 AS VARCHAR), CAST(o_custkey AS VARCHAR)
     FROM line_times2
-),
+)
+"""
+
+# Everything after the raw feeds: reads views or CTEs named raw_stations,
+# raw_riders, raw_payments, raw_trips with all-text columns _c0.._cN.
+MODEL = f"""
 silver_stations AS (
     SELECT _c0 AS station_id, _c1 AS name, TRY_CAST(_c2 AS DOUBLE) AS latitude,
            TRY_CAST(_c3 AS DOUBLE) AS longitude
@@ -385,8 +390,17 @@ def _show_gold() -> str:
     return f"SELECT * FROM (VALUES {_values(rows)}) AS v(namespace, tableName, isTemporary)"
 
 
+RAW_ONLY = {"raw_csv_scan"}
+
+
 def sql_for(name: str) -> str:
-    return f"WITH {BASE}\n{FINAL[name]}"
+    """The product's SQL over the test tables."""
+    return f"WITH {RAW},\n{MODEL}\n{FINAL[name]}"
+
+
+def model_sql_for(name: str) -> str:
+    """The product's SQL over raw feeds already registered as views raw_*."""
+    return f"WITH {MODEL}\n{FINAL[name]}"
 
 
 ORACLE_SQL: dict[str, str] = {name: sql_for(name) for name in FINAL}
