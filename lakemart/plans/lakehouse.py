@@ -1,4 +1,4 @@
-"""The whole run: raw feeds -> silver -> gold, lazily or written to the catalog."""
+"""The whole run: raw feeds -> silver -> gold, as lazy plans or written as tables (catalog or folders)."""
 
 from __future__ import annotations
 
