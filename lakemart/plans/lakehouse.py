@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -101,17 +102,22 @@ def materialize(
     elif not location:
         raise ValueError("a location is needed when not writing catalog tables")
 
+    def write(layer: str, name: str, df: DataFrame) -> DataFrame:
+        if catalog:
+            write_table(df, f"{layer}.{name}", fmt)
+            return spark.table(f"{layer}.{name}")
+        path = f"{location}/{layer}/{name}"
+        df.write.format(fmt).mode("overwrite").save(path)
+        return spark.read.format(fmt).load(path)
+
     def land(layer: str, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-        out = {}
-        for name in tables:
-            if catalog:
-                write_table(tables[name], f"{layer}.{name}", fmt)
-                out[name] = spark.table(f"{layer}.{name}")
-            else:
-                path = f"{location}/{layer}/{name}"
-                tables[name].write.format(fmt).mode("overwrite").save(path)
-                out[name] = spark.read.format(fmt).load(path)
-        return out
+        # The tables of one layer do not depend on each other: their write jobs
+        # are submitted together, so a small table's job does not wait behind a
+        # large one and the executors stay busy.
+        plans = {name: tables[name] for name in tables}
+        with ThreadPoolExecutor(max_workers=max(1, len(plans))) as pool:
+            futures = {name: pool.submit(write, layer, name, df) for name, df in plans.items()}
+            return {name: f.result() for name, f in futures.items()}
 
     bronze = land("bronze", {name: raw[name] for name in SILVER_TABLES})
     silver = land("silver", build_silver(bronze))
