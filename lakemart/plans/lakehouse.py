@@ -121,16 +121,15 @@ def materialize(
 
     bronze = land("bronze", {name: raw[name] for name in SILVER_TABLES})
     silver = land("silver", build_silver(bronze))
-    dims = land("gold", {
+    # the trip fact joins the *written* rider dimension, so it comes second
+    first = land("gold", {
         "dim_rider": G.dim_rider(silver["riders"]),
         "dim_station": G.dim_station(silver["stations"]),
         "dim_date": G.dim_date(silver["trips"], silver["payments"]),
-    })
-    facts = land("gold", {
-        "fact_trip": G.fact_trip(silver["trips"], dims["dim_rider"]),
         "fact_payment": G.fact_payment(silver["payments"]),
     })
-    gold = {**dims, **facts}
+    trips = land("gold", {"fact_trip": G.fact_trip(silver["trips"], first["dim_rider"])})
+    gold = {**first, **trips}
     return Layers(bronze, silver, {name: gold[name] for name in GOLD_TABLES})
 
 
