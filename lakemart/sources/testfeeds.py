@@ -10,10 +10,11 @@ the two must stay in step.
   suppliers share a nation, so same-named stations exist), latitude and
   longitude text made from the key; every 20th key is sent twice, the copy
   with another name and latitude (duplicate keys for the dimension).
-* riders    <- customer without c_custkey % 50 = 49 (their trips and payments
-  become orphans); names from c_name; dates made from the key; is_member
-  from the market segment (FURNITURE gives no value); every 20th key is sent
-  twice; every 41st key has an unparsable birthday.
+* riders    <- customer, every row: names from c_name; dates made from the
+  key; is_member from the market segment (FURNITURE gives no value); every
+  20th key is sent twice; every 41st key has an unparsable birthday; keys
+  with c_custkey % 50 = 49 carry an unparsable id, so the silver step drops
+  them and their trips and payments become orphans.
 * payments  <- orders: id, date, amount text from whole cents, customer;
   every 101st has a bad amount, every 103rd no date, every 107th a bad rider.
 * trips     <- events (start = ts, end = ts + floor(value * 60) s, stations
@@ -83,8 +84,8 @@ def stations_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def riders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    c = c.where(F.col("c_custkey") % ORPHAN_RIDER_MOD != ORPHAN_RIDER_REM)
     k = F.col("c_custkey")
+    rider_text = F.when(k % ORPHAN_RIDER_MOD == ORPHAN_RIDER_REM, F.concat(F.lit("x"), _text(k))).otherwise(_text(k))
     birthday = F.date_add(F.lit("1950-01-01").cast("date"), ((k * 173) % 14000).cast("int"))
     start = F.date_add(F.lit("2013-01-01").cast("date"), (k % 3000).cast("int"))
     end = F.when(k % 3 == 0, F.date_add(start, (k % 700 + 1).cast("int")))
@@ -95,7 +96,7 @@ def riders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.lit("false"))
     )
     first = c.select(
-        _text(k).alias("_c0"),
+        rider_text.alias("_c0"),
         F.split_part(F.col("c_name"), F.lit("#"), F.lit(1)).alias("_c1"),
         F.split_part(F.col("c_name"), F.lit("#"), F.lit(2)).alias("_c2"),
         F.concat(F.lit("Nation "), _text(F.col("c_nationkey"))).alias("_c3"),
@@ -105,7 +106,7 @@ def riders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         member.alias("_c7"),
     )
     copy = c.where(k % DUP_KEY_MOD == 0).select(
-        _text(k).alias("_c0"),
+        rider_text.alias("_c0"),
         F.lit("Ann").alias("_c1"),
         F.split_part(F.col("c_name"), F.lit("#"), F.lit(2)).alias("_c2"),
         F.lit("Elsewhere").alias("_c3"),

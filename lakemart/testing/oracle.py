@@ -81,12 +81,14 @@ raw_stations AS (
 ),
 cust AS (
     SELECT c_custkey AS k, c_name, c_nationkey, c_mktsegment,
+           CASE WHEN c_custkey % 50 = 49 THEN 'x' || CAST(c_custkey AS VARCHAR)
+                ELSE CAST(c_custkey AS VARCHAR) END AS id_text,
            DATE '1950-01-01' + CAST((c_custkey * 173) % 14000 AS INTEGER) AS bday,
            DATE '2013-01-01' + CAST(c_custkey % 3000 AS INTEGER) AS acct_start
-    FROM customer WHERE c_custkey % 50 <> 49
+    FROM customer
 ),
 raw_riders AS (
-    SELECT CAST(k AS VARCHAR) AS _c0, split_part(c_name, '#', 1) AS _c1, split_part(c_name, '#', 2) AS _c2,
+    SELECT id_text AS _c0, split_part(c_name, '#', 1) AS _c1, split_part(c_name, '#', 2) AS _c2,
            'Nation ' || CAST(c_nationkey AS VARCHAR) AS _c3,
            CASE WHEN k % 41 = 0 THEN 'not-a-date' ELSE CAST(bday AS VARCHAR) END AS _c4,
            CAST(acct_start AS VARCHAR) AS _c5,
@@ -95,7 +97,7 @@ raw_riders AS (
                 WHEN c_mktsegment = 'FURNITURE' THEN NULL ELSE 'false' END AS _c7
     FROM cust
     UNION ALL
-    SELECT CAST(k AS VARCHAR), 'Ann', split_part(c_name, '#', 2), 'Elsewhere',
+    SELECT id_text, 'Ann', split_part(c_name, '#', 2), 'Elsewhere',
            CAST(bday + 1 AS VARCHAR), CAST(acct_start AS VARCHAR), NULL, 'true'
     FROM cust WHERE k % 20 = 0
 ),
