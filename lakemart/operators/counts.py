@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 
 def row_counts(tables: Iterable[tuple[str, DataFrame]]) -> DataFrame:
-    """(table_name, row_count) for each named DataFrame.
+    """(table_name, row_count) for each named DataFrame.
 
     A union of global counts: each branch is a partial count per task plus a
     single-row final, so no row and no per-table action goes through the driver.

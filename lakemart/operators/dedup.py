@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 
 def one_row_per_key(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
-    """One row per ``key``: the smallest tuple of the other ``columns``.
+    """One row per ``key``: the smallest tuple of the other ``columns``.
 
     ``dropDuplicates([key])`` keeps whichever row a task sees first, so the
     dimension would change with the partitioning. ``min(struct(...))`` picks a

@@ -25,7 +25,7 @@ def required_present(keys) -> Column:
 
 
 def standardize(raw: DataFrame, spec: FeedSpec, extra: dict[str, Column] | None = None) -> DataFrame:
-    """Typed silver rows of one feed.
+    """Typed silver rows of one feed.
 
     One narrow projection + filter: no shuffle, and the not-null tests reach the
     scan as ``IsNotNull`` filters where the key is passed through unchanged.

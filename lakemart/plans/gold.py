@@ -17,16 +17,17 @@ from lakemart.schemas import (
 
 
 def dim_rider(riders: DataFrame) -> DataFrame:
-    """One row per rider_id (address dropped); duplicates resolved deterministically."""
+    """T5: one row per rider_id (address dropped); duplicates resolved deterministically."""
     return one_row_per_key(riders, "rider_id", DIM_RIDER_COLUMNS)
 
 
 def dim_station(stations: DataFrame) -> DataFrame:
+    """One row per station_id."""
     return one_row_per_key(stations, "station_id", DIM_STATION_COLUMNS)
 
 
 def observed_dates(trips: DataFrame, payments: DataFrame) -> DataFrame:
-    """Distinct non-null dates seen as trip start, trip end or payment date.
+    """Distinct non-null dates seen as trip start, trip end or payment date.
 
     The two trip dates come from one scan (``explode`` of a two-element array)
     instead of a union of two scans of the trips table; the distinct is
@@ -40,7 +41,7 @@ def observed_dates(trips: DataFrame, payments: DataFrame) -> DataFrame:
 
 
 def dim_date(trips: DataFrame, payments: DataFrame) -> DataFrame:
-    """One row per observed date (not a full calendar); day_of_week 1 = Sunday."""
+    """One row per observed date (not a full calendar); day_of_week 1 = Sunday."""
     d = F.col("date")
     return observed_dates(trips, payments).select(
         date_key(d).alias("date_key"),
@@ -54,7 +55,7 @@ def dim_date(trips: DataFrame, payments: DataFrame) -> DataFrame:
 
 
 def fact_trip(trips: DataFrame, riders_dim: DataFrame) -> DataFrame:
-    """One row per silver trip, with date keys and the rider's age at the trip.
+    """T8 (J1): one row per silver trip, with date keys and the rider's age at the trip.
 
     Left join: trips of unknown riders are kept with a NULL age. Only
     (rider_id, birthday) of the dimension is read. Spark picks the join: a
@@ -77,7 +78,7 @@ def fact_trip(trips: DataFrame, riders_dim: DataFrame) -> DataFrame:
 
 
 def fact_payment(payments: DataFrame) -> DataFrame:
-    """One row per silver payment; a missing date gives a NULL date key."""
+    """One row per silver payment; a missing date gives a NULL date key."""
     return payments.select(
         "payment_id",
         "rider_id",

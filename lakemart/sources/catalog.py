@@ -9,14 +9,14 @@ from lakemart.schemas import LAYERS
 
 
 def create_layers(spark: SparkSession, location: str | None = None, layers=LAYERS) -> None:
-    """CREATE SCHEMA IF NOT EXISTS for each layer, under ``location`` when given."""
+    """A2: CREATE SCHEMA IF NOT EXISTS for each layer, under ``location`` when given."""
     for layer in layers:
         where = f" LOCATION '{location}/{layer}.db'" if location else ""
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {layer}{where}")
 
 
 def write_table(df: DataFrame, table: str, fmt: str = "parquet", path: str | None = None) -> None:
-    """Replace ``table`` whole with ``df`` (the source program's only write mode).
+    """A3-A5: replace ``table`` whole with ``df`` (the source program's only write mode).
 
     A written table also cuts the lineage: later layers plan from its files,
     and a lost executor costs a re-read, not a recomputation of the layers
@@ -29,12 +29,12 @@ def write_table(df: DataFrame, table: str, fmt: str = "parquet", path: str | Non
 
 
 def show_tables(spark: SparkSession, layer: str) -> DataFrame:
-    """namespace, tableName, isTemporary of the tables in ``layer``."""
+    """Namespace, tableName, isTemporary of the tables in ``layer``."""
     return spark.sql(f"SHOW TABLES IN {layer}")
 
 
 def describe_tables(spark: SparkSession, layer: str, tables) -> DataFrame:
-    """table_name, col_name, data_type, comment for each table of ``layer``."""
+    """table_name, col_name, data_type, comment for each table of ``layer``."""
     parts = [
         spark.sql(f"DESCRIBE TABLE {layer}.{t}").select(
             F.lit(f"{layer}.{t}").alias("table_name"), "col_name", "data_type", "comment"
@@ -48,7 +48,7 @@ def describe_tables(spark: SparkSession, layer: str, tables) -> DataFrame:
 
 
 def count_sql(layer: str, tables) -> str:
-    """One SQL text: UNION ALL of single-table counts, named ``layer.table``."""
+    """One SQL text, UNION ALL of single-table counts named ``layer.table``."""
     return "\nUNION ALL\n".join(
         f"SELECT '{layer}.{t}' AS table_name, COUNT(*) AS row_count FROM {layer}.{t}" for t in tables
     )

@@ -12,7 +12,7 @@ def _spec(feed: FeedSpec | str) -> FeedSpec:
 
 
 def read_feed(spark: SparkSession, path: str, feed: FeedSpec | str) -> DataFrame:
-    """Raw rows ``_c0.._cN`` of one feed, every column as text.
+    """A1: raw rows ``_c0.._cN`` of one feed, every column as text.
 
     An explicit all-string schema instead of ``inferSchema``: no extra pass
     over the files (which at scale is a full read), no type that depends on
