@@ -4,7 +4,7 @@
         [--location DIR] [--format parquet] [--reports NAME,...] [--show 20] [--out DIR]
 
 Writes ``bronze.*``, ``silver.*`` and ``gold.*`` tables (under ``--location``
-when given), prints the row counts of every layer, the gold table listing and
+when given), prints a preview of each landed feed, the row counts of every layer, the gold table listing and
 column types, and each report (``--show`` rows; ``--out`` also writes every
 report as parquet there). Everything is computed by Spark; only the printed
 preview rows reach the driver.
@@ -41,6 +41,10 @@ def main(argv=None) -> None:
     raw = read_csv_feeds(spark, {feed: getattr(args, feed) for feed in SILVER_TABLES})
     layers = materialize(spark, raw, fmt=args.format, location=args.location)
 
+    for name in SILVER_TABLES:  # A13: bounded preview of each landed feed
+        print(f"== bronze.{name}")
+        layers.raw[name].show(args.show, truncate=False)
+
     named = [(f"bronze.{n}", layers.raw[n]) for n in SILVER_TABLES]
     named += [(f"silver.{n}", layers.silver[n]) for n in SILVER_TABLES]
     named += [(f"gold.{n}", layers.gold[n]) for n in GOLD_TABLES]

@@ -75,6 +75,7 @@ def test_cli_runs_the_whole_flow(spark, capsys):
             "--reports=rides_by_year_month_dow,spend_and_rides_monthly"])
     printed = capsys.readouterr().out
     assert "== rides_by_year_month_dow" in printed and "gold.fact_trip" in printed
+    assert "== bronze.trips" in printed
     W = written_layers(spark, SF_SMALL)
     r1 = spark.read.parquet(f"{out}/reports/rides_by_year_month_dow")
     from lakemart.plans import marts
