@@ -4,9 +4,9 @@
         [--location DIR] [--format parquet] [--reports NAME,...] [--show 20] [--out DIR]
 
 Writes ``bronze.*``, ``silver.*`` and ``gold.*`` tables (under ``--location``
-when given), prints a preview of each landed feed, the row counts of every layer, the gold table listing and
-column types, and each report (``--show`` rows; ``--out`` also writes every
-report as parquet there). Everything is computed by Spark; only the printed
+when given), prints a preview of each landed feed, the row counts of every
+layer, the gold table listing and column types, and each report (``--show``
+rows; ``--out`` also writes every report as parquet there). Everything is computed by Spark; only the printed
 preview rows reach the driver.
 """
 
