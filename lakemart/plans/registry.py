@@ -20,6 +20,7 @@ tables first.
 from __future__ import annotations
 
 import os
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,16 +39,20 @@ from lakemart.streaming import run_silver_increment
 Query = Callable[[SparkSession, str], DataFrame]
 
 _WRITTEN: dict[tuple[str, str], Layers] = {}
+# Callers may run products from several threads: one run is written at a time,
+# and the session-global catalog tables are never rewritten concurrently.
+_LOCK = threading.RLock()
 
 
 def written_layers(spark: SparkSession, sf_dir: str) -> Layers:
     """Bronze, silver and gold written once per application and ``sf_dir``."""
     apply_runtime_conf(spark)
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    if key not in _WRITTEN:
-        location = scratch_dir(spark, "lakehouse")
-        _WRITTEN[key] = materialize(spark, raw_feeds(spark, sf_dir), location=location, catalog=False)
-    return _WRITTEN[key]
+    with _LOCK:
+        if key not in _WRITTEN:
+            location = scratch_dir(spark, "lakehouse")
+            _WRITTEN[key] = materialize(spark, raw_feeds(spark, sf_dir), location=location, catalog=False)
+        return _WRITTEN[key]
 
 
 def layers(spark: SparkSession, sf_dir: str) -> Layers:
@@ -75,14 +80,15 @@ def csv_feed_paths(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """The four feeds written once per application and ``sf_dir`` as
     header-less CSV files, the form the pipeline takes as input."""
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    if key not in _CSV:
-        bronze = written_layers(spark, sf_dir).raw
-        root = scratch_dir(spark, "raw-csv")
-        paths = {name: f"{root}/{name}" for name in SILVER_TABLES}
-        for name, path in paths.items():
-            write_feed(bronze[name], path)
-        _CSV[key] = paths
-    return _CSV[key]
+    with _LOCK:
+        if key not in _CSV:
+            bronze = written_layers(spark, sf_dir).raw
+            root = scratch_dir(spark, "raw-csv")
+            paths = {name: f"{root}/{name}" for name in SILVER_TABLES}
+            for name, path in paths.items():
+                write_feed(bronze[name], path)
+            _CSV[key] = paths
+        return _CSV[key]
 
 
 def raw_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,12 +134,13 @@ def catalog_layers(spark: SparkSession, sf_dir: str) -> Layers:
     other file names)."""
     app = spark.sparkContext.applicationId
     source = os.path.abspath(sf_dir)
-    last = _CATALOG.get(app)
-    if last is None or last[0] != source or _gold_files(spark) != last[1]:
-        bronze = written_layers(spark, sf_dir).raw
-        built = materialize(spark, bronze, location=scratch_dir(spark, "catalog"), catalog=True)
-        _CATALOG[app] = (source, _gold_files(spark), built)
-    return _CATALOG[app][2]
+    with _LOCK:
+        last = _CATALOG.get(app)
+        if last is None or last[0] != source or _gold_files(spark) != last[1]:
+            bronze = written_layers(spark, sf_dir).raw
+            built = materialize(spark, bronze, location=scratch_dir(spark, "catalog"), catalog=True)
+            _CATALOG[app] = (source, _gold_files(spark), built)
+        return _CATALOG[app][2]
 
 
 def gold_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
