@@ -5,9 +5,9 @@ the pre-registered views with the rules of ``lakemart.sources.testfeeds``,
 then cleaned, modelled and reported in plain SQL. Translation notes:
 
 * day of week: DuckDB counts from 0 = Sunday, Spark from 1 = Sunday;
-* whole years between two times: ``date_sub('year', a, b)`` (equal to
-  Spark's floor(months_between / 12) for non-negative ages, which is all the
-  test feeds produce);
+* whole years between two times: Spark's ``months_between`` rule written
+  out (``_years_between``), then floor(months / 12), so negative ages match
+  too;
 * ride seconds are exact integers here (epoch microseconds // 10^6), and all
   rounding is HALF_UP on exact integers, as in ``lakemart.functions.exact``;
 * money is DECIMAL(38,2) on both sides.
@@ -52,6 +52,25 @@ def money_ratio(amount_sum: str, count: str) -> str:
     return f"CAST(CAST({_half_up(cents, count)} AS DOUBLE) / 100.0::DOUBLE AS DECIMAL(38,2))"
 
 
+def _years_between(later: str, earlier: str) -> str:
+    """floor(months_between(later, earlier) / 12) as Spark defines it.
+
+    Whole months when both days of month are equal or both are month ends;
+    otherwise the difference in whole seconds counts against 31-day months,
+    and the month count is rounded to 8 places (half up) before the floor."""
+    def day_secs(t):
+        return f"(hour({t}) * 3600 + minute({t}) * 60 + second({t}))"
+
+    months = f"((year({later}) * 12 + month({later})) - (year({earlier}) * 12 + month({earlier})))"
+    same_day = (f"(day({later}) = day({earlier}) OR (day({later}) = day(last_day({later})) "
+                f"AND day({earlier}) = day(last_day({earlier}))))")
+    frac = (f"(((day({later}) - day({earlier})) * 86400 + {day_secs(later)} - {day_secs(earlier)})"
+            f" / 2678400.0::DOUBLE)")
+    exact = f"(CASE WHEN {same_day} THEN {months}::DOUBLE ELSE {months} + {frac} END)"
+    rounded = f"(floor({exact} * 1e8 + 0.5::DOUBLE) / 1e8)"
+    return f"CAST(floor({rounded} / 12) AS BIGINT)"
+
+
 def _date_key(d: str) -> str:
     return f"CAST(year({d}) * 10000 + month({d}) * 100 + day({d}) AS INTEGER)"
 
@@ -207,7 +226,7 @@ fact_trip AS (
            {_date_key('CAST(t.started_at AS DATE)')} AS start_date_key,
            {_date_key('CAST(t.ended_at AS DATE)')} AS end_date_key,
            t.rideable_type, t.trip_duration_minutes,
-           CAST(date_sub('year', CAST(r.birthday AS TIMESTAMP), t.started_at) AS BIGINT) AS rider_age_at_trip,
+           {_years_between('t.started_at', 'CAST(r.birthday AS TIMESTAMP)')} AS rider_age_at_trip,
            t.dur_s
     FROM silver_trips t LEFT JOIN dim_rider r ON t.rider_id = r.rider_id
 ),
@@ -240,7 +259,7 @@ PAY = (
     f"{money_mean('sum(fp.payment_amount)', 'count(fp.payment_amount)')} AS avg_payment_amount"
 )
 MEMBER = "CASE WHEN r.is_member = true THEN 'member' ELSE 'casual' END"
-START_AGE = "CAST(date_sub('year', CAST(r.birthday AS TIMESTAMP), CAST(r.account_start_date AS TIMESTAMP)) AS BIGINT)"
+START_AGE = _years_between("CAST(r.account_start_date AS TIMESTAMP)", "CAST(r.birthday AS TIMESTAMP)")
 
 FINAL = {
     "clean_stations": "SELECT * FROM silver_stations",

@@ -1,9 +1,9 @@
 """Random dirty raw feeds through the Spark pipeline and through the DuckDB SQL.
 
 Seeded random rows mix duplicates, orphans, bad text, NULLs, leap-day
-birthdays, fractional seconds, negative and zero ride times and many small
-groups (so HALF_UP ties occur); every silver, gold and report product must
-equal the independent SQL."""
+birthdays, birthdays after the trip (negative ages), fractional seconds,
+negative and zero ride times and many small groups (so HALF_UP ties occur);
+every silver, gold and report product must equal the independent SQL."""
 
 import datetime as dt
 import random
@@ -38,8 +38,12 @@ def make_feeds(seed: int):
     ]
     riders = []
     for _ in range(60):
-        bday = _pick(rnd, "1992-02-29", "1988-02-29", f"{rnd.randint(1950, 1990)}-{rnd.randint(1, 12):02d}-"
-                     f"{rnd.randint(1, 28):02d}", "not-a-date", None)
+        # mostly long before the trips; some after them (negative ages), some on leap days
+        bday = _pick(rnd, "1992-02-29", "1988-02-29", "2024-02-29",
+                     f"{rnd.randint(1950, 1990)}-{rnd.randint(1, 12):02d}-{rnd.randint(1, 28):02d}",
+                     f"{rnd.randint(1950, 1990)}-{rnd.randint(1, 12):02d}-{rnd.randint(1, 28):02d}",
+                     f"{rnd.randint(2021, 2025)}-{rnd.randint(1, 12):02d}-{rnd.randint(1, 31):02d}",
+                     "not-a-date", None)
         riders.append((
             _pick(rnd, *[str(i) for i in range(1, 31)], "x", "", None),
             _pick(rnd, "Ann", "Bo", "Cy", None), _pick(rnd, "Lee", "Ray", None), "addr",
