@@ -81,3 +81,13 @@ def test_cli_runs_the_whole_flow(spark, capsys):
     from lakemart.plans import marts
     want = marts.REPORTS["rides_by_year_month_dow"](W)
     assert sorted(map(tuple, r1.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_layers_in_another_table_format(spark):
+    W = written_layers(spark, SF_SMALL)
+    loc = tempfile.mkdtemp(prefix="lakemart-orc-")
+    O = materialize(spark, W.raw, fmt="orc", location=loc, catalog=False)
+    assert O.fact_trip.inputFiles()[0].endswith(".orc")
+    for name in ("dim_rider", "fact_trip", "fact_payment"):
+        assert sorted(map(tuple, O.gold[name].collect()), key=str) == \
+            sorted(map(tuple, W.gold[name].collect()), key=str)
