@@ -93,8 +93,10 @@ def materialize(
     executor costs a re-read, not a recomputation of the layers below.
 
     ``catalog=True`` writes ``bronze.*``, ``silver.*``, ``gold.*`` catalog
-    tables (schemas under ``location`` when given, else the warehouse);
-    ``catalog=False`` writes plain ``fmt`` folders ``location/layer/name``.
+    tables (schemas under ``location`` when given, else the warehouse; a
+    schema that already exists keeps its own location); ``catalog=False``
+    writes plain ``fmt`` folders ``location/layer/name``. The tables of one
+    layer are written concurrently.
     """
     apply_runtime_conf(spark)
     if catalog:
