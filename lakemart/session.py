@@ -22,6 +22,7 @@ RUNTIME_CONF = {
 
 
 def apply_runtime_conf(spark: SparkSession) -> SparkSession:
+    """Set ``RUNTIME_CONF`` on an existing session (only keys that differ)."""
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
