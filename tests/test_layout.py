@@ -82,3 +82,18 @@ def test_dimension_keys_unique_and_fact_dates_covered(spark):
                       (W.fact_payment, "payment_date_key")):
         missing = fact.where(F.col(key).isNotNull()).join(W.dim_date, F.col(key) == F.col("date_key"), "left_anti")
         assert missing.count() == 0
+
+
+def test_shuffle_width_does_not_change_results(spark):
+    W = written_layers(spark, SF_SMALL)
+    names = ("rides_by_year_month_dow", "rides_by_station_pair", "payments_by_month",
+             "spend_and_rides_monthly", "spend_vs_avg_rides", "payments_rollup")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    got = {}
+    try:
+        for width in ("1", "13"):
+            spark.conf.set("spark.sql.shuffle.partitions", width)
+            got[width] = {n: [tuple(r) for r in M.REPORTS[n](W).collect()] for n in names}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert got["1"] == got["13"]  # same rows in the same order
