@@ -1,0 +1,102 @@
+import random
+
+import numpy as np
+import xxhash
+
+from lakemart.llm import simhash_dedup as S
+
+from .conftest import documents
+
+
+def fingerprint(text):
+    words = (text or "").encode().lower().split()
+    if not words:
+        return 0
+    shingles = [b" ".join(words[i : i + 4]) for i in range(max(len(words) - 3, 1))]
+    h = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def least_linked(fps, ids, bits=4):
+    distinct = sorted(set(fps))
+    v = np.array(distinct, np.uint64)
+    parent = list(range(len(v)))
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for i in range(len(v)):
+        for j in np.flatnonzero(np.bitwise_count(v ^ v[i]) <= bits):
+            parent[find(i)] = find(int(j))
+    root = {f: find(i) for i, f in enumerate(distinct)}
+    least = {}
+    for f, d in zip(fps, ids):
+        if d is not None:
+            least[root[f]] = min(least.get(root[f], d), d)
+    return [least.get(root[f]) for f in fps]
+
+
+def check(found, rows):
+    fps = [fingerprint(t) for _, t in rows]
+    want = [(d, f"{f:016x}", c) for (d, _), f, c in zip(rows, fps, least_linked(fps, [d for d, _ in rows]))]
+    assert sorted(map(tuple, found), key=repr) == sorted(want, key=repr)
+
+
+def test_equals_brute_force_on_documents(spark):
+    docs = documents(spark, "/root/testdata/sf0.01")
+    check(S.op6_simhash_dedup(docs).collect(), [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()])
+
+
+def test_odd_rows_and_empty_table(spark, odd_docs, odd_rows, no_docs):
+    check(S.op6_simhash_dedup(odd_docs).collect(), [(r[0], r[1]) for r in odd_rows])
+    assert S.op6_simhash_dedup(no_docs).count() == 0
+    kept = S.keep_one_each(odd_docs)
+    assert kept.columns == odd_docs.columns
+    fps = [fingerprint(r[1]) for r in odd_rows]
+    groups = least_linked(fps, fps)  # a group is named by its least fingerprint here
+    group_of = dict(zip(fps, groups))
+    rows = [(r["doc_id"], group_of[fingerprint(r["text"])]) for r in kept.collect()]
+    ids = lambda g: [r[0] for r, x in zip(odd_rows, groups) if x == g]
+    want = [(min((i for i in ids(g) if i is not None), default=None), g) for g in set(groups)]
+    assert sorted(rows, key=repr) == sorted(want, key=repr)
+
+
+def near_values(rng, n):
+    centres = [rng.getrandbits(64) for _ in range(6)]
+    out = set()
+    for _ in range(n):
+        x = rng.choice(centres)
+        for _ in range(rng.randint(0, 6)):
+            x ^= 1 << rng.randint(0, 63)
+        out.add(x)
+    return sorted(out)
+
+
+def test_trie_links_are_all_near_pairs():
+    rng = random.Random(7)
+    for n in (1, 2, 60, 500):
+        v = np.array(near_values(rng, n), np.uint64)
+        i, j = S.trie_links(v, np.array([[0], [len(v)]]), np.array([[0], [len(v)]]), 4)
+        want = [(a, b) for a in range(len(v)) for b in range(a + 1, len(v)) if bin(int(v[a]) ^ int(v[b])).count("1") <= 4]
+        assert sorted(zip(i.tolist(), j.tolist())) == want
+
+
+def test_large_groups_are_worked_off_in_parts(spark, monkeypatch):
+    values = near_values(random.Random(8), 700)
+    signed = np.array(values, np.uint64).view(np.int64).tolist()
+    monkeypatch.setattr(S, "PART", 16)
+    monkeypatch.setattr(S, "TASK_ROWS", 300)
+    df = spark.createDataFrame([(x,) for x in signed], "fp long")
+    linked = {r["node"]: r["root"] for r in S.components(S.near_links(df)).collect()}
+    want = least_linked(values, signed)
+    assert [linked.get(x, x) for x in signed] == want
+
+
+def test_chain_of_links_is_one_component(spark):
+    n = 300
+    df = spark.createDataFrame([(i, i + 1) for i in range(n)], "a long, b long")
+    found = S.components(df).collect()
+    assert len(found) == n and {r["root"] for r in found} == {0}
