@@ -14,7 +14,9 @@ from __future__ import annotations
 import math
 import os
 import random
+import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -25,10 +27,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import cut, pick, slices, prepare, to_batch
+from lakemart.llm.common import cut, pick, prepare, slices, to_batch
+from lakemart.llm.token_counts import Merger
 
-#: Distinct chunks whose ids a task keeps between batches.
+#: Chunks whose ids one generation of a worker's cache holds.
 CACHE_CHUNKS = 400_000
+#: Marks that close a word as a token of their own.
+MARKS = b".,!?;:"
+#: Lower-case letters that no normalisation changes.
+PLAIN = re.compile("[a-zß-öø-ÿ]+")
 
 
 @dataclass(frozen=True)
@@ -49,28 +56,70 @@ class Encoder:
     """Ids of whole texts by a ``tokenizers`` file, as little-endian uint32 bytes.
 
     ASCII white space ends every token, so a text's ids are those of its chunks
-    between white space; distinct chunks are encoded once and kept, up to a bound."""
+    between white space; the library encodes distinct chunks once. They are kept
+    in two generations of bounded size: what a full one holds is dropped if it
+    isn't met while the next one fills."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.cache: dict[bytes, bytes] = {}
+        self.symbols = dict(enumerate(Merger.byte_symbols()))
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def _learn(self, chunks: set[bytes]) -> None:
+        """Put ``chunks`` into the young generation. A word's closing mark is a
+        token of its own, and ASCII letters count in lower case: such chunks are
+        made from their word's ids."""
+        words: dict[bytes, bytes] = {}
+        for c in chunks:
+            word = c[:-1] if len(c) > 1 and c[-1] in MARKS and c[-2:-1].isalpha() else c
+            words[c] = word if b"<|" in word else word.lower()
+        wanted = set(words.values())
+        wanted.update(c[-1:] for c in chunks if c[-1] in MARKS)
+        for c in wanted.intersection(self.old):
+            self.young[c] = self.old[c]
+        fresh = []
+        tokens = self.library.model.tokenize
+        for c in wanted.difference(self.young):
+            if PLAIN.fullmatch(c.decode("utf-8", "replace")):
+                # such a word is its own pre-token: the library's model alone gives its ids
+                self.young[c] = array("I", [t.id for t in tokens(c.decode("latin-1").translate(self.symbols))]).tobytes()
+            else:
+                fresh.append(c)
+        for a in range(0, len(fresh), 10_000):
+            part = fresh[a : a + 10_000]
+            found = self.library.encode_batch_fast([c.decode("utf-8", "replace") for c in part], add_special_tokens=False)
+            self.young.update((c, array("I", e.ids).tobytes()) for c, e in zip(part, found, strict=True))
+        for c, word in words.items():
+            if c not in self.young:
+                cut_off = len(c) > len(word)
+                self.young[c] = self.young[word] + self.young[c[-1:]] if cut_off else self.young[word]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        if len(self.cache) > CACHE_CHUNKS:
-            self.cache.clear()
+        if len(self.young) > CACHE_CHUNKS:
+            self.young, self.old = {}, self.young
         split = [t.split() for t in texts]
-        new = list(set().union(*split).difference(self.cache)) if split else []
-        for a in range(0, len(new), 10_000):
-            part = new[a : a + 10_000]
-            found = self.library.encode_batch_fast([c.decode("utf-8", "replace") for c in part], add_special_tokens=False)
-            self.cache.update((c, np.array(e.ids, "<u4").tobytes()) for c, e in zip(part, found, strict=True))
-        get = self.cache.__getitem__
+        new = set().union(*split).difference(self.young) if split else set()
+        for c in new.intersection(self.old):
+            self.young[c] = self.old[c]
+        self._learn(new.difference(self.old))
+        get = self.young.__getitem__
         return [b"".join(map(get, chunks)) for chunks in split]
 
 
+#: Kept by a Python worker from task to task.
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
+
+
 def token_pieces(docs: DataFrame, tokenizer: str, p: Params, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, piece, start, length, ids_crc32: each document's ids with the end
     id, cut where they pass the capacity. A null text is empty: one end id."""
@@ -80,10 +129,10 @@ def token_pieces(docs: DataFrame, tokenizer: str, p: Params, doc_id: str = "doc_
     width = 4 * p.capacity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encode = encoder(tokenizer).encode
         for batch, column in slices(batches):
             of, piece, start, length, crc = [], [], [], [], []
-            for i, ids in enumerate(encoder.encode(column.to_pylist())):
+            for i, ids in enumerate(encode(column.to_pylist())):
                 ids += end
                 for n, at in enumerate(range(0, len(ids), width)):
                     part = ids[at : at + width]

@@ -56,12 +56,12 @@ class Merger:
             raise ValueError("merge table does not fit")
         self.keys = np.append(keys, -1)
         self.made = np.append(made, -1)
-        plain = self._byte_symbols()
+        plain = self.byte_symbols()
         self.byte = np.array([vocab[c] for c in plain], np.int64)
         self.last_byte = np.array([vocab[c + self.end] for c in plain], np.int64)
 
     @staticmethod
-    def _byte_symbols() -> list[str]:
+    def byte_symbols() -> list[str]:
         """The character that stands for each byte: itself if it prints, else one
         of the characters from 256 on, in byte order."""
         prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -138,7 +138,7 @@ class Counter:
         special = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, special)))
         self.library = Tokenizer.from_file(path)
-        self.byte_of = {c: b for b, c in enumerate(self.merger._byte_symbols())}
+        self.byte_of = {c: b for b, c in enumerate(self.merger.byte_symbols())}
         self.cache: dict[bytes, int] = {}
 
     def split(self, text: str) -> list[bytes]:
