@@ -20,7 +20,7 @@ import lakemart
 from lakemart.session import scratch_root
 
 SLICE_BYTES = 4 << 20
-SLICE_ROWS = 1024
+SLICE_ROWS = 256
 #: Rows of one Arrow batch: bounds a Python worker's memory when texts are long.
 BATCH_ROWS = "1000"
 

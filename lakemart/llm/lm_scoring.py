@@ -40,7 +40,7 @@ CLASSES, GROUPS = 16, 4
 #: Training texts that the clustering sees.
 SAMPLE_TEXTS = 2000
 #: Distinct (class, token) pairs that a task counts before it hands them on.
-HELD_PAIRS = 400_000
+HELD_PAIRS = 250_000
 CHUNK = 1 << 12
 BLOCK_TOKENS = 8192
 #: Vocabulary rows of one online step.
