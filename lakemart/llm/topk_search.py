@@ -125,16 +125,19 @@ def op9_topk_search(embeddings: DataFrame) -> DataFrame:
 
 
 ORACLE_SQL = """
-WITH q AS (
-  SELECT DISTINCT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
-  FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+WITH held AS (
+  SELECT DISTINCT vec_id, embedding AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0),
+wide AS (SELECT vec_id, len(e) AS dims, unnest(e) AS x, generate_subscripts(e, 1) AS i FROM held),
+odd AS (SELECT DISTINCT vec_id FROM wide WHERE x IS NULL OR NOT isfinite(x)),
+v AS (
+  SELECT vec_id, dims, i, CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) AS x
+  FROM wide WHERE vec_id NOT IN (SELECT vec_id FROM odd)),
 scored AS (
-  SELECT a.vec_id AS query_id, b.vec_id,
-         CAST(list_sum(list_transform(generate_series(1, len(a.v)), i -> a.v[i] * b.v[i])) AS BIGINT) AS score
-  FROM q a JOIN q b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
-  WHERE a.vec_id % 100 = 0),
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(sum(a.x * b.x) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.i = b.i AND a.dims = b.dims AND a.vec_id <> b.vec_id
+  WHERE a.vec_id % 100 = 0
+  GROUP BY 1, 2),
 ranked AS (
   SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
   FROM scored)
