@@ -14,8 +14,13 @@ def col_or_name(c: Column | str) -> Column:
 
 
 def typed(text: Column | str, spark_type: str) -> Column:
-    """Cast raw text to ``spark_type``; unparsable text becomes NULL (never an error)."""
-    return col_or_name(text).try_cast(spark_type)
+    """Cast raw text to ``spark_type``; unparsable text becomes NULL (never an error).
+
+    An id (``bigint``) may be written as a decimal, as in ``7.0``; its fraction is cut off."""
+    text = col_or_name(text)
+    if spark_type == "bigint":
+        return F.coalesce(text.try_cast("bigint"), text.try_cast("decimal(38,9)").try_cast("bigint"))
+    return text.try_cast(spark_type)
 
 
 def epoch_seconds(ts: Column | str) -> Column:
@@ -41,9 +46,10 @@ def minutes_to_seconds(minutes: Column | str) -> Column:
 
 
 def date_key(d: Column | str) -> Column:
-    """yyyyMMdd as int (equals date_format(d, 'yyyyMMdd') for years 1-9999)."""
+    """yyyyMMdd as bigint (equals date_format(d, 'yyyyMMdd') for years 1-9999;
+    a later year is simply longer)."""
     d = col_or_name(d)
-    return (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("int")
+    return F.year(d).cast("long") * 10000 + F.month(d) * 100 + F.dayofmonth(d)
 
 
 def whole_years_between(later: Column | str, earlier: Column | str) -> Column:
@@ -72,14 +78,14 @@ def minutes_rounded(seconds: Column | str, count: Column | str | int = 1) -> Col
 
 
 def money_rounded(amount_sum: Column | str) -> Column:
-    """A sum of decimal(10,2) amounts as decimal(38,2) (the round to 2 places is exact)."""
+    """A sum of decimal(18,2) amounts as decimal(38,2) (the round to 2 places is exact)."""
     return col_or_name(amount_sum).cast("decimal(38,2)")
 
 
 def money_mean(amount_sum: Column | str, count: Column | str) -> Column:
     """round(avg(amount), 2) with Spark's decimal semantics, computed exactly.
 
-    ``avg`` of a decimal(10,2) yields decimal(14,6) (HALF_UP at 6 places) and the
+    ``avg`` of a decimal(18,2) yields decimal(22,6) (HALF_UP at 6 places) and the
     report rounds that to 2 places HALF_UP; both steps are reproduced on the
     exact sum of cents, so the result does not depend on partitioning."""
     cents = col_or_name(amount_sum).cast("decimal(38,2)") * 100

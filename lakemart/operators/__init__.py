@@ -10,7 +10,7 @@ from lakemart.operators.measures import (
     ride_measure,
     via_dimension,
 )
-from lakemart.operators.standardize import required_present, standardize, typed_columns
+from lakemart.operators.standardize import rejected, required_present, standardize, typed_columns
 
 __all__ = [
     "Measure",
@@ -18,6 +18,7 @@ __all__ = [
     "join_then_aggregate",
     "one_row_per_key",
     "payment_measure",
+    "rejected",
     "required_present",
     "ride_measure",
     "row_counts",

@@ -24,6 +24,15 @@ def required_present(keys) -> Column:
     return cond
 
 
+def rejected(raw: DataFrame, spec: FeedSpec) -> DataFrame:
+    """feed, missing_key, row_count: the rows that ``standardize`` drops, by the
+    first required key that is absent or unreadable. Combined map-side."""
+    first = F.coalesce(*[F.when(F.col(k).isNull(), F.lit(k)) for k in spec.required])
+    typed_rows = raw.select(*typed_columns(spec)).select(first.alias("missing_key")).where(F.col("missing_key").isNotNull())
+    counted = typed_rows.groupBy("missing_key").agg(F.count("*").alias("row_count"))
+    return counted.select(F.lit(spec.name).alias("feed"), "missing_key", "row_count")
+
+
 def standardize(raw: DataFrame, spec: FeedSpec, extra: dict[str, Column] | None = None) -> DataFrame:
     """Typed silver rows of one feed.
 

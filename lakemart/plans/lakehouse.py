@@ -84,6 +84,7 @@ def materialize(
     fmt: str = "parquet",
     location: str | None = None,
     catalog: bool = True,
+    prefix: str = "",
 ) -> Layers:
     """Write bronze, silver and gold tables (each replaced whole) and return
     layers that read the written tables.
@@ -95,19 +96,19 @@ def materialize(
     ``catalog=True`` writes ``bronze.*``, ``silver.*``, ``gold.*`` catalog
     tables (schemas under ``location`` when given, else the warehouse; a
     schema that already exists keeps its own location); ``catalog=False``
-    writes plain ``fmt`` folders ``location/layer/name``. The tables of one
-    layer are written concurrently.
+    writes plain ``fmt`` folders ``location/layer/name``. ``prefix`` goes before
+    the schemas' names. The tables of one layer are written concurrently.
     """
     apply_runtime_conf(spark)
     if catalog:
-        create_layers(spark, location)
+        create_layers(spark, location, prefix=prefix)
     elif not location:
         raise ValueError("a location is needed when not writing catalog tables")
 
     def write(layer: str, name: str, df: DataFrame) -> DataFrame:
         if catalog:
-            write_table(df, f"{layer}.{name}", fmt)
-            return spark.table(f"{layer}.{name}")
+            write_table(df, f"{prefix}{layer}.{name}", fmt)
+            return spark.table(f"{prefix}{layer}.{name}")
         path = f"{location}/{layer}/{name}"
         df.write.format(fmt).mode("overwrite").save(path)
         return spark.read.format(fmt).load(path)

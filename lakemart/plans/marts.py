@@ -171,14 +171,14 @@ def payments_rollup(fact_payment: DataFrame, dim_date: DataFrame) -> DataFrame:
 
     ``grouping_level`` is Spark's grouping_id over (year, quarter, month):
     0 month rows, 1 quarter subtotals, 3 year subtotals, 7 the grand total.
-    The rollup expands each row into its four grouping sets before the
-    partial aggregate, map-side, so the shuffle carries one row per set and
-    key per task."""
+    Payments are added up by month first; the rollup expands those few rows,
+    never the facts."""
     m = payment_measure()
     keys = ("year", "quarter", "month")
-    d = _dates(dim_date, *keys)
-    joined = fact_payment.join(d, fact_payment["payment_date_key"] == d["date_key"], "left")
-    parts = joined.rollup(*keys).agg(*m.partial(), F.grouping_id().cast("int").alias("grouping_level"))
+    months = join_then_aggregate(
+        fact_payment, "payment_date_key", _dates(dim_date, *keys), "date_key", [F.col(k) for k in keys], m
+    )
+    parts = months.rollup(*keys).agg(*m.merge(), F.grouping_id().cast("int").alias("grouping_level"))
     return parts.select(*keys, "grouping_level", *m.final(PAYMENT_MEASURES)).orderBy(
         "grouping_level", *keys
     )

@@ -4,7 +4,7 @@ The run is a lakehouse, as in the source program: the four raw feeds are
 derived from the parquet tables in ``sf_dir`` (``sources.testfeeds``) and
 landed as bronze, then silver and gold are written, each from the written
 layer below, under the session's shared scratch folder. That happens once
-per (Spark application, ``sf_dir``), on first use.
+per (Spark application, ``sf_dir``, state of its files), on first use.
 
 A product is then one step of the run, as a lazy plan:
 
@@ -21,33 +21,62 @@ from __future__ import annotations
 
 import os
 import threading
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.operators import row_counts
+from lakemart.operators import rejected
 from lakemart.plans import marts as M
 from lakemart.plans.lakehouse import Layers, materialize, read_csv_feeds, step_layers
 from lakemart.schemas import FEEDS, GOLD_TABLES, SILVER_TABLES
 from lakemart.session import apply_runtime_conf, scratch_dir
-from lakemart.sources.catalog import count_sql, describe_tables, show_tables
+from lakemart.sources.catalog import count_sql
 from lakemart.sources.csv_feed import write_feed
 from lakemart.sources.testfeeds import raw_feeds
 from lakemart.streaming import run_silver_increment
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_WRITTEN: dict[tuple[str, str], Layers] = {}
+# The given tables that the feeds are derived from.
+INPUT_TABLES = ("supplier", "nation", "customer", "orders", "lineitem", "events")
+
+_WRITTEN: dict[tuple[str, str, str], Layers] = {}
 # Callers may run products from several threads: one run is written at a time,
 # and the session-global catalog tables are never rewritten concurrently.
 _LOCK = threading.RLock()
 
 
+def _run_key(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
+    """The application, the folder and the state of the input tables in it
+    (files, bytes and latest change of each), so that a run is written anew when
+    its input has changed."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    state = []
+    for name in INPUT_TABLES:
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        fs = path.getFileSystem(conf)
+        if not fs.exists(path):
+            state.append("-")
+            continue
+        files, size, latest = 0, 0, 0
+        found = fs.listFiles(path, True)
+        while found.hasNext():
+            f = found.next()
+            files, size, latest = files + 1, size + f.getLen(), max(latest, f.getModificationTime())
+        state.append(f"{files}/{size}/{latest}")
+    return spark.sparkContext.applicationId, _full(sf_dir), ",".join(state)
+
+
+def _full(sf_dir: str) -> str:
+    return sf_dir if "://" in sf_dir else os.path.abspath(sf_dir)
+
+
 def written_layers(spark: SparkSession, sf_dir: str) -> Layers:
     """Bronze, silver and gold written once per application and ``sf_dir``."""
     apply_runtime_conf(spark)
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = _run_key(spark, sf_dir)
     with _LOCK:
         if key not in _WRITTEN:
             location = scratch_dir(spark, "lakehouse")
@@ -73,13 +102,13 @@ def _report(product: Callable[[Layers], DataFrame]) -> Query:
 RAW_WIDTH = max(spec.width for spec in FEEDS.values())
 
 
-_CSV: dict[tuple[str, str], dict[str, str]] = {}
+_CSV: dict[tuple[str, str, str], dict[str, str]] = {}
 
 
 def csv_feed_paths(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """The four feeds written once per application and ``sf_dir`` as
     header-less CSV files, the form the pipeline takes as input."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = _run_key(spark, sf_dir)
     with _LOCK:
         if key not in _CSV:
             bronze = written_layers(spark, sf_dir).raw
@@ -115,57 +144,42 @@ def clean_trips_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_silver_increment(spark, "trips", trips_csv, f"{out}/trips", f"{out}/_checkpoint")
 
 
-_CATALOG: dict[str, tuple[str, frozenset, Layers]] = {}
-
-
-def _gold_files(spark: SparkSession) -> frozenset:
-    try:
-        return frozenset(spark.table("gold.fact_trip").inputFiles())
-    except Exception:  # noqa: BLE001 - table dropped or never written
-        return frozenset()
+_CATALOG: dict[tuple[str, str, str], str] = {}
 
 
-def catalog_layers(spark: SparkSession, sf_dir: str) -> Layers:
-    """All layers as ``bronze.*``, ``silver.*``, ``gold.*`` catalog tables.
-
-    The catalog names are global to the session, so they hold one run at a
-    time: rewritten when the last run written there was for another input,
-    or when something else has rewritten them since (an overwrite leaves
-    other file names)."""
-    app = spark.sparkContext.applicationId
-    source = os.path.abspath(sf_dir)
+def catalog_run(spark: SparkSession, sf_dir: str) -> str:
+    """All layers as catalog tables in schemas made for this run and input; the
+    prefix of the schemas' names. A user's own ``gold`` schema is never touched."""
+    key = _run_key(spark, sf_dir)
     with _LOCK:
-        last = _CATALOG.get(app)
-        if last is None or last[0] != source or _gold_files(spark) != last[1]:
+        if key not in _CATALOG:
             bronze = written_layers(spark, sf_dir).raw
-            built = materialize(spark, bronze, location=scratch_dir(spark, "catalog"), catalog=True)
-            _CATALOG[app] = (source, _gold_files(spark), built)
-        return _CATALOG[app][2]
+            prefix = f"run{uuid.uuid4().hex[:10]}_"
+            materialize(spark, bronze, location=scratch_dir(spark, "catalog"), catalog=True, prefix=prefix)
+            _CATALOG[key] = prefix
+        return _CATALOG[key]
 
 
 def gold_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write the catalog tables, then count the gold tables with one SQL text."""
-    catalog_layers(spark, sf_dir)
-    return spark.sql(count_sql("gold", GOLD_TABLES))
-
+    """The gold tables of the run's catalog counted with one SQL text."""
+    return spark.sql(count_sql("gold", GOLD_TABLES, catalog_run(spark, sf_dir)))
 
-def show_gold_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    catalog_layers(spark, sf_dir)
-    return show_tables(spark, "gold").where(F.col("tableName").isin(*GOLD_TABLES))
 
-
-def describe_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    catalog_layers(spark, sf_dir)
-    return describe_tables(spark, "gold", GOLD_TABLES)
+def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that the silver step drops, by feed and first missing key."""
+    bronze = written_layers(spark, sf_dir).raw
+    out = None
+    for name in SILVER_TABLES:
+        part = rejected(bronze[name], FEEDS[name])
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def layer_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows per bronze, silver and gold table of the run, in one Spark job."""
-    W = written_layers(spark, sf_dir)
-    named = [(f"bronze.{n}", W.raw[n]) for n in SILVER_TABLES]
-    named += [(f"silver.{n}", W.silver[n]) for n in SILVER_TABLES]
-    named += [(f"gold.{n}", W.gold[n]) for n in GOLD_TABLES]
-    return row_counts(named)
+    """Rows per bronze, silver and gold table of the run's catalog, by one SQL text."""
+    prefix = catalog_run(spark, sf_dir)
+    audits = (("bronze", SILVER_TABLES), ("silver", SILVER_TABLES), ("gold", GOLD_TABLES))
+    return spark.sql("\nUNION ALL\n".join(count_sql(layer, tables, prefix) for layer, tables in audits))
 
 
 # ------------------------------------------------------------ registry
@@ -191,6 +205,5 @@ QUERIES: dict[str, Query] = {
     "clean_trips_streamed": clean_trips_streamed,
     "layer_row_counts": layer_row_counts,
     "gold_row_counts": gold_row_counts,
-    "show_gold_tables": show_gold_tables,
-    "describe_gold": describe_gold,
+    "rejected_rows": rejected_rows,
 }

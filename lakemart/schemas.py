@@ -50,7 +50,7 @@ STATIONS = FeedSpec(
 RIDERS = FeedSpec(
     "riders",
     (
-        ("rider_id", "int"),
+        ("rider_id", "bigint"),
         ("first", "string"),
         ("last", "string"),
         ("address", "string"),
@@ -65,10 +65,10 @@ RIDERS = FeedSpec(
 PAYMENTS = FeedSpec(
     "payments",
     (
-        ("payment_id", "int"),
+        ("payment_id", "bigint"),
         ("payment_date", "date"),
-        ("amount", "decimal(10,2)"),
-        ("rider_id", "int"),
+        ("amount", "decimal(18,2)"),
+        ("rider_id", "bigint"),
     ),
     ("payment_id", "rider_id"),
 )
@@ -82,7 +82,7 @@ TRIPS = FeedSpec(
         ("ended_at", "timestamp"),
         ("start_station_id", "string"),
         ("end_station_id", "string"),
-        ("rider_id", "int"),
+        ("rider_id", "bigint"),
     ),
     ("trip_id", "started_at", "ended_at", "rider_id"),
 )

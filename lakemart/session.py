@@ -12,6 +12,8 @@ from pyspark.sql import SparkSession
 RUNTIME_CONF = {
     # Dates, date keys and hours are computed in the session zone: pin it.
     "spark.sql.session.timeZone": "UTC",
+    # Integer overflow raises instead of wrapping into a wrong total.
+    "spark.sql.ansi.enabled": "true",
     # Runtime re-planning: broadcast a join side only once its real size is known,
     # coalesce small shuffle partitions, and split skewed join partitions.
     "spark.sql.adaptive.enabled": "true",

@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from lakemart.schemas import LAYERS
 
 
-def create_layers(spark: SparkSession, location: str | None = None, layers=LAYERS) -> None:
-    """A2: CREATE SCHEMA IF NOT EXISTS for each layer, under ``location`` when given."""
+def create_layers(spark: SparkSession, location: str | None = None, layers=LAYERS, prefix: str = "") -> None:
+    """A2: CREATE SCHEMA IF NOT EXISTS for each layer, under ``location`` when
+    given; ``prefix`` goes before the schemas' names."""
     for layer in layers:
-        where = f" LOCATION '{location}/{layer}.db'" if location else ""
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {layer}{where}")
+        place = f"{location}/{layer}.db".replace("\\", "\\\\").replace("'", "\\'")
+        where = f" LOCATION '{place}'" if location else ""
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {prefix}{layer}{where}")
 
 
 def write_table(df: DataFrame, table: str, fmt: str = "parquet", path: str | None = None) -> None:
@@ -47,8 +49,8 @@ def describe_tables(spark: SparkSession, layer: str, tables) -> DataFrame:
     return out
 
 
-def count_sql(layer: str, tables) -> str:
+def count_sql(layer: str, tables, prefix: str = "") -> str:
     """One SQL text, UNION ALL of single-table counts named ``layer.table``."""
     return "\nUNION ALL\n".join(
-        f"SELECT '{layer}.{t}' AS table_name, COUNT(*) AS row_count FROM {layer}.{t}" for t in tables
+        f"SELECT '{layer}.{t}' AS table_name, COUNT(*) AS row_count FROM {prefix}{layer}.{t}" for t in tables
     )

@@ -15,7 +15,10 @@ the two must stay in step.
   20th key is sent twice; every 41st key has an unparsable birthday; keys
   with c_custkey % 50 = 49 carry an unparsable id, so the silver step drops
   them and their trips and payments become orphans.
-* payments  <- orders: id, date, amount text from whole cents, customer;
+  Riders' ids are written as decimals (``7.0``) where k % 30 = 7, here, in
+  payments and in event trips.
+* payments  <- orders: id (every 37th past 2^31), date, amount text from whole
+  cents (every 109th past 10^8), customer;
   every 101st has a bad amount, every 103rd no date, every 107th a bad rider.
 * trips     <- events (start = ts, end = ts + floor(value * 60) s, stations
   from props.k, some dirty rows) UNION ALL lineitem JOIN orders (start =
@@ -39,6 +42,10 @@ BAD_AMOUNT_MOD, NO_PAY_DATE_MOD, BAD_PAY_RIDER_MOD = 101, 103, 107
 NULL_TRIP_ID_MOD, BAD_RIDER_MOD, BAD_START_MOD, NO_START_STATION_MOD = 83, 89, 97, 71
 SWAPPED_TIMES_MOD = 61
 STATION_SPAN = 110
+# ids written as decimals, ids past 2^31, amounts past 10^8
+DECIMAL_ID_MOD, DECIMAL_ID_REM = 30, 7
+WIDE_ID_MOD, WIDE_ID_SHIFT = 37, 3_000_000_000
+LARGE_AMOUNT_MOD, LARGE_AMOUNT_CENTS = 109, 100_000_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +56,11 @@ def _text(c: Column) -> Column:
     return c.cast("string")
 
 
+def _id_text(k: Column) -> Column:
+    """The id as text; some ids as an export of a nullable integer column writes them."""
+    return F.when(k % DECIMAL_ID_MOD == DECIMAL_ID_REM, F.concat(_text(k), F.lit(".0"))).otherwise(_text(k))
+
+
 def _digits(c: Column, width: int) -> Column:
     return F.lpad(_text(c), width, "0")
 
@@ -85,7 +97,7 @@ def stations_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def riders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     k = F.col("c_custkey")
-    rider_text = F.when(k % ORPHAN_RIDER_MOD == ORPHAN_RIDER_REM, F.concat(F.lit("x"), _text(k))).otherwise(_text(k))
+    rider_text = F.when(k % ORPHAN_RIDER_MOD == ORPHAN_RIDER_REM, F.concat(F.lit("x"), _text(k))).otherwise(_id_text(k))
     birthday = F.date_add(F.lit("1950-01-01").cast("date"), ((k * 173) % 14000).cast("int"))
     start = F.date_add(F.lit("2013-01-01").cast("date"), (k % 3000).cast("int"))
     end = F.when(k % 3 == 0, F.date_add(start, (k % 700 + 1).cast("int")))
@@ -122,13 +134,15 @@ def payments_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     k = F.col("o_orderkey")
     cents = F.round(F.col("o_totalprice") * 100).cast("long")
+    cents = cents + F.when(k % LARGE_AMOUNT_MOD == 0, LARGE_AMOUNT_CENTS).otherwise(0)
+    payment = k + F.when(k % WIDE_ID_MOD == 0, WIDE_ID_SHIFT).otherwise(0)
     amount = F.concat(_text(F.floor(cents / 100).cast("long")), F.lit("."), _digits(cents % 100, 2))
     return o.select(
-        _text(k).alias("_c0"),
+        _text(payment).alias("_c0"),
         F.when(k % NO_PAY_DATE_MOD == 0, F.lit(None).cast("string"))
         .otherwise(_text(F.to_date("o_orderdate"))).alias("_c1"),
         F.when(k % BAD_AMOUNT_MOD == 0, F.lit("n/a")).otherwise(amount).alias("_c2"),
-        F.when(k % BAD_PAY_RIDER_MOD == 0, F.lit("x")).otherwise(_text(F.col("o_custkey"))).alias("_c3"),
+        F.when(k % BAD_PAY_RIDER_MOD == 0, F.lit("x")).otherwise(_id_text(F.col("o_custkey"))).alias("_c3"),
     )
 
 
@@ -145,7 +159,7 @@ def _event_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         _ts_text(end).alias("_c3"),
         F.when(eid % NO_START_STATION_MOD == 0, F.lit(None).cast("string")).otherwise(k).alias("_c4"),
         _text((k.cast("long") * 7 + eid) % STATION_SPAN).alias("_c5"),
-        F.when(eid % BAD_RIDER_MOD == 0, F.lit("x")).otherwise(_text(F.col("user_id"))).alias("_c6"),
+        F.when(eid % BAD_RIDER_MOD == 0, F.lit("x")).otherwise(_id_text(F.col("user_id"))).alias("_c6"),
     )
 
 

@@ -16,6 +16,9 @@ from pyspark.sql.streaming import StreamingQuery
 from lakemart.plans.silver import CLEANERS
 from lakemart.schemas import FEEDS
 
+#: Files of one micro-batch: bounds the work of a batch and of its retry, not the data.
+MAX_FILES = 1000
+
 
 def read_feed_stream(spark: SparkSession, landing_dir: str, feed: str, max_files: int | None = None) -> DataFrame:
     """Streaming raw rows of ``feed`` from header-less CSV files in ``landing_dir``."""
@@ -33,14 +36,15 @@ def start_silver_stream(
     checkpoint_dir: str,
     available_now: bool = True,
     processing_time: str | None = None,
+    max_files: int | None = MAX_FILES,
 ) -> StreamingQuery:
     """Start the silver step of ``feed`` as a stream into parquet at ``silver_dir``.
 
-    ``available_now`` processes everything landed so far (in bounded
-    micro-batches) and stops: a scheduled incremental run. Otherwise the
+    ``available_now`` processes everything landed so far, in micro-batches of at
+    most ``max_files`` files (None: all in one), and stops: a scheduled incremental run. Otherwise the
     query keeps running with ``processing_time`` triggers. ``checkpoint_dir``
     must be on shared storage."""
-    silver = CLEANERS[feed](read_feed_stream(spark, landing_dir, feed))
+    silver = CLEANERS[feed](read_feed_stream(spark, landing_dir, feed, max_files))
     writer = (
         silver.writeStream.format("parquet")
         .option("path", silver_dir)
@@ -55,10 +59,15 @@ def start_silver_stream(
 
 
 def run_silver_increment(
-    spark: SparkSession, feed: str, landing_dir: str, silver_dir: str, checkpoint_dir: str
+    spark: SparkSession,
+    feed: str,
+    landing_dir: str,
+    silver_dir: str,
+    checkpoint_dir: str,
+    max_files: int | None = MAX_FILES,
 ) -> DataFrame:
     """Process all newly landed files of ``feed`` and return the silver table."""
-    query = start_silver_stream(spark, feed, landing_dir, silver_dir, checkpoint_dir)
+    query = start_silver_stream(spark, feed, landing_dir, silver_dir, checkpoint_dir, max_files=max_files)
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()

@@ -72,7 +72,17 @@ def _years_between(later: str, earlier: str) -> str:
 
 
 def _date_key(d: str) -> str:
-    return f"CAST(year({d}) * 10000 + month({d}) * 100 + day({d}) AS INTEGER)"
+    return f"CAST(year({d}) * 10000 + month({d}) * 100 + day({d}) AS BIGINT)"
+
+
+def _id(t: str) -> str:
+    """An id by the stated rule: whole digits, else a decimal with its fraction cut off."""
+    return (f"(CASE WHEN regexp_matches(trim({t}), '^[+-]?[0-9]+$') THEN TRY_CAST(trim({t}) AS BIGINT) "
+            f"ELSE CAST(trunc(TRY_CAST(trim({t}) AS DECIMAL(38,9))) AS BIGINT) END)")
+
+
+def _id_text(k: str) -> str:
+    return f"CASE WHEN {k} % 30 = 7 THEN CAST({k} AS VARCHAR) || '.0' ELSE CAST({k} AS VARCHAR) END"
 
 
 def _epoch_s(ts: str) -> str:
@@ -101,7 +111,7 @@ raw_stations AS (
 cust AS (
     SELECT c_custkey AS k, c_name, c_nationkey, c_mktsegment,
            CASE WHEN c_custkey % 50 = 49 THEN 'x' || CAST(c_custkey AS VARCHAR)
-                ELSE CAST(c_custkey AS VARCHAR) END AS id_text,
+                ELSE {_id_text('c_custkey')} END AS id_text,
            DATE '1950-01-01' + CAST((c_custkey * 173) % 14000 AS INTEGER) AS bday,
            DATE '2013-01-01' + CAST(c_custkey % 3000 AS INTEGER) AS acct_start
     FROM customer
@@ -121,12 +131,12 @@ raw_riders AS (
     FROM cust WHERE k % 20 = 0
 ),
 raw_payments AS (
-    SELECT CAST(o_orderkey AS VARCHAR) AS _c0,
+    SELECT CAST(o_orderkey + CASE WHEN o_orderkey % 37 = 0 THEN 3000000000 ELSE 0 END AS VARCHAR) AS _c0,
            CASE WHEN o_orderkey % 103 = 0 THEN NULL ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS _c1,
            CASE WHEN o_orderkey % 101 = 0 THEN 'n/a'
                 ELSE CAST(cents // 100 AS VARCHAR) || '.' || lpad(CAST(cents % 100 AS VARCHAR), 2, '0') END AS _c2,
-           CASE WHEN o_orderkey % 107 = 0 THEN 'x' ELSE CAST(o_custkey AS VARCHAR) END AS _c3
-    FROM (SELECT *, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders)
+           CASE WHEN o_orderkey % 107 = 0 THEN 'x' ELSE {_id_text('o_custkey')} END AS _c3
+    FROM (SELECT *, CAST(round(o_totalprice * 100) AS BIGINT) + CASE WHEN o_orderkey % 109 = 0 THEN 100000000000 ELSE 0 END AS cents FROM orders)
 ),
 line_times AS (
     SELECT l.*, o.o_custkey,
@@ -143,7 +153,7 @@ raw_trips AS (
            {_ts_text('ts + to_seconds(CAST(floor(value * 60) AS BIGINT))')} AS _c3,
            CASE WHEN event_id % 71 = 0 THEN NULL ELSE json_extract_string(props, '$.k') END AS _c4,
            CAST((CAST(json_extract_string(props, '$.k') AS BIGINT) * 7 + event_id) % 110 AS VARCHAR) AS _c5,
-           CASE WHEN event_id % 89 = 0 THEN 'x' ELSE CAST(user_id AS VARCHAR) END AS _c6
+           CASE WHEN event_id % 89 = 0 THEN 'x' ELSE {_id_text('user_id')} END AS _c6
     FROM events
     UNION ALL
     SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR),
@@ -165,7 +175,7 @@ silver_stations AS (
 ),
 silver_riders AS (
     SELECT * FROM (
-        SELECT TRY_CAST(_c0 AS INTEGER) AS rider_id, _c1 AS first, _c2 AS last, _c3 AS address,
+        SELECT {_id('_c0')} AS rider_id, _c1 AS first, _c2 AS last, _c3 AS address,
                TRY_CAST(_c4 AS DATE) AS birthday, TRY_CAST(_c5 AS DATE) AS account_start_date,
                TRY_CAST(_c6 AS DATE) AS account_end_date, TRY_CAST(_c7 AS BOOLEAN) AS is_member
         FROM raw_riders)
@@ -173,8 +183,8 @@ silver_riders AS (
 ),
 silver_payments AS (
     SELECT * FROM (
-        SELECT TRY_CAST(_c0 AS INTEGER) AS payment_id, TRY_CAST(_c1 AS DATE) AS payment_date,
-               TRY_CAST(_c2 AS DECIMAL(10,2)) AS amount, TRY_CAST(_c3 AS INTEGER) AS rider_id
+        SELECT {_id('_c0')} AS payment_id, TRY_CAST(_c1 AS DATE) AS payment_date,
+               TRY_CAST(_c2 AS DECIMAL(18,2)) AS amount, {_id('_c3')} AS rider_id
         FROM raw_payments)
     WHERE payment_id IS NOT NULL AND rider_id IS NOT NULL
 ),
@@ -182,7 +192,7 @@ silver_trips_x AS (
     SELECT *, {_epoch_s('ended_at')} - {_epoch_s('started_at')} AS dur_s FROM (
         SELECT _c0 AS trip_id, _c1 AS rideable_type, TRY_CAST(_c2 AS TIMESTAMP) AS started_at,
                TRY_CAST(_c3 AS TIMESTAMP) AS ended_at, _c4 AS start_station_id, _c5 AS end_station_id,
-               TRY_CAST(_c6 AS INTEGER) AS rider_id
+               {_id('_c6')} AS rider_id
         FROM raw_trips)
     WHERE trip_id IS NOT NULL AND started_at IS NOT NULL AND ended_at IS NOT NULL AND rider_id IS NOT NULL
 ),
@@ -368,6 +378,15 @@ FINAL = {
         UNION ALL SELECT 'gold.dim_date', count(*) FROM dim_date
         UNION ALL SELECT 'gold.fact_trip', count(*) FROM fact_trip
         UNION ALL SELECT 'gold.fact_payment', count(*) FROM fact_payment""",
+    "rejected_rows": f"""
+        SELECT feed, missing_key, count(*) AS row_count FROM (
+            SELECT 'stations' AS feed, CASE WHEN _c0 IS NULL THEN 'station_id' END AS missing_key FROM raw_stations
+            UNION ALL SELECT 'riders', CASE WHEN {_id('_c0')} IS NULL THEN 'rider_id' END FROM raw_riders
+            UNION ALL SELECT 'payments', CASE WHEN {_id('_c0')} IS NULL THEN 'payment_id'
+                WHEN {_id('_c3')} IS NULL THEN 'rider_id' END FROM raw_payments
+            UNION ALL SELECT 'trips', CASE WHEN _c0 IS NULL THEN 'trip_id' WHEN TRY_CAST(_c2 AS TIMESTAMP) IS NULL THEN 'started_at'
+                WHEN TRY_CAST(_c3 AS TIMESTAMP) IS NULL THEN 'ended_at' WHEN {_id('_c6')} IS NULL THEN 'rider_id' END FROM raw_trips)
+        WHERE missing_key IS NOT NULL GROUP BY 1, 2""",
     "gold_row_counts": """
         SELECT 'gold.dim_rider' AS table_name, count(*) AS row_count FROM dim_rider
         UNION ALL SELECT 'gold.dim_station', count(*) FROM dim_station
@@ -376,41 +395,6 @@ FINAL = {
         UNION ALL SELECT 'gold.fact_payment', count(*) FROM fact_payment""",
 }
 
-# --- fixed values: the gold tables' column types as Spark's DESCRIBE prints them.
-GOLD_TYPES = {
-    "dim_rider": [("rider_id", "int"), ("first", "string"), ("last", "string"), ("birthday", "date"),
-                  ("account_start_date", "date"), ("account_end_date", "date"), ("is_member", "boolean")],
-    "dim_station": [("station_id", "string"), ("name", "string"), ("latitude", "double"),
-                    ("longitude", "double")],
-    "dim_date": [("date_key", "int"), ("date", "date"), ("year", "int"), ("quarter", "int"), ("month", "int"),
-                 ("day", "int"), ("day_of_week", "int")],
-    "fact_trip": [("trip_id", "string"), ("rider_id", "int"), ("start_station_id", "string"),
-                  ("end_station_id", "string"), ("start_date_key", "int"), ("end_date_key", "int"),
-                  ("rideable_type", "string"), ("trip_duration_minutes", "double"),
-                  ("rider_age_at_trip", "bigint")],
-    "fact_payment": [("payment_id", "int"), ("rider_id", "int"), ("payment_date_key", "int"),
-                     ("payment_amount", "decimal(10,2)")],
-}
-
-
-def _values(rows) -> str:
-    return ",\n".join("(" + ", ".join(rows_) + ")" for rows_ in rows)
-
-
-def _describe_gold() -> str:
-    rows = [
-        (f"'gold.{t}'", f"'{c}'", f"'{ty}'", "NULL::VARCHAR")
-        for t, cols in GOLD_TYPES.items()
-        for c, ty in cols
-    ]
-    return f"SELECT * FROM (VALUES {_values(rows)}) AS v(table_name, col_name, data_type, comment)"
-
-
-def _show_gold() -> str:
-    rows = [("'gold'", f"'{t}'", "false") for t in GOLD_TYPES]
-    return f"SELECT * FROM (VALUES {_values(rows)}) AS v(namespace, tableName, isTemporary)"
-
-
 RAW_ONLY = {"raw_csv_scan"}
 
 
@@ -425,5 +409,3 @@ def model_sql_for(name: str) -> str:
 
 
 ORACLE_SQL: dict[str, str] = {name: sql_for(name) for name in FINAL}
-ORACLE_SQL["describe_gold"] = _describe_gold()
-ORACLE_SQL["show_gold_tables"] = _show_gold()

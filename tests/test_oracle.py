@@ -4,10 +4,9 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from lakemart.plans.registry import QUERIES
 from lakemart.testing.compare import compare, duck_connect, duck_rows
-
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+from lakemart.testing.oracle import ORACLE_SQL as ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +16,7 @@ def duck():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

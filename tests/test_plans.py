@@ -13,7 +13,7 @@ def plan(df):
 def test_flagship_reads_only_needed_columns_and_broadcasts_dates(spark):
     W = written_layers(spark, SF_SMALL)
     p = plan(M.rides_by_year_month_dow(W.fact_trip, W.dim_date))
-    assert "ReadSchema: struct<start_date_key:int,trip_duration_minutes:double>" in p
+    assert "ReadSchema: struct<start_date_key:bigint,trip_duration_minutes:double>" in p
     assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
     # one hash shuffle (final aggregate) + the range shuffle of the sort
     assert p.count("Exchange hashpartitioning") == 1

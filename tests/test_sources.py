@@ -60,7 +60,7 @@ def test_catalog_layers_and_sql_counts(spark):
     assert {"dim_rider", "dim_station", "dim_date", "fact_trip", "fact_payment"} <= tables
     counts = {r.table_name: r.row_count for r in spark.sql(count_sql("gold", ["fact_trip", "dim_date"])).collect()}
     assert counts == {"gold.fact_trip": W.fact_trip.count(), "gold.dim_date": W.dim_date.count()}
-    assert dict(spark.table("gold.fact_payment").dtypes)["payment_amount"] == "decimal(10,2)"
+    assert dict(spark.table("gold.fact_payment").dtypes)["payment_amount"] == "decimal(18,2)"
     assert C.fact_trip.count() == W.fact_trip.count()
 
 
