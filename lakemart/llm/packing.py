@@ -24,6 +24,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,10 +33,9 @@ from lakemart.llm.token_counts import Merger
 
 #: Chunks whose ids one generation of a worker's cache holds.
 CACHE_CHUNKS = 400_000
-#: Marks that close a word as a token of their own.
-MARKS = b".,!?;:"
-#: Lower-case letters that no normalisation changes.
-PLAIN = re.compile("[a-zß-öø-ÿ]+")
+#: Latin-1 letters, then ASCII marks: a word and at most one run of marks, each a
+#: pre-token of its own whatever the rest of the text.
+WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\\[-`{-~]*)")
 
 
 @dataclass(frozen=True)
@@ -69,45 +69,70 @@ class Encoder:
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
-    def _learn(self, chunks: set[bytes]) -> None:
-        """Put ``chunks`` into the young generation. A word's closing mark is a
-        token of its own, and ASCII letters count in lower case: such chunks are
-        made from their word's ids."""
-        words: dict[bytes, bytes] = {}
+    def _learn(self, chunks: list[bytes]) -> None:
+        """Put ``chunks`` into the young generation. A word with closing marks has
+        the ids of the lower-case word, by the library's model, and of the marks;
+        the whole library encodes everything else."""
+        plain: list[tuple[bytes, bytes, bytes]] = []
+        rest: set[bytes] = set()
         for c in chunks:
-            word = c[:-1] if len(c) > 1 and c[-1] in MARKS and c[-2:-1].isalpha() else c
-            words[c] = word if b"<|" in word else word.lower()
-        wanted = set(words.values())
-        wanted.update(c[-1:] for c in chunks if c[-1] in MARKS)
-        for c in wanted.intersection(self.old):
+            found = WORD.fullmatch(c.decode("utf-8", "replace"))
+            if found is None:
+                rest.add(c)
+                continue
+            word, marks = found[1].lower().encode(), found[2].encode()
+            plain.append((c, word, marks))
+            if marks:
+                rest.add(marks)
+        for c in rest.intersection(self.old):
             self.young[c] = self.old[c]
-        fresh = []
-        tokens = self.library.model.tokenize
-        for c in wanted.difference(self.young):
-            if PLAIN.fullmatch(c.decode("utf-8", "replace")):
-                # such a word is its own pre-token: the library's model alone gives its ids
-                self.young[c] = array("I", [t.id for t in tokens(c.decode("latin-1").translate(self.symbols))]).tobytes()
-            else:
-                fresh.append(c)
+        fresh = list(rest.difference(self.young))
         for a in range(0, len(fresh), 10_000):
             part = fresh[a : a + 10_000]
             found = self.library.encode_batch_fast([c.decode("utf-8", "replace") for c in part], add_special_tokens=False)
             self.young.update((c, array("I", e.ids).tobytes()) for c, e in zip(part, found, strict=True))
-        for c, word in words.items():
-            if c not in self.young:
-                cut_off = len(c) > len(word)
-                self.young[c] = self.young[word] + self.young[c[-1:]] if cut_off else self.young[word]
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
+        tokens = self.library.model.tokenize
+        for c, word, marks in plain:
+            ids = self.young.get(word) or self.old.get(word)
+            if ids is None:
+                symbols = word.decode("latin-1").translate(self.symbols)
+                ids = array("I", [t.id for t in tokens(symbols)]).tobytes()
+            self.young[word] = ids
+            self.young[c] = ids + self.young[marks] if marks else ids
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text of a large-binary array."""
         if len(self.young) > CACHE_CHUNKS:
             self.young, self.old = {}, self.young
-        split = [t.split() for t in texts]
-        new = set().union(*split).difference(self.young) if split else set()
-        for c in new.intersection(self.old):
-            self.young[c] = self.old[c]
-        self._learn(new.difference(self.old))
-        get = self.young.__getitem__
-        return [b"".join(map(get, chunks)) for chunks in split]
+        split = pc.ascii_split_whitespace(texts.view(pa.large_string()))
+        coded = split.flatten().dictionary_encode()
+        distinct = coded.dictionary.view(pa.large_binary()).to_pylist()
+        ids = list(map(self.young.get, distinct))
+        missing = [n for n, found in enumerate(ids) if found is None]
+        fresh = []
+        for n in missing:
+            c = distinct[n]
+            if c in self.old:
+                self.young[c] = self.old[c]
+            else:
+                fresh.append(c)
+        self._learn(fresh)
+        for n in missing:
+            ids[n] = self.young[distinct[n]]
+        # the ids of all chunks in a row, gathered from those of the distinct ones
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        first = np.cumsum(size) - size
+        pool = np.frombuffer(b"".join(ids), "<u4")
+        which = coded.indices.to_numpy(zero_copy_only=False)
+        ends = np.append(0, np.cumsum(size[which]))
+        bounds = ends[np.append(0, np.cumsum(split.value_lengths().to_numpy(zero_copy_only=False)))]
+        out = []
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            lo, hi = np.searchsorted(ends, (a, b))
+            mine = which[lo:hi]
+            at = np.arange(a, b) + np.repeat(first[mine] - ends[lo:hi], size[mine])
+            out.append(pool[at].tobytes())
+        return out
 
 
 #: Kept by a Python worker from task to task.
@@ -132,7 +157,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, p: Params, doc_id: str = "doc_
         encode = encoder(tokenizer).encode
         for batch, column in slices(batches):
             of, piece, start, length, crc = [], [], [], [], []
-            for i, ids in enumerate(encode(column.to_pylist())):
+            for i, ids in enumerate(encode(column)):
                 ids += end
                 for n, at in enumerate(range(0, len(ids), width)):
                     part = ids[at : at + width]

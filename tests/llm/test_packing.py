@@ -3,6 +3,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from lakemart.llm import packing as P
@@ -72,3 +73,18 @@ def test_evolution_keeps_every_piece_and_improves():
     child = P.crossover(first, best, lengths, p.capacity, rng)
     assert sorted(i for b in child for i in b) == everything
     assert P._to_bins(P._to_labels(best, len(lengths))) == [sorted(b) for b in best]
+
+
+def test_ids_of_odd_texts_equal_the_library():
+    library, encoder = Tokenizer.from_file(tokenizer_path()), P.Encoder(tokenizer_path())
+    rng = random.Random(5)
+    parts = [*"abzABZ'stdmre.,!?%#&<|>_-~`[]{}@ \n\t\x0b\x1c\x85\xa0àÉßöÿ×÷ØµªΣσςİıŸ̧́é中文한글🙂１٣²½ﬁǅ"]
+    parts += ["<|endoftext|>", "<|startoftext|>", "'s", "'S", "'ll"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 40))) for _ in range(5000)]
+    for a in range(0, len(texts), 256):
+        part = texts[a : a + 256]
+        found = encoder.encode(pa.array([t.encode() for t in part], pa.large_binary()))
+        for text, ids in zip(part, found, strict=True):
+            assert ids == np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
+    assert encoder.encode(pa.array([], pa.large_binary())) == []
+    assert encoder.encode(pa.array([b"", b" "], pa.large_binary())) == [b"", b""]
