@@ -14,12 +14,12 @@ from __future__ import annotations
 import math
 import os
 import random
-import re
+import string
 import zlib
-from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -31,11 +31,12 @@ from pyspark.sql import functions as F
 from lakemart.llm.common import cut, pick, prepare, slices, to_batch
 from lakemart.llm.token_counts import Merger
 
-#: Chunks whose ids one generation of a worker's cache holds.
-CACHE_CHUNKS = 400_000
-#: Latin-1 letters, then ASCII marks: a word and at most one run of marks, each a
-#: pre-token of its own whatever the rest of the text.
-WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\\[-`{-~]*)")
+#: About so many bytes of text are encoded together (one text at least).
+BLOCK_BYTES = 16 << 20
+MARKS = string.punctuation
+#: Letters of ASCII and Latin-1, and the same as UTF-8 bytes.
+LETTERS = string.ascii_letters + "".join(map(chr, [*range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x100)]))
+WORD = r"^(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+$"
 
 
 @dataclass(frozen=True)
@@ -52,13 +53,23 @@ class Params:
 # ------------------------------------------------------------------ token ids
 
 
+def gather(pool: np.ndarray, size: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The items ``which`` of a ragged array in a row, and their sizes."""
+    n = size[which]
+    first = np.cumsum(size) - size
+    at = np.repeat(first[which] - (np.cumsum(n) - n), n)
+    at += np.arange(len(at))
+    return pool[at], n
+
+
 class Encoder:
-    """Ids of whole texts by a ``tokenizers`` file, as little-endian uint32 bytes.
+    """Ids of whole texts by a ``tokenizers`` file.
 
     ASCII white space ends every token, so a text's ids are those of its chunks
-    between white space; the library encodes distinct chunks once. They are kept
-    in two generations of bounded size: what a full one holds is dropped if it
-    isn't met while the next one fills."""
+    between white space. A block's distinct chunks are cut into a word of Latin
+    letters, which counts in lower case, and the marks that close it: each is a
+    pre-token of its own whatever its neighbours. The library encodes distinct
+    words, runs of marks and other chunks once a block."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -66,73 +77,49 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.symbols = dict(enumerate(Merger.byte_symbols()))
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-
-    def _learn(self, chunks: list[bytes]) -> None:
-        """Put ``chunks`` into the young generation. A word with closing marks has
-        the ids of the lower-case word, by the library's model, and of the marks;
-        the whole library encodes everything else."""
-        plain: list[tuple[bytes, bytes, bytes]] = []
-        rest: set[bytes] = set()
-        for c in chunks:
-            found = WORD.fullmatch(c.decode("utf-8", "replace"))
-            if found is None:
-                rest.add(c)
-                continue
-            word, marks = found[1].lower().encode(), found[2].encode()
-            plain.append((c, word, marks))
-            if marks:
-                rest.add(marks)
-        for c in rest.intersection(self.old):
-            self.young[c] = self.old[c]
-        fresh = list(rest.difference(self.young))
-        for a in range(0, len(fresh), 10_000):
-            part = fresh[a : a + 10_000]
-            found = self.library.encode_batch_fast([c.decode("utf-8", "replace") for c in part], add_special_tokens=False)
-            self.young.update((c, array("I", e.ids).tobytes()) for c, e in zip(part, found, strict=True))
+
+    def _ids(self, items: pa.Array) -> list[list[int]]:
+        """Ids of distinct items. A word is its own pre-token, so the library's
+        model alone gives its ids."""
+        words = pc.match_substring_regex(items.view(pa.large_binary()), WORD).to_pylist()
+        found: list[list[int]] = []
+        rest = []
         tokens = self.library.model.tokenize
-        for c, word, marks in plain:
-            ids = self.young.get(word) or self.old.get(word)
-            if ids is None:
-                symbols = word.decode("latin-1").translate(self.symbols)
-                ids = array("I", [t.id for t in tokens(symbols)]).tobytes()
-            self.young[word] = ids
-            self.young[c] = ids + self.young[marks] if marks else ids
-
-    def encode(self, texts: pa.Array) -> list[bytes]:
-        """Ids of each text of a large-binary array."""
-        if len(self.young) > CACHE_CHUNKS:
-            self.young, self.old = {}, self.young
+        for n, (item, word) in enumerate(zip(items.view(pa.large_binary()).to_pylist(), words, strict=True)):
+            if not word:
+                rest.append((n, item.decode("utf-8", "replace")))
+                found.append([])
+                continue
+            symbols = item.decode().lower()
+            if not item.isascii():
+                symbols = symbols.encode().decode("latin-1").translate(self.symbols)
+            found.append([t.id for t in tokens(symbols)])
+        for a in range(0, len(rest), 10_000):
+            part = rest[a : a + 10_000]
+            encoded = self.library.encode_batch_fast([text for _, text in part], add_special_tokens=False)
+            for (n, _), e in zip(part, encoded, strict=True):
+                found[n] = e.ids
+        return found
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts of a large-binary array in a row, and the n + 1
+        bounds of the texts."""
         split = pc.ascii_split_whitespace(texts.view(pa.large_string()))
         coded = split.flatten().dictionary_encode()
-        distinct = coded.dictionary.view(pa.large_binary()).to_pylist()
-        ids = list(map(self.young.get, distinct))
-        missing = [n for n, found in enumerate(ids) if found is None]
-        fresh = []
-        for n in missing:
-            c = distinct[n]
-            if c in self.old:
-                self.young[c] = self.old[c]
-            else:
-                fresh.append(c)
-        self._learn(fresh)
-        for n in missing:
-            ids[n] = self.young[distinct[n]]
-        # the ids of all chunks in a row, gathered from those of the distinct ones
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        first = np.cumsum(size) - size
-        pool = np.frombuffer(b"".join(ids), "<u4")
-        which = coded.indices.to_numpy(zero_copy_only=False)
-        ends = np.append(0, np.cumsum(size[which]))
-        bounds = ends[np.append(0, np.cumsum(split.value_lengths().to_numpy(zero_copy_only=False)))]
-        out = []
-        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-            lo, hi = np.searchsorted(ends, (a, b))
-            mine = which[lo:hi]
-            at = np.arange(a, b) + np.repeat(first[mine] - ends[lo:hi], size[mine])
-            out.append(pool[at].tobytes())
-        return out
+        chunks = coded.dictionary
+        words = pc.ascii_rtrim(chunks, MARKS)
+        plain = pc.match_substring_regex(words.view(pa.large_binary()), WORD)
+        words = pc.if_else(plain, pc.ascii_lower(words), chunks).dictionary_encode()
+        marks = pc.if_else(plain, pc.ascii_ltrim(chunks, LETTERS), "").dictionary_encode()
+        ids = self._ids(words.dictionary) + self._ids(marks.dictionary)
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        pool = np.fromiter(chain.from_iterable(ids), "<u4", int(size.sum()))
+        # a chunk is its word and its marks, a text its chunks
+        parts = np.stack([words.indices.to_numpy(), len(words.dictionary) + marks.indices.to_numpy()], axis=1)
+        pool, size = gather(pool, size, parts.ravel())
+        pool, size = gather(pool, size[0::2] + size[1::2], coded.indices.to_numpy())
+        chunk_ends = np.append(0, np.cumsum(size))
+        return pool, chunk_ends[np.append(0, np.cumsum(split.value_lengths().to_numpy()))]
 
 
 #: Kept by a Python worker from task to task.
@@ -145,6 +132,20 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """Ids and texts (as large binary) of about ``BLOCK_BYTES`` of text at a time."""
+    ids, texts, size = [], [], 0
+    for batch, column in slices(batches):
+        ids.append(batch.column(0))
+        texts.append(column)
+        size += pc.sum(pc.binary_length(column)).as_py() or 0
+        if size >= BLOCK_BYTES:
+            yield pa.concat_arrays(ids), pa.concat_arrays(texts)
+            ids, texts, size = [], [], 0
+    if ids:
+        yield pa.concat_arrays(ids), pa.concat_arrays(texts)
+
+
 def token_pieces(docs: DataFrame, tokenizer: str, p: Params, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, piece, start, length, ids_crc32: each document's ids with the end
     id, cut where they pass the capacity. A null text is empty: one end id."""
@@ -155,10 +156,11 @@ def token_pieces(docs: DataFrame, tokenizer: str, p: Params, doc_id: str = "doc_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer).encode
-        for batch, column in slices(batches):
+        for doc_ids, texts in blocks(batches):
+            pool, bounds = encode(texts)
             of, piece, start, length, crc = [], [], [], [], []
-            for i, ids in enumerate(encode(column)):
-                ids += end
+            for i, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
+                ids = pool[a:b].tobytes() + end
                 for n, at in enumerate(range(0, len(ids), width)):
                     part = ids[at : at + width]
                     of.append(i)
@@ -167,7 +169,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, p: Params, doc_id: str = "doc_
                     length.append(len(part) // 4)
                     crc.append(zlib.crc32(part))
             yield to_batch(
-                doc_id=batch.column(0).take(pa.array(of, pa.int64())), piece=pa.array(piece, pa.int32()),
+                doc_id=doc_ids.take(pa.array(of, pa.int64())), piece=pa.array(piece, pa.int32()),
                 start=pa.array(start, pa.int64()), length=pa.array(length, pa.int64()), ids_crc32=pa.array(crc, pa.int64()),
             )
 

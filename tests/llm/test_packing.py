@@ -83,8 +83,9 @@ def test_ids_of_odd_texts_equal_the_library():
     texts = ["".join(rng.choices(parts, k=rng.randint(0, 40))) for _ in range(5000)]
     for a in range(0, len(texts), 256):
         part = texts[a : a + 256]
-        found = encoder.encode(pa.array([t.encode() for t in part], pa.large_binary()))
-        for text, ids in zip(part, found, strict=True):
-            assert ids == np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
-    assert encoder.encode(pa.array([], pa.large_binary())) == []
-    assert encoder.encode(pa.array([b"", b" "], pa.large_binary())) == [b"", b""]
+        pool, bounds = encoder.encode(pa.array([t.encode() for t in part], pa.large_binary()))
+        for text, a, b in zip(part, bounds[:-1], bounds[1:], strict=True):
+            assert pool[a:b].tolist() == library.encode(text, add_special_tokens=False).ids, text
+    for empty in ([], [b"", b" "]):
+        pool, bounds = encoder.encode(pa.array(empty, pa.large_binary()))
+        assert not len(pool) and bounds.tolist() == [0] * (len(empty) + 1)
