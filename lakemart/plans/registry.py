@@ -1,10 +1,12 @@
 """Every data product by name: ``(spark, sf_dir) -> DataFrame`` over the test tables.
 
-The run is a lakehouse, as in the source program: the four raw feeds are
-derived from the parquet tables in ``sf_dir`` (``sources.testfeeds``) and
-landed as bronze, then silver and gold are written, each from the written
-layer below, under the session's shared scratch folder. That happens once
-per (Spark application, ``sf_dir``, state of its files), on first use.
+The run is a lakehouse, as in the source program: the raw feeds are derived
+from the parquet tables in ``sf_dir`` (``sources.testfeeds``) and landed as
+header-less CSV files; bronze is the scan of those, and silver and gold follow,
+each from the written layer below, as catalog tables in schemas made for the run
+under the session's shared scratch folder. A table is written once per (Spark
+application, ``sf_dir``, state of its files), when a product first needs it, with
+only the tables it is made from. The run's folder goes with the application.
 
 A product is then one step of the run, as a lazy plan:
 
@@ -12,9 +14,6 @@ A product is then one step of the run, as a lazy plan:
 * ``dim_*``, ``fact_*``: the gold step over the written silver tables (facts
   over the written dimensions);
 * reports: over the written gold tables (and silver trips for the hour of day).
-
-The catalog products (CSV landing, table listing, SQL counts) write their own
-tables first.
 """
 
 from __future__ import annotations
@@ -22,18 +21,18 @@ from __future__ import annotations
 import os
 import threading
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.operators import rejected
 from lakemart.plans import marts as M
-from lakemart.plans.lakehouse import Layers, materialize, read_csv_feeds, step_layers
+from lakemart.plans.lakehouse import ALL_TABLES, Layers, Lazy, lakehouse, read_csv_feeds
 from lakemart.schemas import FEEDS, GOLD_TABLES, SILVER_TABLES
 from lakemart.session import apply_runtime_conf, scratch_dir
 from lakemart.sources.catalog import count_sql
-from lakemart.sources.csv_feed import write_feed
+from lakemart.sources.csv_feed import read_feed, write_feed
 from lakemart.sources.testfeeds import raw_feeds
 from lakemart.streaming import run_silver_increment
 
@@ -42,9 +41,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # The given tables that the feeds are derived from.
 INPUT_TABLES = ("supplier", "nation", "customer", "orders", "lineitem", "events")
 
-_WRITTEN: dict[tuple[str, str, str], Layers] = {}
-# Callers may run products from several threads: one run is written at a time,
-# and the session-global catalog tables are never rewritten concurrently.
+# Callers may run products from several threads.
 _LOCK = threading.RLock()
 
 
@@ -73,20 +70,55 @@ def _full(sf_dir: str) -> str:
     return sf_dir if "://" in sf_dir else os.path.abspath(sf_dir)
 
 
-def written_layers(spark: SparkSession, sf_dir: str) -> Layers:
-    """Bronze, silver and gold written once per application and ``sf_dir``."""
-    apply_runtime_conf(spark)
+class Run:
+    """The CSV files and the lakehouse of one application and input."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        apply_runtime_conf(spark)
+        self.spark, self.sf_dir = spark, sf_dir
+        self.folder = scratch_dir(spark, "run")
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        self.prefix = f"run{uuid.uuid4().hex[:10]}_"
+        landed = Lazy({name: (lambda n=name: read_feed(spark, self.csv(n), n)) for name in SILVER_TABLES})
+        self.house = lakehouse(spark, landed, location=self.folder, prefix=self.prefix)
+        self._csv: dict[str, str] = {}
+        self._locks = {name: threading.Lock() for name in SILVER_TABLES}
+
+    def csv(self, feed: str) -> str:
+        """The feed's folder of header-less CSV files, the form the run takes as input."""
+        with self._locks[feed]:
+            if feed not in self._csv:
+                path = f"{self.folder}/raw/{feed}"
+                write_feed(raw_feeds(self.spark, self.sf_dir)[feed], path)
+                self._csv[feed] = path
+            return self._csv[feed]
+
+
+_RUNS: dict[tuple[str, str, str], Run] = {}
+
+
+def run_of(spark: SparkSession, sf_dir: str) -> Run:
+    """The run over the tables in ``sf_dir`` as they are now."""
     key = _run_key(spark, sf_dir)
     with _LOCK:
-        if key not in _WRITTEN:
-            location = scratch_dir(spark, "lakehouse")
-            _WRITTEN[key] = materialize(spark, raw_feeds(spark, sf_dir), location=location, catalog=False)
-        return _WRITTEN[key]
+        if key not in _RUNS:
+            _RUNS[key] = Run(spark, sf_dir)
+        return _RUNS[key]
+
+
+def written_layers(spark: SparkSession, sf_dir: str) -> Layers:
+    """Bronze, silver and gold, each table written on first access."""
+    apply_runtime_conf(spark)
+    return run_of(spark, sf_dir).house.layers()
 
 
 def layers(spark: SparkSession, sf_dir: str) -> Layers:
     """Per-step plans: each table computed from the written layer below."""
-    return step_layers(written_layers(spark, sf_dir))
+    apply_runtime_conf(spark)
+    return run_of(spark, sf_dir).house.steps()
 
 
 def _step(product: Callable[[Layers], DataFrame]) -> Query:
@@ -97,27 +129,15 @@ def _report(product: Callable[[Layers], DataFrame]) -> Query:
     return lambda spark, sf_dir: product(written_layers(spark, sf_dir))
 
 
-# ------------------------------------------------------------ catalog products
+# ------------------------------------------------------------ landing and catalog products
 
 RAW_WIDTH = max(spec.width for spec in FEEDS.values())
 
 
-_CSV: dict[tuple[str, str, str], dict[str, str]] = {}
-
-
 def csv_feed_paths(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    """The four feeds written once per application and ``sf_dir`` as
-    header-less CSV files, the form the pipeline takes as input."""
-    key = _run_key(spark, sf_dir)
-    with _LOCK:
-        if key not in _CSV:
-            bronze = written_layers(spark, sf_dir).raw
-            root = scratch_dir(spark, "raw-csv")
-            paths = {name: f"{root}/{name}" for name in SILVER_TABLES}
-            for name, path in paths.items():
-                write_feed(bronze[name], path)
-            _CSV[key] = paths
-        return _CSV[key]
+    """The run's four feeds as folders of header-less CSV files."""
+    run = run_of(spark, sf_dir)
+    return {name: run.csv(name) for name in SILVER_TABLES}
 
 
 def raw_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,30 +159,25 @@ def raw_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def clean_trips_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver trips produced by the streaming silver step over the CSV feed:
     every landed file, processed incrementally into a fresh sink."""
-    trips_csv = csv_feed_paths(spark, sf_dir)["trips"]
-    out = scratch_dir(spark, "stream-silver")
+    run = run_of(spark, sf_dir)
+    trips_csv = run.csv("trips")
+    out = f"{run.folder}/stream-{uuid.uuid4().hex[:12]}"
     return run_silver_increment(spark, "trips", trips_csv, f"{out}/trips", f"{out}/_checkpoint")
 
 
-_CATALOG: dict[tuple[str, str, str], str] = {}
-
-
-def catalog_run(spark: SparkSession, sf_dir: str) -> str:
-    """All layers as catalog tables in schemas made for this run and input; the
-    prefix of the schemas' names. A user's own ``gold`` schema is never touched."""
-    key = _run_key(spark, sf_dir)
-    with _LOCK:
-        if key not in _CATALOG:
-            bronze = written_layers(spark, sf_dir).raw
-            prefix = f"run{uuid.uuid4().hex[:10]}_"
-            materialize(spark, bronze, location=scratch_dir(spark, "catalog"), catalog=True, prefix=prefix)
-            _CATALOG[key] = prefix
-        return _CATALOG[key]
+def catalog_run(spark: SparkSession, sf_dir: str, tables: Iterable[str]) -> str:
+    """``tables`` written; the prefix of the run's schemas. They are made for the
+    run: a user's own ``gold`` schema is never touched."""
+    apply_runtime_conf(spark)
+    run = run_of(spark, sf_dir)
+    run.house.write(*tables)
+    return run.prefix
 
 
 def gold_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The gold tables of the run's catalog counted with one SQL text."""
-    return spark.sql(count_sql("gold", GOLD_TABLES, catalog_run(spark, sf_dir)))
+    prefix = catalog_run(spark, sf_dir, [f"gold.{t}" for t in GOLD_TABLES])
+    return spark.sql(count_sql("gold", GOLD_TABLES, prefix))
 
 
 def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,7 +192,7 @@ def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def layer_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per bronze, silver and gold table of the run's catalog, by one SQL text."""
-    prefix = catalog_run(spark, sf_dir)
+    prefix = catalog_run(spark, sf_dir, ALL_TABLES)
     audits = (("bronze", SILVER_TABLES), ("silver", SILVER_TABLES), ("gold", GOLD_TABLES))
     return spark.sql("\nUNION ALL\n".join(count_sql(layer, tables, prefix) for layer, tables in audits))
 

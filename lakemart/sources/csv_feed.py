@@ -17,7 +17,7 @@ def read_feed(spark: SparkSession, path: str, feed: FeedSpec | str) -> DataFrame
     An explicit all-string schema instead of ``inferSchema``: no extra pass
     over the files (which at scale is a full read), no type that depends on
     the data, and ids such as ``0012`` keep their leading zeros. Malformed
-    lines are kept (PERMISSIVE); missing trailing fields become NULL and the
+    lines are kept (PERMISSIVE); empty and missing trailing fields become NULL and the
     silver step decides what survives. The files are split and read in
     parallel (``spark.sql.files.maxPartitionBytes`` per task).
     """
@@ -31,5 +31,7 @@ def read_feed(spark: SparkSession, path: str, feed: FeedSpec | str) -> DataFrame
 
 
 def write_feed(raw: DataFrame, path: str) -> None:
-    """Write raw text rows as header-less CSV (overwrite), one file per task."""
-    raw.write.mode("overwrite").option("header", False).csv(path)
+    """Write raw text rows as header-less CSV (overwrite), one file per task,
+    white space at the ends of values kept."""
+    writer = raw.write.mode("overwrite").option("header", False)
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)

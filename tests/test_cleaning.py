@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from lakemart.functions import minutes_rounded
 from lakemart.operators import rejected
 from lakemart.plans import gold as G
-from lakemart.plans.lakehouse import materialize
-from lakemart.plans.registry import QUERIES
+from lakemart.plans.lakehouse import ALL_TABLES, materialize, waves
+from lakemart.plans.registry import QUERIES, Run
 from lakemart.plans.silver import CLEANERS
 from lakemart.schemas import FEEDS
 from lakemart.session import apply_runtime_conf
 from lakemart.sources.catalog import count_sql
+from lakemart.sources.csv_feed import read_feed, write_feed
 from lakemart.streaming import run_silver_increment
 
 from conftest import SF_SMALL, raw
@@ -71,6 +72,24 @@ def test_changed_input_gives_changed_results(spark, tmp_path):
     assert QUERIES["clean_stations"](spark, str(folder)).count() > first
 
 
+def test_a_product_writes_only_what_it_is_made_from(spark):
+    run = Run(spark, SF_SMALL)
+    run.house.steps().silver["stations"]
+    assert run.house.written() == {"bronze.stations"}
+    run.house.layers().gold["dim_rider"]
+    assert run.house.written() == {"bronze.stations", "bronze.riders", "silver.riders", "gold.dim_rider"}
+    assert waves(["gold.fact_trip"])[-1] == ["gold.fact_trip"]
+    assert {t for wave in waves(ALL_TABLES) for t in wave} == set(ALL_TABLES)
+
+
+def test_csv_keeps_quotes_commas_and_spaces_and_empty_is_missing(spark, tmp_path):
+    rows = [("1", 'a "b", c', "", " x "), ("2", None, '"', ","), ("", "", None, "é;'")]
+    write_feed(raw(spark, "stations", rows), f"{tmp_path}/stations")
+    found = read_feed(spark, f"{tmp_path}/stations", "stations").collect()
+    want = [tuple(value or None for value in row) for row in rows]
+    assert sorted(map(tuple, found), key=str) == sorted(want, key=str)
+
+
 def test_catalog_in_a_folder_with_an_apostrophe(spark, tmp_path):
     feeds = {"stations": [("1", "A", "1", "2")], "riders": [("7", *RIDER)], "payments": [("1", "2020-01-01", "1.00", "7")],
              "trips": [("t", "b", "2020-01-02 00:00:00", "2020-01-02 01:00:00", "1", "1", "7")]}
