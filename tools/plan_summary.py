@@ -3,7 +3,7 @@
 usage: python tools/plan_summary.py [sf_dir] > docs/PLANS.md
 
 Counts, in the plan Spark chooses before running (AQE may still coalesce or
-convert at runtime): hash shuffles, range shuffles (global sorts), broadcast
+convert at runtime), with dimensions broadcast and with broadcasts off: hash shuffles, range shuffles (global sorts), broadcast
 exchanges, join strategies, and aggregates; and lists the columns each scan
 reads.
 """
@@ -23,7 +23,7 @@ def summarize(plan: str) -> dict:
     scans = re.findall(r"FileScan \w+ ([\w.]*)\[([^\]]*)\].*?Location: \w+\(\d+ paths?\)\[([^\]]*)\]", plan)
     reads = []
     for ident, cols, loc in scans:
-        table = ident.removeprefix("spark_catalog.") or "/".join(loc.rstrip("/").split("/")[-2:])
+        table = re.sub(r"^run[0-9a-f]+_", "", ident.removeprefix("spark_catalog.")) or "/".join(loc.rstrip("/").split("/")[-2:])
         names = [c.split("#")[0] for c in cols.split(",") if c]
         reads.append(f"{table}({', '.join(names)})")
     return {
@@ -45,18 +45,20 @@ def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session("local[8]", 8, extra={"spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
-    import __spark_entry__ as E
+    from lakemart.plans.registry import QUERIES
 
     print(f"# Physical plans\n\nGenerated by `tools/plan_summary.py {sf_dir}` (Spark {spark.version}, "
           "plans before AQE's runtime changes). Reports read the written gold tables, layer products "
-          "the written layer below; see `lakemart/plans/registry.py`.\n")
+          "the written layer below; see `lakemart/plans/registry.py`.")
     cols = ["hash shuffles", "sort shuffles", "single-partition", "broadcasts", "joins", "partial aggs", "reads"]
-    print("| product | " + " | ".join(cols) + " |")
-    print("| --- | " + " | ".join("---" for _ in cols) + " |")
-    for name, fn in E.queries().items():
-        df = fn(spark, sf_dir)
-        s = summarize(df._jdf.queryExecution().executedPlan().toString())
-        print(f"| `{name}` | " + " | ".join(str(s[c]) for c in cols) + " |")
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for title, threshold in (("Dimensions under the broadcast threshold", usual), ("No broadcasts", "-1")):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        print(f"\n## {title}\n\n| product | " + " | ".join(cols) + " |")
+        print("| --- | " + " | ".join("---" for _ in cols) + " |")
+        for name, fn in QUERIES.items():
+            s = summarize(fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString())
+            print(f"| `{name}` | " + " | ".join(str(s[c]) for c in cols) + " |")
     spark.stop()
 
 
