@@ -79,13 +79,14 @@ def _cluster(x: np.ndarray, k: int) -> np.ndarray:
 
 
 def text_classes(docs: DataFrame) -> Classes:
-    """Clusters of a bounded sample (by a hash of the text) of the training rows."""
+    """Clusters of a bounded sample (by a hash of the text) of the training rows;
+    copies of a text count once, however many there are."""
     train = docs.where("train and text is not null")
     n = train.count()
     if not n:
         return Classes(np.ones(DIMS, np.float32), np.zeros((CLASSES, DIMS), np.float32), np.zeros(CLASSES, np.int64))
     place = F.pmod(F.xxhash64("text", F.lit(5)), F.lit(1_000_000)) / F.lit(1e6)
-    sample = train.where(place < min(1.0, SAMPLE_TEXTS / n)).select("text")
+    sample = train.where(place < min(1.0, SAMPLE_TEXTS / n)).select("text").distinct()
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, column in slices(batches):
