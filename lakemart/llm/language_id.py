@@ -103,7 +103,7 @@ def fit(labelled: DataFrame, p: Params = Params()) -> Model:
     for r in sizes:
         rate = F.when(F.col("lang") == r["lang"], F.lit(p.sample_per_language / r["count"])).otherwise(rate)
     place = F.pmod(F.xxhash64(F.col("id"), F.lit(7)), F.lit(1_000_000)) / F.lit(1e6)
-    sample = labelled.where(place < rate).select("lang", "text")
+    sample = labelled.where(place < rate).select("lang", "text").distinct()
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, rows = np.zeros(DIMS, np.int64), 0

@@ -113,7 +113,7 @@ def _fit(rows: list[np.ndarray], grade: np.ndarray, p: Params) -> Model:
 def fit(rated: DataFrame, p: Params = Params()) -> Model:
     """Fit on columns (text, grade); rows with a null in either are left out.
 
-    At most about ``sample_rows`` rows, chosen by a hash of the text, become
+    At most about ``sample_rows`` rows, chosen by a hash of the text (copies once), become
     feature lists in parallel; one task fits the bounded sample, and the model
     (a fixed number of weights) comes to the driver. Without rows every text
     gets the middle of the scale."""
@@ -124,7 +124,7 @@ def fit(rated: DataFrame, p: Params = Params()) -> Model:
     if not n:
         return Model(np.zeros(BUCKETS), np.zeros(p.grades - 1))
     place = F.pmod(F.xxhash64("text", F.lit(11)), F.lit(1_000_000)) / F.lit(1e6)
-    sample = rated.where(place < min(1.0, p.sample_rows / n)).select("text", F.col("grade").cast("int").alias("grade"))
+    sample = rated.where(place < min(1.0, p.sample_rows / n)).select("text", F.col("grade").cast("int").alias("grade")).distinct()
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, column in slices(batches):
