@@ -75,19 +75,57 @@ class Mixer:
         return np.log2(np.where(bit == 1, p, 1 - p))
 
 
-def token_codes(tokens: list[bytes]) -> np.ndarray:
+def token_hashes(tokens: list[bytes]) -> np.ndarray:
     size = np.array([len(t) for t in tokens], np.int64)
     ends = np.cumsum(size)
     data = np.frombuffer(b"".join(tokens), np.uint8)
-    return (xxh64(data, ends - size, ends) >> np.uint64(64 - CODE_BITS)).astype(np.int64)
+    return xxh64(data, ends - size, ends)
+
+
+def token_codes(tokens: list[bytes]) -> np.ndarray:
+    return (token_hashes(tokens) >> np.uint64(64 - CODE_BITS)).astype(np.int64)
+
+
+class ContextCounts:
+    """Counts of the bits of codes under the hash of the preceding token, from
+    rows in the order of (context, code) that hold a context whole. ``large``
+    contexts (ascending) may be dealt by the first ``TOP_BITS`` bits of the code:
+    the counts of those bits come from ``tops``, by context and first bits."""
+
+    TOP_BITS = 8
+
+    def __init__(self, large: np.ndarray, tops: np.ndarray):
+        self.large, self.trees = large, CodeModel._tree(tops)
+
+    def counts(self, ctx: np.ndarray, codes: np.ndarray, c: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Zeros and ones seen at each row's node, for each bit of the codes."""
+        at = np.searchsorted(self.large, ctx)
+        split = np.flatnonzero(self.large[np.minimum(at, len(self.large) - 1)] == ctx) if len(self.large) else at[:0]
+        at = at[split]
+        fresh = np.ones(len(ctx), bool)
+        fresh[1:] = ctx[1:] != ctx[:-1]
+        for depth in range(CODE_BITS):
+            node = codes >> (CODE_BITS - depth)
+            starts = fresh.copy()
+            starts[1:] |= node[1:] != node[:-1]
+            first, group = np.flatnonzero(starts), np.cumsum(starts) - 1
+            ones = np.add.reduceat(c * ((codes >> (CODE_BITS - 1 - depth)) & 1), first)
+            one = ones[group].astype(np.float32)
+            zero = (np.add.reduceat(c, first) - ones)[group].astype(np.float32)
+            if depth < self.TOP_BITS and len(split):
+                child = 2 * ((1 << depth) | node[split])
+                zero[split], one[split] = self.trees[at, child], self.trees[at, child + 1]
+            yield zero, one
 
 
 class CodeModel:
-    """Bits of a token's hashed code under three contexts: the text's class, its
-    group of classes, and all texts. ``leaves`` has token counts by class and code."""
+    """Bits of a token's hashed code under four contexts: the text's class, its
+    group of classes, all texts, and the preceding token. ``leaves`` has token
+    counts by class and code; the preceding token's are ``ContextCounts``."""
 
     STEPS = np.array([1, 3, 10, 40, 200, 1500, 20000], np.float32)
-    GATES, PREDICTORS = 16, 3
+    CONTEXT_STEPS = np.array([1, 2, 4, 12, 60, 400, 5000], np.float32)
+    GATES, PREDICTORS = 16 * 8, 4
 
     def __init__(self, leaves: np.ndarray, group_of: np.ndarray):
         groups = np.stack([leaves[group_of == g].sum(axis=0) for g in range(group_of.max() + 1)])
@@ -110,24 +148,30 @@ class CodeModel:
             tree[:, at : 2 * at] = level
         return tree
 
-    def bits(self, cls: np.ndarray, codes: np.ndarray, own: bool) -> Iterator[tuple[list[np.ndarray], np.ndarray, np.ndarray]]:
-        """Log-odds, gate and bit for each bit of the codes; ``own``: leave one occurrence out."""
+    def bits(
+        self, cls: np.ndarray, codes: np.ndarray, following: Iterator[tuple[np.ndarray, np.ndarray]], own: bool
+    ) -> Iterator[tuple[list[np.ndarray], np.ndarray, np.ndarray]]:
+        """Log-odds, gate and bit for each bit of the codes; ``following`` has the
+        zeros and ones after the preceding token; ``own``: leave one occurrence out."""
         contexts = (cls, self.group_of[cls], np.zeros_like(cls))
-        for depth in range(CODE_BITS):
+        for depth, (zero, one) in enumerate(following):
             node = (1 << depth) | (codes >> (CODE_BITS - depth))
             bit = (codes >> (CODE_BITS - 1 - depth)) & 1
             late = 8 if depth >= 8 else 0
+            if own:
+                zero, one = np.maximum(zero - (bit == 0), 0).astype(np.float32), np.maximum(one - bit, 0).astype(np.float32)
+            after, known = log_odds(zero, one), 16 * np.searchsorted(self.CONTEXT_STEPS, zero + one, side="right")
             if not own:
-                yield [o[at, node] for o, at in zip(self.odds, contexts, strict=True)], self.seen[cls, node].astype(np.int64) + late, bit
+                yield [*(o[at, node] for o, at in zip(self.odds, contexts, strict=True)), after], self.seen[cls, node].astype(np.int64) + late + known, bit
                 continue
             stretch, gate = [], None
             for tree, at in zip(self.trees, contexts, strict=True):
                 zero = np.maximum(tree[at, 2 * node] - (bit == 0), 0).astype(np.float32)
                 one = np.maximum(tree[at, 2 * node + 1] - bit, 0).astype(np.float32)
                 if gate is None:
-                    gate = np.searchsorted(self.STEPS, zero + one, side="right") + late
+                    gate = np.searchsorted(self.STEPS, zero + one, side="right") + late + known
                 stretch.append(log_odds(zero, one))
-            yield stretch, gate, bit
+            yield [*stretch, after], gate, bit
 
     def share(self, cls: np.ndarray, codes: np.ndarray, in_class: np.ndarray, in_all: np.ndarray) -> np.ndarray:
         """Share of a known token among the tokens of its code: its class's count

@@ -3,15 +3,16 @@
 A text is a sequence of tokens: its words, then one end. Texts fall into
 classes (clusters of n-gram vectors, in groups), and a text's class is coded
 first. A token is then coded by binary decisions: whether it is new; if not,
-the bits of its hashed code, each predicted under the text's class, its group
-and all texts, and its share among the tokens of that code; if new, the bits of
+the bits of its hashed code, each predicted under the text's class, its group,
+all texts and the hash of the preceding token, and its share among the tokens of that code; if new, the bits of
 its bytes, each predicted under the last one to five bytes. ``lm_mixing``
 combines the predictors; its weights are learned online over all tokens with
 the occurrence itself left out of the counts, so they fit unseen text.
 
-A token's probability depends on its class and itself only, so it is found once
-for each pair and used wherever the pair stands: the mixing runs over distinct
-tokens, not over the corpus.
+A token's probability depends on its class, the preceding token and itself, so
+it is found once for each such triple and used wherever the triple stands. The
+counts under preceding tokens are rows that grow with the corpus, dealt by
+context; no task and no broadcast holds them all.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,18 +30,20 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import cut, fold, slices, prepare, to_batch
+from lakemart.llm.common import buffers, cut, fold, slices, prepare, to_batch
 from lakemart.llm.language_id import DIMS, term_counts, unit_vectors
-from lakemart.llm.lm_mixing import CODE_BITS, SPELL_BITS, CodeModel, Mixer, SpellModel, token_codes
+from lakemart.llm.lm_mixing import CODE_BITS, SPELL_BITS, CodeModel, ContextCounts, Mixer, SpellModel, token_codes, token_hashes
 
 END = b"\n"
-#: A (class, token) pair with over 1 / HOT_SHARE of all tokens is hot: there are fewer than HOT_SHARE.
+#: A (class, context, token) triple with over 1 / HOT_SHARE of all tokens is hot: there are fewer than HOT_SHARE.
 HOT_SHARE = 50_000
 CLASSES, GROUPS = 16, 4
 #: Training texts that the clustering sees.
 SAMPLE_TEXTS = 2000
-#: Distinct (class, token) pairs that a task counts before it hands them on.
+#: Distinct (class, token) pairs, or (class, context, token) triples, that a task counts before it hands them on.
 HELD_PAIRS = 400_000
+#: Contexts of more triples are dealt by the first bits of the token's code too.
+LARGE_CONTEXT = 50_000
 CHUNK = 1 << 12
 BLOCK_TOKENS = 8192
 #: Vocabulary rows of one online step.
@@ -148,6 +151,109 @@ def vocabulary(docs: DataFrame, classes: Classes) -> DataFrame:
     )
 
 
+def _in_context(column: pa.Array) -> list[list[tuple[int, bytes]]]:
+    """Each text's tokens with the hash of the preceding one (an end at first)."""
+    texts = [[*t.lower().split(), END] for t in column.to_pylist()]
+    hashes = np.roll(token_hashes([w for words in texts for w in words]), 1).view(np.int64).tolist()
+    out, at = [], 0
+    for words in texts:
+        out.append(list(zip(hashes[at : at + len(words)], words, strict=True)))
+        at += len(words)
+    return out
+
+
+def contexts(docs: DataFrame, classes: Classes, words: DataFrame) -> DataFrame:
+    """ctx (hash of the preceding token), cls, token, code, c (count in training
+    rows), n (in all rows), with the token's ``total`` and the pair's ``pair_c``
+    in training rows, of every distinct triple."""
+    shared = docs.sparkSession.sparkContext.broadcast(classes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: list[Counter] = [Counter() for _ in range(2 * CLASSES)]  # held-out, then training
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for k, counts in enumerate(seen):
+                triples, n = list(counts), np.fromiter(counts.values(), np.int64, len(counts))
+                counts.clear()
+                for a in range(0, len(n), 50_000):
+                    ctx, tokens = zip(*triples[a : a + 50_000], strict=True)
+                    m = n[a : a + 50_000]
+                    yield to_batch(
+                        ctx=np.array(ctx, np.int64), cls=np.full(len(m), k % CLASSES, np.int32), token=pa.array(tokens, pa.binary()),
+                        code=token_codes(tokens).astype(np.int32), c=m * (k >= CLASSES), n=m,
+                    )
+
+        for part, column in slices(batches):
+            own = shared.value.of(column).tolist()
+            for pairs, k, train in zip(_in_context(column), own, part.column(1).to_pylist(), strict=True):
+                seen[k + CLASSES * bool(train)].update(pairs)
+            if sum(map(len, seen)) > HELD_PAIRS:
+                yield from out()
+        yield from out()
+
+    triples = docs.mapInArrow(run, "ctx long, cls int, token binary, code int, c long, n long")
+    triples = triples.groupBy("ctx", "cls", "token", "code").agg(F.sum("c").alias("c"), F.sum("n").alias("n"))
+    pairs = words.select("token", F.col("c").alias("total"), F.explode("by_class").alias("p"))
+    return triples.join(pairs.select("token", F.col("p.cls").alias("cls"), "total", F.col("p.c").alias("pair_c")), ["token", "cls"])
+
+
+def by_context(triples: DataFrame) -> tuple[DataFrame, ContextCounts]:
+    """The triples dealt by context and in the order that ``ContextCounts`` asks
+    for. A context of over ``LARGE_CONTEXT`` triples is dealt by the code's first
+    bits too, so that no context is one task's; the counts by those bits are held."""
+    spark = triples.sparkSession
+    large = sorted(r["ctx"] for r in triples.groupBy("ctx").count().where(F.col("count") > LARGE_CONTEXT).select("ctx").collect())
+    marks = spark.createDataFrame([(x, True) for x in large], "ctx long, large boolean")
+    top = F.shiftright("code", CODE_BITS - ContextCounts.TOP_BITS)
+    marked = triples.join(F.broadcast(marks), "ctx", "left").withColumn("deal", F.when(F.col("large"), top).otherwise(-1))
+    tops = np.zeros((len(large), 1 << ContextCounts.TOP_BITS))
+    if large:
+        sums = marked.where("large").groupBy("ctx", "deal").agg(F.sum("c").alias("c")).toArrow()
+        ctx, deal, c = (np.asarray(x) for x in sums.columns)
+        tops[np.searchsorted(large, ctx), deal] = c
+    # a set order, so that a run repeats
+    dealt = marked.repartition("ctx", "deal").sortWithinPartitions("ctx", "code", "cls", "token")
+    return dealt.select("ctx", "deal", "cls", "token", "code", "c", "n", "total", "pair_c"), ContextCounts(np.array(large, np.int64), tops)
+
+
+@dataclass
+class Block:
+    """Triples as arrays, with each context (or dealt piece of one) whole."""
+
+    ctx: np.ndarray
+    cls: np.ndarray
+    tokens: pa.Array
+    codes: np.ndarray
+    c: np.ndarray
+    n: np.ndarray
+    total: np.ndarray
+    pair_c: np.ndarray
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[Block]:
+    def block(t: pa.Table) -> Block:
+        ctx, cls, codes, c, n, total, pair_c = (t[x].to_numpy().astype(np.int64) for x in ("ctx", "cls", "code", "c", "n", "total", "pair_c"))
+        return Block(ctx, cls, t["token"].combine_chunks(), codes, c, n, total, pair_c)
+
+    held: list[pa.RecordBatch] = []
+    rows, limit = 0, least
+    for batch in batches:
+        held.append(batch)
+        rows += len(batch)
+        if rows < limit:
+            continue
+        t = pa.Table.from_batches(held).combine_chunks()
+        ctx, top = t["ctx"].to_numpy(), np.where(t["deal"].to_numpy() < 0, -1, t["code"].to_numpy() >> (CODE_BITS - ContextCounts.TOP_BITS))
+        ends = np.flatnonzero((ctx[1:] != ctx[:-1]) | (top[1:] != top[:-1])) + 1
+        if len(ends):
+            yield block(t.slice(0, ends[-1]))
+            t = t.slice(ends[-1])
+        held, rows = t.to_batches(), len(t)
+        limit = max(least, 2 * rows)
+    if rows:
+        yield block(pa.Table.from_batches(held))
+
+
 @dataclass
 class Part:
     """A block of vocabulary rows as arrays; its pairs have the row in ``row``."""
@@ -206,41 +312,49 @@ class Model:
     spell_mixer: Mixer
     new_rate: np.ndarray  # chance of a new token, by class
     class_log10: np.ndarray
+    contexts: ContextCounts
+
+    def following(self, b: Block, rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        return ((zero[rows], one[rows]) for zero, one in self.contexts.counts(b.ctx, b.codes, b.c))
 
-    def learn(self, p: Part) -> float:
+    def learn_codes(self, b: Block) -> float:
         """One block's online steps; the tokens learned from."""
-        again = p.c[p.row] > 1
-        again &= p.pair_c > 0
-        weight = p.pair_c[again].astype(np.float64)
-        if again.any():
-            for stretch, gate, bit in self.code.bits(p.cls[again], p.codes[p.row][again], True):
+        again = np.flatnonzero((b.total > 1) & (b.c > 0))
+        weight = b.c[again].astype(np.float64)
+        if len(again):
+            for stretch, gate, bit in self.code.bits(b.cls[again], b.codes[again], self.following(b, again), True):
                 self.code_mixer.learn(stretch, gate, bit, weight)
+        return float(weight.sum())
+
+    def learn_spelling(self, p: Part) -> float:
+        """One block's online steps; the tokens learned from."""
         fresh = np.flatnonzero((p.c[p.row] == 1) & (p.pair_c == 1) & (p.codes[p.row] % SPELL_EVERY == 0))
         if len(fresh):
             of, bits = self.spell.bits([p.tokens[i] for i in p.row[fresh].tolist()], p.cls[fresh], True)
             for stretch, gate, bit in bits:
                 self.spell_mixer.learn(stretch, gate, bit, np.ones(len(of)))
-        return float(weight.sum())
-
-    def log10(self, p: Part, refined: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-        """log10 probability of each pair's token in a text of its class."""
-        codes, known = p.codes[p.row], p.c[p.row] > 0
-        out = np.where(known, np.log2(1 - self.new_rate[p.cls]), np.log2(self.new_rate[p.cls]))
-        cls, code = p.cls[known], codes[known]
-        total = np.log2(self.code.share(cls, code, p.pair_c[known], p.c[p.row][known]))
-        for stretch, gate, bit in self.code.bits(cls, code, False):
+        return float(len(fresh))
+
+    def log10(self, b: Block, refined: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        """log10 probability of each triple's token after its context in a text of its class."""
+        seen = b.total > 0
+        out = np.where(seen, np.log2(1 - self.new_rate[b.cls]), np.log2(self.new_rate[b.cls]))
+        known, new = np.flatnonzero(seen), np.flatnonzero(~seen)
+        cls, code = b.cls[known], b.codes[known]
+        total = np.log2(self.code.share(cls, code, b.pair_c[known], b.total[known]))
+        for stretch, gate, bit in self.code.bits(cls, code, self.following(b, known), False):
             total += self.code_mixer.log2(refined[0], stretch, gate, bit)
         out[known] += total
-        new = np.flatnonzero(~known)
         if len(new):
-            of, bits = self.spell.bits([p.tokens[i] for i in p.row[new].tolist()], p.cls[new], False)
+            of, bits = self.spell.bits(b.tokens.take(pa.array(new)).to_pylist(), b.cls[new], False)
             spelled = sum(self.spell_mixer.log2(refined[1], *b) for b in bits)
             out[new] += np.bincount(of, weights=spelled, minlength=len(new))
         return out * LOG10_2
 
 
-def fit(words: DataFrame, classes: Classes) -> Model:
-    """The model of a ``vocabulary``: one pass counts, one learns the mixers.
+def fit(words: DataFrame, dealt: DataFrame, after: ContextCounts, classes: Classes) -> Model:
+    """The model of a ``vocabulary`` and the triples ``by_context``: one pass
+    counts, one over each learns a mixer.
 
     Both give sums of a fixed size (tables of set slots, weights by gate), added
     up in Spark over two levels; the sums alone reach the driver. Partitions
@@ -259,47 +373,55 @@ def fit(words: DataFrame, classes: Classes) -> Model:
     model = Model(
         CodeModel(leaves, classes.group_of), Mixer.fresh(CodeModel.GATES, CodeModel.PREDICTORS),
         SpellModel([np.ascontiguousarray(t.reshape(2, -1).T, np.float32) for t in tables[2:]]), Mixer.fresh(SpellModel.GATES, SpellModel.PREDICTORS),
-        (tables[1][:CLASSES] + 1) / (size + 2), np.log10((size + 1) / (size.sum() + CLASSES)),
+        (tables[1][:CLASSES] + 1) / (size + 2), np.log10((size + 1) / (size.sum() + CLASSES)), after,
     )
     shared = spark.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, seen = shared.value, 0.0
-        m.code_mixer, m.spell_mixer = Mixer.fresh(CodeModel.GATES, CodeModel.PREDICTORS), Mixer.fresh(SpellModel.GATES, SpellModel.PREDICTORS)
-        for p in _parts(batches, STEP_TOKENS):
-            seen += m.learn(p)
-        if seen:
-            mixers = (m.code_mixer, m.spell_mixer)
-            values = np.concatenate([x for k in mixers for x in (k.weights.ravel() * seen, k.hits.ravel())] + [[seen]])
-            yield to_batch(at=np.arange(len(values), dtype=np.int32), v=values)
-
-    learned = rows.where("c > 0").mapInArrow(run, "at int, v double").groupBy("at").agg(F.sum("v").alias("v")).collect()
-    if learned:
-        values = np.array([v for _, v in sorted((r["at"], r["v"]) for r in learned)])
-        at = 0
-        for mixer in (model.code_mixer, model.spell_mixer):
-            w, h = mixer.weights.size, mixer.hits.size
-            mixer.weights = (values[at : at + w] / values[-1]).reshape(mixer.weights.shape)
-            mixer.hits = values[at + w : at + w + h].reshape(2, -1)
-            at += w + h
+    def learned(source: DataFrame, mixer: Mixer, step: Callable[[Model, Mixer, Iterator[pa.RecordBatch]], float]) -> None:
+        """Fills ``mixer`` with the partitions' weights, averaged, and hits, added up."""
+        gates, predictors = mixer.weights.shape
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            own = Mixer.fresh(gates, predictors)
+            seen = step(shared.value, own, batches)
+            if seen:
+                values = np.concatenate([own.weights.ravel() * seen, own.hits.ravel(), [seen]])
+                yield to_batch(at=np.arange(len(values), dtype=np.int32), v=values)
+
+        sums = source.mapInArrow(run, "at int, v double").groupBy("at").agg(F.sum("v").alias("v")).collect()
+        if sums:
+            values = np.array([v for _, v in sorted((r["at"], r["v"]) for r in sums)])
+            w = mixer.weights.size
+            mixer.weights = (values[:w] / values[-1]).reshape(gates, predictors)
+            mixer.hits = values[w:-1].reshape(2, -1)
+
+    def learn_codes(m: Model, mixer: Mixer, batches: Iterator[pa.RecordBatch]) -> float:
+        m.code_mixer = mixer
+        return sum(m.learn_codes(b) for b in _blocks(batches, STEP_TOKENS))
+
+    def learn_spelling(m: Model, mixer: Mixer, batches: Iterator[pa.RecordBatch]) -> float:
+        m.spell_mixer = mixer
+        return sum(m.learn_spelling(p) for p in _parts(batches, STEP_TOKENS))
+
+    learned(dealt, model.code_mixer, learn_codes)
+    learned(rows.where("c = 1"), model.spell_mixer, learn_spelling)
     return model
 
 
 # ------------------------------------------------------------------ scores
 
 
-def scored_pairs(words: DataFrame, model: Model) -> DataFrame:
-    """cls, token, c (of the token), n (of the pair), log10 of every pair in any row."""
-    shared = words.sparkSession.sparkContext.broadcast(model)
+def scored_triples(dealt: DataFrame, model: Model) -> DataFrame:
+    """ctx, cls, token, c (of the token), n (of the triple), log10 of every triple in any row."""
+    shared = dealt.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         refined = m.code_mixer.refined(), m.spell_mixer.refined()
-        for p in _parts(batches):
-            tokens = pa.array(p.tokens, pa.binary()).take(pa.array(p.row))
-            yield to_batch(cls=p.cls.astype(np.int32), token=tokens, c=p.c[p.row], n=p.pair_n, log10=m.log10(p, refined))
+        for b in _blocks(batches, BLOCK_TOKENS):
+            yield to_batch(ctx=b.ctx, cls=b.cls.astype(np.int32), token=b.tokens, c=b.total, n=b.n, log10=m.log10(b, refined))
 
-    return words.select("token", "c", "by_class").mapInArrow(run, "cls int, token binary, c long, n long, log10 double")
+    return dealt.mapInArrow(run, "ctx long, cls int, token binary, c long, n long, log10 double")
 
 
 def score_texts(docs: DataFrame, train: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -310,9 +432,9 @@ def score_texts(docs: DataFrame, train: str, doc_id: str = "doc_id", text: str =
     A null text is empty: one end token. Repeated rows each get their row; a
     null id is passed through. Without training rows base_score is 0.
 
-    Hot pairs (fewer than ``HOT_SHARE`` by their definition) are broadcast and
-    folded in where the text is read; the others are joined by class and token,
-    one row for each distinct token of a text, and summed up by text."""
+    Hot triples (fewer than ``HOT_SHARE`` by their definition) are broadcast and
+    folded in where the text is read; the others are joined by class, context and
+    token, one row for each distinct context and token of a text, and summed up by text."""
     spark = docs.sparkSession
     prepare(spark)
     source = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"), F.coalesce(F.col(f"`{train}`"), F.lit(False)).alias("train"))
@@ -321,58 +443,60 @@ def score_texts(docs: DataFrame, train: str, doc_id: str = "doc_id", text: str =
     totals = words.agg(F.sum("c").alias("N"), F.count_if(F.col("c") > 0).alias("V"), F.sum("n").alias("all")).first()
     n_train, distinct, n_all = totals["N"] or 0, totals["V"] or 0, totals["all"] or 0
     lessen = math.log10(n_train + 0.5 * (distinct + 1))
-    model = fit(words, classes)
-    scored = cut(scored_pairs(words, model), "scored-pairs")
+    dealt, after = by_context(cut(contexts(source.select("text", "train"), classes, words), "contexts"))
+    model = fit(words, dealt, after, classes)
+    scored = cut(scored_triples(dealt, model), "scored-triples")
     hot_rows = scored.where(F.col("n") * HOT_SHARE > n_all).collect()
     hot: list[dict] = [{} for _ in range(CLASSES)]
     for r in hot_rows:
-        hot[r["cls"]][bytes(r["token"])] = (r["c"] > 0, math.log10(r["c"] + 0.5) - lessen, r["log10"])
+        hot[r["cls"]][r["ctx"], bytes(r["token"])] = (r["c"] > 0, math.log10(r["c"] + 0.5) - lessen, r["log10"])
     shared = spark.sparkContext.broadcast((classes, hot, model.class_log10.tolist()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, hot, prior = shared.value
         uid = TaskContext.get().partitionId() << 36
         for batch, column in slices(batches):
-            uids, own, tokens, counts, heads, totals = [], [], [], [], [], []
-            for t, k in zip(column.to_pylist(), classes.of(column).tolist(), strict=True):
-                words = t.lower().split()
-                words.append(END)
+            uids, own, ctxs, tokens, counts, heads, totals = [], [], [], [], [], [], []
+            sizes = np.diff(buffers(column)[1]).tolist()
+            for size, words, k in zip(sizes, _in_context(column), classes.of(column).tolist(), strict=True):
                 get = hot[k].get
                 known, base, score, first = 0, 0.0, prior[k], len(tokens)
-                for token, n in Counter(words).items():
-                    found = get(token)
+                for triple, n in Counter(words).items():
+                    found = get(triple)
                     if found is None:
-                        tokens.append(token)
+                        ctxs.append(triple[0])
+                        tokens.append(triple[1])
                         counts.append(n)
                     else:
                         known += n * found[0]
                         base += n * found[1]
                         score += n * found[2]
-                if len(tokens) == first:  # no rare token: a row that meets nothing
+                if len(tokens) == first:  # no rare triple: a row that meets nothing
+                    ctxs.append(0)
                     tokens.append(b"\x00 %d" % uid)
                     counts.append(0)
                 uids += [uid] * (len(tokens) - first)
                 own += [k] * (len(tokens) - first)
                 heads.append(first)
-                totals.append((len(t), len(words), known, base, score))
+                totals.append((size, len(words), known, base, score))
                 uid += 1
             at = np.full(len(tokens), -1, np.int64)  # a text's totals ride on its first row
             at[heads] = np.arange(len(heads))
             place = pa.array(at, pa.int64(), mask=at < 0)
             n_bytes, n_tokens, known, base, score = (pa.array(x).take(place) for x in zip(*totals, strict=True))
             yield to_batch(
-                uid=pa.array(uids, pa.int64()), cls=pa.array(own, pa.int32()), token=pa.array(tokens, pa.binary()), k=pa.array(counts, pa.int32()),
+                uid=pa.array(uids, pa.int64()), cls=pa.array(own, pa.int32()), ctx=pa.array(ctxs, pa.int64()), token=pa.array(tokens, pa.binary()), k=pa.array(counts, pa.int32()),
                 doc_id=batch.column(0).take(place), train=batch.column(2).take(place),
                 n_bytes=n_bytes, n_tokens=n_tokens, known=known, base=base, score=score,
             )
 
     schema = (
-        f"uid long, cls int, token binary, k int, doc_id {source.schema['doc_id'].dataType.simpleString()}, train boolean, "
+        f"uid long, cls int, ctx long, token binary, k int, doc_id {source.schema['doc_id'].dataType.simpleString()}, train boolean, "
         "n_bytes long, n_tokens long, known long, base double, score double"
     )
     rows = source.mapInArrow(run, schema)
-    rare = scored.where(F.col("n") * HOT_SHARE <= n_all).select("cls", "token", "c", "log10")
-    joined = rows.join(rare, ["token", "cls"], "left")
+    rare = scored.where(F.col("n") * HOT_SHARE <= n_all).select("ctx", "cls", "token", "c", "log10")
+    joined = rows.join(rare, ["token", "cls", "ctx"], "left")
     k = F.col("k")
     per_text = joined.groupBy("uid").agg(
         F.max("doc_id").alias("doc_id"), F.max("train").alias("train"), F.max("n_bytes").alias("n_bytes"), F.max("n_tokens").alias("n_tokens"),

@@ -54,3 +54,49 @@ def test_hot_pairs_and_joined_pairs_give_the_same(spark, sf001, monkeypatch):
     first = key(S.op2_lm_scoring(docs).collect())
     monkeypatch.setattr(S, "HOT_SHARE", 20)
     assert key(S.op2_lm_scoring(docs).collect()) == first
+
+
+def test_a_score_depends_on_the_order_of_tokens(spark):
+    words = [f"w{i}" for i in range(40)]
+    rows = [(i, " ".join(words[(i + j) % 40] for j in range(40)), True) for i in range(120)]
+    shuffled = [words[j * 7 % 40] for j in range(40)]
+    rows += [(1000, " ".join(words), False), (1001, " ".join(shuffled), False)]
+    found = {r["doc_id"]: r for r in S.score_texts(spark.createDataFrame(rows, "doc_id long, text string, train boolean"), "train").collect()}
+    assert found[1000]["base_score"] == pytest.approx(found[1001]["base_score"])
+    assert found[1000]["score"] > found[1001]["score"] + 10
+
+
+def test_large_contexts_count_the_same(spark, monkeypatch):
+    rows = [(f"a t{i} a t{i * 7 % 60} b t{i}", i % 5 > 0) for i in range(60)]
+    docs = spark.createDataFrame(rows, "text string, train boolean").repartition(3)
+    classes = S.Classes(S.np.ones(S.DIMS, S.np.float32), S.np.zeros((S.CLASSES, S.DIMS), S.np.float32), S.np.zeros(S.CLASSES, S.np.int64))
+    triples = S.contexts(docs, classes, S.vocabulary(docs, classes))
+
+    def counted():
+        dealt, after = S.by_context(triples)
+        t = dealt.toArrow()
+        seen = {}
+        for b in S._blocks(iter(t.to_batches()), 1):
+            at = list(zip(b.ctx.tolist(), b.tokens.to_pylist()))
+            seen |= dict(zip(at, zip(*(x.tolist() for pair in after.counts(b.ctx, b.codes, b.c) for x in pair))))
+        return len(after.large), seen
+
+    few, first = counted()
+    monkeypatch.setattr(S, "LARGE_CONTEXT", 10)
+    many, second = counted()
+    assert (few, many) == (0, 2) and first == second
+
+
+def test_counts_after_a_context_equal_brute_force():
+    rng = S.np.random.default_rng(1)
+    ctx, codes, c = S.np.sort(rng.integers(0, 5, 500)), rng.integers(0, 1 << 16, 500), rng.integers(0, 4, 500)
+    codes[::3] &= 0xFF00
+    order = S.np.lexsort((codes, ctx))
+    ctx, codes, c = ctx[order], codes[order], c[order]
+    tops = S.np.array([S.np.bincount(codes[ctx == k] >> 8, weights=c[ctx == k], minlength=256) for k in (1, 3)])
+    for model in (S.ContextCounts(S.np.zeros(0, S.np.int64), S.np.zeros((0, 256))), S.ContextCounts(S.np.array([1, 3]), tops)):
+        for depth, (zero, one) in enumerate(model.counts(ctx, codes, c)):
+            for i in range(0, 500, 37):
+                same = (ctx == ctx[i]) & (codes >> (16 - depth) == codes[i] >> (16 - depth))
+                ones = (codes >> (15 - depth)) & 1
+                assert (zero[i], one[i]) == (c[same & (ones == 0)].sum(), c[same & (ones == 1)].sum())
