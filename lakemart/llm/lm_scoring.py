@@ -26,7 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,8 +38,11 @@ END = b"\n"
 #: A (class, context, token) triple with over 1 / HOT_SHARE of all tokens is hot: there are fewer than HOT_SHARE.
 HOT_SHARE = 50_000
 CLASSES, GROUPS = 16, 4
-#: Training texts that the clustering sees.
+#: Training texts that the clustering's starting centroids come from, and its rounds over all texts at most.
 SAMPLE_TEXTS = 2000
+ROUNDS = 10
+#: A round that moves no centroid's component further is the last.
+STILL = 1e-3
 #: Distinct (class, token) pairs, or (class, context, token) triples, that a task counts before it hands them on.
 HELD_PAIRS = 400_000
 #: Contexts of more triples are dealt by the first bits of the token's code too.
@@ -81,33 +84,80 @@ def _cluster(x: np.ndarray, k: int) -> np.ndarray:
     return np.concatenate([c, np.repeat(c[-1:], k - len(c), axis=0)])
 
 
+def _summed(parts: DataFrame) -> np.ndarray | None:
+    """The sum of rows ``v`` (doubles as bytes, one of a partition), over two
+    levels and in a set order, so that a run repeats."""
+
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(v) for v in sorted(rows["v"]))
+        return pd.DataFrame({"many": [0], "v": [total.tobytes()]})
+
+    parts = parts.select(F.floor(F.spark_partition_id() / 64).alias("many"), "v")
+    schema = "many long, v binary"
+    made = parts.groupBy("many").applyInPandas(add, schema).groupBy(F.lit("all").alias("all")).applyInPandas(add, schema).first()
+    return None if made is None else np.frombuffer(made["v"])
+
+
 def text_classes(docs: DataFrame) -> Classes:
-    """Clusters of a bounded sample (by a hash of the text) of the training rows;
-    copies of a text count once, however many there are."""
-    train = docs.where("train and text is not null")
-    n = train.count()
-    if not n:
-        return Classes(np.ones(DIMS, np.float32), np.zeros((CLASSES, DIMS), np.float32), np.zeros(CLASSES, np.int64))
+    """Clusters of the training rows: document frequencies and every round's sums
+    are over all of them, and the sums alone reach the driver. The starting
+    centroids come from a bounded sample (by a hash of the text), in which copies
+    of a text count once."""
+    spark = docs.sparkSession
+    train = docs.where("train and text is not null").select("text")
+    none = Classes(np.ones(DIMS, np.float32), np.zeros((CLASSES, DIMS), np.float32), np.zeros(CLASSES, np.int64))
+
+    def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(DIMS + 1)
+        for _, column in slices(batches):
+            total[:DIMS] += (term_counts(column) > 0).sum(axis=0)
+            total[DIMS] += len(column)
+        if total[DIMS]:
+            yield to_batch(v=pa.array([total.tobytes()], pa.binary()))
+
+    found = _summed(train.mapInArrow(frequencies, "v binary"))
+    if found is None:
+        return none
+    n = found[DIMS]
+    idf = np.log((1 + n) / (1 + found[:DIMS])).astype(np.float32) + np.float32(0.05)
     place = F.pmod(F.xxhash64("text", F.lit(5)), F.lit(1_000_000)) / F.lit(1e6)
-    sample = train.where(place < min(1.0, SAMPLE_TEXTS / n)).select("text").distinct()
+    sample = train.where(place < min(1.0, SAMPLE_TEXTS / n)).distinct()
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, column in slices(batches):
             x = term_counts(column)
             yield to_batch(x=pa.array([v.tobytes() for v in x.astype("<f4")], pa.binary()))
 
-    def solve(rows: pd.DataFrame) -> pd.DataFrame:
-        held = sorted(rows["x"])[: 2 * SAMPLE_TEXTS]
-        x = np.stack([np.frombuffer(v, "<f4") for v in held])
-        idf = np.log((1 + len(x)) / (1 + (x > 0).sum(axis=0))).astype(np.float32) + np.float32(0.05)
-        fine = _cluster(unit_vectors(x, idf), CLASSES)
-        group = np.argmax(fine @ _cluster(fine, GROUPS).T, axis=1)
-        return pd.DataFrame({"idf": [idf.tobytes()], "fine": [fine.astype("<f4").tobytes()], "groups": [group.astype("<i8").tobytes()]})
+    def start(rows: pd.DataFrame) -> pd.DataFrame:
+        x = np.stack([np.frombuffer(v, "<f4") for v in sorted(rows["x"])[: 2 * SAMPLE_TEXTS]])
+        return pd.DataFrame({"fine": [_cluster(unit_vectors(x, idf), CLASSES).astype("<f4").tobytes()]})
 
-    made = sample.mapInArrow(counted, "x binary").groupBy(F.lit("all").alias("all")).applyInPandas(solve, "idf binary, fine binary, groups binary").first()
+    made = sample.mapInArrow(counted, "x binary").groupBy(F.lit("all").alias("all")).applyInPandas(start, "fine binary").first()
     if made is None:
-        return Classes(np.ones(DIMS, np.float32), np.zeros((CLASSES, DIMS), np.float32), np.zeros(CLASSES, np.int64))
-    return Classes(np.frombuffer(made["idf"], "<f4"), np.frombuffer(made["fine"], "<f4").reshape(CLASSES, DIMS), np.frombuffer(made["groups"], "<i8"))
+        return none
+    fine = np.frombuffer(made["fine"], "<f4").reshape(CLASSES, DIMS)
+    for _ in range(ROUNDS):
+        shared = spark.sparkContext.broadcast((idf, fine))
+
+        def add(batches: Iterator[pa.RecordBatch], shared: Broadcast = shared) -> Iterator[pa.RecordBatch]:
+            idf, fine = shared.value
+            total, rows = np.zeros((CLASSES, DIMS)), 0
+            for _, column in slices(batches):
+                x = unit_vectors(term_counts(column), idf)
+                total += np.eye(CLASSES, dtype=np.float32)[:, np.argmax(x @ fine.T, axis=1)] @ x
+                rows += len(x)
+            if rows:
+                yield to_batch(v=pa.array([total.tobytes()], pa.binary()))
+
+        total = _summed(train.mapInArrow(add, "v binary")).reshape(CLASSES, DIMS)
+        norm = np.linalg.norm(total, axis=1, keepdims=True)
+        moved = np.where(norm > 0, total / np.maximum(norm, 1e-12), fine).astype(np.float32)
+        still = np.abs(moved - fine).max() < STILL
+        fine = moved
+        if still:
+            break
+    group = np.argmax(fine @ _cluster(fine, GROUPS).T, axis=1)
+    return Classes(idf, fine, group)
 
 
 # ------------------------------------------------------------------ what the corpus holds

@@ -100,3 +100,18 @@ def test_counts_after_a_context_equal_brute_force():
                 same = (ctx == ctx[i]) & (codes >> (16 - depth) == codes[i] >> (16 - depth))
                 ones = (codes >> (15 - depth)) & 1
                 assert (zero[i], one[i]) == (c[same & (ones == 0)].sum(), c[same & (ones == 1)].sum())
+
+
+def test_classes_come_from_all_training_texts(spark, monkeypatch):
+    monkeypatch.setattr(S, "SAMPLE_TEXTS", 20)
+    texts = [f"common words here {'abcdefghij'[i % 10] * 3} {i * 7919 % 1000}" for i in range(400)]
+    docs = spark.createDataFrame([(t, True) for t in texts], "text string, train boolean").repartition(3)
+    found = S.text_classes(docs)
+    counts = S.term_counts(S.pa.array([t.encode() for t in texts], S.pa.large_binary()))
+    idf = S.np.log(401 / (1 + (counts > 0).sum(axis=0))) + 0.05
+    assert found.idf == pytest.approx(idf, rel=1e-5)
+    x = S.unit_vectors(counts, found.idf)
+    own = S.np.argmax(x @ found.centroids.T, axis=1)
+    for k in set(own.tolist()):
+        total = x[own == k].sum(axis=0)
+        assert total @ found.centroids[k] > 0.99 * S.np.linalg.norm(total)
