@@ -51,8 +51,6 @@ CHUNK = 1 << 12
 BLOCK_TOKENS = 8192
 #: Vocabulary rows of one online step.
 STEP_TOKENS = 4096
-#: One in so many once-seen tokens trains the spelling mixer (all are counted).
-SPELL_EVERY = 4
 LOG10_2 = math.log10(2.0)
 
 
@@ -378,7 +376,7 @@ class Model:
 
     def learn_spelling(self, p: Part) -> float:
         """One block's online steps; the tokens learned from."""
-        fresh = np.flatnonzero((p.c[p.row] == 1) & (p.pair_c == 1) & (p.codes[p.row] % SPELL_EVERY == 0))
+        fresh = np.flatnonzero((p.c[p.row] == 1) & (p.pair_c == 1))
         if len(fresh):
             of, bits = self.spell.bits([p.tokens[i] for i in p.row[fresh].tolist()], p.cls[fresh], True)
             for stretch, gate, bit in bits:

@@ -115,3 +115,14 @@ def test_classes_come_from_all_training_texts(spark, monkeypatch):
     for k in set(own.tolist()):
         total = x[own == k].sum(axis=0)
         assert total @ found.centroids[k] > 0.99 * S.np.linalg.norm(total)
+
+
+def test_every_once_seen_token_trains_the_spelling():
+    tokens = [b"token%d" % i for i in range(50)]
+    one, row = S.np.ones(50, S.np.int64), S.np.arange(50)
+    part = S.Part(tokens, one, row, 0 * one, one, one, S.token_codes(tokens))
+    spell = S.SpellModel()
+    mixer = S.Mixer.fresh(spell.GATES, spell.PREDICTORS)
+    model = S.Model(None, None, spell, mixer, None, None, None)
+    assert model.learn_spelling(part) == 50
+    assert mixer.hits[1].sum() == 8 * sum(len(t) + 1 for t in tokens)
