@@ -83,17 +83,22 @@ def _cluster(x: np.ndarray, k: int) -> np.ndarray:
 
 
 def _summed(parts: DataFrame) -> np.ndarray | None:
-    """The sum of rows ``v`` (doubles as bytes, one of a partition), over two
-    levels and in a set order, so that a run repeats."""
+    """The sum of rows ``v`` (doubles, compressed; one of a partition), over two levels
+    and in a set order, so that a run repeats."""
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(v) for v in sorted(rows["v"]))
-        return pd.DataFrame({"many": [0], "v": [total.tobytes()]})
+        total = sum(np.frombuffer(zlib.decompress(v)) for v in sorted(rows["v"]))
+        return pd.DataFrame({"many": [0], "v": [zlib.compress(total.tobytes(), 1)]})
 
     parts = parts.select(F.floor(F.spark_partition_id() / 64).alias("many"), "v")
     schema = "many long, v binary"
     made = parts.groupBy("many").applyInPandas(add, schema).groupBy(F.lit("all").alias("all")).applyInPandas(add, schema).first()
-    return None if made is None else np.frombuffer(made["v"])
+    return None if made is None else np.frombuffer(zlib.decompress(made["v"]))
+
+
+def _packed(total: np.ndarray) -> bytes:
+    """Doubles of float precision, so that half of their bytes pack to almost nothing."""
+    return zlib.compress(total.astype(np.float32).astype(np.float64).tobytes(), 1)
 
 
 def text_classes(docs: DataFrame) -> Classes:
@@ -111,7 +116,7 @@ def text_classes(docs: DataFrame) -> Classes:
             total[:DIMS] += (term_counts(column) > 0).sum(axis=0)
             total[DIMS] += len(column)
         if total[DIMS]:
-            yield to_batch(v=pa.array([total.tobytes()], pa.binary()))
+            yield to_batch(v=pa.array([zlib.compress(total.tobytes(), 1)], pa.binary()))
 
     found = _summed(train.mapInArrow(frequencies, "v binary"))
     if found is None:
@@ -145,11 +150,12 @@ def text_classes(docs: DataFrame) -> Classes:
                 total += np.eye(CLASSES, dtype=np.float32)[:, np.argmax(x @ fine.T, axis=1)] @ x
                 rows += len(x)
             if rows:
-                yield to_batch(v=pa.array([total.tobytes()], pa.binary()))
+                yield to_batch(v=pa.array([_packed(total)], pa.binary()))
 
         total = _summed(train.mapInArrow(add, "v binary")).reshape(CLASSES, DIMS)
         norm = np.linalg.norm(total, axis=1, keepdims=True)
         moved = np.where(norm > 0, total / np.maximum(norm, 1e-12), fine).astype(np.float32)
+        shared.destroy()
         still = np.abs(moved - fine).max() < STILL
         fine = moved
         if still:
@@ -453,6 +459,7 @@ def fit(words: DataFrame, dealt: DataFrame, after: ContextCounts, classes: Class
 
     learned(dealt, model.code_mixer, learn_codes)
     learned(rows.where("c = 1"), model.spell_mixer, learn_spelling)
+    shared.destroy()  # before the learned model is sent out
     return model
 
 
