@@ -7,13 +7,13 @@ import tempfile
 import threading
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import lakemart
@@ -24,6 +24,10 @@ SLICE_ROWS = 256
 #: Rows of one Arrow batch: bounds a Python worker's memory when texts are long.
 BATCH_ROWS = "1000"
 
+_SHIPPED: set[str] = set()
+_FOLDERS: set[str] = set()
+_LOCK = threading.Lock()
+
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """The named columns of one input table (all columns if none are named)."""
@@ -37,13 +41,61 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{source}`").alias(name) for name, source in columns.items()])
 
 
+def run_folder(spark: SparkSession) -> str:
+    """This application's folder for written intermediates, under the shared
+    scratch folder; it goes with the application."""
+    path = f"{scratch_root(spark)}/lakemart/llm-{spark.sparkContext.applicationId}"
+    with _LOCK:
+        if path not in _FOLDERS:
+            fs, place = _place(spark, path)
+            fs.mkdirs(place)
+            fs.deleteOnExit(place)
+            _FOLDERS.add(path)
+    return path
+
+
 def cut(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written as Parquet under the shared scratch folder and read back:
     a lineage cut that survives lost executors."""
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/lakemart/llm/{purpose}-{uuid.uuid4().hex[:12]}"
+    path = f"{run_folder(spark)}/{purpose}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._lakemart_path = path
+    return out
+
+
+def discard(*written: DataFrame) -> None:
+    """Delete what ``cut`` wrote for each of ``written``, once no later step reads it."""
+    for df in written:
+        fs, place = _place(df.sparkSession, df._lakemart_path)
+        fs.delete(place, True)
+
+
+def _place(spark: SparkSession, path: str) -> tuple:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def ranked(df: DataFrame, group: str, order: Sequence[str], pos: str, purpose: str) -> DataFrame:
+    """``df`` written, with ``pos``: each row's place (from 0) among the rows of
+    its ``group``, ordered by ``order`` (nulls first).
+
+    The rows are range-sorted over all partitions and numbered within each; the
+    counts of the preceding partitions are added. So a group of any size is
+    numbered by many tasks, and what is held together is a number a partition."""
+    mixed = df.withColumn("_tie", F.monotonically_increasing_id())  # parts a run of equal rows
+    keys = [group, *order, "_tie"]
+    in_order = mixed.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_tie")
+    rows = cut(in_order.withColumn("_at", F.monotonically_increasing_id()), purpose)
+    part = F.shiftright("_at", 33)
+    heads = rows.groupBy(group, part.alias("_part")).agg(F.min("_at").alias("_head"), F.count("*").alias("_n"))
+    before = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    heads = heads.select(
+        F.col(group).alias("_group"), "_part", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_head")).alias("_shift")
+    )
+    same = rows[group].eqNullSafe(heads["_group"]) & (part == heads["_part"])
+    return rows.join(heads, same).select(*df.columns, (F.col("_at") + F.col("_shift")).alias(pos))
 
 
 def prepare(spark: SparkSession) -> None:
@@ -62,8 +114,6 @@ def prepare(spark: SparkSession) -> None:
             _SHIPPED.add(app)
 
 
-_SHIPPED: set[str] = set()
-_LOCK = threading.Lock()
 
 
 def fold(doc_id: Column, folds: int = 5) -> Column:

@@ -7,16 +7,19 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakemart.llm import chat_format, topk_search
+from lakemart.llm import chat_format, fill_in_middle, source_mixing, topk_search
 from lakemart.llm.chat_format import op5_chat_format
 from lakemart.llm.common import table
 from lakemart.llm.decontamination import op3_decontamination
+from lakemart.llm.fill_in_middle import op12_fill_in_middle
 from lakemart.llm.language_id import op1_language_id
 from lakemart.llm.license_scan import op8_license_scan
 from lakemart.llm.lm_scoring import op2_lm_scoring
+from lakemart.llm.merkle_manifest import op13_merkle_manifest
 from lakemart.llm.packing import op10_best_fit_packing
 from lakemart.llm.quality import op4_quality
 from lakemart.llm.simhash_dedup import op6_simhash_dedup
+from lakemart.llm.source_mixing import op11_source_mixing
 from lakemart.llm.token_counts import op7_token_counts
 from lakemart.llm.topk_search import op9_topk_search
 
@@ -42,9 +45,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": lambda s, d: op8_license_scan(_docs(s, d)),
     "op9_topk_search": lambda s, d: op9_topk_search(table(s, d, "embeddings")),
     "op10_best_fit_packing": lambda s, d: op10_best_fit_packing(_docs(s, d), tokenizer_path()),
+    "op11_source_mixing": lambda s, d: op11_source_mixing(_docs(s, d)),
+    "op12_fill_in_middle": lambda s, d: op12_fill_in_middle(_docs(s, d)),
+    "op13_merkle_manifest": lambda s, d: op13_merkle_manifest(_docs(s, d)),
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op5_chat_format": chat_format.ORACLE_SQL,
     "op9_topk_search": topk_search.ORACLE_SQL,
+    "op11_source_mixing": source_mixing.ORACLE_SQL,
+    "op12_fill_in_middle": fill_in_middle.ORACLE_SQL,
 }
