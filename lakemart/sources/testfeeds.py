@@ -46,6 +46,8 @@ STATION_SPAN = 110
 DECIMAL_ID_MOD, DECIMAL_ID_REM = 30, 7
 WIDE_ID_MOD, WIDE_ID_SHIFT = 37, 3_000_000_000
 LARGE_AMOUNT_MOD, LARGE_AMOUNT_CENTS = 109, 100_000_000_000
+# first hex digit of rows that get surplus fields, and of rows that lose their last one
+DAMAGE_DIGITS = ("0", "1")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -198,6 +200,25 @@ def trips_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _event_trips(spark, sf_dir).unionByName(_line_trips(spark, sf_dir))
 
 
+def damaged_feed(raw: DataFrame) -> list[DataFrame]:
+    """A raw feed in three parts that together are its rows: as they are; with two
+    fields too many; without their last field. Which part a row goes to is told by
+    the first hex digit of its first field's md5 (0: too many, 1: too few)."""
+    digit = F.substring(F.md5(F.coalesce(F.col("_c0"), F.lit("")).cast("binary")), 1, 1)
+    whole = raw.where(~digit.isin(*DAMAGE_DIGITS))
+    long = raw.where(digit == DAMAGE_DIGITS[0]).select("*", F.lit("EXTRA").alias("_x0"), F.lit("a, b").alias("_x1"))
+    short = raw.where(digit == DAMAGE_DIGITS[1]).select(*raw.columns[:-1])
+    return [whole, long, short]
+
+
+def arrivals(facts: DataFrame, day: str, key: str) -> list[DataFrame]:
+    """Fact rows as three batches: two by the parity of the month, and late rows of
+    any month (first hex digit 0 of the key's md5, and rows without a day)."""
+    late = F.col(day).isNull() | (F.substring(F.md5(F.col(key).cast("string").cast("binary")), 1, 1) == "0")
+    odd = F.floor(F.col(day) / 100) % 2 == 1
+    return [facts.where(~late & odd), facts.where(~late & ~odd), facts.where(late)]
+
+
 FEED_BUILDERS = {
     "stations": stations_feed,
     "riders": riders_feed,

@@ -395,6 +395,51 @@ FINAL = {
         UNION ALL SELECT 'gold.fact_payment', count(*) FROM fact_payment""",
 }
 
+_WIDTHS = {"stations": 4, "riders": 8, "payments": 4, "trips": 7}
+
+
+def _damaged(feed: str) -> str:
+    """Lines with two fields too many (md5 digit 0), or without their last one (1)."""
+    width = _WIDTHS[feed]
+    digit = "substr(md5(coalesce(_c0, '')), 1, 1)"
+
+    def line(n: int) -> str:
+        return " || ',' || ".join(f"coalesce(_c{i}, '')" for i in range(n))
+
+    return f"""
+        SELECT '{feed}' AS feed,
+               CASE WHEN {digit} = '0' THEN {line(width)} || ',EXTRA,"a, b"' ELSE {line(width - 1)} END AS line,
+               CAST(CASE WHEN {digit} = '0' THEN {width + 2} ELSE {width - 1} END AS INTEGER) AS n_fields,
+               CAST({width} AS INTEGER) AS n_expected, _c0 AS first_field
+        FROM raw_{feed} WHERE {digit} IN ('0', '1')"""
+
+
+def _quarantined(feed: str, checks: list[tuple[str, str, str]]) -> str:
+    """Rows with a reason: (key, raw field, typed expression) of each required key."""
+    whys = ", ".join(
+        f"CASE WHEN {raw} IS NULL THEN '{key} missing' WHEN ({typed}) IS NULL THEN '{key} unreadable' END" for key, raw, typed in checks
+    )
+    cols = ", ".join(f"_c{i}" if i < _WIDTHS[feed] else f"NULL::VARCHAR AS _c{i}" for i in range(8))
+    return f"SELECT * FROM (SELECT '{feed}' AS feed, {cols}, concat_ws('; ', {whys}) AS reasons FROM raw_{feed}) WHERE reasons <> ''"
+
+
+FINAL |= {
+    "csv_damaged_lines": " UNION ALL ".join(_damaged(f) for f in _WIDTHS),
+    "quarantined_rows": " UNION ALL ".join([
+        _quarantined("stations", [("station_id", "_c0", "_c0")]),
+        _quarantined("riders", [("rider_id", "_c0", _id("_c0"))]),
+        _quarantined("payments", [("payment_id", "_c0", _id("_c0")), ("rider_id", "_c3", _id("_c3"))]),
+        _quarantined("trips", [("trip_id", "_c0", "_c0"), ("started_at", "_c2", "TRY_CAST(_c2 AS TIMESTAMP)"),
+                               ("ended_at", "_c3", "TRY_CAST(_c3 AS TIMESTAMP)"), ("rider_id", "_c6", _id("_c6"))]),
+    ]),
+    "write_audit": FINAL["layer_row_counts"],
+    "rides_by_day_incremental": FINAL["rides_by_day"],
+    "rides_by_year_month_dow_incremental": FINAL["rides_by_year_month_dow"],
+    "payments_by_month_incremental": FINAL["payments_by_month"],
+    "fact_trip_streamed": FINAL["fact_trip"],
+    "dim_rider_streamed": FINAL["dim_rider"],
+}
+
 RAW_ONLY = {"raw_csv_scan"}
 
 
