@@ -10,6 +10,7 @@ from lakemart.operators.measures import (
     ride_measure,
     via_dimension,
 )
+from lakemart.operators.quarantine import read_kept, read_quarantined, repaired, union_wide, write_judged
 from lakemart.operators.standardize import rejected, required_present, standardize, typed_columns
 
 __all__ = [
@@ -18,11 +19,16 @@ __all__ = [
     "join_then_aggregate",
     "one_row_per_key",
     "payment_measure",
+    "read_kept",
+    "read_quarantined",
     "rejected",
+    "repaired",
     "required_present",
     "ride_measure",
     "row_counts",
     "standardize",
     "typed_columns",
+    "union_wide",
     "via_dimension",
+    "write_judged",
 ]

@@ -36,11 +36,21 @@ def rejected(raw: DataFrame, spec: FeedSpec) -> DataFrame:
 def standardize(raw: DataFrame, spec: FeedSpec, extra: dict[str, Column] | None = None) -> DataFrame:
     """Typed silver rows of one feed.
 
-    One narrow projection + filter: no shuffle, and the not-null tests reach the
-    scan as ``IsNotNull`` filters where the key is passed through unchanged.
-    ``extra`` adds derived columns (computed from the typed ones) before the filter.
+    One narrow pass, no shuffle. Raw keys that are absent are filtered in the
+    scan (``IsNotNull`` reaches it). Keys that are cast are then tested on their
+    typed values; the typed row goes through ``inline``, which Catalyst does not
+    move a filter below, so that each cast runs once a row and not again in the
+    filter. ``extra`` adds derived columns (computed from the typed ones).
     """
-    out = raw.select(*typed_columns(spec))
+    types = dict(spec.columns)
+    raw_of = dict(zip(types, spec.raw_names))
+    present = raw.where(required_present([raw_of[k] for k in spec.required]))
+    cast = [k for k in spec.required if types[k] != "string"]
+    columns = typed_columns(spec)
+    if cast:
+        out = present.select(F.inline(F.array(F.struct(*columns)))).where(required_present(cast))
+    else:
+        out = present.select(*columns)
     for name, expr in (extra or {}).items():
         out = out.withColumn(name, expr)
-    return out.where(required_present(spec.required))
+    return out

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.functions import date_key, whole_years_between
+from lakemart.functions.daymaps import day_words, days_of
 from lakemart.operators import one_row_per_key
 from lakemart.schemas import (
     DIM_DATE_COLUMNS,
@@ -30,14 +31,14 @@ def observed_dates(trips: DataFrame, payments: DataFrame) -> DataFrame:
     """Distinct non-null dates seen as trip start, trip end or payment date.
 
     The two trip dates come from one scan (``explode`` of a two-element array)
-    instead of a union of two scans of the trips table; the distinct is
-    combined map-side, so only distinct dates per task are shuffled.
+    instead of a union of two scans of the trips table. A task hands on a bitmap
+    word for each 64 days it met (``functions.daymaps``), not its distinct dates.
     """
     trip_days = trips.select(
         F.explode(F.array(F.to_date("started_at"), F.to_date("ended_at"))).alias("date")
     )
     pay_days = payments.select(F.col("payment_date").alias("date"))
-    return trip_days.unionByName(pay_days).where(F.col("date").isNotNull()).distinct()
+    return days_of(day_words(trip_days.unionByName(pay_days)), "date")
 
 
 def dim_date(trips: DataFrame, payments: DataFrame) -> DataFrame:
