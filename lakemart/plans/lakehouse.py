@@ -7,7 +7,8 @@ from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from lakemart.plans import gold as G
 from lakemart.plans.silver import CLEANERS
@@ -124,17 +125,23 @@ class Lakehouse:
     written dimensions), so every write cuts the lineage and a lost executor
     costs a re-read, not a recomputation of the layers below. Tables that do not
     depend on each other are written concurrently: a small table's job does not
-    wait behind a large one."""
+    wait behind a large one. ``write`` writes what it is given and returns the
+    written table."""
 
     def __init__(self, raw: Mapping[str, DataFrame], write: Callable[[str, DataFrame], DataFrame]):
         self._raw = raw
         self._write = write
+        self._rows: dict[str, int] = {}
         self._tables: dict[str, DataFrame] = {}
         self._lock = threading.RLock()
 
     def _land(self, table: str) -> DataFrame:
         layer, name = table.split(".")
-        return self._write(table, self._raw[name] if layer == "bronze" else step(table, self._tables.__getitem__))
+        rows = self._raw[name] if layer == "bronze" else step(table, self._tables.__getitem__)
+        seen = Observation()
+        out = self._write(table, rows.observe(seen, F.count(F.lit(1)).alias("rows")))
+        self._rows[table] = seen.get["rows"]
+        return out
 
     def write(self, *tables: str) -> None:
         """Write those of ``tables`` and their ancestors that are not written yet."""
@@ -152,6 +159,12 @@ class Lakehouse:
     def written(self) -> set[str]:
         return set(self._tables)
 
+    def rows_written(self) -> dict[str, int]:
+        """Rows of each written table, counted by the write itself as they
+        passed (``DataFrame.observe``): no second scan."""
+        with self._lock:
+            return dict(self._rows)
+
     def layers(self) -> Layers:
         """The written tables, each written on first access."""
         return _layers(self.table)

@@ -26,15 +26,16 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.operators import rejected
+from lakemart.operators import payment_measure, read_quarantined, rejected, ride_measure, union_wide, write_judged
 from lakemart.plans import marts as M
+from lakemart.plans.incremental import DailyParts
 from lakemart.plans.lakehouse import ALL_TABLES, Layers, Lazy, lakehouse, read_csv_feeds
 from lakemart.schemas import FEEDS, GOLD_TABLES, SILVER_TABLES
 from lakemart.session import apply_runtime_conf, scratch_dir
 from lakemart.sources.catalog import count_sql
-from lakemart.sources.csv_feed import read_feed, write_feed
-from lakemart.sources.testfeeds import raw_feeds
-from lakemart.streaming import run_silver_increment
+from lakemart.sources.csv_feed import damaged_lines, read_feed, write_feed
+from lakemart.sources.testfeeds import arrivals, damaged_feed, raw_feeds
+from lakemart.streaming import run_dim_rider_increment, run_fact_trip_increment, run_silver_increment
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -87,6 +88,10 @@ class Run:
         self._csv: dict[str, str] = {}
         self._locks = {name: threading.Lock() for name in SILVER_TABLES}
 
+    def fresh(self, purpose: str) -> str:
+        """A new folder of the run."""
+        return f"{self.folder}/{purpose}-{uuid.uuid4().hex[:12]}"
+
     def csv(self, feed: str) -> str:
         """The feed's folder of header-less CSV files, the form the run takes as input."""
         with self._locks[feed]:
@@ -161,10 +166,89 @@ def clean_trips_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     every landed file, processed incrementally into a fresh sink."""
     run = run_of(spark, sf_dir)
     trips_csv = run.csv("trips")
-    out = f"{run.folder}/stream-{uuid.uuid4().hex[:12]}"
+    out = run.fresh("stream")
     return run_silver_increment(spark, "trips", trips_csv, f"{out}/trips", f"{out}/_checkpoint")
 
 
+def fact_trip_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trip fact kept by a stream: every landed trip file cleaned, joined to
+    the written rider dimension batch by batch, and written under the batch's number."""
+    run = run_of(spark, sf_dir)
+    run.house.write("gold.dim_rider")
+    out = run.fresh("stream-fact")
+    return run_fact_trip_increment(spark, run.csv("trips"), lambda: run.house.table("gold.dim_rider"), f"{out}/fact_trip", f"{out}/_checkpoint", max_files=4)
+
+
+def dim_rider_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rider dimension kept by a stream's keyed state over every landed rider file."""
+    run = run_of(spark, sf_dir)
+    out = run.fresh("stream-rider")
+    return run_dim_rider_increment(spark, run.csv("riders"), f"{out}/dim_rider", f"{out}/_checkpoint", max_files=2)
+
+
+def csv_damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the four feeds with more or fewer fields than the layout, found
+    in the scan of feeds some of whose lines are damaged on purpose."""
+    run = run_of(spark, sf_dir)
+    out, folder = None, run.fresh("damaged")
+    for name in SILVER_TABLES:
+        for part in damaged_feed(read_feed(spark, run.csv(name), name)):
+            write_feed(part, f"{folder}/{name}", mode="append")
+        found = damaged_lines(spark, f"{folder}/{name}", name)
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def quarantined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that the silver step drops, as they came, with every reason: written
+    apart from the kept ones in one pass over each feed."""
+    run = run_of(spark, sf_dir)
+    bronze, folder, found = run.house.layers().raw, run.fresh("judged"), []
+    for name in SILVER_TABLES:
+        write_judged(bronze[name], FEEDS[name], f"{folder}/{name}")
+        found.append(read_quarantined(spark, FEEDS[name], f"{folder}/{name}"))
+    raw_fields = [f"_c{i}" for i in range(RAW_WIDTH)]
+    return union_wide(found, RAW_WIDTH).select("feed", *raw_fields, F.array_join("reasons", "; ").alias("reasons"))
+
+
+def write_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every table, counted by the writes themselves."""
+    run = run_of(spark, sf_dir)
+    run.house.write(*ALL_TABLES)
+    return spark.createDataFrame(sorted(run.house.rows_written().items()), "table_name string, row_count long")
+
+
+def _kept_up(run: Run, fact: str, day: str, key: str, measure) -> tuple[DailyParts, DataFrame]:
+    """A store of daily parts of a written fact, brought up to date by three
+    batches, the last of which holds late rows of all days."""
+    facts = run.house.table(f"gold.{fact}")
+    store = DailyParts(run.fresh(f"parts-{fact}"), day, measure)
+    for n, batch in enumerate(arrivals(facts, day, key)):
+        store.apply(batch, f"batch-{n}")
+    return store, facts
+
+
+def rides_by_day_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``rides_by_day`` from parts stored by day, after three batches."""
+    run = run_of(spark, sf_dir)
+    store, facts = _kept_up(run, "fact_trip", "start_date_key", "trip_id", ride_measure())
+    return store.report(spark, facts, ["date"], M.RIDE_AVG_TOTAL, run.house.table("gold.dim_date"))
+
+
+def rides_by_year_month_dow_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``rides_by_year_month_dow`` from parts stored by day, after three batches."""
+    run = run_of(spark, sf_dir)
+    store, facts = _kept_up(run, "fact_trip", "start_date_key", "trip_id", ride_measure())
+    return store.report(spark, facts, ["year", "month", "day_of_week"], M.RIDE_AVG_TOTAL, run.house.table("gold.dim_date"))
+
+
+def payments_by_month_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``payments_by_month`` from parts stored by day, after three batches."""
+    run = run_of(spark, sf_dir)
+    store, facts = _kept_up(run, "fact_payment", "payment_date_key", "payment_id", payment_measure())
+    return store.report(spark, facts, ["year", "quarter", "month"], M.PAYMENT_MEASURES, run.house.table("gold.dim_date"))
+
+
 def catalog_run(spark: SparkSession, sf_dir: str, tables: Iterable[str]) -> str:
     """``tables`` written; the prefix of the run's schemas. They are made for the
     run: a user's own ``gold`` schema is never touched."""
@@ -221,4 +305,14 @@ QUERIES: dict[str, Query] = {
     "layer_row_counts": layer_row_counts,
     "gold_row_counts": gold_row_counts,
     "rejected_rows": rejected_rows,
+    # damage, quarantine, audits of writes
+    "csv_damaged_lines": csv_damaged_lines,
+    "quarantined_rows": quarantined_rows,
+    "write_audit": write_audit,
+    # kept up to date by batches and streams
+    "rides_by_day_incremental": rides_by_day_incremental,
+    "rides_by_year_month_dow_incremental": rides_by_year_month_dow_incremental,
+    "payments_by_month_incremental": payments_by_month_incremental,
+    "fact_trip_streamed": fact_trip_streamed,
+    "dim_rider_streamed": dim_rider_streamed,
 }
