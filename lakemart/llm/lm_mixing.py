@@ -13,15 +13,14 @@ from dataclasses import dataclass
 
 import numpy as np
 
-from lakemart.llm.words import xxh64
-
 APM = 24
 DELTA = 0.4
 MOST_STEP = 0.1
 CLOSE = b" "
-#: Bits of a known token's hashed code, and slots (as bits) of the spelling tables.
-CODE_BITS = 16
-SPELL_BITS = (16, 20, 20, 20)
+#: Bits of a known token's code.
+CODE_BITS = 18
+#: Bytes that the orders of the spelling model look back on.
+SPELL_ORDERS = 4
 
 
 def log_odds(zero: np.ndarray, one: np.ndarray) -> np.ndarray:
@@ -75,27 +74,16 @@ class Mixer:
         return np.log2(np.where(bit == 1, p, 1 - p))
 
 
-def token_hashes(tokens: list[bytes]) -> np.ndarray:
-    size = np.array([len(t) for t in tokens], np.int64)
-    ends = np.cumsum(size)
-    data = np.frombuffer(b"".join(tokens), np.uint8)
-    return xxh64(data, ends - size, ends)
-
-
-def token_codes(tokens: list[bytes]) -> np.ndarray:
-    return (token_hashes(tokens) >> np.uint64(64 - CODE_BITS)).astype(np.int64)
-
-
 class ContextCounts:
-    """Counts of the bits of codes under the hash of the preceding token, from
-    rows in the order of (context, code) that hold a context whole. ``large``
-    contexts (ascending) may be dealt by the first ``TOP_BITS`` bits of the code:
-    the counts of those bits come from ``tops``, by context and first bits."""
+    """Counts of the bits of codes under the preceding token, from rows in the
+    order of (context, code) that hold a context whole. ``large`` contexts
+    (ascending) may be dealt by the first ``TOP_BITS`` bits of the code: the
+    counts of those bits come from ``tops``, by context and first bits."""
 
-    TOP_BITS = 8
+    TOP_BITS = 9
 
     def __init__(self, large: np.ndarray, tops: np.ndarray):
-        self.large, self.trees = large, CodeModel._tree(tops)
+        self.large, self.trees = large, tree_of(tops)
 
     def counts(self, ctx: np.ndarray, codes: np.ndarray, c: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Zeros and ones seen at each row's node, for each bit of the codes."""
@@ -118,79 +106,69 @@ class ContextCounts:
             yield zero, one
 
 
+def tree_of(leaves: np.ndarray) -> np.ndarray:
+    """Counts of every node, tree by tree: node i has the children 2i and 2i + 1."""
+    n = leaves.shape[1]
+    tree = np.zeros((len(leaves), 2 * n), np.float32)
+    level, at = leaves.astype(np.float64), n
+    tree[:, n:] = level
+    while at > 1:
+        level, at = level[:, 0::2] + level[:, 1::2], at // 2
+        tree[:, at : 2 * at] = level
+    return tree
+
+
 class CodeModel:
-    """Bits of a token's hashed code under four contexts: the text's class, its
-    group of classes, all texts, and the preceding token. ``leaves`` has token
-    counts by class and code; the preceding token's are ``ContextCounts``."""
-
-    STEPS = np.array([1, 3, 10, 40, 200, 1500, 20000], np.float32)
-    CONTEXT_STEPS = np.array([1, 2, 4, 12, 60, 400, 5000], np.float32)
-    GATES, PREDICTORS = 16 * 8, 4
-
-    def __init__(self, leaves: np.ndarray, group_of: np.ndarray):
-        groups = np.stack([leaves[group_of == g].sum(axis=0) for g in range(group_of.max() + 1)])
-        everything = leaves.sum(axis=0, keepdims=True)
-        self.trees = [self._tree(x) for x in (leaves, groups, everything)]
-        self.group_of = group_of
-        # what a node's counts say, for scoring, where no occurrence is left out
-        self.odds = [log_odds(t[:, 0::2], t[:, 1::2]) for t in self.trees]
-        self.seen = np.searchsorted(self.STEPS, self.trees[0][:, 0::2] + self.trees[0][:, 1::2], side="right").astype(np.uint8)
+    """Bits of a token's code under four contexts: none (all texts), the text's
+    class, the hashed end of the preceding token (for the first
+    ``ContextCounts.TOP_BITS`` bits) and the preceding token. ``leaves`` has token
+    counts by class and code, ``after_end`` by hashed end and first bits; the
+    preceding token's come from ``ContextCounts``."""
 
-    @staticmethod
-    def _tree(leaves: np.ndarray) -> np.ndarray:
-        """Counts of every node: node i has the children 2i and 2i + 1."""
-        n = leaves.shape[1]
-        tree = np.zeros((len(leaves), 2 * n), np.float32)
-        level, at = leaves.astype(np.float64), n
-        tree[:, n:] = level
-        while at > 1:
-            level, at = level[:, 0::2] + level[:, 1::2], at // 2
-            tree[:, at : 2 * at] = level
-        return tree
+    STEPS = np.array([1, 10, 200], np.float32)
+    CONTEXT_STEPS = np.array([1, 2, 3, 5, 8, 16, 60, 400, 5000], np.float32)
+    GATES, PREDICTORS = 10 * 4 * 6, 4
+
+    def __init__(self, leaves: np.ndarray, after_end: np.ndarray):
+        self.all, self.classes, self.ends = tree_of(leaves.sum(axis=0, keepdims=True))[0], tree_of(leaves), tree_of(after_end)
 
     def bits(
-        self, cls: np.ndarray, codes: np.ndarray, following: Iterator[tuple[np.ndarray, np.ndarray]], own: bool
+        self, cls: np.ndarray, ends: np.ndarray, codes: np.ndarray, following: Iterator[tuple[np.ndarray, np.ndarray]], own: bool
     ) -> Iterator[tuple[list[np.ndarray], np.ndarray, np.ndarray]]:
         """Log-odds, gate and bit for each bit of the codes; ``following`` has the
         zeros and ones after the preceding token; ``own``: leave one occurrence out."""
-        contexts = (cls, self.group_of[cls], np.zeros_like(cls))
+        nothing = np.zeros(len(codes), np.float32)
         for depth, (zero, one) in enumerate(following):
             node = (1 << depth) | (codes >> (CODE_BITS - depth))
             bit = (codes >> (CODE_BITS - 1 - depth)) & 1
-            late = 8 if depth >= 8 else 0
+            seen = [(zero, one), (self.all[2 * node], self.all[2 * node + 1]), (self.classes[cls, 2 * node], self.classes[cls, 2 * node + 1])]
+            if depth < ContextCounts.TOP_BITS:
+                seen.append((self.ends[ends, 2 * node], self.ends[ends, 2 * node + 1]))
             if own:
-                zero, one = np.maximum(zero - (bit == 0), 0).astype(np.float32), np.maximum(one - bit, 0).astype(np.float32)
-            after, known = log_odds(zero, one), 16 * np.searchsorted(self.CONTEXT_STEPS, zero + one, side="right")
-            if not own:
-                yield [*(o[at, node] for o, at in zip(self.odds, contexts, strict=True)), after], self.seen[cls, node].astype(np.int64) + late + known, bit
-                continue
-            stretch, gate = [], None
-            for tree, at in zip(self.trees, contexts, strict=True):
-                zero = np.maximum(tree[at, 2 * node] - (bit == 0), 0).astype(np.float32)
-                one = np.maximum(tree[at, 2 * node + 1] - bit, 0).astype(np.float32)
-                if gate is None:
-                    gate = np.searchsorted(self.STEPS, zero + one, side="right") + late + known
-                stretch.append(log_odds(zero, one))
-            yield [*stretch, after], gate, bit
-
-    def share(self, cls: np.ndarray, codes: np.ndarray, in_class: np.ndarray, in_all: np.ndarray) -> np.ndarray:
-        """Share of a known token among the tokens of its code: its class's count
-        backed by that of all texts."""
-        leaf = (1 << CODE_BITS) + codes
-        pooled = in_all / np.maximum(self.trees[2][0, leaf], in_all)
-        return (in_class + 0.5 * pooled) / (np.maximum(self.trees[0][cls, leaf], in_class) + 0.5)
+                seen = [(np.maximum(z - (bit == 0), 0).astype(np.float32), np.maximum(o - bit, 0).astype(np.float32)) for z, o in seen]
+            gate = np.searchsorted(self.CONTEXT_STEPS, seen[0][0] + seen[0][1], side="right") * 24 + min(depth // 3, 5)
+            low = np.minimum(seen[0][0], seen[0][1])  # how mixed the node is
+            gate = gate + 6 * np.searchsorted(self.STEPS, low, side="right")
+            stretch = [log_odds(z, o) for z, o in seen]
+            yield stretch if len(stretch) == 4 else [*stretch, nothing], gate, bit
 
 
 class SpellModel:
-    """Bits of the bytes of a closed token under its last one, two (with the
-    text's class), three and five bytes; ``tables`` count bits of distinct pairs
-    of class and token, by slot."""
+    """Bits of the bytes of a closed token under its last one, two (with the text's
+    class), three and five bytes; ``tables`` count bits of distinct tokens, by slot. ``slot_bits`` sizes
+    the tables of all orders but the first."""
 
     STEPS = np.array([1, 2, 4, 12, 60, 400, 5000], np.float32)
-    GATES, PREDICTORS = 8 * 8, len(SPELL_BITS)
+    GATES, PREDICTORS = 8 * 8, SPELL_ORDERS
 
-    def __init__(self, tables: list[np.ndarray] | None = None):
-        self.tables = tables or [np.zeros((1 << b, 2), np.float32) for b in SPELL_BITS]
+    def __init__(self, slot_bits: int, tables: list[np.ndarray] | None = None):
+        self.sizes = [16] + [slot_bits] * (SPELL_ORDERS - 1)
+        self.tables = tables or [np.zeros((1 << b, 2), np.float32) for b in self.sizes]
+
+    @staticmethod
+    def slot_bits(distinct: int) -> int:
+        """Slots grow with the distinct tokens, between 2^18 and 2^21 (a broadcast of 50 MB)."""
+        return min(max(int(distinct).bit_length() + 1, 18), 21)
 
     @staticmethod
     def spell(tokens: list[bytes], cls: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
@@ -214,12 +192,11 @@ class SpellModel:
         with_class = two + cls.astype(np.uint32)[of] * np.uint32(0xC2B2AE35)
         return data, of, [np.minimum(one, np.uint32(255)), with_class, three, five]
 
-    @staticmethod
-    def slots(context: np.ndarray, node: np.ndarray, order: int) -> np.ndarray:
+    def slots(self, context: np.ndarray, node: np.ndarray, order: int) -> np.ndarray:
         if order == 0:
             return (context << np.uint32(8)) | node
         h = (context ^ (node * np.uint32(0x27D4EB2F))) * np.uint32(0x9E3779B1)
-        return (h ^ (h >> np.uint32(15))) * np.uint32(0x85EBCA77) >> np.uint32(32 - SPELL_BITS[order])
+        return (h ^ (h >> np.uint32(15))) * np.uint32(0x85EBCA77) >> np.uint32(32 - self.sizes[order])
 
     @staticmethod
     def byte_bits(data: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -230,11 +207,11 @@ class SpellModel:
             node = (node << np.uint32(1)) | bit
 
     def count(self, tokens: list[bytes], cls: np.ndarray, tables: list[np.ndarray]) -> None:
-        """Add the bits of distinct pairs to (2, slots) ``tables``."""
+        """Add the bits of distinct tokens to (2, slots) ``tables``."""
         data, _, contexts = self.spell(tokens, cls)
         for node, bit in self.byte_bits(data):
             for order, context in enumerate(contexts):
-                slots = self.slots(context, node, order).astype(np.int64) + bit.astype(np.int64) * (1 << SPELL_BITS[order])
+                slots = self.slots(context, node, order).astype(np.int64) + bit.astype(np.int64) * (1 << self.sizes[order])
                 np.add.at(tables[order].reshape(-1), slots, 1)
 
     def bits(self, tokens: list[bytes], cls: np.ndarray, own: bool) -> tuple[np.ndarray, Iterator[tuple[list[np.ndarray], np.ndarray, np.ndarray]]]:

@@ -1,70 +1,145 @@
 """Language-model scores by logistic context mixing, with a token-count base.
 
-A text is a sequence of tokens: its words, then one end. Texts fall into
-classes (clusters of n-gram vectors, in groups), and a text's class is coded
-first. A token is then coded by binary decisions: whether it is new; if not,
-the bits of its hashed code, each predicted under the text's class, its group,
-all texts and the hash of the preceding token, and its share among the tokens of that code; if new, the bits of
-its bytes, each predicted under the last one to five bytes. ``lm_mixing``
-combines the predictors; its weights are learned online over all tokens with
-the occurrence itself left out of the counts, so they fit unseen text.
-
-A token's probability depends on its class, the preceding token and itself, so
-it is found once for each such triple and used wherever the triple stands. The
-counts under preceding tokens are rows that grow with the corpus, dealt by
-context; no task and no broadcast holds them all.
+A text is a sequence of tokens: its words, then one end. Tokens that the training
+texts hold at least twice have a code of ``CODE_BITS`` bits (at most ``KNOWN`` of
+them, the most frequent); all others share one code, RARE. A token's code is
+predicted bit by bit under four contexts: all texts, the text's class (clusters of
+byte-pair histograms; a text's class is coded first), the hashed end of the
+preceding token, and the hash of the preceding token itself. ``lm_mixing``
+combines the predictions; its weights are learned online over all tokens with the
+occurrence itself left out of the counts, so they fit unseen text. A rare token
+is then drawn by its count (discounted), or, if it is new, spelled: the bits of
+its bytes are predicted under the last one to five bytes (and the class) and
+mixed likewise.
+
+How it is spread. The vocabulary (count of every token) is a Spark table that
+grows with the corpus. Each text's (preceding token, code) pairs go, packed, to
+deals by preceding token; what follows a token in all texts is then in one deal,
+which counts, learns and scores its pairs, and answers each text with a sum.
+Pairs that are frequent in a bounded sample are counted where they stand and
+scored once, by list; which pairs are on the list changes the volume, not the
+result. A preceding token of over 1 / ``LARGE_SHARE`` of all tokens is dealt by
+the code's first bits too; there are fewer than ``LARGE_SHARE``, and the counts of
+their codes' first bits are a table of bounded size.
 """
 
 from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
-from lakemart.llm.common import buffers, cut, fold, slices, prepare, to_batch
-from lakemart.llm.language_id import DIMS, term_counts, unit_vectors
-from lakemart.llm.lm_mixing import CODE_BITS, SPELL_BITS, CodeModel, ContextCounts, Mixer, SpellModel, token_codes, token_hashes
-
-END = b"\n"
-#: A (class, context, token) triple with over 1 / HOT_SHARE of all tokens is hot: there are fewer than HOT_SHARE.
-HOT_SHARE = 50_000
-CLASSES, GROUPS = 16, 4
-#: Training texts that the clustering's starting centroids come from, and its rounds over all texts at most.
-SAMPLE_TEXTS = 2000
+from pyspark.sql.pandas.types import to_arrow_type
+
+from lakemart.llm.common import buffers, cut, discard, fold, prepare, slices, to_batch
+from lakemart.llm.lm_mixing import CODE_BITS, CodeModel, ContextCounts, Mixer, SpellModel
+from lakemart.llm.words import LOWER, NOT_SPACE, Words, single_spaced, split_words, xxh64
+
+#: Tokens with a code of their own, at most; what a task holds of them is 16 bytes each.
+KNOWN = (1 << CODE_BITS) - 2
+END_CODE, RARE_CODE = 0, (1 << CODE_BITS) - 1
+#: Pairs on the list, at most, and texts of the sample that it is made from.
+LISTED = 400_000
+SAMPLE_TEXTS = 20_000
+#: Texts that the clustering's starting centroids come from, about.
+CLUSTER_TEXTS = 2000
+#: A preceding token of more than 1 / LARGE_SHARE of all tokens is large.
+LARGE_SHARE = 1000
+#: Classes of texts, as bits; dimensions of a text's histogram; rounds of clustering at most.
+CLASS_BITS = 4
+CLASSES = 1 << CLASS_BITS
+DIMS = 256
 ROUNDS = 10
 #: A round that moves no centroid's component further is the last.
 STILL = 1e-3
-#: Distinct (class, token) pairs, or (class, context, token) triples, that a task counts before it hands them on.
-HELD_PAIRS = 400_000
-#: Contexts of more triples are dealt by the first bits of the token's code too.
-LARGE_CONTEXT = 50_000
+#: A pair's key: a hash of the preceding token, one of its last two bytes, the code, the class.
+END_BITS = 8
+CONTEXT_BITS = 64 - CODE_BITS - CLASS_BITS
+#: Tokens behind one deal, about.
+DEAL_TOKENS = 1_500_000
+#: Distinct tokens, or pairs, that a task holds before it hands them on.
+HELD_TOKENS = 500_000
+HELD_PAIRS = 2_000_000
+#: Rows of one online step; slots of a table that are summed up together.
+STEP_ROWS = 4096
+BLOCK_ROWS = 65_536
 CHUNK = 1 << 12
-BLOCK_TOKENS = 8192
-#: Vocabulary rows of one online step.
-STEP_TOKENS = 4096
+#: No token is discounted by more than this count.
+MOST_DISCOUNT = 0.75
+SEED = 42
 LOG10_2 = math.log10(2.0)
+_FIRST = ContextCounts.TOP_BITS
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+# ------------------------------------------------------------------ tokens of a slice
+
+
+def _end_of(last: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """``END_BITS`` hashed bits of a token's last two bytes."""
+    return ((last.astype(np.uint64) << np.uint64(8) | before) * _MIX) >> np.uint64(64 - END_BITS)
+
+
+def _context(hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - CONTEXT_BITS + END_BITS)) << np.uint64(END_BITS) | ends
+
+
+#: The hash and context of an end (no word holds a line feed).
+END_HASH = xxh64(np.frombuffer(b"\n", np.uint8), np.array([0]), np.array([1]), SEED)
+END_CONTEXT = _context(END_HASH, np.zeros(1, np.uint64))
+
+
+def token_hash(w: Words) -> np.ndarray:
+    """XXH64 of each word with one space after it, as Spark's ``xxhash64`` of such bytes."""
+    return xxh64(w.data, w.starts, w.ends + 1, SEED)
+
+
+def token_array(w: Words) -> pa.Array:
+    """The words of single-spaced ``w``, each with the space after it."""
+    offsets = np.append(w.starts, w.ends[-1] + 1 if len(w.ends) else 0).astype(np.int64)
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(w.starts), [None, pa.py_buffer(offsets), pa.py_buffer(w.data)])
+
+
+def with_ends(values: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Values of the words, with that of an end after each text's."""
+    return np.insert(values, first[1:], end[0])
+
+
+def preceding(w: Words, hashes: np.ndarray) -> np.ndarray:
+    """The context of each token of a slice, ends included: what the token before
+    it is (an end, for a text's first)."""
+    last = w.data[w.ends - 1]
+    before = np.where(w.ends - w.starts > 1, w.data[np.maximum(w.ends - 2, 0)], 0)
+    own = with_ends(_context(hashes, _end_of(last, before)), w.first, END_CONTEXT)
+    return np.roll(own, 1)
 
 
 # ------------------------------------------------------------------ text classes
 
 
-@dataclass(frozen=True)
-class Classes:
-    idf: np.ndarray
-    centroids: np.ndarray
-    group_of: np.ndarray
+def histograms(column: pa.Array) -> np.ndarray:
+    """Each text's vector of length 1: root frequencies of its hashed byte pairs (A-Z lower-cased)."""
+    raw, offsets = buffers(column)
+    data = LOWER[raw].astype(np.uint32)
+    of = np.repeat(np.arange(len(column)), np.diff(offsets))
+    slot = ((data[:-1] << np.uint32(8) | data[1:]) * np.uint32(40503) >> np.uint32(8)) & np.uint32(DIMS - 1)
+    same = of[1:] == of[:-1]
+    counts = np.bincount(of[:-1][same] * DIMS + slot[same], minlength=len(column) * DIMS).reshape(-1, DIMS)
+    x = np.sqrt(counts.astype(np.float32))
+    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+
 
-    def of(self, column: pa.Array) -> np.ndarray:
-        return np.argmax(unit_vectors(term_counts(column), self.idf) @ self.centroids.T, axis=1)
+def classes_of(column: pa.Array, centroids: np.ndarray) -> np.ndarray:
+    return np.argmax(histograms(column) @ centroids.T, axis=1)
 
 
 def _cluster(x: np.ndarray, k: int) -> np.ndarray:
@@ -82,383 +157,585 @@ def _cluster(x: np.ndarray, k: int) -> np.ndarray:
     return np.concatenate([c, np.repeat(c[-1:], k - len(c), axis=0)])
 
 
-def _summed(parts: DataFrame) -> np.ndarray | None:
-    """The sum of rows ``v`` (doubles, compressed; one of a partition), over two levels
-    and in a set order, so that a run repeats."""
-
-    def add(rows: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(zlib.decompress(v)) for v in sorted(rows["v"]))
-        return pd.DataFrame({"many": [0], "v": [zlib.compress(total.tobytes(), 1)]})
-
-    parts = parts.select(F.floor(F.spark_partition_id() / 64).alias("many"), "v")
-    schema = "many long, v binary"
-    made = parts.groupBy("many").applyInPandas(add, schema).groupBy(F.lit("all").alias("all")).applyInPandas(add, schema).first()
-    return None if made is None else np.frombuffer(zlib.decompress(made["v"]))
-
-
-def _packed(total: np.ndarray) -> bytes:
-    """Doubles of float precision, so that half of their bytes pack to almost nothing."""
-    return zlib.compress(total.astype(np.float32).astype(np.float64).tobytes(), 1)
-
-
-def text_classes(docs: DataFrame) -> Classes:
-    """Clusters of the training rows: document frequencies and every round's sums
-    are over all of them, and the sums alone reach the driver. The starting
-    centroids come from a bounded sample (by a hash of the text), in which copies
-    of a text count once."""
+def text_classes(docs: DataFrame, texts: int) -> np.ndarray:
+    """Centroids of the training texts. Their histograms are written once, a byte a
+    dimension; every round reads them all, and its sums of whole numbers alone
+    reach the driver. The rounds start from centroids of a bounded sample, in
+    which copies of a text count once."""
     spark = docs.sparkSession
-    train = docs.where("train and text is not null").select("text")
-    none = Classes(np.ones(DIMS, np.float32), np.zeros((CLASSES, DIMS), np.float32), np.zeros(CLASSES, np.int64))
-
-    def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(DIMS + 1)
-        for _, column in slices(batches):
-            total[:DIMS] += (term_counts(column) > 0).sum(axis=0)
-            total[DIMS] += len(column)
-        if total[DIMS]:
-            yield to_batch(v=pa.array([zlib.compress(total.tobytes(), 1)], pa.binary()))
-
-    found = _summed(train.mapInArrow(frequencies, "v binary"))
-    if found is None:
-        return none
-    n = found[DIMS]
-    idf = np.log((1 + n) / (1 + found[:DIMS])).astype(np.float32) + np.float32(0.05)
-    place = F.pmod(F.xxhash64("text", F.lit(5)), F.lit(1_000_000)) / F.lit(1e6)
-    sample = train.where(place < min(1.0, SAMPLE_TEXTS / n)).distinct()
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, column in slices(batches):
-            x = term_counts(column)
-            yield to_batch(x=pa.array([v.tobytes() for v in x.astype("<f4")], pa.binary()))
-
-    def start(rows: pd.DataFrame) -> pd.DataFrame:
-        x = np.stack([np.frombuffer(v, "<f4") for v in sorted(rows["x"])[: 2 * SAMPLE_TEXTS]])
-        return pd.DataFrame({"fine": [_cluster(unit_vectors(x, idf), CLASSES).astype("<f4").tobytes()]})
+        for batch, column in slices(batches):
+            x = np.rint(histograms(column) * 255).astype(np.uint8)
+            yield to_batch(place=batch.column(1), x=pa.array([v.tobytes() for v in x], pa.binary()))
 
-    made = sample.mapInArrow(counted, "x binary").groupBy(F.lit("all").alias("all")).applyInPandas(start, "fine binary").first()
-    if made is None:
-        return none
-    fine = np.frombuffer(made["fine"], "<f4").reshape(CLASSES, DIMS)
+    place = F.pmod(F.xxhash64("text", F.lit(5)), F.lit(1_000_000)) / F.lit(1e6)
+    train = docs.where("train and text is not null").select("text", place.alias("place"))
+    held = cut(train.mapInArrow(counted, "place double, x binary"), "histograms")
+    sample = held.where(F.col("place") < min(1.0, CLUSTER_TEXTS / max(texts, 1))).select("x").distinct().toArrow()["x"].to_pylist()
+    if not sample:
+        discard(held)
+        return np.zeros((CLASSES, DIMS), np.float32)
+    centres = _cluster(np.stack([np.frombuffer(v, np.uint8) for v in sorted(sample)]).astype(np.float32) / 255, CLASSES)
     for _ in range(ROUNDS):
-        shared = spark.sparkContext.broadcast((idf, fine))
+        shared = spark.sparkContext.broadcast(centres)
 
         def add(batches: Iterator[pa.RecordBatch], shared: Broadcast = shared) -> Iterator[pa.RecordBatch]:
-            idf, fine = shared.value
-            total, rows = np.zeros((CLASSES, DIMS)), 0
-            for _, column in slices(batches):
-                x = unit_vectors(term_counts(column), idf)
-                total += np.eye(CLASSES, dtype=np.float32)[:, np.argmax(x @ fine.T, axis=1)] @ x
-                rows += len(x)
-            if rows:
-                yield to_batch(v=pa.array([_packed(total)], pa.binary()))
-
-        total = _summed(train.mapInArrow(add, "v binary")).reshape(CLASSES, DIMS)
-        norm = np.linalg.norm(total, axis=1, keepdims=True)
-        moved = np.where(norm > 0, total / np.maximum(norm, 1e-12), fine).astype(np.float32)
+            total = np.zeros((CLASSES, DIMS), np.int64)
+            for batch in batches:
+                x = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint8).reshape(-1, DIMS)
+                own = np.argmax(x.astype(np.float32) @ shared.value.T, axis=1)
+                for k in range(CLASSES):
+                    total[k] += x[own == k].sum(axis=0, dtype=np.int64)
+            yield to_batch(form=pa.array([0], pa.int32()), at=pa.array([0], pa.int64()), blob=pa.array([zlib.compress(total.tobytes(), 1)], pa.binary()))
+
+        total = np.zeros(CLASSES * DIMS, np.int64)
+        _summed(held.select("x").mapInArrow(add, "form int, at long, blob binary"), [total])
         shared.destroy()
-        still = np.abs(moved - fine).max() < STILL
-        fine = moved
+        total = total.reshape(CLASSES, DIMS).astype(np.float64)
+        norm = np.linalg.norm(total, axis=1, keepdims=True)
+        moved = np.where(norm > 0, total / np.maximum(norm, 1e-12), centres).astype(np.float32)
+        still = np.abs(moved - centres).max() < STILL
+        centres = moved
         if still:
             break
-    group = np.argmax(fine @ _cluster(fine, GROUPS).T, axis=1)
-    return Classes(idf, fine, group)
+    discard(held)
+    return centres
 
 
-# ------------------------------------------------------------------ what the corpus holds
+# ------------------------------------------------------------------ vocabulary
 
 
-def vocabulary(docs: DataFrame, classes: Classes) -> DataFrame:
-    """token, c (count in training rows), n (in all rows), by_class (class, c, n)
-    over all texts of (text, train) rows. Tasks add up before the shuffle, so a
-    frequent token is a few rows of each task there."""
-    shared = docs.sparkSession.sparkContext.broadcast(classes)
+def vocabulary(docs: DataFrame, centroids: np.ndarray) -> DataFrame:
+    """token (a word and a space), c (count in training rows), n (in all rows),
+    cls (the least class of a training text that it stands in; else of any) of
+    (text, train) rows. Tasks add up before the shuffle, so a frequent token is a
+    few rows of each task there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: list[Counter] = [Counter() for _ in range(2 * CLASSES)]  # held-out, then training
-
-        def out() -> Iterator[pa.RecordBatch]:
-            for k in range(CLASSES):
-                held, train = seen[k], seen[CLASSES + k]
-                for counts, is_train in ((held, 0), (train, 1)):
-                    n = np.fromiter(counts.values(), np.int64, len(counts))
-                    for a in range(0, len(n), 50_000):
-                        part = pa.array(list(counts)[a : a + 50_000], pa.binary())
-                        m = n[a : a + 50_000]
-                        yield to_batch(token=part, cls=np.full(len(m), k, np.int32), c=m * is_train, n=m)
-                held.clear()
-                train.clear()
+        held: list[pa.Table] = []
+        size = 0
+
+        def summed() -> pa.Table:
+            t = pa.concat_tables(held).group_by("token").aggregate([("c", "sum"), ("n", "sum"), ("cls", "min")])
+            return t.select(["token", "c_sum", "n_sum", "cls_min"]).rename_columns(["token", "c", "n", "cls"])
 
         for part, column in slices(batches):
-            own = shared.value.of(column).tolist()
-            for text, k, train in zip(column.to_pylist(), own, part.column(1).to_pylist(), strict=True):
-                words = text.lower().split()
-                words.append(END)
-                seen[k + CLASSES * bool(train)].update(words)
-            if sum(map(len, seen)) > HELD_PAIRS:
-                yield from out()
-        yield from out()
-
-    pairs = docs.mapInArrow(run, "token binary, cls int, c long, n long").repartition("token")
-    pairs = pairs.groupBy("token", "cls").agg(F.sum("c").alias("c"), F.sum("n").alias("n"))
-    return pairs.groupBy("token").agg(
-        F.sum("c").alias("c"), F.sum("n").alias("n"), F.collect_list(F.struct("cls", "c", "n")).alias("by_class")
+            w = single_spaced(split_words(column, NOT_SPACE))
+            if not len(w.starts):
+                continue
+            found = token_array(w).dictionary_encode()
+            at = found.indices.to_numpy()
+            train = np.repeat(part.column(1).to_numpy(zero_copy_only=False).astype(bool), w.counts)
+            distinct = len(found.dictionary)
+            cls = np.full(distinct, 2 * CLASSES)
+            np.minimum.at(cls, at, np.repeat(classes_of(column, centroids), w.counts) + CLASSES * (1 - train))
+            held.append(pa.table({
+                "token": found.dictionary, "c": np.bincount(at[train], minlength=distinct), "n": np.bincount(at, minlength=distinct), "cls": cls,
+            }))
+            size += distinct
+            if size > HELD_TOKENS:
+                held = [summed()]
+                size = len(held[0])
+                if size > HELD_TOKENS // 2:
+                    yield from _typed(held.pop()).to_batches(50_000)
+                    size = 0
+        if held:
+            yield from _typed(summed()).to_batches(50_000)
+
+    def _typed(t: pa.Table) -> pa.Table:
+        return t.cast(pa.schema([("token", pa.binary()), ("c", pa.int64()), ("n", pa.int64()), ("cls", pa.int64())])).combine_chunks()
+
+    counts = docs.mapInArrow(run, "token binary, c long, n long, cls long")
+    least = F.pmod(F.min("cls"), F.lit(CLASSES)).cast("int")
+    return counts.groupBy("token").agg(F.sum("c").alias("c"), F.sum("n").alias("n"), least.alias("cls"))
+
+
+def _at_most(counts: DataFrame, most: int, least: int) -> int:
+    """The smallest count, ``least`` or more, that no more than ``most`` rows of
+    ``counts.c`` reach. Rows are counted by their count (told apart up to 2^20)."""
+    sizes = counts.where(F.col("c") >= least).groupBy(F.least("c", F.lit(1 << 20)).alias("c")).count().orderBy(F.desc("c")).collect()
+    total, bound = 0, least
+    for r in sizes:
+        if total + r["count"] > most:
+            return max(r["c"] + 1, least)
+        total += r["count"]
+    return bound
+
+
+@dataclass
+class Known:
+    """The tokens with a code: hashes in ascending order, and each one's code and count."""
+
+    hashes: np.ndarray
+    codes: np.ndarray
+    counts: np.ndarray  # by code
+
+    def codes_of(self, hashes: np.ndarray) -> np.ndarray:
+        """The code of each hashed word; RARE_CODE if it has none."""
+        if not len(self.hashes):
+            return np.full(len(hashes), RARE_CODE, np.int64)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, self.codes[at], RARE_CODE)
+
+
+@dataclass
+class Totals:
+    """Sums over the vocabulary."""
+
+    n_train: int  # training tokens, ends included
+    distinct: int  # distinct training tokens, the end included
+    n_all: int
+    rare: int  # training tokens that are RARE
+    rare_distinct: int
+    discount: float
+    ends: int  # training texts
+
+    @property
+    def lessen(self) -> float:
+        return math.log10(self.n_train + 0.5 * (self.distinct + 1))
+
+    @property
+    def new_rate(self) -> float:
+        """The share of new tokens among rare ones: what is taken off the counts."""
+        return self.discount * self.rare_distinct / self.rare if self.rare else 1.0
+
+
+def known_tokens(words: DataFrame, texts: int, training_texts: int) -> tuple[Known, Totals]:
+    bound = _at_most(words, KNOWN, 2)
+    listed = words.where(F.col("c") >= bound).select(F.xxhash64("token").alias("h"), "c").toArrow()
+    hashes, counts = listed["h"].to_numpy().astype(np.int64).view(np.uint64), listed["c"].to_numpy().astype(np.int64)
+    rank = np.lexsort([hashes, -counts])  # code 1 is the most frequent
+    codes = np.empty(len(rank), np.int64)
+    codes[rank] = np.arange(1, len(rank) + 1)
+    s = words.agg(
+        F.sum("c").alias("c"), F.sum("n").alias("n"), F.count_if(F.col("c") > 0).alias("v"), F.count_if(F.col("c") == 1).alias("once"), F.count_if(F.col("c") == 2).alias("twice")
+    ).first()
+    total = s["c"] or 0
+    rare, rare_distinct = total - int(counts.sum()), (s["v"] or 0) - len(counts)
+    discount = min(MOST_DISCOUNT, (s["once"] + 1) / (s["once"] + 2 * s["twice"] + 1))
+    by_code = np.zeros(1 << CODE_BITS, np.int64)
+    by_code[codes] = counts
+    by_code[END_CODE], by_code[RARE_CODE] = training_texts, rare
+    order = np.argsort(hashes)
+    totals = Totals(
+        total + training_texts, (s["v"] or 0) + (training_texts > 0), (s["n"] or 0) + texts, rare, rare_distinct, discount, training_texts
     )
+    return Known(hashes[order], codes[order], by_code), totals
 
 
-def _in_context(column: pa.Array) -> list[list[tuple[int, bytes]]]:
-    """Each text's tokens with the hash of the preceding one (an end at first)."""
-    texts = [[*t.lower().split(), END] for t in column.to_pylist()]
-    hashes = np.roll(token_hashes([w for words in texts for w in words]), 1).view(np.int64).tolist()
-    out, at = [], 0
-    for words in texts:
-        out.append(list(zip(hashes[at : at + len(words)], words, strict=True)))
-        at += len(words)
-    return out
+def large_contexts(words: DataFrame, totals: Totals, texts: int) -> np.ndarray:
+    """The contexts of tokens with over 1 / LARGE_SHARE of all, ascending."""
+    tokens = words.where(F.col("n") * LARGE_SHARE > totals.n_all).select(F.xxhash64("token").alias("h"), F.expr("substring(token, -3, 3)").alias("tail")).collect()
+    out = [END_CONTEXT[0]] if texts * LARGE_SHARE > totals.n_all else []
+    for r in tokens:
+        tail = b"\0\0" + bytes(r["tail"])[:-1]
+        end = _end_of(np.array([tail[-1]]), np.array([tail[-2]], np.uint64))
+        out += _context(np.array([r["h"]]).view(np.uint64), end).tolist()
+    return np.unique(np.array(out, np.uint64))
+
+
+# ------------------------------------------------------------------ pairs
+
+
+_KEYED = CODE_BITS + CLASS_BITS
+
 
+def _key(context: np.ndarray, codes: np.ndarray, cls: np.ndarray) -> np.ndarray:
+    return context << np.uint64(_KEYED) | (codes << CLASS_BITS | cls).astype(np.uint64)
 
-def contexts(docs: DataFrame, classes: Classes, words: DataFrame) -> DataFrame:
-    """ctx (hash of the preceding token), cls, token, code, c (count in training
-    rows), n (in all rows), with the token's ``total`` and the pair's ``pair_c``
-    in training rows, of every distinct triple."""
-    shared = docs.sparkSession.sparkContext.broadcast(classes)
+
+def _codes_in(keys: np.ndarray) -> np.ndarray:
+    return ((keys >> np.uint64(CLASS_BITS)) & np.uint64((1 << CODE_BITS) - 1)).astype(np.int64)
+
+
+def listed_pairs(docs: DataFrame, known: Known, centroids: np.ndarray, texts: int) -> np.ndarray:
+    """Keys of pairs that are frequent in a sample of about ``SAMPLE_TEXTS``
+    training texts, ascending: a pair on the list has a training count."""
+    place = F.pmod(F.xxhash64("text", F.lit(5)), F.lit(1_000_000)) / F.lit(1e6)
+    sample = docs.where(F.col("train") & (place < min(1.0, SAMPLE_TEXTS / max(texts, 1)))).select("text")
+    shared = docs.sparkSession.sparkContext.broadcast((known, centroids))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: list[Counter] = [Counter() for _ in range(2 * CLASSES)]  # held-out, then training
-
-        def out() -> Iterator[pa.RecordBatch]:
-            for k, counts in enumerate(seen):
-                triples, n = list(counts), np.fromiter(counts.values(), np.int64, len(counts))
-                counts.clear()
-                for a in range(0, len(n), 50_000):
-                    ctx, tokens = zip(*triples[a : a + 50_000], strict=True)
-                    m = n[a : a + 50_000]
-                    yield to_batch(
-                        ctx=np.array(ctx, np.int64), cls=np.full(len(m), k % CLASSES, np.int32), token=pa.array(tokens, pa.binary()),
-                        code=token_codes(tokens).astype(np.int32), c=m * (k >= CLASSES), n=m,
-                    )
+        for _, column in slices(batches):
+            keys, counts = np.unique(_pairs(column, *shared.value)[0], return_counts=True)
+            yield to_batch(key=keys.view(np.int64), c=counts.astype(np.int64))
+
+    counted = cut(sample.mapInArrow(run, "key long, c long").groupBy("key").agg(F.sum("c").alias("c")), "sampled-pairs")
+    bound = _at_most(counted, LISTED, 2)
+    keys = np.sort(counted.where(F.col("c") >= bound).select("key").toArrow()["key"].to_numpy().astype(np.int64).view(np.uint64))
+    discard(counted)
+    return keys
+
+
+def _pairs(column: pa.Array, known: Known, centroids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, Words]:
+    """The key of each token with its context, the token's code (ends included), the texts' classes, and the words."""
+    cls = classes_of(column, centroids)
+    w = single_spaced(split_words(column, NOT_SPACE))
+    hashes = token_hash(w)
+    codes = with_ends(known.codes_of(hashes), w.first, np.array([END_CODE]))
+    return _key(preceding(w, hashes), codes, np.repeat(cls, w.counts + 1)), codes, cls, w
+
+
+def _pack(*arrays: np.ndarray) -> bytes:
+    """Arrays in little-endian bytes, compressed together; the first is ascending and held by its steps."""
+    first = np.diff(arrays[0], prepend=arrays[0].dtype.type(0)) if len(arrays[0]) else arrays[0]
+    parts = [np.array([len(a) for a in arrays], "<i8").tobytes()]
+    for a in (first, *arrays[1:]):  # byte planes: the high bytes of small numbers lie together
+        parts.append(np.ascontiguousarray(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T).tobytes())
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
+
+
+def _unpack(blob: bytes, *kinds: type) -> list[np.ndarray]:
+    raw = zstandard.ZstdDecompressor().decompress(blob)
+    sizes = np.frombuffer(raw, "<i8", len(kinds))
+    at, out = 8 * len(kinds), []
+    for n, kind in zip(sizes.tolist(), kinds, strict=True):
+        width = np.dtype(kind).itemsize
+        planes = np.frombuffer(raw, np.uint8, n * width, at).reshape(width, n)
+        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(kind))
+        at += n * width
+    out[0] = np.cumsum(out[0], dtype=kinds[0])
+    return out
 
-        for part, column in slices(batches):
-            own = shared.value.of(column).tolist()
-            for pairs, k, train in zip(_in_context(column), own, part.column(1).to_pylist(), strict=True):
-                seen[k + CLASSES * bool(train)].update(pairs)
-            if sum(map(len, seen)) > HELD_PAIRS:
-                yield from out()
-        yield from out()
-
-    triples = docs.mapInArrow(run, "ctx long, cls int, token binary, code int, c long, n long")
-    triples = triples.groupBy("ctx", "cls", "token", "code").agg(F.sum("c").alias("c"), F.sum("n").alias("n"))
-    pairs = words.select("token", F.col("c").alias("total"), F.explode("by_class").alias("p"))
-    return triples.join(pairs.select("token", F.col("p.cls").alias("cls"), "total", F.col("p.c").alias("pair_c")), ["token", "cls"])
-
-
-def by_context(triples: DataFrame) -> tuple[DataFrame, ContextCounts]:
-    """The triples dealt by context and in the order that ``ContextCounts`` asks
-    for. A context of over ``LARGE_CONTEXT`` triples is dealt by the code's first
-    bits too, so that no context is one task's; the counts by those bits are held."""
-    spark = triples.sparkSession
-    large = sorted(r["ctx"] for r in triples.groupBy("ctx").count().where(F.col("count") > LARGE_CONTEXT).select("ctx").collect())
-    marks = spark.createDataFrame([(x, True) for x in large], "ctx long, large boolean")
-    top = F.shiftright("code", CODE_BITS - ContextCounts.TOP_BITS)
-    marked = triples.join(F.broadcast(marks), "ctx", "left").withColumn("deal", F.when(F.col("large"), top).otherwise(-1))
-    tops = np.zeros((len(large), 1 << ContextCounts.TOP_BITS))
-    if large:
-        sums = marked.where("large").groupBy("ctx", "deal").agg(F.sum("c").alias("c")).toArrow()
-        ctx, deal, c = (np.asarray(x) for x in sums.columns)
-        tops[np.searchsorted(large, ctx), deal] = c
-    # a set order, so that a run repeats
-    dealt = marked.repartition("ctx", "deal").sortWithinPartitions("ctx", "code", "cls", "token")
-    return dealt.select("ctx", "deal", "cls", "token", "code", "c", "n", "total", "pair_c"), ContextCounts(np.array(large, np.int64), tops)
 
+def _deal_of(keys: np.ndarray, large: np.ndarray, deals: int) -> np.ndarray:
+    """The deal of each pair: by its context, and the code's first bits if that is large."""
+    context = keys >> np.uint64(_KEYED)
+    if len(large):
+        at = np.minimum(np.searchsorted(large, context), len(large) - 1)
+        first = (_codes_in(keys) >> (CODE_BITS - _FIRST)).astype(np.uint64)
+        context = context + np.where(large[at] == context, (first + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0))
+    return (((context * _MIX) >> np.uint64(32)) % np.uint64(deals)).astype(np.int64)
 
-@dataclass
-class Block:
-    """Triples as arrays, with each context (or dealt piece of one) whole."""
 
-    ctx: np.ndarray
-    cls: np.ndarray
-    tokens: pa.Array
-    codes: np.ndarray
-    c: np.ndarray
-    n: np.ndarray
-    total: np.ndarray
-    pair_c: np.ndarray
+#: deal of rows that are no deal's: texts, and chunks of the counts that all tasks share.
+TEXTS, TABLES = -1, -2
+_EMITTED = "deal int, task int, form int, at long, blob binary"
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[Block]:
-    def block(t: pa.Table) -> Block:
-        ctx, cls, codes, c, n, total, pair_c = (t[x].to_numpy().astype(np.int64) for x in ("ctx", "cls", "code", "c", "n", "total", "pair_c"))
-        return Block(ctx, cls, t["token"].combine_chunks(), codes, c, n, total, pair_c)
+@dataclass
+class Setting:
+    """What a task needs to emit pairs."""
 
-    held: list[pa.RecordBatch] = []
-    rows, limit = 0, least
-    for batch in batches:
-        held.append(batch)
-        rows += len(batch)
-        if rows < limit:
-            continue
-        t = pa.Table.from_batches(held).combine_chunks()
-        ctx, top = t["ctx"].to_numpy(), np.where(t["deal"].to_numpy() < 0, -1, t["code"].to_numpy() >> (CODE_BITS - ContextCounts.TOP_BITS))
-        ends = np.flatnonzero((ctx[1:] != ctx[:-1]) | (top[1:] != top[:-1])) + 1
-        if len(ends):
-            yield block(t.slice(0, ends[-1]))
-            t = t.slice(ends[-1])
-        held, rows = t.to_batches(), len(t)
-        limit = max(least, 2 * rows)
-    if rows:
-        yield block(pa.Table.from_batches(held))
+    known: Known
+    centroids: np.ndarray
+    listed: np.ndarray
+    large: np.ndarray
+    deals: int
+    lessen: float
+
+
+def emit(docs: DataFrame, setting: Setting, id_type: str) -> DataFrame:
+    """One pass over (doc_id, text, train) rows:
+
+    * deal >= 0: packed pairs of a task, each with its text's number and whether
+      it trains (form 0), or with a count alone, for pairs on the list (form 1);
+    * TEXTS: a slice of texts, from number ``at`` of its task: id, train, bytes,
+      class, tokens, base score of tokens with a code, its rare tokens, and in
+      ``blob`` its listed pairs;
+    * TABLES: chunk ``at`` of the training counts by hashed end and first bits of
+      the code (form 0), by large context and first bits (form 1), or by class
+      and code (form 2)."""
+    shared = docs.sparkSession.sparkContext.broadcast(setting)
+    columns = f"{_EMITTED}, ids array<{id_type}>, train array<boolean>, n_bytes array<long>, n_tokens array<long>, n_known array<long>, base array<double>, cls array<int>"
+    columns += ", rare array<binary>, rare_at array<long>, rare_n array<long>"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        s = shared.value
+        task, upto = TaskContext.get().partitionId(), 0
+        seen = s.known.counts > 0
+        base = np.where(seen, np.log10(s.known.counts + 0.5) - s.lessen, 0.0)
+        base[RARE_CODE], seen[RARE_CODE] = 0.0, False
+        listed = np.zeros(len(s.listed), np.int64)
+        by_end = np.zeros((1 << END_BITS) << _FIRST, np.int32)
+        by_large = np.zeros(len(s.large) << _FIRST, np.int64)
+        by_class = np.zeros(CLASSES << CODE_BITS, np.int32)
+        keys, refs, held = [], [], 0
+
+        def row(deal: int, form: int, at: int, blob: bytes, **lists: pa.Array) -> pa.RecordBatch:
+            out = {"deal": [deal], "task": [task], "form": [form], "at": [at], "blob": [blob]}
+            arrays = [pa.array(v, t) for v, t in zip(out.values(), (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary()), strict=True)]
+            for name, t in _LISTS.items():
+                kind = pa.list_(t or to_arrow(batch_id_type))
+                one = lists.get(name)
+                arrays.append(pa.array([None], kind) if one is None else pa.ListArray.from_arrays([0, len(one)], one.cast(kind.value_type)))
+            return pa.RecordBatch.from_arrays(arrays, names=[*out, *_LISTS])
+
+        def dealt(form: int, k: np.ndarray, values: np.ndarray) -> Iterator[pa.RecordBatch]:
+            order = np.argsort(k, kind="stable")
+            k, values = k[order], values[order]
+            deal = _deal_of(k, s.large, s.deals)
+            order = np.argsort(deal, kind="stable")
+            k, values, deal = k[order], values[order], deal[order]
+            ends = np.append(np.flatnonzero(np.diff(deal)) + 1, len(deal))
+            start = 0
+            for end in ends.tolist() if len(deal) else []:
+                yield row(int(deal[start]), form, 0, _pack(k[start:end], values[start:end].astype(np.uint32)))
+                start = end
+
+        for batch, column in slices(batches):
+            pair, codes, cls, w = _pairs(column, s.known, s.centroids)
+            train = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
+            sizes = w.counts + 1
+            of = np.repeat(np.arange(len(sizes)), sizes)
+            trains = train[of]
+            context = pair >> np.uint64(_KEYED)
+            first = codes >> (CODE_BITS - _FIRST)
+            np.add.at(by_class, (cls[of] << CODE_BITS | codes)[trains], 1)
+            slot = (context & np.uint64((1 << END_BITS) - 1)).astype(np.int64) << _FIRST | first
+            np.add.at(by_end, slot[trains], 1)
+            if len(s.large):
+                at = np.minimum(np.searchsorted(s.large, context), len(s.large) - 1)
+                on = trains & (s.large[at] == context)
+                by_large += np.bincount(at[on] << _FIRST | first[on], minlength=len(by_large))
+            where = np.minimum(np.searchsorted(s.listed, pair), max(len(s.listed) - 1, 0))
+            is_listed = s.listed[where] == pair if len(s.listed) else np.zeros(len(pair), bool)
+            listed += np.bincount(where[is_listed & trains], minlength=len(listed))
+            keys.append(pair[~is_listed])
+            refs.append(((of[~is_listed] + upto) << 1 | trains[~is_listed]).astype(np.uint32))
+            held += len(keys[-1])
+            rare = np.flatnonzero(codes == RARE_CODE)
+            word = rare - of[rare]  # its place among the words: an end stands after each text
+            t = pa.table({"at": of[rare], "token": token_array(w).take(pa.array(word))}).group_by(["at", "token"]).aggregate([([], "count_all")])
+            yield row(
+                TEXTS, 0, upto,
+                _pack(np.append(0, np.cumsum(np.bincount(of[is_listed], minlength=len(sizes)))).astype(np.int64), where[is_listed].astype(np.uint32)),
+                ids=batch.column(0), train=pa.array(train), n_bytes=pa.array(np.diff(buffers(column)[1])), n_tokens=pa.array(sizes),
+                n_known=pa.array(np.bincount(of, weights=seen[codes], minlength=len(sizes)).astype(np.int64)),
+                base=pa.array(np.bincount(of, weights=base[codes], minlength=len(sizes))), cls=pa.array(cls),
+                rare=pc.cast(t["token"], pa.binary()).combine_chunks(), rare_at=pa.array(t["at"].to_numpy() + upto), rare_n=t["count_all"].combine_chunks(),
+            )
+            upto += len(sizes)
+            if held > HELD_PAIRS:
+                yield from dealt(0, np.concatenate(keys), np.concatenate(refs))
+                keys, refs, held = [], [], 0
+        if held:
+            yield from dealt(0, np.concatenate(keys), np.concatenate(refs))
+        on = np.flatnonzero(listed)
+        if len(on):
+            yield from dealt(1, s.listed[on], listed[on])
+        for form, table in ((0, by_end), (1, by_large), (2, by_class)):
+            for chunk in range(0, len(table), CHUNK):
+                part = table[chunk : chunk + CHUNK].astype(np.int64)
+                if part.any():
+                    yield row(TABLES, form, chunk // CHUNK, zlib.compress(part.tobytes(), 1))
+
+    batch_id_type = docs.schema["doc_id"].dataType
+    to_arrow = to_arrow_type
+    return docs.mapInArrow(run, columns)
+
+
+#: The list columns of a slice's row (None: the type of the ids).
+_LISTS = {
+    "ids": None, "train": pa.bool_(), "n_bytes": pa.int64(), "n_tokens": pa.int64(), "n_known": pa.int64(), "base": pa.float64(), "cls": pa.int32(),
+    "rare": pa.binary(), "rare_at": pa.int64(), "rare_n": pa.int64(),
+}
+
+
+def merged_deals(emitted: DataFrame) -> DataFrame:
+    """deal, tasks, blob: one row a deal, with its distinct pairs in order (key,
+    training count, places) and the texts that each stands in (number of the
+    task in ``tasks``, text). Independent of how the texts lay in tasks, but for
+    the order of the places."""
+
+    def merge(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["task", "form"], kind="stable")
+        tasks = sorted(set(rows["task"]))
+        nth = {t: i for i, t in enumerate(tasks)}
+        keys, texts, of, counted, counts = [], [], [], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint32)]
+        for task, form, blob in zip(rows["task"], rows["form"], rows["blob"], strict=True):
+            k, v = _unpack(blob, np.uint64, np.uint32)
+            if form:
+                counted.append(k)
+                counts.append(v)
+            else:
+                keys.append(k)
+                texts.append(v)
+                of.append(np.full(len(k), nth[task], np.uint32))
+        k = np.concatenate([*keys, *counted])
+        n = sum(map(len, keys))
+        distinct, at = np.unique(k, return_inverse=True)
+        ref = np.concatenate([*texts, np.zeros(0, np.uint32)])
+        c = np.bincount(at[:n], weights=ref & 1, minlength=len(distinct)) + np.bincount(at[n:], weights=np.concatenate(counts), minlength=len(distinct))
+        places = np.bincount(at[:n], minlength=len(distinct))
+        order = np.argsort(at[:n], kind="stable")
+        blob = _pack(
+            distinct, c.astype(np.int64), places.astype(np.uint32), np.concatenate([*of, np.zeros(0, np.uint32)])[order], (ref >> 1)[order]
+        )
+        return pd.DataFrame({"deal": rows["deal"].iloc[:1].to_numpy(), "tasks": [tasks], "blob": [blob]})
+
+    pairs = emitted.where(F.col("deal") >= 0).select("deal", "task", "form", "blob")
+    return pairs.groupBy("deal").applyInPandas(merge, "deal int, tasks array<int>, blob binary")
 
 
 @dataclass
-class Part:
-    """A block of vocabulary rows as arrays; its pairs have the row in ``row``."""
+class Deal:
+    """A deal's pairs as arrays."""
 
-    tokens: list[bytes]
+    keys: np.ndarray
     c: np.ndarray
-    row: np.ndarray
-    cls: np.ndarray
-    pair_c: np.ndarray
-    pair_n: np.ndarray
-    codes: np.ndarray
+    places: np.ndarray
+    of: np.ndarray
+    texts: np.ndarray
+
+    @staticmethod
+    def read(blob: bytes) -> Deal:
+        return Deal(*_unpack(blob, np.uint64, np.int64, np.uint32, np.uint32, np.uint32))
+
+    def blocks(self, least: int) -> Iterator[slice]:
+        """Stretches of at least ``least`` pairs with each context whole."""
+        context = self.keys >> np.uint64(_KEYED)
+        ends = np.append(np.flatnonzero(context[1:] != context[:-1]) + 1, len(context))
+        start = 0
+        while start < len(context):
+            end = int(ends[np.searchsorted(ends, min(start + least, len(context)))])
+            yield slice(start, end)
+            start = end
 
 
-def _parts(batches: Iterator[pa.RecordBatch], rows: int = BLOCK_TOKENS) -> Iterator[Part]:
+# ------------------------------------------------------------------ the model
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], slot_bits: int) -> Iterator[pa.RecordBatch]:
+    """A partition's spelling counts, by order and chunk of slots."""
+    speller = SpellModel(slot_bits)
+    spelled = [np.zeros((2, 1 << b), np.int64) for b in speller.sizes]
     for batch in batches:
-        for a in range(0, len(batch), rows):
-            part = batch.slice(a, rows)
-            tokens, lists = part.column(0).to_pylist(), part.column(2)
-            row = np.repeat(np.arange(len(tokens)), lists.value_lengths().to_numpy())
-            cls, c, n = (np.asarray(x, np.int64) for x in lists.flatten().flatten())
-            yield Part(tokens, part.column(1).to_numpy().astype(np.int64), row, cls, c, n, token_codes(tokens))
-
-
-def _count_tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A partition's counts, by table and chunk of slots: token counts by class
-    and code (table 0), once-seen training tokens by class (table 1), bits of
-    distinct tokens by context (tables 2..)."""
-    leaves = np.zeros((CLASSES, 1 << CODE_BITS), np.int64)
-    once = np.zeros((1, CHUNK), np.int64)
-    spelled = [np.zeros((2, 1 << b), np.int64) for b in SPELL_BITS]
-    speller = SpellModel()
-    for p in _parts(batches):
-        leaves += np.bincount(p.cls << CODE_BITS | p.codes[p.row], weights=p.pair_c, minlength=leaves.size).astype(np.int64).reshape(leaves.shape)
-        single = p.c[p.row] == 1
-        once[0, :CLASSES] += np.bincount(p.cls[single], weights=p.pair_c[single], minlength=CLASSES).astype(np.int64)
-        known = np.flatnonzero(p.pair_c > 0)
-        if len(known):
-            speller.count([p.tokens[i] for i in p.row[known].tolist()], p.cls[known], spelled)
-    for kind, table in enumerate([leaves, once, *spelled]):
-        for chunk, part in enumerate(np.split(table.reshape(-1), table.size // CHUNK)):
+        for a in range(0, len(batch), 8192):
+            part = batch.slice(a, 8192)
+            speller.count([t[:-1] for t in part.column(0).to_pylist()], part.column(1).to_numpy(), spelled)
+    for form, table in enumerate(spelled):
+        for at, part in enumerate(np.split(table.reshape(-1), table.size // CHUNK)):
             if part.any():
-                packed = zlib.compress(part.tobytes(), 1)
-                yield to_batch(kind=pa.array([kind], pa.int32()), chunk=pa.array([chunk], pa.int32()), counts=pa.array([packed], pa.binary()))
+                yield to_batch(form=pa.array([form], pa.int32()), at=pa.array([at], pa.int64()), blob=pa.array([zlib.compress(part.tobytes(), 1)], pa.binary()))
 
 
 def _sum_chunks(rows: pd.DataFrame) -> pd.DataFrame:
-    total = sum(np.frombuffer(zlib.decompress(c), np.int64) for c in rows["counts"])
-    return rows[["kind", "chunk"]].iloc[:1].assign(counts=[zlib.compress(total.tobytes(), 1)])
+    total = sum(np.frombuffer(zlib.decompress(c), np.int64) for c in rows["blob"])
+    return rows[["form", "at"]].iloc[:1].assign(blob=[zlib.compress(total.tobytes(), 1)])
+
+
+def _summed(chunks: DataFrame, tables: list[np.ndarray]) -> None:
+    """Add chunks (form, at, blob) up, over two levels in Spark, into ``tables`` of a set size."""
+    schema = "form int, at long, blob binary"
+    parts = chunks.select("form", "at", "blob", F.floor(F.spark_partition_id() / 64).alias("many"))
+    sums = parts.groupBy("form", "at", "many").applyInPandas(_sum_chunks, schema).groupBy("form", "at").applyInPandas(_sum_chunks, schema)
+    for batch in sums.toArrow().to_batches():
+        for form, at, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            part = np.frombuffer(zlib.decompress(blob), np.int64)
+            tables[form].reshape(-1)[at * CHUNK : at * CHUNK + len(part)] = part
 
 
 @dataclass
 class Model:
     code: CodeModel
     code_mixer: Mixer
+    contexts: ContextCounts
     spell: SpellModel
     spell_mixer: Mixer
-    new_rate: np.ndarray  # chance of a new token, by class
-    class_log10: np.ndarray
-    contexts: ContextCounts
 
-    def following(self, b: Block, rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        return ((zero[rows], one[rows]) for zero, one in self.contexts.counts(b.ctx, b.codes, b.c))
-
-    def learn_codes(self, b: Block) -> float:
-        """One block's online steps; the tokens learned from."""
-        again = np.flatnonzero((b.total > 1) & (b.c > 0))
-        weight = b.c[again].astype(np.float64)
-        if len(again):
-            for stretch, gate, bit in self.code.bits(b.cls[again], b.codes[again], self.following(b, again), True):
-                self.code_mixer.learn(stretch, gate, bit, weight)
-        return float(weight.sum())
-
-    def learn_spelling(self, p: Part) -> float:
-        """One block's online steps; the tokens learned from."""
-        fresh = np.flatnonzero((p.c[p.row] == 1) & (p.pair_c == 1))
-        if len(fresh):
-            of, bits = self.spell.bits([p.tokens[i] for i in p.row[fresh].tolist()], p.cls[fresh], True)
+    def _block(self, d: Deal, part: slice) -> tuple:
+        keys, c = d.keys[part], d.c[part]
+        context, codes = (keys >> np.uint64(_KEYED)).astype(np.int64), _codes_in(keys)
+        cls = (keys & np.uint64(CLASSES - 1)).astype(np.int64)
+        return cls, context & ((1 << END_BITS) - 1), codes, c, self.contexts.counts(context, codes, c)
+
+    def learn_codes(self, d: Deal, mixer: Mixer) -> float:
+        """Online steps over a deal's training pairs; the tokens learned from."""
+        for part in d.blocks(STEP_ROWS):
+            cls, ends, codes, c, following = self._block(d, part)
+            on = np.flatnonzero(c)
+            if len(on):
+                weight = c[on].astype(np.float64)
+                some = ((zero[on], one[on]) for zero, one in following)
+                for stretch, gate, bit in self.code.bits(cls[on], ends[on], codes[on], some, True):
+                    mixer.learn(stretch, gate, bit, weight)
+        return float(d.c.sum())
+
+    def learn_spelling(self, tokens: list[bytes], cls: np.ndarray, mixer: Mixer) -> float:
+        """Online steps over tokens seen once; the tokens learned from."""
+        if tokens:
+            of, bits = self.spell.bits(tokens, cls, True)
             for stretch, gate, bit in bits:
-                self.spell_mixer.learn(stretch, gate, bit, np.ones(len(of)))
-        return float(len(fresh))
-
-    def log10(self, b: Block, refined: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-        """log10 probability of each triple's token after its context in a text of its class."""
-        seen = b.total > 0
-        out = np.where(seen, np.log2(1 - self.new_rate[b.cls]), np.log2(self.new_rate[b.cls]))
-        known, new = np.flatnonzero(seen), np.flatnonzero(~seen)
-        cls, code = b.cls[known], b.codes[known]
-        total = np.log2(self.code.share(cls, code, b.pair_c[known], b.total[known]))
-        for stretch, gate, bit in self.code.bits(cls, code, self.following(b, known), False):
-            total += self.code_mixer.log2(refined[0], stretch, gate, bit)
-        out[known] += total
-        if len(new):
-            of, bits = self.spell.bits(b.tokens.take(pa.array(new)).to_pylist(), b.cls[new], False)
-            spelled = sum(self.spell_mixer.log2(refined[1], *b) for b in bits)
-            out[new] += np.bincount(of, weights=spelled, minlength=len(new))
-        return out * LOG10_2
-
-
-def fit(words: DataFrame, dealt: DataFrame, after: ContextCounts, classes: Classes) -> Model:
-    """The model of a ``vocabulary`` and the triples ``by_context``: one pass
-    counts, one over each learns a mixer.
-
-    Both give sums of a fixed size (tables of set slots, weights by gate), added
-    up in Spark over two levels; the sums alone reach the driver. Partitions
-    learn apart, and their weights are averaged by what they learned from."""
+                mixer.learn(stretch, gate, bit, np.ones(len(of)))
+        return float(len(tokens))
+
+    def log2(self, d: Deal) -> np.ndarray:
+        """log2 probability of each pair's code after its context."""
+        refined = self.code_mixer.refined()
+        out = np.zeros(len(d.keys))
+        for part in d.blocks(BLOCK_ROWS):
+            cls, ends, codes, _, following = self._block(d, part)
+            total = np.zeros(len(codes))
+            for stretch, gate, bit in self.code.bits(cls, ends, codes, following, False):
+                total += self.code_mixer.log2(refined, stretch, gate, bit)
+            out[part] = total
+        return out
+
+    def spelled(self, tokens: list[bytes], cls: np.ndarray) -> np.ndarray:
+        """log2 probability of each token's bytes."""
+        if not tokens:
+            return np.zeros(0)
+        refined = self.spell_mixer.refined()
+        of, bits = self.spell.bits(tokens, cls, False)
+        return np.bincount(of, weights=sum(self.spell_mixer.log2(refined, *b) for b in bits), minlength=len(tokens))
+
+
+def fit(words: DataFrame, emitted: DataFrame, deals: DataFrame, totals: Totals, large: np.ndarray) -> Model:
+    """The model: tables of a set size are added up, then each deal (and each
+    partition of once-seen tokens, dealt by a hash) learns a mixer of its own,
+    and the mixers are averaged by what they learned from. Deals depend on the
+    corpus alone, so the weights do not depend on the session's partitions."""
     spark = words.sparkSession
-    rows = words.select("token", "c", "by_class")
-    schema = "kind int, chunk int, counts binary"
-    parts = rows.mapInArrow(_count_tables, schema).withColumn("many", F.floor(F.spark_partition_id() / 64))
-    sums = parts.groupBy("kind", "chunk", "many").applyInPandas(_sum_chunks, schema).groupBy("kind", "chunk").applyInPandas(_sum_chunks, schema)
-    tables = [np.zeros(CLASSES << CODE_BITS), np.zeros(CHUNK), *(np.zeros(2 << b) for b in SPELL_BITS)]
-    for batch in sums.toArrow().to_batches():
-        for kind, chunk, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            tables[kind][chunk * CHUNK : (chunk + 1) * CHUNK] = np.frombuffer(zlib.decompress(counts), np.int64)
-    leaves = tables[0].reshape(CLASSES, -1)
-    size = leaves.sum(axis=1)
+    by_end, by_large, by_class = (np.zeros(n << b, np.int64) for n, b in ((1 << END_BITS, _FIRST), (len(large), _FIRST), (CLASSES, CODE_BITS)))
+    _summed(emitted.where(F.col("deal") == TABLES), [by_end, by_large, by_class])
+    slot_bits = SpellModel.slot_bits(totals.distinct)
+    tokens = words.where("c > 0").select("token", "cls")
+    tables = [np.zeros(2 << b, np.int64) for b in SpellModel(slot_bits).sizes]
+    _summed(tokens.mapInArrow(lambda batches: _chunks(batches, slot_bits), "form int, at long, blob binary"), tables)
     model = Model(
-        CodeModel(leaves, classes.group_of), Mixer.fresh(CodeModel.GATES, CodeModel.PREDICTORS),
-        SpellModel([np.ascontiguousarray(t.reshape(2, -1).T, np.float32) for t in tables[2:]]), Mixer.fresh(SpellModel.GATES, SpellModel.PREDICTORS),
-        (tables[1][:CLASSES] + 1) / (size + 2), np.log10((size + 1) / (size.sum() + CLASSES)), after,
-    )
+        CodeModel(by_class.reshape(CLASSES, -1), by_end.reshape(1 << END_BITS, -1)), Mixer.fresh(CodeModel.GATES, CodeModel.PREDICTORS),
+        ContextCounts(large.astype(np.int64), by_large.reshape(len(large), 1 << _FIRST)),
+        SpellModel(slot_bits, [np.ascontiguousarray(t.reshape(2, -1).T, np.float32) for t in tables]),
+        Mixer.fresh(SpellModel.GATES, SpellModel.PREDICTORS),
+    )
+    del tables
     shared = spark.sparkContext.broadcast(model)
 
-    def learned(source: DataFrame, mixer: Mixer, step: Callable[[Model, Mixer, Iterator[pa.RecordBatch]], float]) -> None:
-        """Fills ``mixer`` with the partitions' weights, averaged, and hits, added up."""
-        gates, predictors = mixer.weights.shape
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            own = Mixer.fresh(gates, predictors)
-            seen = step(shared.value, own, batches)
-            if seen:
-                values = np.concatenate([own.weights.ravel() * seen, own.hits.ravel(), [seen]])
-                yield to_batch(at=np.arange(len(values), dtype=np.int32), v=values)
-
-        sums = source.mapInArrow(run, "at int, v double").groupBy("at").agg(F.sum("v").alias("v")).collect()
+    def learned(mixers: DataFrame, mixer: Mixer) -> None:
+        """Fill ``mixer`` with the average of rows (seen, weights * seen, hits)."""
+        values = F.posexplode("v").alias("at", "x")
+        sums = mixers.select(values).groupBy("at").agg(F.sum("x").alias("x")).collect()
         if sums:
-            values = np.array([v for _, v in sorted((r["at"], r["v"]) for r in sums)])
-            w = mixer.weights.size
-            mixer.weights = (values[:w] / values[-1]).reshape(gates, predictors)
-            mixer.hits = values[w:-1].reshape(2, -1)
-
-    def learn_codes(m: Model, mixer: Mixer, batches: Iterator[pa.RecordBatch]) -> float:
-        m.code_mixer = mixer
-        return sum(m.learn_codes(b) for b in _blocks(batches, STEP_TOKENS))
-
-    def learn_spelling(m: Model, mixer: Mixer, batches: Iterator[pa.RecordBatch]) -> float:
-        m.spell_mixer = mixer
-        return sum(m.learn_spelling(p) for p in _parts(batches, STEP_TOKENS))
-
-    learned(dealt, model.code_mixer, learn_codes)
-    learned(rows.where("c = 1"), model.spell_mixer, learn_spelling)
+            v = np.array([x for _, x in sorted((r["at"], r["x"]) for r in sums)])
+            size = mixer.weights.size
+            mixer.weights = (v[:size] / v[-1]).reshape(mixer.weights.shape)
+            mixer.hits = v[size:-1].reshape(2, -1)
+
+    def row(own: Mixer, seen: float) -> list[float]:
+        return np.concatenate([own.weights.ravel() * seen, own.hits.ravel(), [seen]]).tolist()
+
+    def learn_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for blob in batch.column(0):
+                own = Mixer.fresh(CodeModel.GATES, CodeModel.PREDICTORS)
+                seen = shared.value.learn_codes(Deal.read(blob.as_py()), own)
+                if seen:
+                    yield to_batch(v=pa.array([row(own, seen)], pa.list_(pa.float64())))
+
+    def learn_spelling(rows: pd.DataFrame) -> pd.DataFrame:
+        own, seen = Mixer.fresh(SpellModel.GATES, SpellModel.PREDICTORS), 0.0
+        once = sorted((zlib.crc32(t), bytes(t[:-1]), k) for t, k in zip(rows["token"], rows["cls"], strict=True))  # a set order, not the alphabet's
+        for a in range(0, len(once), STEP_ROWS):
+            _, tokens, cls = zip(*once[a : a + STEP_ROWS], strict=True)
+            seen += shared.value.learn_spelling(list(tokens), np.array(cls), own)
+        return pd.DataFrame({"v": [row(own, seen)]})
+
+    learned(deals.select("blob").mapInArrow(learn_codes, "v array<double>"), model.code_mixer)
+    groups = max(1, math.ceil(totals.distinct / 200_000))
+    once = words.where("c = 1").select("token", "cls", F.pmod(F.xxhash64("token"), F.lit(groups)).alias("g"))
+    learned(once.groupBy("g").applyInPandas(lambda rows: learn_spelling(rows), "v array<double>"), model.spell_mixer)
     shared.destroy()  # before the learned model is sent out
     return model
 
@@ -466,17 +743,41 @@ def fit(words: DataFrame, dealt: DataFrame, after: ContextCounts, classes: Class
 # ------------------------------------------------------------------ scores
 
 
-def scored_triples(dealt: DataFrame, model: Model) -> DataFrame:
-    """ctx, cls, token, c (of the token), n (of the triple), log10 of every triple in any row."""
-    shared = dealt.sparkSession.sparkContext.broadcast(model)
+def answers(deals: DataFrame, model: Model, listed: np.ndarray) -> DataFrame:
+    """task, blob: what each deal adds to the log2 score of the texts of a task;
+    task -1: the log2 of pairs on the list, by their number on it."""
+    shared = deals.sparkSession.sparkContext.broadcast((model, listed))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        refined = m.code_mixer.refined(), m.spell_mixer.refined()
-        for b in _blocks(batches, BLOCK_TOKENS):
-            yield to_batch(ctx=b.ctx, cls=b.cls.astype(np.int32), token=b.tokens, c=b.total, n=b.n, log10=m.log10(b, refined))
-
-    return dealt.mapInArrow(run, "ctx long, cls int, token binary, c long, n long, log10 double")
+        model, listed = shared.value
+        for batch in batches:
+            for tasks, blob in zip(batch.column(0), batch.column(1), strict=True):
+                d = Deal.read(blob.as_py())
+                log2 = model.log2(d)
+                text = d.of.astype(np.int64) << 32 | d.texts
+                found, at = np.unique(text, return_inverse=True)
+                total = np.bincount(at, weights=np.repeat(log2, d.places), minlength=len(found)).astype(np.float32)
+                for i, task in enumerate(tasks.as_py()):
+                    a, b = np.searchsorted(found, [i << 32, (i + 1) << 32])
+                    if b > a:
+                        yield _answer(task, found[a:b] & 0xFFFFFFFF, total[a:b])
+                at = np.searchsorted(listed, d.keys)
+                on = np.flatnonzero(listed[np.minimum(at, len(listed) - 1)] == d.keys) if len(listed) else at[:0]
+                if len(on):
+                    yield _answer(-1, at[on], log2[on].astype(np.float32))
+
+    def _answer(task: int, text: np.ndarray, total: np.ndarray) -> pa.RecordBatch:
+        return to_batch(task=pa.array([task], pa.int32()), blob=pa.array([_pack(text.astype(np.uint32), total)], pa.binary()))
+
+    return deals.select("tasks", "blob").mapInArrow(run, "task int, blob binary")
+
+
+def _text_sums(rows: pd.DataFrame) -> pd.DataFrame:
+    """A task's answers, added up by text."""
+    parts = [_unpack(b, np.uint32, np.float32) for b in rows["blob"]]
+    text, values = (np.concatenate(x) for x in zip(*parts, strict=True))
+    found, at = np.unique(text, return_inverse=True)
+    return pd.DataFrame({"task": rows["task"].iloc[0], "at": found.astype(np.int64), "log2": np.bincount(at, weights=values, minlength=len(found))})
 
 
 def score_texts(docs: DataFrame, train: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -485,85 +786,113 @@ def score_texts(docs: DataFrame, train: str, doc_id: str = "doc_id", text: str =
     ``train`` column is true (null: false).
 
     A null text is empty: one end token. Repeated rows each get their row; a
-    null id is passed through. Without training rows base_score is 0.
-
-    Hot triples (fewer than ``HOT_SHARE`` by their definition) are broadcast and
-    folded in where the text is read; the others are joined by class, context and
-    token, one row for each distinct context and token of a text, and summed up by text."""
+    null id is passed through. Without training rows base_score is 0. An empty
+    table gives no rows. Tokens are told apart by their bytes where they are
+    counted, and by 64-bit hashes where a text looks one up."""
     spark = docs.sparkSession
     prepare(spark)
     source = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"), F.coalesce(F.col(f"`{train}`"), F.lit(False)).alias("train"))
-    classes = text_classes(source)
-    words = cut(vocabulary(source.select("text", "train"), classes), "vocabulary")
-    totals = words.agg(F.sum("c").alias("N"), F.count_if(F.col("c") > 0).alias("V"), F.sum("n").alias("all")).first()
-    n_train, distinct, n_all = totals["N"] or 0, totals["V"] or 0, totals["all"] or 0
-    lessen = math.log10(n_train + 0.5 * (distinct + 1))
-    dealt, after = by_context(cut(contexts(source.select("text", "train"), classes, words), "contexts"))
-    model = fit(words, dealt, after, classes)
-    scored = cut(scored_triples(dealt, model), "scored-triples")
-    hot_rows = scored.where(F.col("n") * HOT_SHARE > n_all).collect()
-    hot: list[dict] = [{} for _ in range(CLASSES)]
-    for r in hot_rows:
-        hot[r["cls"]][r["ctx"], bytes(r["token"])] = (r["c"] > 0, math.log10(r["c"] + 0.5) - lessen, r["log10"])
-    shared = spark.sparkContext.broadcast((classes, hot, model.class_log10.tolist()))
+    counted = source.agg(F.count(F.lit(1)).alias("all"), F.count_if("train").alias("train")).first()
+    texts = counted["all"]
+    centroids = text_classes(source, texts)
+    words = cut(vocabulary(source.select("text", "train"), centroids), "vocabulary")
+    known, totals = known_tokens(words, texts, counted["train"])
+    large = large_contexts(words, totals, texts)
+    listed = listed_pairs(source, known, centroids, texts)
+    deal_count = max(1, math.ceil(totals.n_all / DEAL_TOKENS))
+    id_type = source.schema["doc_id"].dataType.simpleString()
+    emitted = cut(emit(source, Setting(known, centroids, listed, large, deal_count, totals.lessen), id_type), "emitted")
+    deals = cut(merged_deals(emitted), "deals")
+    model = fit(words, emitted, deals, totals, large)
+    told = cut(answers(deals, model, listed), "answers")
+    discard(deals)
+
+    by_list = np.zeros(len(listed), np.float32)
+    for batch in told.where("task = -1").select("blob").toArrow().to_batches():
+        for blob in batch.column(0):
+            at, log2 = _unpack(blob.as_py(), np.uint32, np.float32)
+            by_list[at] = log2
+    by_class = model.code.classes[:, 1].astype(np.float64)  # training tokens of each class
+    prior = np.log2((by_class + 1) / (by_class.sum() + CLASSES))
+    shared = spark.sparkContext.broadcast((by_list, prior, model.spell, model.spell_mixer, totals))
+    texts_of = _texts(emitted, shared, id_type)
+    paired = told.where("task >= 0").groupBy("task").applyInPandas(_text_sums, "task int, at long, log2 double")
+    sums = texts_of.join(paired, ["task", "at"], "left").join(_rare_sums(emitted, words, shared), ["task", "at"], "left")
+    zero = F.lit(0.0)
+    score = (F.col("listed") + F.coalesce("log2", zero) + F.coalesce("rare_log2", zero)) * F.lit(LOG10_2)
+    found = sums.select(
+        "doc_id", "train", "n_bytes", "n_tokens", (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
+        F.lit(totals.n_train).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("rare_base", zero)).alias("base_score"), score.alias("score"),
+    )
+    bits = F.col("score") / F.lit(-LOG10_2)
+    return found.select("*", bits.alias("total_bits"), (bits / F.greatest("n_bytes", F.lit(1))).alias("bits_per_byte"))
+
+
+def _texts(emitted: DataFrame, shared, id_type: str) -> DataFrame:  # noqa: ANN001
+    """One row a text, with the log2 of its class and its listed pairs. An end that no training text has is known to none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, hot, prior = shared.value
-        uid = TaskContext.get().partitionId() << 36
-        for batch, column in slices(batches):
-            uids, own, ctxs, tokens, counts, heads, totals = [], [], [], [], [], [], []
-            sizes = np.diff(buffers(column)[1]).tolist()
-            for size, words, k in zip(sizes, _in_context(column), classes.of(column).tolist(), strict=True):
-                get = hot[k].get
-                known, base, score, first = 0, 0.0, prior[k], len(tokens)
-                for triple, n in Counter(words).items():
-                    found = get(triple)
-                    if found is None:
-                        ctxs.append(triple[0])
-                        tokens.append(triple[1])
-                        counts.append(n)
-                    else:
-                        known += n * found[0]
-                        base += n * found[1]
-                        score += n * found[2]
-                if len(tokens) == first:  # no rare triple: a row that meets nothing
-                    ctxs.append(0)
-                    tokens.append(b"\x00 %d" % uid)
-                    counts.append(0)
-                uids += [uid] * (len(tokens) - first)
-                own += [k] * (len(tokens) - first)
-                heads.append(first)
-                totals.append((size, len(words), known, base, score))
-                uid += 1
-            at = np.full(len(tokens), -1, np.int64)  # a text's totals ride on its first row
-            at[heads] = np.arange(len(heads))
-            place = pa.array(at, pa.int64(), mask=at < 0)
-            n_bytes, n_tokens, known, base, score = (pa.array(x).take(place) for x in zip(*totals, strict=True))
+        by_list, prior, _, _, totals = shared.value
+        end_base = 0.0 if totals.ends else math.log10(0.5) - totals.lessen
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1)
+                cuts, at = _unpack(row["blob"][0].as_py(), np.int64, np.uint32)
+                upto = np.append(0.0, np.cumsum(by_list[at], dtype=np.float64))
+                lists = {name: row[name].flatten() for name in ("ids", "train", "n_bytes", "n_tokens", "n_known", "base", "cls")}
+                n = len(lists["ids"])
+                yield to_batch(
+                    task=pa.array([row["task"][0].as_py()] * n, pa.int32()), at=row["at"][0].as_py() + np.arange(n),
+                    doc_id=lists["ids"], train=lists["train"], n_bytes=lists["n_bytes"], n_tokens=lists["n_tokens"],
+                    n_known=lists["n_known"], base=lists["base"].to_numpy() + end_base, listed=upto[cuts[1:]] - upto[cuts[:-1]] + prior[lists["cls"].to_numpy()],
+                )
+
+    rows = emitted.where(F.col("deal") == TEXTS).select("task", "at", "blob", "ids", "train", "n_bytes", "n_tokens", "n_known", "base", "cls")
+    return rows.mapInArrow(
+        run, f"task int, at long, doc_id {id_type}, train boolean, n_bytes long, n_tokens long, n_known long, base double, listed double"
+    )
+
+
+def _rare_sums(emitted: DataFrame, words: DataFrame, shared) -> DataFrame:  # noqa: ANN001
+    """task, at, rare_known, rare_base, rare_log2: the rare tokens of each text,
+    joined to the vocabulary by their bytes; new ones are spelled."""
+    zipped = F.explode(F.arrays_zip("rare_at", "rare", "rare_n")).alias("r")
+    rows = emitted.where(F.col("deal") == TEXTS).select("task", "at", "cls", zipped)
+    rows = rows.select("task", F.col("r.rare_at").alias("to"), F.col("r.rare").alias("token"), F.col("r.rare_n").alias("k"), F.get("cls", (F.col("r.rare_at") - F.col("at")).cast("int")).alias("cls"))
+    joined = rows.join(words.where("c > 0").select("token", "c"), "token", "left").select("task", F.col("to").alias("at"), "token", "k", "c", "cls")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, _, spell, mixer, totals = shared.value
+        model = Model(None, None, None, spell, mixer)
+        for batch in batches:
+            c = batch["c"].fill_null(0).to_numpy()
+            k = batch["k"].to_numpy()
+            rate = totals.new_rate
+            with np.errstate(divide="ignore"):
+                log2 = np.log2(np.maximum(c - totals.discount, 1e-9) / max(totals.rare, 1))
+            new = np.flatnonzero(c == 0)
+            tokens = [t[:-1] for t in batch["token"].take(pa.array(new)).to_pylist()]
+            cls = batch["cls"].to_numpy()[new]
+            for a, b in _byte_slices(tokens):
+                log2[new[a:b]] = math.log2(rate) + model.spelled(tokens[a:b], cls[a:b])
             yield to_batch(
-                uid=pa.array(uids, pa.int64()), cls=pa.array(own, pa.int32()), ctx=pa.array(ctxs, pa.int64()), token=pa.array(tokens, pa.binary()), k=pa.array(counts, pa.int32()),
-                doc_id=batch.column(0).take(place), train=batch.column(2).take(place),
-                n_bytes=n_bytes, n_tokens=n_tokens, known=known, base=base, score=score,
+                task=batch["task"], at=batch["at"], known=np.where(c > 0, k, 0), base=k * (np.log10(c + 0.5) - totals.lessen), log2=k * log2
             )
 
-    schema = (
-        f"uid long, cls int, ctx long, token binary, k int, doc_id {source.schema['doc_id'].dataType.simpleString()}, train boolean, "
-        "n_bytes long, n_tokens long, known long, base double, score double"
-    )
-    rows = source.mapInArrow(run, schema)
-    rare = scored.where(F.col("n") * HOT_SHARE <= n_all).select("ctx", "cls", "token", "c", "log10")
-    joined = rows.join(rare, ["token", "cls", "ctx"], "left")
-    k = F.col("k")
-    per_text = joined.groupBy("uid").agg(
-        F.max("doc_id").alias("doc_id"), F.max("train").alias("train"), F.max("n_bytes").alias("n_bytes"), F.max("n_tokens").alias("n_tokens"),
-        F.sum(F.coalesce("known", F.lit(0)) + F.when(F.col("c") > 0, k).otherwise(0)).alias("n_known"),
-        F.sum(F.coalesce("base", F.lit(0.0)) + k * (F.log10(F.coalesce("c", F.lit(0)) + 0.5) - F.lit(lessen))).alias("base_score"),
-        F.sum(F.coalesce("score", F.lit(0.0)) + k * F.coalesce("log10", F.lit(0.0))).alias("score"),
-    )
-    bits = F.col("score") / F.lit(-LOG10_2)
-    return per_text.select(
-        "doc_id", "train", "n_bytes", "n_tokens", "n_known", F.lit(n_train).cast("long").alias("train_tokens"), "base_score", "score",
-        bits.alias("total_bits"), (bits / F.greatest("n_bytes", F.lit(1))).alias("bits_per_byte"),
-    )
+    each = joined.mapInArrow(run, "task int, at long, known long, base double, log2 double")
+    return each.groupBy("task", "at").agg(F.sum("known").alias("rare_known"), F.sum("base").alias("rare_base"), F.sum("log2").alias("rare_log2"))
+
+
+def _byte_slices(tokens: list[bytes], most: int = 1 << 18) -> Iterator[tuple[int, int]]:
+    """Stretches of about ``most`` bytes, a token at least."""
+    a = size = 0
+    for b, t in enumerate(tokens):
+        if size and size + len(t) > most:
+            yield a, b
+            a, size = b, 0
+        size += len(t) + 1
+    if tokens:
+        yield a, len(tokens)
 
 
 def op2_lm_scoring(docs: DataFrame) -> DataFrame:
