@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import cut, pick
+from lakemart.llm.common import cut, discard, pick, ranked
 
 #: Turns that are windowed, and rendered, together; a longer conversation is
 #: hashed in two levels and rendered as several parts.
@@ -24,16 +24,11 @@ TURN_START, TURN_END = "<|im_start|>", "<|im_end|>\n"
 
 def _rank(turns: DataFrame) -> DataFrame:
     """Exact repeats dropped; ``pos`` is the place of a turn in its conversation
-    (from 0, by turn, role, text; nulls first), found within blocks of turn
-    numbers whose sizes are added up, so that no long conversation is one task."""
+    (from 0, by turn, role, text; nulls first). Turns are range-sorted over all
+    tasks and numbered there, so that no conversation is one task, however many
+    of its turns share a number or have none."""
     rows = turns.groupBy("conv_id", "turn", "role", "text").agg(F.count("*").alias("copies")).drop("copies")
-    rows = rows.withColumn("block", F.coalesce(F.floor(F.col("turn") / PART_TURNS), F.lit(-(2**62))))
-    sizes = rows.groupBy("conv_id", "block").agg(F.count("*").alias("n"))
-    upto = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.select(F.col("conv_id").alias("c"), F.col("block").alias("b"), F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("offset"))
-    same = rows["conv_id"].eqNullSafe(sizes["c"]) & (rows["block"] == sizes["b"])
-    place = F.row_number().over(Window.partitionBy("conv_id", "block").orderBy("turn", "role", "text"))
-    return rows.join(sizes, same).select("conv_id", "turn", "role", "text", (place - 1 + F.col("offset")).alias("pos"))
+    return ranked(rows, "conv_id", ["turn", "role", "text"], "pos", "ranked-turns")
 
 
 def _turn_hash(seed: int) -> Column:
@@ -66,8 +61,8 @@ def _prefixes(ranked: DataFrame) -> DataFrame:
 def maximal_conversations(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The ranked turns, and (conv_id, n_turns) of the conversations that are no
     proper prefix of another; of equal ones, the least conv_id (null last)."""
-    ranked = cut(_rank(turns), "ranked-turns")
-    prefixes = cut(_prefixes(ranked), "prefixes")
+    placed = _rank(turns)
+    prefixes = cut(_prefixes(placed), "prefixes")
     whole = prefixes.groupBy("conv_id").agg(F.max(F.struct("k", "h1", "h2")).alias("w")).select("conv_id", "w.*")
     least = F.min(F.struct(F.col("conv_id").isNull().alias("none"), "conv_id")).alias("first")
     unique = whole.groupBy("k", "h1", "h2").agg(least).select("k", "h1", "h2", F.col("first.conv_id").alias("conv_id"))
@@ -75,7 +70,9 @@ def maximal_conversations(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     lengths = whole.select(F.col("conv_id").alias("c"), F.col("k").alias("n"))
     inner = prefixes.join(lengths, prefixes["conv_id"].eqNullSafe(lengths["c"])).where("k < n").select("k", "h1", "h2").distinct()
     kept = unique.join(inner, ["k", "h1", "h2"], "left_anti")
-    return ranked, cut(kept.select("conv_id", F.col("k").alias("n_turns")), "maximal")
+    maximal = cut(kept.select("conv_id", F.col("k").alias("n_turns")), "maximal")
+    discard(prefixes)
+    return placed, maximal
 
 
 def format_chats(
@@ -90,12 +87,12 @@ def format_chats(
     but both differ from those in comparisons. Turns without a conv_id are
     taken as one conversation. An empty table gives no rows."""
     source = pick(turns, conv_id=conv_id, turn=turn, role=role, text=text)
-    ranked, kept = maximal_conversations(source)
+    placed, kept = maximal_conversations(source)
     kept = kept.select(F.col("conv_id").alias("c"), "n_turns")
     line = F.concat(
         F.lit(TURN_START), F.coalesce("role", F.lit("unknown")), F.lit("\n"), F.coalesce("text", F.lit("")), F.lit(TURN_END)
     )
-    lines = ranked.join(kept, ranked["conv_id"].eqNullSafe(kept["c"])).select(
+    lines = placed.join(kept, placed["conv_id"].eqNullSafe(kept["c"])).select(
         "conv_id", F.floor(F.col("pos") / PART_TURNS).alias("part"), "n_turns", "pos", line.alias("line")
     )
     parts = lines.groupBy("conv_id", "part", "n_turns").agg(F.sort_array(F.collect_list(F.struct("pos", "line"))).alias("lines"))

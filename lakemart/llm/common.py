@@ -65,6 +65,22 @@ def cut(df: DataFrame, purpose: str) -> DataFrame:
     return out
 
 
+def cut_in_two(df: DataFrame, condition: Column, purpose: str) -> tuple[DataFrame, DataFrame]:
+    """``df`` written in one pass as by ``cut``, the rows where ``condition`` holds
+    apart from the others; each part can be discarded on its own."""
+    spark = df.sparkSession
+    path = f"{run_folder(spark)}/{purpose}-{uuid.uuid4().hex[:12]}"
+    df.withColumn("_part", F.when(condition, "yes").otherwise("no")).write.partitionBy("_part").parquet(path)
+    out = []
+    for part in ("yes", "no"):
+        fs, place = _place(spark, f"{path}/_part={part}")
+        fs.mkdirs(place)  # no rows, no folder
+        found = spark.read.schema(df.schema).parquet(f"{path}/_part={part}")
+        found._lakemart_path = f"{path}/_part={part}"
+        out.append(found)
+    return out[0], out[1]
+
+
 def discard(*written: DataFrame) -> None:
     """Delete what ``cut`` wrote for each of ``written``, once no later step reads it."""
     for df in written:
@@ -91,9 +107,8 @@ def ranked(df: DataFrame, group: str, order: Sequence[str], pos: str, purpose: s
     part = F.shiftright("_at", 33)
     heads = rows.groupBy(group, part.alias("_part")).agg(F.min("_at").alias("_head"), F.count("*").alias("_n"))
     before = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    heads = heads.select(
-        F.col(group).alias("_group"), "_part", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_head")).alias("_shift")
-    )
+    shift = F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_head")
+    heads = cut(heads.select(F.col(group).alias("_group"), "_part", shift.alias("_shift")), f"{purpose}-heads")
     same = rows[group].eqNullSafe(heads["_group"]) & (part == heads["_part"])
     return rows.join(heads, same).select(*df.columns, (F.col("_at") + F.col("_shift")).alias(pos))
 

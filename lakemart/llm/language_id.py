@@ -89,8 +89,9 @@ def fit(labelled: DataFrame, p: Params = Params()) -> Model:
     """Fit on columns (id, text, lang); rows with a null text or lang are left out.
 
     Two Spark jobs over a sample of about ``sample_per_language`` texts of each
-    language, chosen by a hash of the id: document frequencies, then k-means by
-    language. Only the model (at most ``max_languages`` x ``clusters`` vectors)
+    language, chosen by a hash of id and text (copies once): document frequencies,
+    then k-means by language over the texts' n-gram counts (a fixed size, however
+    long the text). Only the model (at most ``max_languages`` x ``clusters`` vectors)
     reaches the driver. No labelled rows give a model without languages."""
     prepare(labelled.sparkSession)
     labelled = labelled.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
@@ -102,7 +103,7 @@ def fit(labelled: DataFrame, p: Params = Params()) -> Model:
     rate = F.lit(None).cast("double")
     for r in sizes:
         rate = F.when(F.col("lang") == r["lang"], F.lit(p.sample_per_language / r["count"])).otherwise(rate)
-    place = F.pmod(F.xxhash64(F.col("id"), F.lit(7)), F.lit(1_000_000)) / F.lit(1e6)
+    place = F.pmod(F.xxhash64("id", "text", F.lit(7)), F.lit(1_000_000)) / F.lit(1e6)
     sample = labelled.where(place < rate).select("lang", "text").distinct()
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,14 +119,18 @@ def fit(labelled: DataFrame, p: Params = Params()) -> Model:
         n[r["dim"]] = r["n"]
     idf = np.log((1 + n[-1]) / (1 + n[:-1])).astype(np.float32) + np.float32(0.05)
 
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, column in slices(batches):
+            yield to_batch(lang=batch.column(0), x=pa.array([v.tobytes() for v in term_counts(column)], pa.binary()))
+
     def clusters(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        column = pa.array([t.encode() for t in rows["text"]], pa.large_binary())
-        x = unit_vectors(term_counts(column), idf)
+        x = unit_vectors(np.stack([np.frombuffer(v, np.float32) for v in sorted(rows["x"])]), idf)
         c = _spherical_kmeans(x, p.clusters, p.iterations)
         least = np.quantile(np.max(x @ c.T, axis=1), p.reject_quantile) * p.reject_slack
         return pd.DataFrame({"lang": key[0], "least": least, "vector": [v.astype("<f4").tobytes() for v in c]})
 
-    rows = sample.groupBy("lang").applyInPandas(clusters, "lang string, least double, vector binary").collect()
+    counts = sample.mapInArrow(counted, "lang string, x binary")
+    rows = counts.groupBy("lang").applyInPandas(clusters, "lang string, least double, vector binary").collect()
     rows.sort(key=lambda r: (r["lang"], bytes(r["vector"])))
     languages = tuple(dict.fromkeys(r["lang"] for r in rows))
     least = {r["lang"]: r["least"] for r in rows}

@@ -30,7 +30,7 @@ def log_odds(zero: np.ndarray, one: np.ndarray) -> np.ndarray:
 @dataclass
 class Mixer:
     """Weights by gate and predictor; hits (ones, all) of the adaptive map by
-    gate and step of the mixed log-odds; the curvature that the steps so far had."""
+    gate and step of the mixed log-odds; the curvature that a gate's steps so far had."""
 
     weights: np.ndarray
     hits: np.ndarray
@@ -38,7 +38,7 @@ class Mixer:
 
     @staticmethod
     def fresh(gates: int, predictors: int) -> Mixer:
-        return Mixer(np.full((gates, predictors), 1.0 / predictors), np.zeros((2, gates * APM)), np.zeros((gates, predictors)))
+        return Mixer(np.full((gates, predictors), 1.0 / predictors), np.zeros((2, gates * APM)), np.zeros(gates))
 
     def mix(self, stretch: list[np.ndarray], gate: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Mixed log-odds and the adaptive map's cell."""
@@ -60,12 +60,12 @@ class Mixer:
         gates, cells = len(self.weights), self.hits.shape[1]
         self.hits[0] += np.bincount(cell, weights=weight * bit, minlength=cells)
         self.hits[1] += np.bincount(cell, weights=weight, minlength=cells)
-        error, spread = weight * (bit - p), weight * p * (1 - p)
+        error = (weight * (bit - p)).astype(np.float32)
+        square = sum(s * s for s in stretch)
+        self.curve += np.bincount(gate, weights=weight * p * (1 - p) * square, minlength=gates)
         for k, s in enumerate(stretch):
             g = np.bincount(gate, weights=error * s, minlength=gates)
-            h = np.bincount(gate, weights=spread * s * s, minlength=gates)
-            self.curve[:, k] += h
-            self.weights[:, k] += np.clip(g / (self.curve[:, k] + 1.0), -MOST_STEP, MOST_STEP)
+            self.weights[:, k] += np.clip(g / (self.curve + 1.0), -MOST_STEP, MOST_STEP)
         np.clip(self.weights, -1.0, 2.0, out=self.weights)
 
     def log2(self, refined: np.ndarray, stretch: list[np.ndarray], gate: np.ndarray, bit: np.ndarray) -> np.ndarray:
@@ -130,7 +130,10 @@ class CodeModel:
     GATES, PREDICTORS = 10 * 4 * 6, 4
 
     def __init__(self, leaves: np.ndarray, after_end: np.ndarray):
-        self.all, self.classes, self.ends = tree_of(leaves.sum(axis=0, keepdims=True))[0], tree_of(leaves), tree_of(after_end)
+        self.sizes = leaves.sum(axis=1)  # training tokens of each class
+        trees = [tree_of(leaves.sum(axis=0, keepdims=True)), tree_of(leaves), tree_of(after_end)]
+        self.odds = [log_odds(t[:, 0::2], t[:, 1::2]) for t in trees]  # by node
+        self.less = [_less_one(t) for t in trees]  # by child: its node's, without one of the child
 
     def bits(
         self, cls: np.ndarray, ends: np.ndarray, codes: np.ndarray, following: Iterator[tuple[np.ndarray, np.ndarray]], own: bool
@@ -138,19 +141,37 @@ class CodeModel:
         """Log-odds, gate and bit for each bit of the codes; ``following`` has the
         zeros and ones after the preceding token; ``own``: leave one occurrence out."""
         nothing = np.zeros(len(codes), np.float32)
+        rows = [np.zeros_like(cls), cls, ends]
+        tables = self.less if own else self.odds
+        flat = [t.reshape(-1) for t in tables]
+        base = [r * t.shape[1] for r, t in zip(rows, tables, strict=True)]
         for depth, (zero, one) in enumerate(following):
             node = (1 << depth) | (codes >> (CODE_BITS - depth))
             bit = (codes >> (CODE_BITS - 1 - depth)) & 1
-            seen = [(zero, one), (self.all[2 * node], self.all[2 * node + 1]), (self.classes[cls, 2 * node], self.classes[cls, 2 * node + 1])]
-            if depth < ContextCounts.TOP_BITS:
-                seen.append((self.ends[ends, 2 * node], self.ends[ends, 2 * node + 1]))
             if own:
-                seen = [(np.maximum(z - (bit == 0), 0).astype(np.float32), np.maximum(o - bit, 0).astype(np.float32)) for z, o in seen]
-            gate = np.searchsorted(self.CONTEXT_STEPS, seen[0][0] + seen[0][1], side="right") * 24 + min(depth // 3, 5)
-            low = np.minimum(seen[0][0], seen[0][1])  # how mixed the node is
-            gate = gate + 6 * np.searchsorted(self.STEPS, low, side="right")
-            stretch = [log_odds(z, o) for z, o in seen]
-            yield stretch if len(stretch) == 4 else [*stretch, nothing], gate, bit
+                zero, one = np.maximum(zero - (bit == 0), 0).astype(np.float32), np.maximum(one - bit, 0).astype(np.float32)
+                node = 2 * node + bit
+            stretch = [log_odds(zero, one), flat[0][node], flat[1][base[1] + node]]
+            stretch.append(flat[2][base[2] + node] if depth < ContextCounts.TOP_BITS else nothing)
+            gate = _step(self.CONTEXT_STEPS, zero + one) * 24 + min(depth // 3, 5)
+            gate += 6 * _step(self.STEPS, np.minimum(zero, one))  # how mixed the node is
+            yield stretch, gate, bit
+
+
+def _less_one(tree: np.ndarray) -> np.ndarray:
+    """For each child (2 node + bit) of a tree, its node's log-odds when one occurrence of the child is left out."""
+    zero, one = tree[:, 0::2], tree[:, 1::2]
+    out = np.empty_like(tree)
+    out[:, 0::2] = log_odds(np.maximum(zero - 1, 0), one)
+    out[:, 1::2] = log_odds(zero, np.maximum(one - 1, 0))
+    return out
+
+
+def _step(steps: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """How many of ``steps`` each of ``n`` reaches."""
+    top = int(steps[-1])
+    table = np.searchsorted(steps, np.arange(top + 1), side="right")
+    return table[np.minimum(n, top).astype(np.int64)]
 
 
 class SpellModel:
@@ -162,12 +183,34 @@ class SpellModel:
     GATES, PREDICTORS = 8 * 8, SPELL_ORDERS
 
     def __init__(self, slot_bits: int, tables: list[np.ndarray] | None = None):
+        """``tables``: (2, slots) counts of zeros and ones by order."""
         self.sizes = [16] + [slot_bits] * (SPELL_ORDERS - 1)
-        self.tables = tables or [np.zeros((1 << b, 2), np.float32) for b in self.sizes]
+        tables = tables or [np.zeros((2, 1 << b)) for b in self.sizes]
+        # small whole numbers while they are sent about
+        self.tables = [np.ascontiguousarray(np.minimum(t, 65535).T.astype(np.uint16)) for t in tables]
+        self._made: dict[bool, list[tuple[np.ndarray, np.ndarray]]] = {}
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_made": {}}
+
+    def odds(self, own: bool) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Log-odds and step of each slot (``own``: of each slot and bit, with one such bit left out)."""
+        if own not in self._made:
+            self._made.clear()
+            made = []
+            for t in self.tables:
+                zero, one = t[:, 0].astype(np.float32), t[:, 1].astype(np.float32)
+                if own:
+                    less = np.stack([log_odds(np.maximum(zero - 1, 0), one), log_odds(zero, np.maximum(one - 1, 0))], axis=1)
+                    made.append((less.reshape(-1), _step(self.STEPS, np.maximum(zero + one - 1, 0)).astype(np.uint8)))
+                else:
+                    made.append((log_odds(zero, one), _step(self.STEPS, zero + one).astype(np.uint8)))
+            self._made[own] = made
+        return self._made[own]
 
     @staticmethod
     def slot_bits(distinct: int) -> int:
-        """Slots grow with the distinct tokens, between 2^18 and 2^21 (a broadcast of 50 MB)."""
+        """Slots grow with the distinct tokens, between 2^18 and 2^21 (a broadcast of 25 MB)."""
         return min(max(int(distinct).bit_length() + 1, 18), 21)
 
     @staticmethod
@@ -217,17 +260,17 @@ class SpellModel:
     def bits(self, tokens: list[bytes], cls: np.ndarray, own: bool) -> tuple[np.ndarray, Iterator[tuple[list[np.ndarray], np.ndarray, np.ndarray]]]:
         data, of, contexts = self.spell(tokens, cls)
 
+        made = self.odds(own)
+
         def each() -> Iterator[tuple[list[np.ndarray], np.ndarray, np.ndarray]]:
             for node, bit in self.byte_bits(data):
                 stretch, gate = [], 0
                 for order, context in enumerate(contexts):
-                    n = self.tables[order][self.slots(context, node, order)]
-                    zero, one = n[:, 0], n[:, 1]
-                    if own:
-                        zero, one = np.maximum(zero - (bit == 0), 0), np.maximum(one - bit, 0)
+                    slot = self.slots(context, node, order)
+                    odds, step = made[order]
+                    stretch.append(odds[slot * np.uint32(2) + bit if own else slot])
                     if order >= 2:
-                        gate = gate * 8 + np.searchsorted(self.STEPS, zero + one, side="right")
-                    stretch.append(log_odds(zero, one))
+                        gate = gate * 8 + step[slot].astype(np.int64)
                 yield stretch, gate, bit
 
         return of, each()

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from lakemart.llm.common import buffers, cut, discard, fold, prepare, slices, to_batch
+from lakemart.llm.common import buffers, cut, cut_in_two, discard, fold, prepare, slices, to_batch
 from lakemart.llm.lm_mixing import CODE_BITS, CodeModel, ContextCounts, Mixer, SpellModel
 from lakemart.llm.words import LOWER, NOT_SPACE, Words, single_spaced, split_words, xxh64
 
@@ -49,7 +49,7 @@ KNOWN = (1 << CODE_BITS) - 2
 END_CODE, RARE_CODE = 0, (1 << CODE_BITS) - 1
 #: Pairs on the list, at most, and texts of the sample that it is made from.
 LISTED = 400_000
-SAMPLE_TEXTS = 20_000
+SAMPLE_TEXTS = 10_000
 #: Texts that the clustering's starting centroids come from, about.
 CLUSTER_TEXTS = 2000
 #: A preceding token of more than 1 / LARGE_SHARE of all tokens is large.
@@ -63,16 +63,17 @@ ROUNDS = 10
 STILL = 1e-3
 #: A pair's key: a hash of the preceding token, one of its last two bytes, the code, the class.
 END_BITS = 8
-CONTEXT_BITS = 64 - CODE_BITS - CLASS_BITS
+#: Bits of the first hash at most; fewer where there are fewer distinct tokens (64 values for each).
+MOST_HASH_BITS = 64 - END_BITS - CODE_BITS - CLASS_BITS
 #: Tokens behind one deal, about.
-DEAL_TOKENS = 1_500_000
+DEAL_TOKENS = 750_000
 #: Distinct tokens, or pairs, that a task holds before it hands them on.
 HELD_TOKENS = 500_000
 HELD_PAIRS = 2_000_000
 #: Rows of one online step; slots of a table that are summed up together.
 STEP_ROWS = 4096
 BLOCK_ROWS = 65_536
-CHUNK = 1 << 12
+CHUNK = 1 << 16
 #: No token is discounted by more than this count.
 MOST_DISCOUNT = 0.75
 SEED = 42
@@ -89,13 +90,17 @@ def _end_of(last: np.ndarray, before: np.ndarray) -> np.ndarray:
     return ((last.astype(np.uint64) << np.uint64(8) | before) * _MIX) >> np.uint64(64 - END_BITS)
 
 
-def _context(hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - CONTEXT_BITS + END_BITS)) << np.uint64(END_BITS) | ends
+def hash_bits(distinct: int) -> int:
+    return min(max(distinct.bit_length() + 6, 20), MOST_HASH_BITS)
 
 
-#: The hash and context of an end (no word holds a line feed).
+def _context(hashes: np.ndarray, ends: np.ndarray, width: int) -> np.ndarray:
+    return (hashes >> np.uint64(64 - width)) << np.uint64(END_BITS) | ends
+
+
+#: The hash of an end (no word holds a line feed), and of its end.
 END_HASH = xxh64(np.frombuffer(b"\n", np.uint8), np.array([0]), np.array([1]), SEED)
-END_CONTEXT = _context(END_HASH, np.zeros(1, np.uint64))
+END_END = np.zeros(1, np.uint64)
 
 
 def token_hash(w: Words) -> np.ndarray:
@@ -114,12 +119,16 @@ def with_ends(values: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndar
     return np.insert(values, first[1:], end[0])
 
 
-def preceding(w: Words, hashes: np.ndarray) -> np.ndarray:
+def word_ends(w: Words) -> np.ndarray:
+    """``END_BITS`` hashed bits of each word's last two bytes."""
+    before = np.where(w.ends - w.starts > 1, w.data[np.maximum(w.ends - 2, 0)], 0)
+    return _end_of(w.data[w.ends - 1], before)
+
+
+def preceding(w: Words, hashes: np.ndarray, ends: np.ndarray, width: int) -> np.ndarray:
     """The context of each token of a slice, ends included: what the token before
     it is (an end, for a text's first)."""
-    last = w.data[w.ends - 1]
-    before = np.where(w.ends - w.starts > 1, w.data[np.maximum(w.ends - 2, 0)], 0)
-    own = with_ends(_context(hashes, _end_of(last, before)), w.first, END_CONTEXT)
+    own = with_ends(_context(hashes, ends, width), w.first, _context(END_HASH, END_END, width))
     return np.roll(own, 1)
 
 
@@ -129,11 +138,12 @@ def preceding(w: Words, hashes: np.ndarray) -> np.ndarray:
 def histograms(column: pa.Array) -> np.ndarray:
     """Each text's vector of length 1: root frequencies of its hashed byte pairs (A-Z lower-cased)."""
     raw, offsets = buffers(column)
-    data = LOWER[raw].astype(np.uint32)
-    of = np.repeat(np.arange(len(column)), np.diff(offsets))
-    slot = ((data[:-1] << np.uint32(8) | data[1:]) * np.uint32(40503) >> np.uint32(8)) & np.uint32(DIMS - 1)
-    same = of[1:] == of[:-1]
-    counts = np.bincount(of[:-1][same] * DIMS + slot[same], minlength=len(column) * DIMS).reshape(-1, DIMS)
+    data = LOWER[raw].astype(np.uint16)
+    slot = ((data[:-1] << np.uint16(8) | data[1:]) * np.uint16(40503) >> np.uint16(8)) & np.uint16(DIMS - 1)
+    counts = np.zeros((len(column), DIMS), np.int64)
+    for t, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
+        if b - a > 1:
+            counts[t] = np.bincount(slot[a : b - 1], minlength=DIMS)
     x = np.sqrt(counts.astype(np.float32))
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
 
@@ -189,7 +199,7 @@ def text_classes(docs: DataFrame, texts: int) -> np.ndarray:
                     total[k] += x[own == k].sum(axis=0, dtype=np.int64)
             yield to_batch(form=pa.array([0], pa.int32()), at=pa.array([0], pa.int64()), blob=pa.array([zlib.compress(total.tobytes(), 1)], pa.binary()))
 
-        total = np.zeros(CLASSES * DIMS, np.int64)
+        total = np.zeros(CLASSES * DIMS, np.int64)  # one chunk
         _summed(held.select("x").mapInArrow(add, "form int, at long, blob binary"), [total])
         shared.destroy()
         total = total.reshape(CLASSES, DIMS).astype(np.float64)
@@ -324,14 +334,14 @@ def known_tokens(words: DataFrame, texts: int, training_texts: int) -> tuple[Kno
     return Known(hashes[order], codes[order], by_code), totals
 
 
-def large_contexts(words: DataFrame, totals: Totals, texts: int) -> np.ndarray:
+def large_contexts(words: DataFrame, totals: Totals, texts: int, width: int) -> np.ndarray:
     """The contexts of tokens with over 1 / LARGE_SHARE of all, ascending."""
     tokens = words.where(F.col("n") * LARGE_SHARE > totals.n_all).select(F.xxhash64("token").alias("h"), F.expr("substring(token, -3, 3)").alias("tail")).collect()
-    out = [END_CONTEXT[0]] if texts * LARGE_SHARE > totals.n_all else []
+    out = _context(END_HASH, END_END, width).tolist() if texts * LARGE_SHARE > totals.n_all else []
     for r in tokens:
         tail = b"\0\0" + bytes(r["tail"])[:-1]
         end = _end_of(np.array([tail[-1]]), np.array([tail[-2]], np.uint64))
-        out += _context(np.array([r["h"]]).view(np.uint64), end).tolist()
+        out += _context(np.array([r["h"]]).view(np.uint64), end, width).tolist()
     return np.unique(np.array(out, np.uint64))
 
 
@@ -349,7 +359,7 @@ def _codes_in(keys: np.ndarray) -> np.ndarray:
     return ((keys >> np.uint64(CLASS_BITS)) & np.uint64((1 << CODE_BITS) - 1)).astype(np.int64)
 
 
-def listed_pairs(docs: DataFrame, known: Known, centroids: np.ndarray, texts: int) -> np.ndarray:
+def listed_pairs(docs: DataFrame, known: Known, centroids: np.ndarray, texts: int, width: int) -> np.ndarray:
     """Keys of pairs that are frequent in a sample of about ``SAMPLE_TEXTS``
     training texts, ascending: a pair on the list has a training count."""
     place = F.pmod(F.xxhash64("text", F.lit(5)), F.lit(1_000_000)) / F.lit(1e6)
@@ -357,9 +367,19 @@ def listed_pairs(docs: DataFrame, known: Known, centroids: np.ndarray, texts: in
     shared = docs.sparkSession.sparkContext.broadcast((known, centroids))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
         for _, column in slices(batches):
-            keys, counts = np.unique(_pairs(column, *shared.value)[0], return_counts=True)
-            yield to_batch(key=keys.view(np.int64), c=counts.astype(np.int64))
+            held.append(_pairs(column, *shared.value, width)[0])
+            if sum(map(len, held)) > HELD_PAIRS:
+                yield again(held)
+                held = []
+        if held:
+            yield again(held)
+
+    def again(held: list[np.ndarray]) -> pa.RecordBatch:
+        keys, counts = np.unique(np.concatenate(held), return_counts=True)
+        on = counts > 1  # met once here: not for the list
+        return to_batch(key=keys[on].view(np.int64), c=counts[on].astype(np.int64))
 
     counted = cut(sample.mapInArrow(run, "key long, c long").groupBy("key").agg(F.sum("c").alias("c")), "sampled-pairs")
     bound = _at_most(counted, LISTED, 2)
@@ -368,13 +388,13 @@ def listed_pairs(docs: DataFrame, known: Known, centroids: np.ndarray, texts: in
     return keys
 
 
-def _pairs(column: pa.Array, known: Known, centroids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, Words]:
+def _pairs(column: pa.Array, known: Known, centroids: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, Words]:
     """The key of each token with its context, the token's code (ends included), the texts' classes, and the words."""
-    cls = classes_of(column, centroids)
     w = single_spaced(split_words(column, NOT_SPACE))
-    hashes = token_hash(w)
+    ends, hashes = word_ends(w), token_hash(w)
+    cls = classes_of(column, centroids)
     codes = with_ends(known.codes_of(hashes), w.first, np.array([END_CODE]))
-    return _key(preceding(w, hashes), codes, np.repeat(cls, w.counts + 1)), codes, cls, w
+    return _key(preceding(w, hashes, ends, width), codes, np.repeat(cls, w.counts + 1)), codes, cls, w
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
@@ -424,6 +444,7 @@ class Setting:
     large: np.ndarray
     deals: int
     lessen: float
+    width: int  # bits of the hash of a preceding token
 
 
 def emit(docs: DataFrame, setting: Setting, id_type: str) -> DataFrame:
@@ -475,7 +496,7 @@ def emit(docs: DataFrame, setting: Setting, id_type: str) -> DataFrame:
                 start = end
 
         for batch, column in slices(batches):
-            pair, codes, cls, w = _pairs(column, s.known, s.centroids)
+            pair, codes, cls, w = _pairs(column, s.known, s.centroids, s.width)
             train = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
             sizes = w.counts + 1
             of = np.repeat(np.arange(len(sizes)), sizes)
@@ -697,7 +718,7 @@ def fit(words: DataFrame, emitted: DataFrame, deals: DataFrame, totals: Totals,
     model = Model(
         CodeModel(by_class.reshape(CLASSES, -1), by_end.reshape(1 << END_BITS, -1)), Mixer.fresh(CodeModel.GATES, CodeModel.PREDICTORS),
         ContextCounts(large.astype(np.int64), by_large.reshape(len(large), 1 << _FIRST)),
-        SpellModel(slot_bits, [np.ascontiguousarray(t.reshape(2, -1).T, np.float32) for t in tables]),
+        SpellModel(slot_bits, [t.reshape(2, -1) for t in tables]),
         Mixer.fresh(SpellModel.GATES, SpellModel.PREDICTORS),
     )
     del tables
@@ -797,13 +818,16 @@ def score_texts(docs: DataFrame, train: str, doc_id: str = "doc_id", text: str =
     centroids = text_classes(source, texts)
     words = cut(vocabulary(source.select("text", "train"), centroids), "vocabulary")
     known, totals = known_tokens(words, texts, counted["train"])
-    large = large_contexts(words, totals, texts)
-    listed = listed_pairs(source, known, centroids, texts)
+    width = hash_bits(totals.distinct)
+    large = large_contexts(words, totals, texts, width)
+    listed = listed_pairs(source, known, centroids, texts, width)
     deal_count = max(1, math.ceil(totals.n_all / DEAL_TOKENS))
     id_type = source.schema["doc_id"].dataType.simpleString()
-    emitted = cut(emit(source, Setting(known, centroids, listed, large, deal_count, totals.lessen), id_type), "emitted")
-    deals = cut(merged_deals(emitted), "deals")
-    model = fit(words, emitted, deals, totals, large)
+    setting = Setting(known, centroids, listed, large, deal_count, totals.lessen, width)
+    pairs, rest = cut_in_two(emit(source, setting, id_type), F.col("deal") >= 0, "emitted")
+    deals = cut(merged_deals(pairs), "deals")
+    discard(pairs)
+    model = fit(words, rest, deals, totals, large)
     told = cut(answers(deals, model, listed), "answers")
     discard(deals)
 
@@ -812,12 +836,12 @@ def score_texts(docs: DataFrame, train: str, doc_id: str = "doc_id", text: str =
         for blob in batch.column(0):
             at, log2 = _unpack(blob.as_py(), np.uint32, np.float32)
             by_list[at] = log2
-    by_class = model.code.classes[:, 1].astype(np.float64)  # training tokens of each class
+    by_class = model.code.sizes
     prior = np.log2((by_class + 1) / (by_class.sum() + CLASSES))
     shared = spark.sparkContext.broadcast((by_list, prior, model.spell, model.spell_mixer, totals))
-    texts_of = _texts(emitted, shared, id_type)
+    texts_of = _texts(rest, shared, id_type)
     paired = told.where("task >= 0").groupBy("task").applyInPandas(_text_sums, "task int, at long, log2 double")
-    sums = texts_of.join(paired, ["task", "at"], "left").join(_rare_sums(emitted, words, shared), ["task", "at"], "left")
+    sums = texts_of.join(paired, ["task", "at"], "left").join(_rare_sums(rest, words, shared), ["task", "at"], "left")
     zero = F.lit(0.0)
     score = (F.col("listed") + F.coalesce("log2", zero) + F.coalesce("rare_log2", zero)) * F.lit(LOG10_2)
     found = sums.select(

@@ -4,8 +4,10 @@ Documents become token ids and pieces of at most one sequence's length. Pieces
 are dealt into shards; several islands each evolve packings of a shard. A
 packing is a list of bins; crossover injects whole well-filled bins of one
 parent into another, removes the bins that share pieces with them, and puts the
-displaced pieces back by best fit. Between epochs each island's elite migrates
-to the next island. The least-filled bin of every shard goes into a further
+displaced pieces back: first in exchange for smaller ones where that fills a bin
+better, then into new bins filled as closely as two or three pieces can, the
+rest by best fit. An island goes on until some generations in a row bring
+nothing; between epochs each island's elite migrates to the next island. The least-filled bin of every shard goes into a further
 round with those of the other shards, until one shard is left.
 """
 
@@ -47,7 +49,10 @@ class Params:
     islands: int = 2
     epochs: int = 2
     population: int = 4
-    generations: int = 6
+    #: Generations in a row without a better packing that end an island's epoch.
+    patience: int = 10
+    #: Tasks that the islands of all shards are spread over, at most.
+    tasks: int = 4096
 
 
 # ------------------------------------------------------------------ token ids
@@ -207,6 +212,82 @@ def fitness(bins: list[Bin], lengths: list[int], capacity: int) -> tuple[int, fl
     return -len(bins), sum((f / capacity) ** 2 for f in fills(bins, lengths))
 
 
+def exchange(bins: list[Bin], pieces: list[int], lengths: list[int], capacity: int) -> list[int]:
+    """Swap displaced ``pieces`` into bins in place of one or two smaller ones
+    wherever a bin gets fuller, the fullest way of each bin; what is left over."""
+    out = sorted((lengths[i], i) for i in pieces)
+    for b in bins:
+        room = capacity - sum(lengths[i] for i in b)
+        if not room or not out:
+            continue
+        best = (0, -1, ())  # gain, place of the displaced piece, what it replaces
+        small = [(lengths[i], (i,)) for i in b]
+        if len(b) <= 8:
+            small += [(lengths[i] + lengths[j], (i, j)) for n, i in enumerate(b) for j in b[:n]]
+        for size, old in small:
+            at = bisect_left(out, (size + room + 1, -1)) - 1
+            if at >= 0 and out[at][0] - size > best[0]:
+                best = (out[at][0] - size, at, old)
+        if best[0] > 0:
+            _, new = out.pop(best[1])
+            for i in best[2]:
+                b.remove(i)
+                insort(out, (lengths[i], i))
+            b.append(new)
+    return [i for _, i in out]
+
+
+def fill_closely(pieces: list[int], lengths: list[int], capacity: int, rng: random.Random | None = None) -> list[Bin]:
+    """New bins for ``pieces``: each begins with the longest one left (with
+    ``rng``, now and then one of the next few) and takes the piece or the two
+    that fill it best, until none fits."""
+    left = sorted(pieces, key=lambda i: (lengths[i], i))
+    size = np.array([lengths[i] for i in left], np.int64)
+    bins = []
+    while left:
+        at = len(left) - 1
+        if rng is not None and rng.random() < 0.2:
+            at = rng.randrange(max(0, len(left) - 8), len(left))
+        chosen = [at]
+        room = capacity - int(size[at])
+        while True:
+            upto = int(np.searchsorted(size, room, side="right"))
+            if not upto:
+                break
+            free = np.ones(upto, bool)
+            free[[i for i in chosen if i < upto]] = False
+            on = np.flatnonzero(free)
+            if not len(on):
+                break
+            have = size[on]
+            other = np.searchsorted(have, room - have, side="right") - 1  # the longest that fits beside
+            other = np.where(other == np.arange(len(on)), other - 1, other)
+            pair = np.where(other >= 0, have + have[np.maximum(other, 0)], 0)
+            best = int(np.argmax(pair))
+            if pair[best] > have[-1]:
+                added = [int(on[best]), int(on[other[best]])]
+            else:
+                added = [int(on[-1])]
+            chosen += added
+            room -= int(size[added].sum())
+        bins.append([left[i] for i in chosen])
+        keep = np.ones(len(left), bool)
+        keep[chosen] = False
+        size = size[keep]
+        left = [i for i, k in zip(left, keep.tolist()) if k]
+    return bins
+
+
+def put_back(bins: list[Bin], pieces: list[int], lengths: list[int], capacity: int, rng: random.Random) -> list[Bin]:
+    """``bins`` with the displaced ``pieces`` in them again: by exchange, then as
+    closely filled new bins, the poorer of which are dissolved by best fit."""
+    left = exchange(bins, pieces, lengths, capacity)
+    new = fill_closely(left, lengths, capacity, rng)
+    close = [b for b in new if sum(lengths[i] for i in b) * 50 >= capacity * 49]
+    rest = [i for b in new if sum(lengths[i] for i in b) * 50 < capacity * 49 for i in b]
+    return best_fit(bins + close, rest, lengths, capacity)
+
+
 def crossover(a: list[Bin], b: list[Bin], lengths: list[int], capacity: int, rng: random.Random) -> list[Bin]:
     full = sorted(range(len(b)), key=lambda n: -sum(lengths[i] for i in b[n]))
     take = rng.sample(full[: max(1, len(full) // 2)], max(1, len(full) // 4))
@@ -218,14 +299,15 @@ def crossover(a: list[Bin], b: list[Bin], lengths: list[int], capacity: int, rng
             kept.append(list(x))
         else:
             displaced += [i for i in x if i not in inside]
-    return best_fit(injected + kept, displaced, lengths, capacity)
+    return put_back(injected + kept, displaced, lengths, capacity, rng)
 
 
 def mutate(a: list[Bin], lengths: list[int], capacity: int, rng: random.Random) -> list[Bin]:
-    """Empty the least-filled bin and a few others, and fit their pieces again."""
+    """Empty the least-filled tenth of the bins and some others, and put their pieces back."""
     filled = fills(a, lengths)
-    drop = {min(range(len(a)), key=filled.__getitem__), *rng.sample(range(len(a)), min(3, len(a)))}
-    return best_fit([list(x) for n, x in enumerate(a) if n not in drop], [i for n in drop for i in a[n]], lengths, capacity)
+    poor = sorted(range(len(a)), key=filled.__getitem__)[: max(1, len(a) // 10)]
+    drop = {*poor, *rng.sample(range(len(a)), min(max(3, len(a) // 20), len(a)))}
+    return put_back([list(x) for n, x in enumerate(a) if n not in drop], [i for n in sorted(drop) for i in a[n]], lengths, capacity, rng)
 
 
 def evolve(lengths: list[int], elites: list[list[Bin]], p: Params, rng: random.Random) -> list[Bin]:
@@ -240,25 +322,19 @@ def evolve(lengths: list[int], elites: list[list[Bin]], p: Params, rng: random.R
     best = max(people, key=score)
     if len(best) == least:
         return best
-    while len(people) < p.population:
-        seeds = rng.sample(everything, len(everything) // 3)
-        chosen = set(seeds)
-        start: list[Bin] = []
-        for i in seeds:  # first fit into the latest bin: unlike parents
-            if start and sum(lengths[j] for j in start[-1]) + lengths[i] <= p.capacity:
-                start[-1].append(i)
-            else:
-                start.append([i])
-        people.append(best_fit(start, [i for i in everything if i not in chosen], lengths, p.capacity))
-    for _ in range(p.generations):
+    while len(people) < p.population:  # unlike parents: bins filled closely from different beginnings
+        people.append(fill_closely(everything, lengths, p.capacity, rng if len(people) > 1 else None))
+    people.sort(key=score, reverse=True)
+    best, idle = people[0], 0
+    while idle < p.patience and len(best) > least:
         a, b = rng.sample(people, 2)
         child = crossover(a, b, lengths, p.capacity, rng)
         if rng.random() < 0.5:
             child = mutate(child, lengths, p.capacity, rng)
+        bins = len(best)
         people = sorted([*people, child, mutate(best, lengths, p.capacity, rng)], key=score, reverse=True)[: p.population]
         best = people[0]
-        if len(best) == least:
-            break
+        idle = 0 if len(best) < bins else idle + 1
     return best
 
 
@@ -278,9 +354,10 @@ def _to_labels(bins: list[Bin], n: int) -> np.ndarray:
 # ------------------------------------------------------------------ all shards
 
 
-def _pack_shards(shards: DataFrame, p: Params) -> DataFrame:
+def _pack_shards(shards: DataFrame, count: int, p: Params) -> DataFrame:
     """shard, labels: the bin of each piece of a shard's ``lengths``, evolved on
-    ``islands`` islands with migration between epochs."""
+    ``islands`` islands with migration between epochs. An island's work is large
+    beside its bytes, so the number of tasks is set from the ``count`` of shards."""
     each = F.explode(F.sequence(F.lit(0), F.lit(p.islands - 1))).alias("island")
     state = shards.select("shard", "lengths", F.lit(None).cast("array<array<int>>").alias("elites")).select("*", each)
 
@@ -296,7 +373,7 @@ def _pack_shards(shards: DataFrame, p: Params) -> DataFrame:
 
     bins = F.array_max("labels")
     for epoch in range(p.epochs):
-        done = state.repartition("shard", "island").mapInPandas(run, "shard long, lengths array<bigint>, island int, labels array<int>")
+        done = state.repartition(min(count * p.islands, p.tasks), "shard", "island").mapInPandas(run, "shard long, lengths array<bigint>, island int, labels array<int>")
         if epoch + 1 < p.epochs:
             # an island's elite goes to the next island and also stays
             moved = F.explode(F.array("island", F.pmod(F.col("island") + 1, F.lit(p.islands)))).alias("to")
@@ -343,7 +420,7 @@ def pack(pieces: DataFrame, p: Params = Params()) -> DataFrame:
             F.collect_list(F.struct(*pieces.columns)).alias("items")
         )
         dealt = cut(dealt.select("*", F.col("items")["length"].alias("lengths")), "shards")
-        labels = _pack_shards(dealt.select("shard", "lengths"), p)
+        labels = _pack_shards(dealt.select("shard", "lengths"), shards, p)
         placed = dealt.select("shard", "lengths").join(labels, "shard").mapInPandas(
             _offsets, "shard long, labels array<int>, offsets array<bigint>, least int"
         )

@@ -1,9 +1,9 @@
 """SimHash near-duplicates by a binary trie self-join.
 
 A text's fingerprint has bit i set if over half of its word shingles' XXH64
-values have it. Distinct fingerprints are dealt into groups that agree on one of
-five bit blocks: two fingerprints that differ in at most four bits agree on a
-block, so every link lies within a group. A group is a binary trie; pairs of
+values have it. Distinct fingerprints are dealt into groups that agree on two of
+six bit blocks: two fingerprints that differ in at most four bits agree on two
+blocks at least, so every link lies within a group. A group is a binary trie; pairs of
 nodes are walked down together, level by level, adding up the bits in which
 their prefixes differ and dropping a pair as soon as the sum passes the bit
 budget. The links found give connected components.
@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -65,13 +66,24 @@ def fingerprints(column: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
     return out
 
 
+#: Blocks that the values of a group agree on. A value is in 15 groups of four
+#: allowed bits; they are cut into parts from 2 billion values on (1024 x 2^21).
+AGREE = 2
+
+
 def blocks(max_bits: int) -> list[tuple[int, int]]:
-    """(first bit, width) of max_bits + 1 blocks that cover the 64 bits."""
-    n = max_bits + 1
+    """(first bit, width) of max_bits + AGREE blocks that cover the 64 bits."""
+    n = max_bits + AGREE
     edges = [64 * i // n for i in range(n + 1)]
     return [(a, b - a) for a, b in zip(edges[:-1], edges[1:], strict=True)]
 
 
+def masks(max_bits: int) -> list[int]:
+    """The bits (as a signed long) of every choice of AGREE blocks."""
+    each = [((1 << width) - 1) << first for first, width in blocks(max_bits)]
+    return [(m - (1 << 64) if m >> 63 else m) for m in map(sum, combinations(each, AGREE))]
+
+
 def trie_links(values: np.ndarray, a: np.ndarray, b: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs i < j whose values differ in at most ``max_bits`` bits, from
     the given pairs of tries.
@@ -126,25 +138,30 @@ def forest(nodes: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return root
 
 
-def near_links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """a, b (longs): links that join every two values of ``distinct.fp`` that
-    differ in at most ``max_bits`` bits into one component, and no others. Each
-    group yields a forest, not all its pairs."""
-    keyed = None
-    for n, (first, width) in enumerate(blocks(max_bits)):
-        value = F.shiftrightunsigned("fp", first).bitwiseAND(F.lit((1 << width) - 1))
-        part = distinct.select("fp", F.lit(n).alias("block"), value.alias("value"))
-        keyed = part if keyed is None else keyed.union(part)
+def deal(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """fp, own, block, value, p, q, task: each value of ``distinct.fp`` in every
+    group that it belongs to, for every pair (p, q) of the group's parts with its
+    own one. Tasks are as many as the rows dealt ask for: about ``TASK_ROWS`` each,
+    and no pair of parts is larger than 2 * PART or so."""
+    choices = F.array(*[F.lit(m).cast("long") for m in masks(max_bits)])
+    keyed = distinct.select("fp", F.posexplode(choices).alias("block", "mask")).select("fp", "block", F.col("fp").bitwiseAND(F.col("mask")).alias("value"))
     # Groups over PART rows are cut into parts by a hash; a task meets two of them at a time.
     parts = F.ceil(F.col("count") / PART).cast("int").alias("parts")
-    large = cut(keyed.groupBy("block", "value").count().where(F.col("count") > PART).select("block", "value", parts), "large-groups")
-    sized = keyed.join(large, ["block", "value"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    large = cut(keyed.groupBy("block", "value").count().where(F.col("count") > PART).select("block", "value", "count", parts), "large-groups")
+    more = large.agg(F.coalesce(F.sum(F.col("count") * (F.col("parts") - 1)), F.lit(0))).first()[0]
+    rows = len(masks(max_bits)) * distinct.count() + more  # dealt below
+    sized = keyed.join(large.drop("count"), ["block", "value"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     own = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int").alias("own")
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
     pair = ["block", "value", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q")]
     dealt = sized.select("*", own).select("*", other).select("fp", "own", *pair)
-    tasks = F.lit(math.ceil((max_bits + 1) * distinct.count() / TASK_ROWS) or 1)
-    dealt = dealt.select("*", F.pmod(F.xxhash64("block", "value", "p", "q"), tasks).alias("task"))
+    return dealt.select("*", F.pmod(F.xxhash64("block", "value", "p", "q"), F.lit(math.ceil(rows / TASK_ROWS) or 1)).alias("task"))
+
+
+def near_links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """a, b (longs): links that join every two values of ``distinct.fp`` that
+    differ in at most ``max_bits`` bits into one component, and no others. Each
+    group yields a forest, not all its pairs."""
 
     def join(rows: pd.DataFrame) -> pd.DataFrame:
         """Works off all groups of a task at once."""
@@ -164,7 +181,7 @@ def near_links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         on = np.flatnonzero(root != np.arange(len(fps)))
         return pd.DataFrame({"a": fps[on].view(np.int64), "b": fps[root[on]].view(np.int64)})
 
-    return dealt.groupBy("task").applyInPandas(join, "a long, b long")
+    return deal(distinct, max_bits).groupBy("task").applyInPandas(join, "a long, b long")
 
 
 def _members(docs: DataFrame, doc_id: str, text: str, shingle: int, max_bits: int) -> DataFrame:

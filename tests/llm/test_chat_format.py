@@ -73,3 +73,25 @@ def test_native_empty_and_clashing_columns(spark):
     found = C.format_chats(df)
     check(found.collect(), rows)
     assert "Python" not in found._jdf.queryExecution().toString()
+
+
+def test_a_hot_conversation_with_few_turn_numbers_is_many_tasks(spark):
+    """A third of all rows without a conversation, in eight turn numbers or none."""
+    from pyspark.sql import functions as F
+
+    hot = [(None, i % 9 if i % 9 < 8 else None, "user", f"text {i}") for i in range(3000)]
+    rows = hot + [(i // 4, i % 4, "user", f"t{i}") for i in range(6000)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(6)
+    keys = ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")
+    old = [spark.conf.get(k) for k in keys]
+    try:
+        for k, v in zip(keys, ("false", "12")):
+            spark.conf.set(k, v)
+        placed = C._rank(df)
+        sizes = placed.where("conv_id is null").groupBy(F.spark_partition_id()).count().collect()
+        found = C.format_chats(df).collect()
+    finally:
+        for k, v in zip(keys, old):
+            spark.conf.set(k, v)
+    assert len(sizes) >= 3 and max(r["count"] for r in sizes) < 2000
+    check(found, rows)

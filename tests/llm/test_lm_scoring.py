@@ -117,8 +117,9 @@ def test_large_contexts_count_the_same(spark, monkeypatch):
 
     def counted(share):
         monkeypatch.setattr(S, "LARGE_SHARE", share)
-        large = S.large_contexts(words, totals, 60)
-        emitted = S.cut(S.emit(docs, S.Setting(known, flat, S.np.zeros(0, S.np.uint64), large, 5, totals.lessen), "bigint"), "emitted")
+        large = S.large_contexts(words, totals, 60, 30)
+        setting = S.Setting(known, flat, S.np.zeros(0, S.np.uint64), large, 5, totals.lessen, 30)
+        emitted = S.cut(S.emit(docs, setting, "bigint"), "emitted")
         deals = S.cut(S.merged_deals(emitted), "deals")
         model = S.fit(words, emitted, deals, totals, large)
         seen = {}
@@ -153,13 +154,17 @@ def test_counts_after_a_context_equal_brute_force():
                 assert (zero[i], one[i]) == (c[same & (ones == 0)].sum(), c[same & (ones == 1)].sum())
 
 
+def vectors(texts):
+    return S.histograms(S.pa.array([t.encode() for t in texts], S.pa.large_binary()))
+
+
 def test_classes_come_from_all_training_texts(spark, monkeypatch):
     monkeypatch.setattr(S, "CLUSTER_TEXTS", 40)
     kinds = ["the of and to in that", "der die und das nicht ein", "le la les des et que", "0123 4567 89 10 11"]
     texts = [f"{kinds[i % 4]} {i * 7919 % 1000} {kinds[i % 4][: i % 9]}" for i in range(400)]
     docs = spark.createDataFrame([(t, True) for t in texts], "text string, train boolean").repartition(3)
     found = S.text_classes(docs, 400)
-    x = S.np.rint(S.histograms(S.pa.array([t.encode() for t in texts], S.pa.large_binary())) * 255)
+    x = S.np.rint(vectors(texts) * 255)
     own = S.np.argmax(x.astype(S.np.float32) @ found.T, axis=1)
     for k in set(own.tolist()):
         total = x[own == k].sum(axis=0)
@@ -168,13 +173,30 @@ def test_classes_come_from_all_training_texts(spark, monkeypatch):
 
 
 def test_histograms_do_not_cross_texts():
-    column = S.pa.array([b"ab", b"", b"a", b"ABab"], S.pa.large_binary())
-    x = S.histograms(column)
+    x = vectors(["ab", "", "a", "ABab"])
     assert (x[1] == 0).all() and (x[2] == 0).all()
     assert x[0].max() == pytest.approx(1.0) and S.np.count_nonzero(x[0]) == 1
     assert x[3] @ x[0] > 0.7
 
 
+def test_odds_with_one_left_out_equal_brute_force():
+    rng = S.np.random.default_rng(3)
+    leaves, ends = rng.integers(0, 3, (S.CLASSES, 1 << S.CODE_BITS)), rng.integers(0, 3, (S.DIMS, 1 << S.ContextCounts.TOP_BITS))
+    model = S.CodeModel(leaves, ends)
+    n = 40
+    cls, end, codes = rng.integers(0, S.CLASSES, n), rng.integers(0, S.DIMS, n), rng.integers(0, 1 << S.CODE_BITS, n)
+    nothing = [(S.np.zeros(n, S.np.float32), S.np.zeros(n, S.np.float32))] * S.CODE_BITS
+    odds = lambda z, o: math.log((max(o, 0) + 0.4) / (max(z, 0) + 0.4))
+    for own in (True, False):
+        for depth, (stretch, _, bit) in enumerate(model.bits(cls, end, codes, iter(nothing), own)):
+            width = S.CODE_BITS - depth - 1
+            for i in range(n):
+                lo = (int(codes[i]) >> (width + 1)) << (width + 1)
+                z, o = leaves[cls[i], lo : lo + (1 << width)].sum(), leaves[cls[i], lo + (1 << width) : lo + (2 << width)].sum()
+                less = int(own)
+                assert stretch[2][i] == pytest.approx(odds(z - less * (bit[i] == 0), o - less * bit[i]), abs=1e-4)
+
+
 def test_packed_arrays_come_back():
     rng = S.np.random.default_rng(2)
     for n in (0, 1, 5, 1000):
@@ -217,3 +239,5 @@ def test_intermediates_are_removed(spark, sf001):
     S.op2_lm_scoring(documents(spark, sf001)).collect()
     left = {name.rsplit("-", 1)[0] for name in set(os.listdir(folder)) - before}
     assert left == {"vocabulary", "emitted", "answers"}  # what the result is read from
+    pairs = [p for name in set(os.listdir(folder)) - before if name.startswith("emitted") for p in os.listdir(f"{folder}/{name}") if p == "_part=yes"]
+    assert not pairs

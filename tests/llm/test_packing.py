@@ -59,22 +59,84 @@ def test_odd_rows_and_empty_table(spark, odd_docs, odd_rows, no_docs):
     assert P.op10_best_fit_packing(no_docs, tokenizer_path()).count() == 0
 
 
-def test_evolution_keeps_every_piece_and_improves():
+def triples(n, least, seed):
+    """Lengths that fit ``n`` sequences exactly, three in each."""
+    rng, out = random.Random(seed), []
+    while len(out) < 3 * n:
+        a, b = sorted((rng.randint(1, 4095), rng.randint(1, 4095)))
+        if min(a, b - a, 4096 - b) >= least:
+            out += [a, b - a, 4096 - b]
+    rng.shuffle(out)
+    return out
+
+
+def test_evolution_keeps_every_piece():
     rng = random.Random(2)
     lengths = [rng.choice([1300, 1400, 1700, 2100, 900]) for _ in range(300)]
-    p = P.Params(generations=40)
+    p = P.Params()
     everything = list(range(len(lengths)))
     first = P.best_fit([], everything, lengths, p.capacity)
     best = P.evolve(lengths, [], p, random.Random(1))
-    for bins in (first, best):
+    closely = P.fill_closely(everything, lengths, p.capacity, rng)
+    children = [P.crossover(first, closely, lengths, p.capacity, rng), P.mutate(first, lengths, p.capacity, rng)]
+    for bins in (first, best, closely, *children):
         assert sorted(i for b in bins for i in b) == everything
         assert max(P.fills(bins, lengths)) <= p.capacity
     assert P.fitness(best, lengths, p.capacity) >= P.fitness(first, lengths, p.capacity)
-    child = P.crossover(first, best, lengths, p.capacity, rng)
-    assert sorted(i for b in child for i in b) == everything
     assert P._to_bins(P._to_labels(best, len(lengths))) == [sorted(b) for b in best]
 
 
+@pytest.mark.parametrize("least", [600, 1000])
+def test_production_search_goes_most_of_the_way_to_the_optimum(least):
+    lengths = triples(682, least, 1)
+    p = P.Params()
+    first = len(P.best_fit([], list(range(len(lengths))), lengths, p.capacity))
+    best = len(P.evolve(lengths, [], p, random.Random(0)))  # one island's first epoch
+    assert best <= first - 0.7 * (first - 682)
+
+
+def test_exchange_fills_bins_fuller():
+    rng = random.Random(8)
+    for _ in range(200):
+        lengths = [rng.randint(1, 60) for _ in range(40)]
+        bins = P.best_fit([], list(range(25)), lengths, 100)
+        before = P.fills(bins, lengths)
+        left = P.exchange(bins, list(range(25, 40)), lengths, 100)
+        after = P.fills(bins, lengths)
+        assert all(b <= a <= 100 for b, a in zip(before, after))
+        assert sorted([i for b in bins for i in b] + left) == list(range(40))
+
+
+def test_small_bins_equal_trying_every_packing():
+    """The search finds the fewest bins of a few pieces."""
+
+    def fewest(lengths):
+        def put(i, rooms):
+            if i == len(lengths):
+                return len(rooms)
+            best = len(lengths)
+            for n in range(len(rooms)):
+                if rooms[n] >= lengths[i]:
+                    best = min(best, put(i + 1, rooms[:n] + [rooms[n] - lengths[i]] + rooms[n + 1 :]))
+            return min(best, put(i + 1, [*rooms, 100 - lengths[i]]))
+
+        return put(0, [])
+
+    rng, p, over = random.Random(6), P.Params(capacity=100), 0
+    for n in range(60):
+        lengths = [rng.randint(15, 70) for _ in range(8)]
+        over += len(P.evolve(lengths, [], p, random.Random(n))) - fewest(lengths)
+    assert over == 0
+
+
+def test_islands_are_spread_over_tasks(spark):
+    rng = random.Random(1)
+    rows = [(s, [rng.randint(1300, 2100) for _ in range(30)]) for s in range(12)]
+    shards = spark.createDataFrame(rows, "shard long, lengths array<bigint>")
+    plan = P._pack_shards(shards, 12, P.Params())._jdf.queryExecution().toString()
+    assert "REPARTITION_BY_NUM" in plan and ", 24)" in plan
+
+
 def test_ids_of_odd_texts_equal_the_library():
     library, encoder = Tokenizer.from_file(tokenizer_path()), P.Encoder(tokenizer_path())
     rng = random.Random(5)

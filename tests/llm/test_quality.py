@@ -1,3 +1,6 @@
+import math
+import zlib
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -42,3 +45,89 @@ def test_thresholds_do_not_cross():
     m = Q._fit(rows, grade, Q.Params())
     assert m.thresholds[0] <= m.thresholds[1]
     assert m.weights[2] > 0 > m.weights[1]
+
+
+def plain_features(text):
+    """The hashed features of a text, by string operations on Latin-1 characters (a byte each)."""
+    t = text.encode().decode("latin-1")
+    spaces = " \t\n\x0b\x0c\r"
+    words = [w for w in "".join(" " if c in spaces else c for c in t).split(" ") if w]
+    low = lambda w: "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in w)
+    alnum = lambda c: ord(c) >= 128 or c.isascii() and c.isalnum()
+    bucket = lambda data, seed: zlib.crc32(data.encode("latin-1"), seed) % Q.BUCKETS
+    named = lambda kind, what: zlib.crc32(f"{kind}\x1f{what}".encode()) % Q.BUCKETS
+    if not words:
+        return {named("empty", "")}
+    n, lower, out = len(words), [low(w) for w in words], set()
+    for w in set(lower):
+        core = w
+        while core and not alnum(core[0]):
+            core = core[1:]
+        while core and not alnum(core[-1]):
+            core = core[:-1]
+        if core:
+            out.add(bucket(core, 1))
+        marks = "".join(c for c in w if not alnum(c))
+        if marks:
+            out.add(bucket(marks, 2))
+    capital = lambda w: any("A" <= c <= "Z" for c in w) and not any("a" <= c <= "z" for c in w)
+    shares = {
+        "repeat": sum(a == b for a, b in zip(lower, lower[1:])) / n,
+        "distinct": len(set(lower)) / n**0.85,
+        "capitals": sum(map(capital, words)) / n,
+        "marks": sum(not alnum(c) and c not in " \n" for c in t) / len(t),
+        "lines": t.count("\n") / n,
+    }
+    out |= {named(k, min(int(10 * v), 12)) for k, v in shares.items()}
+    return out | {named("length", int(math.log2(n)))}
+
+
+def test_tails_equal_plain_python(spark, sf001):
+    docs, labels = documents(spark, sf001), spark.read.parquet(f"{sf001}/labels.parquet")
+    model = Q.fit(Q.rated_documents(docs, labels))
+    got = {r["doc_id"]: r for r in Q.score_quality(docs, model).collect()}
+    for r in docs.select("doc_id", "text").collect():
+        s = sum(model.weights[f] for f in plain_features(r["text"] or ""))
+        tails = [1 / (1 + math.exp(-max(-30, min(30, s - t)))) for t in model.thresholds]
+        g = got[r["doc_id"]]
+        assert max(abs(a - b) for a, b in zip(tails, g["tails"])) < 1e-9
+        assert abs(g["expected_grade"] - sum(tails)) < 1e-9 and g["selected"] == (tails[-1] >= 0.5)
+
+
+def objective(w, t, rows, grade, l1):
+    """Mean negative log-likelihood of the cumulative-link model, and the L1 penalty, in plain loops."""
+    total = 0.0
+    for r, g in zip(rows, grade):
+        s = sum(w[i] for i in r)
+        tail = [1.0, *[1 / (1 + math.exp(-(s - x))) for x in t], 0.0]
+        total -= math.log(max(tail[g] - tail[g + 1], 1e-9))
+    return total / len(rows) + l1 * sum(map(abs, w))
+
+
+def test_fit_is_at_the_minimum_of_the_likelihood():
+    """No other weights or thresholds nearby, nor those of a plain coordinate search, do better."""
+    rng = np.random.default_rng(4)
+    rows = [np.unique(rng.integers(0, 6, 3)) for _ in range(150)]
+    score = np.array([sum({0: 2.0, 1: -2.0, 2: 0.7}.get(int(i), 0.0) for i in r) for r in rows]) + rng.logistic(size=150)
+    grade = np.digitize(score, [-0.8, 0.9])
+    p = Q.Params()
+    m = Q._fit(rows, grade, p)
+    x = [*m.weights[:6], *m.thresholds]
+    value = lambda v: objective(v[:6], v[6:], rows, grade, p.l1)
+    best = value(x)
+    plain, step = [0.0] * 6 + [-0.5, 0.5], 0.5
+    while step > 1e-3:  # plain coordinate search from nothing
+        moved = False
+        for k in range(8):
+            for d in (step, -step):
+                trial = [*plain]
+                trial[k] += d
+                if trial[6] <= trial[7] and value(trial) < value(plain) - 1e-12:
+                    plain, moved = trial, True
+        step = step if moved else step / 2
+    assert best <= value(plain) + 2e-3
+    for k in range(8):
+        for d in (0.05, -0.05):
+            trial = [*x]
+            trial[k] += d
+            assert value(trial) > best - 1e-3

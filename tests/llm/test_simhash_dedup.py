@@ -95,6 +95,34 @@ def test_large_groups_are_worked_off_in_parts(spark, monkeypatch):
     assert [linked.get(x, x) for x in signed] == want
 
 
+def test_every_near_pair_agrees_on_a_choice_of_blocks():
+    rng = random.Random(3)
+    masks = S.masks(4)
+    assert len(masks) == 15 and sorted(b for first, width in S.blocks(4) for b in range(first, first + width)) == list(range(64))
+    for _ in range(2000):
+        x = sum(1 << b for b in rng.sample(range(64), 4))  # the differing bits
+        assert any((x & m & (1 << 64) - 1) == 0 for m in masks)
+
+
+def test_a_hot_block_leaves_tasks_bounded(spark, monkeypatch):
+    """A third of the values agree on half of their bits; task sizes follow the rows dealt."""
+    rng = random.Random(5)
+    hot = {(0x1234567800000000 | rng.getrandbits(32)) for _ in range(1500)}
+    values = sorted(hot | {rng.getrandbits(64) for _ in range(3000)})
+    monkeypatch.setattr(S, "PART", 64)
+    monkeypatch.setattr(S, "TASK_ROWS", 500)
+    df = spark.createDataFrame([(x,) for x in np.array(values, np.uint64).view(np.int64).tolist()], "fp long")
+    dealt = S.deal(df)
+    sizes = [r["count"] for r in dealt.groupBy("task").count().collect()]
+    assert sum(sizes) > 15 * len(values) * 1.5  # the hot groups are dealt many times
+    assert max(sizes) < 5 * 500
+    pairs = [r["count"] for r in dealt.groupBy("block", "value", "p", "q").count().collect()]
+    assert max(pairs) < 3 * 64
+    linked = {r["node"]: r["root"] for r in S.components(S.near_links(df)).collect()}
+    signed = np.array(values, np.uint64).view(np.int64).tolist()
+    assert [linked.get(x, x) for x in signed] == least_linked(values, signed)
+
+
 def test_chain_of_links_is_one_component(spark):
     n = 300
     df = spark.createDataFrame([(i, i + 1) for i in range(n)], "a long, b long")
