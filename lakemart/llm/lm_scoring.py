@@ -68,7 +68,9 @@ MOST_HASH_BITS = 64 - END_BITS - CODE_BITS - CLASS_BITS
 #: Tokens behind one deal, about.
 DEAL_TOKENS = 750_000
 #: Distinct tokens, or pairs, that a task holds before it hands them on.
-HELD_TOKENS = 500_000
+HELD_TOKENS = 1_000_000
+#: Tokens that are told apart together.
+ENCODED_TOKENS = 1_000_000
 HELD_PAIRS = 2_000_000
 #: Rows of one online step; slots of a table that are summed up together.
 STEP_ROWS = 4096
@@ -197,9 +199,9 @@ def text_classes(docs: DataFrame, texts: int) -> np.ndarray:
                 own = np.argmax(x.astype(np.float32) @ shared.value.T, axis=1)
                 for k in range(CLASSES):
                     total[k] += x[own == k].sum(axis=0, dtype=np.int64)
-            yield to_batch(form=pa.array([0], pa.int32()), at=pa.array([0], pa.int64()), blob=pa.array([zlib.compress(total.tobytes(), 1)], pa.binary()))
+            yield from _chunked(0, total)
 
-        total = np.zeros(CLASSES * DIMS, np.int64)  # one chunk
+        total = np.zeros(CLASSES * DIMS, np.int64)
         _summed(held.select("x").mapInArrow(add, "form int, at long, blob binary"), [total])
         shared.destroy()
         total = total.reshape(CLASSES, DIMS).astype(np.float64)
@@ -224,32 +226,41 @@ def vocabulary(docs: DataFrame, centroids: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
-        size = 0
+        tokens: list[pa.Array] = []
+        marks: list[np.ndarray] = []  # of each token: its text's class, and whether it trains
+
+        def encoded() -> pa.Table:
+            found = pa.concat_arrays(tokens).dictionary_encode()
+            at, mark, distinct = found.indices.to_numpy(), np.concatenate(marks), len(found.dictionary)
+            tokens.clear()
+            marks.clear()
+            cls = np.full(distinct, 2 * CLASSES)
+            np.minimum.at(cls, at, mark)
+            c = np.bincount(at[mark < CLASSES], minlength=distinct)
+            return pa.table({"token": found.dictionary, "c": c, "n": np.bincount(at, minlength=distinct), "cls": cls})
 
         def summed() -> pa.Table:
-            t = pa.concat_tables(held).group_by("token").aggregate([("c", "sum"), ("n", "sum"), ("cls", "min")])
-            return t.select(["token", "c_sum", "n_sum", "cls_min"]).rename_columns(["token", "c", "n", "cls"])
+            t = pa.concat_tables(held)
+            if len(held) > 1:
+                t = t.group_by("token", use_threads=False).aggregate([("c", "sum"), ("n", "sum"), ("cls", "min")])
+                t = t.select(["token", "c_sum", "n_sum", "cls_min"]).rename_columns(["token", "c", "n", "cls"])
+            return t
 
         for part, column in slices(batches):
             w = single_spaced(split_words(column, NOT_SPACE))
             if not len(w.starts):
                 continue
-            found = token_array(w).dictionary_encode()
-            at = found.indices.to_numpy()
-            train = np.repeat(part.column(1).to_numpy(zero_copy_only=False).astype(bool), w.counts)
-            distinct = len(found.dictionary)
-            cls = np.full(distinct, 2 * CLASSES)
-            np.minimum.at(cls, at, np.repeat(classes_of(column, centroids), w.counts) + CLASSES * (1 - train))
-            held.append(pa.table({
-                "token": found.dictionary, "c": np.bincount(at[train], minlength=distinct), "n": np.bincount(at, minlength=distinct), "cls": cls,
-            }))
-            size += distinct
-            if size > HELD_TOKENS:
-                held = [summed()]
-                size = len(held[0])
-                if size > HELD_TOKENS // 2:
-                    yield from _typed(held.pop()).to_batches(50_000)
-                    size = 0
+            train = part.column(1).to_numpy(zero_copy_only=False).astype(bool)
+            tokens.append(token_array(w))
+            marks.append(np.repeat(classes_of(column, centroids) + CLASSES * (1 - train), w.counts))
+            if sum(map(len, tokens)) < ENCODED_TOKENS:
+                continue
+            held.append(encoded())
+            if sum(map(len, held)) > HELD_TOKENS:
+                yield from _typed(summed()).to_batches(50_000)
+                held.clear()
+        if tokens:
+            held.append(encoded())
         if held:
             yield from _typed(summed()).to_batches(50_000)
 
@@ -273,20 +284,57 @@ def _at_most(counts: DataFrame, most: int, least: int) -> int:
     return bound
 
 
+class Lookup:
+    """Places of 64-bit values in a set of distinct ones. They are kept in the order
+    of a mixed value, with a first place for each of its first bits, so that a
+    value is found in two or three steps."""
+
+    def __init__(self, values: np.ndarray):
+        mixed = values * _MIX
+        order = np.argsort(mixed)
+        self.values = np.append(values[order], np.uint64(0))  # the last one ends every search
+        self.shift = np.uint64(64 - max(len(values).bit_length(), 1))
+        self.first = np.searchsorted(mixed[order], np.arange((1 << (64 - int(self.shift))) + 1, dtype=np.uint64) << self.shift)
+        self.first[-1] = len(values)
+        self.longest = int(np.diff(self.first).max(initial=0))
+
+    def __len__(self) -> int:
+        return len(self.values) - 1
+
+    def find(self, values: np.ndarray) -> np.ndarray:
+        """The place of each value; -1 if it is none of the set."""
+        slot = ((values * _MIX) >> self.shift).astype(np.int64)
+        at, end = self.first[slot], self.first[slot + 1]
+        out = np.where((at < end) & (self.values[at] == values), at, -1)
+        open_ = np.flatnonzero((out < 0) & (at + 1 < end))
+        for step in range(1, self.longest):
+            if not len(open_):
+                break
+            here = at[open_] + step
+            hit = self.values[here] == values[open_]
+            out[open_[hit]] = here[hit]
+            open_ = open_[~hit & (here + 1 < end[open_])]
+        return out
+
+
 @dataclass
 class Known:
-    """The tokens with a code: hashes in ascending order, and each one's code and count."""
+    """The tokens with a code: their hashes, each one's code, and the counts by code."""
 
-    hashes: np.ndarray
+    hashes: Lookup
     codes: np.ndarray
-    counts: np.ndarray  # by code
+    counts: np.ndarray
+
+    @staticmethod
+    def of(hashes: np.ndarray, codes: np.ndarray, counts: np.ndarray) -> Known:
+        lookup = Lookup(hashes)
+        own = np.full(len(hashes) + 1, RARE_CODE, np.int64)  # the last one is for those without
+        own[lookup.find(hashes)] = codes
+        return Known(lookup, own, counts)
 
     def codes_of(self, hashes: np.ndarray) -> np.ndarray:
         """The code of each hashed word; RARE_CODE if it has none."""
-        if not len(self.hashes):
-            return np.full(len(hashes), RARE_CODE, np.int64)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, self.codes[at], RARE_CODE)
+        return self.codes[self.hashes.find(hashes)]
 
 
 @dataclass
@@ -327,11 +375,10 @@ def known_tokens(words: DataFrame, texts: int, training_texts: int) -> tuple[Kno
     by_code = np.zeros(1 << CODE_BITS, np.int64)
     by_code[codes] = counts
     by_code[END_CODE], by_code[RARE_CODE] = training_texts, rare
-    order = np.argsort(hashes)
     totals = Totals(
         total + training_texts, (s["v"] or 0) + (training_texts > 0), (s["n"] or 0) + texts, rare, rare_distinct, discount, training_texts
     )
-    return Known(hashes[order], codes[order], by_code), totals
+    return Known.of(hashes, codes, by_code), totals
 
 
 def large_contexts(words: DataFrame, totals: Totals, texts: int, width: int) -> np.ndarray:
@@ -359,9 +406,9 @@ def _codes_in(keys: np.ndarray) -> np.ndarray:
     return ((keys >> np.uint64(CLASS_BITS)) & np.uint64((1 << CODE_BITS) - 1)).astype(np.int64)
 
 
-def listed_pairs(docs: DataFrame, known: Known, centroids: np.ndarray, texts: int, width: int) -> np.ndarray:
+def listed_pairs(docs: DataFrame, known: Known, centroids: np.ndarray, texts: int, width: int) -> Lookup:
     """Keys of pairs that are frequent in a sample of about ``SAMPLE_TEXTS``
-    training texts, ascending: a pair on the list has a training count."""
+    training texts: a pair on the list has a training count."""
     place = F.pmod(F.xxhash64("text", F.lit(5)), F.lit(1_000_000)) / F.lit(1e6)
     sample = docs.where(F.col("train") & (place < min(1.0, SAMPLE_TEXTS / max(texts, 1)))).select("text")
     shared = docs.sparkSession.sparkContext.broadcast((known, centroids))
@@ -385,7 +432,7 @@ def listed_pairs(docs: DataFrame, known: Known, centroids: np.ndarray, texts: in
     bound = _at_most(counted, LISTED, 2)
     keys = np.sort(counted.where(F.col("c") >= bound).select("key").toArrow()["key"].to_numpy().astype(np.int64).view(np.uint64))
     discard(counted)
-    return keys
+    return Lookup(keys)
 
 
 def _pairs(column: pa.Array, known: Known, centroids: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, Words]:
@@ -440,7 +487,7 @@ class Setting:
 
     known: Known
     centroids: np.ndarray
-    listed: np.ndarray
+    listed: Lookup
     large: np.ndarray
     deals: int
     lessen: float
@@ -455,9 +502,8 @@ def emit(docs: DataFrame, setting: Setting, id_type: str) -> DataFrame:
     * TEXTS: a slice of texts, from number ``at`` of its task: id, train, bytes,
       class, tokens, base score of tokens with a code, its rare tokens, and in
       ``blob`` its listed pairs;
-    * TABLES: chunk ``at`` of the training counts by hashed end and first bits of
-      the code (form 0), by large context and first bits (form 1), or by class
-      and code (form 2)."""
+    * TABLES: chunk ``at`` of the training counts by large context and first bits
+      of the code."""
     shared = docs.sparkSession.sparkContext.broadcast(setting)
     columns = f"{_EMITTED}, ids array<{id_type}>, train array<boolean>, n_bytes array<long>, n_tokens array<long>, n_known array<long>, base array<double>, cls array<int>"
     columns += ", rare array<binary>, rare_at array<long>, rare_n array<long>"
@@ -469,9 +515,7 @@ def emit(docs: DataFrame, setting: Setting, id_type: str) -> DataFrame:
         base = np.where(seen, np.log10(s.known.counts + 0.5) - s.lessen, 0.0)
         base[RARE_CODE], seen[RARE_CODE] = 0.0, False
         listed = np.zeros(len(s.listed), np.int64)
-        by_end = np.zeros((1 << END_BITS) << _FIRST, np.int32)
         by_large = np.zeros(len(s.large) << _FIRST, np.int64)
-        by_class = np.zeros(CLASSES << CODE_BITS, np.int32)
         keys, refs, held = [], [], 0
 
         def row(deal: int, form: int, at: int, blob: bytes, **lists: pa.Array) -> pa.RecordBatch:
@@ -501,17 +545,13 @@ def emit(docs: DataFrame, setting: Setting, id_type: str) -> DataFrame:
             sizes = w.counts + 1
             of = np.repeat(np.arange(len(sizes)), sizes)
             trains = train[of]
-            context = pair >> np.uint64(_KEYED)
-            first = codes >> (CODE_BITS - _FIRST)
-            np.add.at(by_class, (cls[of] << CODE_BITS | codes)[trains], 1)
-            slot = (context & np.uint64((1 << END_BITS) - 1)).astype(np.int64) << _FIRST | first
-            np.add.at(by_end, slot[trains], 1)
             if len(s.large):
+                context, first = pair >> np.uint64(_KEYED), codes >> (CODE_BITS - _FIRST)
                 at = np.minimum(np.searchsorted(s.large, context), len(s.large) - 1)
                 on = trains & (s.large[at] == context)
                 by_large += np.bincount(at[on] << _FIRST | first[on], minlength=len(by_large))
-            where = np.minimum(np.searchsorted(s.listed, pair), max(len(s.listed) - 1, 0))
-            is_listed = s.listed[where] == pair if len(s.listed) else np.zeros(len(pair), bool)
+            where = s.listed.find(pair)
+            is_listed = where >= 0
             listed += np.bincount(where[is_listed & trains], minlength=len(listed))
             keys.append(pair[~is_listed])
             refs.append(((of[~is_listed] + upto) << 1 | trains[~is_listed]).astype(np.uint32))
@@ -535,12 +575,11 @@ def emit(docs: DataFrame, setting: Setting, id_type: str) -> DataFrame:
             yield from dealt(0, np.concatenate(keys), np.concatenate(refs))
         on = np.flatnonzero(listed)
         if len(on):
-            yield from dealt(1, s.listed[on], listed[on])
-        for form, table in ((0, by_end), (1, by_large), (2, by_class)):
-            for chunk in range(0, len(table), CHUNK):
-                part = table[chunk : chunk + CHUNK].astype(np.int64)
-                if part.any():
-                    yield row(TABLES, form, chunk // CHUNK, zlib.compress(part.tobytes(), 1))
+            yield from dealt(1, s.listed.values[on], listed[on])
+        for chunk in range(0, len(by_large), CHUNK):
+            part = by_large[chunk : chunk + CHUNK]
+            if part.any():
+                yield row(TABLES, 0, chunk // CHUNK, zlib.compress(part.tobytes(), 1))
 
     batch_id_type = docs.schema["doc_id"].dataType
     to_arrow = to_arrow_type
@@ -618,6 +657,32 @@ class Deal:
 # ------------------------------------------------------------------ the model
 
 
+def _chunked(form: int, table: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A table's chunks that hold anything, as rows (form, at, blob)."""
+    flat = table.reshape(-1)
+    for at in range(0, len(flat), CHUNK):
+        part = flat[at : at + CHUNK]
+        if part.any():
+            yield to_batch(form=pa.array([form], pa.int32()), at=pa.array([at // CHUNK], pa.int64()), blob=pa.array([zlib.compress(part.tobytes(), 1)], pa.binary()))
+
+
+def _shared_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A partition of deals: training counts by hashed end and first bits of the
+    code (form 0), and by class and code (form 1)."""
+    by_end, by_class = np.zeros((1 << END_BITS) << _FIRST, np.int64), np.zeros(CLASSES << CODE_BITS, np.int64)
+    for batch in batches:
+        for blob in batch.column(0):
+            d = Deal.read(blob.as_py())
+            on = np.flatnonzero(d.c)
+            keys, c = d.keys[on], d.c[on]
+            codes = _codes_in(keys)
+            end = (keys >> np.uint64(_KEYED)).astype(np.int64) & ((1 << END_BITS) - 1)
+            np.add.at(by_end, end << _FIRST | codes >> (CODE_BITS - _FIRST), c)
+            np.add.at(by_class, (keys & np.uint64(CLASSES - 1)).astype(np.int64) << CODE_BITS | codes, c)
+    yield from _chunked(0, by_end)
+    yield from _chunked(1, by_class)
+
+
 def _chunks(batches: Iterator[pa.RecordBatch], slot_bits: int) -> Iterator[pa.RecordBatch]:
     """A partition's spelling counts, by order and chunk of slots."""
     speller = SpellModel(slot_bits)
@@ -627,9 +692,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], slot_bits: int) -> Iterator[pa.Re
             part = batch.slice(a, 8192)
             speller.count([t[:-1] for t in part.column(0).to_pylist()], part.column(1).to_numpy(), spelled)
     for form, table in enumerate(spelled):
-        for at, part in enumerate(np.split(table.reshape(-1), table.size // CHUNK)):
-            if part.any():
-                yield to_batch(form=pa.array([form], pa.int32()), at=pa.array([at], pa.int64()), blob=pa.array([zlib.compress(part.tobytes(), 1)], pa.binary()))
+        yield from _chunked(form, table)
 
 
 def _sum_chunks(rows: pd.DataFrame) -> pd.DataFrame:
@@ -710,7 +773,8 @@ def fit(words: DataFrame, emitted: DataFrame, deals: DataFrame, totals: Totals,
     corpus alone, so the weights do not depend on the session's partitions."""
     spark = words.sparkSession
     by_end, by_large, by_class = (np.zeros(n << b, np.int64) for n, b in ((1 << END_BITS, _FIRST), (len(large), _FIRST), (CLASSES, CODE_BITS)))
-    _summed(emitted.where(F.col("deal") == TABLES), [by_end, by_large, by_class])
+    _summed(emitted.where(F.col("deal") == TABLES), [by_large])
+    _summed(deals.select("blob").mapInArrow(_shared_counts, "form int, at long, blob binary"), [by_end, by_class])
     slot_bits = SpellModel.slot_bits(totals.distinct)
     tokens = words.where("c > 0").select("token", "cls")
     tables = [np.zeros(2 << b, np.int64) for b in SpellModel(slot_bits).sizes]
@@ -764,7 +828,7 @@ def fit(words: DataFrame, emitted: DataFrame, deals: DataFrame, totals: Totals,
 # ------------------------------------------------------------------ scores
 
 
-def answers(deals: DataFrame, model: Model, listed: np.ndarray) -> DataFrame:
+def answers(deals: DataFrame, model: Model, listed: Lookup) -> DataFrame:
     """task, blob: what each deal adds to the log2 score of the texts of a task;
     task -1: the log2 of pairs on the list, by their number on it."""
     shared = deals.sparkSession.sparkContext.broadcast((model, listed))
@@ -782,10 +846,11 @@ def answers(deals: DataFrame, model: Model, listed: np.ndarray) -> DataFrame:
                     a, b = np.searchsorted(found, [i << 32, (i + 1) << 32])
                     if b > a:
                         yield _answer(task, found[a:b] & 0xFFFFFFFF, total[a:b])
-                at = np.searchsorted(listed, d.keys)
-                on = np.flatnonzero(listed[np.minimum(at, len(listed) - 1)] == d.keys) if len(listed) else at[:0]
+                at = listed.find(d.keys)
+                on = np.flatnonzero(at >= 0)
                 if len(on):
-                    yield _answer(-1, at[on], log2[on].astype(np.float32))
+                    order = on[np.argsort(at[on])]
+                    yield _answer(-1, at[order], log2[order].astype(np.float32))
 
     def _answer(task: int, text: np.ndarray, total: np.ndarray) -> pa.RecordBatch:
         return to_batch(task=pa.array([task], pa.int32()), blob=pa.array([_pack(text.astype(np.uint32), total)], pa.binary()))

@@ -283,3 +283,61 @@ def op13_merkle_manifest(docs: DataFrame) -> DataFrame:
     lowered = F.when(chosen, F.translate("text", _UPPER, _LOWER)).otherwise(F.col("text"))
     found = verify(build_manifest(docs, {"text": lowered}))
     return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def _sql_leaf(values: Sequence[str]) -> str:
+    texts = [f"CAST({v} AS VARCHAR)" for v in values]
+    return "sha256(" + " || ".join(f"coalesce(strlen({t}) || ':' || {t}, '-')" for t in texts) + ")"
+
+
+#: crc32 in SQL is a helper of its own: the polynomial's table and a fold over the id's digits.
+_SQL_CRC = """
+crc_table AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([CAST(i AS BIGINT)] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM range(256) r(i))),
+crcs AS (
+  SELECT d.doc_id, xor(4294967295, list_reduce([CAST(4294967295 AS BIGINT)] || list_transform(string_split(CAST(d.doc_id AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT)),
+         lambda c, b: xor(t.t[(xor(c, b) & 255) + 1], c >> 8))) AS crc
+  FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL) d, crc_table t)"""
+
+_SQL_UP = "SELECT tree, level + 1, pos // 16, sha256(string_agg(digest, '' ORDER BY pos)), (any_value(n) + 15) // 16 FROM {t} WHERE n > 1 GROUP BY tree, level, pos // 16"
+
+#: The same rows in DuckDB SQL: all levels of both kinds of trees by recursion, then the siblings of each leaf's way.
+ORACLE_SQL = f"""
+WITH RECURSIVE {_SQL_CRC},
+rows AS (
+  SELECT row_number() OVER () AS id, d.*, coalesce('1' || d.source, '0') AS tree,
+         CASE WHEN c.crc % 5 = 0 THEN translate(d.text, '{_UPPER}', '{_LOWER}') ELSE d.text END AS changed
+  FROM documents d LEFT JOIN crcs c ON c.doc_id = d.doc_id),
+leaves AS (SELECT id, doc_id, tree, {_sql_leaf(FIELDS)} AS leaf, {_sql_leaf((*FIELDS[:-1], "changed"))} AS tampered FROM rows),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM leaves),
+nodes(tree, level, pos, digest, n) AS (
+  SELECT tree, 0, pos, leaf, n FROM placed UNION ALL {_SQL_UP.format(t="nodes")}),
+subroots AS (SELECT tree, digest, row_number() OVER (ORDER BY tree) - 1 AS nth, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops(tree, level, pos, digest, n) AS (
+  SELECT 'top', 0, nth, digest, n FROM subroots UNION ALL {_SQL_UP.format(t="tops")}),
+runs AS (
+  SELECT tree, level, pos // 16 AS run, list(digest ORDER BY pos) AS ds FROM (SELECT * FROM nodes UNION ALL SELECT * FROM tops)
+  WHERE n > 1 GROUP BY ALL),
+ways AS (
+  SELECT p.id, r.level, r.ds, CAST((p.pos >> (4 * r.level)) % 16 AS INTEGER) AS i
+  FROM placed p JOIN runs r ON r.tree = p.tree AND r.run = p.pos >> (4 * (r.level + 1))
+  UNION ALL
+  SELECT p.id, 1000 + r.level, r.ds, CAST((s.nth >> (4 * r.level)) % 16 AS INTEGER)
+  FROM placed p JOIN subroots s ON s.tree = p.tree JOIN runs r ON r.tree = 'top' AND r.run = s.nth >> (4 * (r.level + 1))),
+steps AS (
+  SELECT id, row_number() OVER (PARTITION BY id ORDER BY level) AS step,
+         array_to_string(ds[1:i], '') AS before, array_to_string(ds[i + 2:], '') AS after
+  FROM ways),
+folded(id, step, digest) AS (
+  SELECT id, 0, tampered FROM placed
+  UNION ALL
+  SELECT f.id, s.step, sha256(s.before || f.digest || s.after) FROM folded f JOIN steps s ON s.id = f.id AND s.step = f.step + 1),
+ends AS (SELECT id, arg_max(digest, step) AS folded_root FROM folded GROUP BY id),
+proofs AS (SELECT id, string_agg(before || after, '' ORDER BY step) AS proof FROM steps GROUP BY id),
+root AS (SELECT digest AS root FROM tops WHERE n = 1)
+SELECT p.doc_id, p.leaf, s.digest AS subroot, r.root, sha256(coalesce(q.proof, '')) AS proof_sha256, e.folded_root, e.folded_root = r.root AS verified
+FROM placed p JOIN subroots s ON s.tree = p.tree JOIN ends e ON e.id = p.id LEFT JOIN proofs q ON q.id = p.id, root r
+"""

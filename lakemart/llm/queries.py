@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakemart.llm import chat_format, fill_in_middle, source_mixing, topk_search
+from lakemart.llm import chat_format, fill_in_middle, merkle_manifest, source_mixing, topk_search
 from lakemart.llm.chat_format import op5_chat_format
 from lakemart.llm.common import table
 from lakemart.llm.decontamination import op3_decontamination
@@ -55,4 +55,5 @@ ORACLE_SQL: dict[str, str] = {
     "op9_topk_search": topk_search.ORACLE_SQL,
     "op11_source_mixing": source_mixing.ORACLE_SQL,
     "op12_fill_in_middle": fill_in_middle.ORACLE_SQL,
+    "op13_merkle_manifest": merkle_manifest.ORACLE_SQL,
 }

@@ -118,7 +118,7 @@ def test_large_contexts_count_the_same(spark, monkeypatch):
     def counted(share):
         monkeypatch.setattr(S, "LARGE_SHARE", share)
         large = S.large_contexts(words, totals, 60, 30)
-        setting = S.Setting(known, flat, S.np.zeros(0, S.np.uint64), large, 5, totals.lessen, 30)
+        setting = S.Setting(known, flat, S.Lookup(S.np.zeros(0, S.np.uint64)), large, 5, totals.lessen, 30)
         emitted = S.cut(S.emit(docs, setting, "bigint"), "emitted")
         deals = S.cut(S.merged_deals(emitted), "deals")
         model = S.fit(words, emitted, deals, totals, large)
@@ -197,6 +197,18 @@ def test_odds_with_one_left_out_equal_brute_force():
                 assert stretch[2][i] == pytest.approx(odds(z - less * (bit[i] == 0), o - less * bit[i]), abs=1e-4)
 
 
+def test_lookup_equals_a_dictionary():
+    rng = S.np.random.default_rng(5)
+    for n in (0, 1, 2, 7, 5000):
+        values = S.np.unique(rng.integers(0, 1 << 63, n).astype(S.np.uint64) << S.np.uint64(rng.integers(0, 2)))
+        values = S.np.unique(S.np.append(values, values[: n // 2] + S.np.uint64(1)))
+        found = S.Lookup(values)
+        asked = S.np.concatenate([values, values + S.np.uint64(2), S.np.zeros(2, S.np.uint64)])
+        own = set(values.tolist())
+        for v, at in zip(asked.tolist(), found.find(asked).tolist(), strict=True):
+            assert (at >= 0) == (v in own) and (at < 0 or found.values[at] == v)
+
+
 def test_packed_arrays_come_back():
     rng = S.np.random.default_rng(2)
     for n in (0, 1, 5, 1000):

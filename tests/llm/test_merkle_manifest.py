@@ -4,6 +4,7 @@ import hashlib
 import zlib
 from collections import defaultdict
 
+import duckdb
 from pyspark.sql import functions as F
 
 from lakemart.llm import merkle_manifest as M
@@ -78,6 +79,14 @@ def test_whole_table(spark, sf001):
     check(spark, df, rows)
 
 
+def test_sql_equals_brute_force(odd_rows):
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, lang VARCHAR, source VARCHAR, n_chars BIGINT)")
+    rows = [*odd_rows, *((100 + i, f"Text {i}", "en", "hot", i) for i in range(300))]
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?, ?, ?)", rows)
+    assert sorted(con.execute(M.ORACLE_SQL).fetchall(), key=key) == sorted(brute(rows), key=key)
+
+
 def test_odd_rows(spark, odd_docs, odd_rows):
     check(spark, odd_docs, odd_rows)
 
