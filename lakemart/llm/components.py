@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import cut
+from lakemart.llm.common import cut, discard
 
 MOST_ROUNDS = 60
 
@@ -18,11 +18,14 @@ def components(links: DataFrame) -> DataFrame:
     the smallest neighbour; the rounds grow with the logarithm of the longest
     path. A node's smallest neighbour is a map-side combined aggregate joined
     back to the links, so a hub is never collected; each round is written to the
-    shared folder."""
+    shared folder, and dropped when the next one is."""
     edges = cut(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     mark = _mark(edges)
     for _ in range(MOST_ROUNDS):
-        edges = cut(_small_star(cut(_large_star(edges), "large-star")), "small-star")
+        large = _large_star(edges)
+        discard(edges)
+        edges = _small_star(large)
+        discard(large)
         before, mark = mark, _mark(edges)
         if mark == before:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
@@ -38,11 +41,15 @@ def _large_star(edges: DataFrame) -> DataFrame:
     # written, so that the join below has a plain shuffle on each side and a hub's rows can be split
     least = cut(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
     larger = edges.select(F.col("a").alias("x"), F.col("b").alias("a"))
-    return larger.join(least, "a").select(F.col("x").alias("a"), F.col("m").alias("b")).distinct()
+    out = cut(larger.join(least, "a").select(F.col("x").alias("a"), F.col("m").alias("b")).distinct(), "large-star")
+    discard(least)
+    return out
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     least = cut(edges.groupBy("a").agg(F.min("b").alias("m")), "least")
     linked = edges.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
     swapped = linked.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    return swapped.union(least.select("a", F.col("m").alias("b"))).distinct()
+    out = cut(swapped.union(least.select("a", F.col("m").alias("b"))).distinct(), "small-star")
+    discard(least)
+    return out

@@ -110,11 +110,12 @@ def tree_of(leaves: np.ndarray) -> np.ndarray:
     """Counts of every node, tree by tree: node i has the children 2i and 2i + 1."""
     n = leaves.shape[1]
     tree = np.zeros((len(leaves), 2 * n), np.float32)
-    level, at = leaves.astype(np.float64), n
-    tree[:, n:] = level
-    while at > 1:
-        level, at = level[:, 0::2] + level[:, 1::2], at // 2
-        tree[:, at : 2 * at] = level
+    for row, level in zip(tree, leaves, strict=True):
+        level, at = level.astype(np.float64), n
+        row[n:] = level
+        while at > 1:
+            level, at = level[0::2] + level[1::2], at // 2
+            row[at : 2 * at] = level
     return tree
 
 
@@ -131,9 +132,24 @@ class CodeModel:
 
     def __init__(self, leaves: np.ndarray, after_end: np.ndarray):
         self.sizes = leaves.sum(axis=1)  # training tokens of each class
-        trees = [tree_of(leaves.sum(axis=0, keepdims=True)), tree_of(leaves), tree_of(after_end)]
-        self.odds = [log_odds(t[:, 0::2], t[:, 1::2]) for t in trees]  # by node
-        self.less = [_less_one(t) for t in trees]  # by child: its node's, without one of the child
+        self.counts = [leaves.astype(np.float32), after_end.astype(np.float32)]
+        self._made: dict[bool, list[np.ndarray]] = {}
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_made": {}}
+
+    def odds(self, own: bool) -> list[np.ndarray]:
+        """Log-odds of all texts, by class and by hashed end: of each node, or
+        (``own``) of each child's node without one occurrence of the child."""
+        if own not in self._made:
+            self._made.clear()
+            leaves, after_end = self.counts
+            made = []
+            for counts in (leaves.sum(axis=0, keepdims=True), leaves, after_end):
+                tree = tree_of(counts)
+                made.append(_less_one(tree) if own else log_odds(tree[:, 0::2], tree[:, 1::2]))
+            self._made[own] = made
+        return self._made[own]
 
     def bits(
         self, cls: np.ndarray, ends: np.ndarray, codes: np.ndarray, following: Iterator[tuple[np.ndarray, np.ndarray]], own: bool
@@ -142,7 +158,7 @@ class CodeModel:
         zeros and ones after the preceding token; ``own``: leave one occurrence out."""
         nothing = np.zeros(len(codes), np.float32)
         rows = [np.zeros_like(cls), cls, ends]
-        tables = self.less if own else self.odds
+        tables = self.odds(own)
         flat = [t.reshape(-1) for t in tables]
         base = [r * t.shape[1] for r, t in zip(rows, tables, strict=True)]
         for depth, (zero, one) in enumerate(following):
@@ -185,9 +201,11 @@ class SpellModel:
     def __init__(self, slot_bits: int, tables: list[np.ndarray] | None = None):
         """``tables``: (2, slots) counts of zeros and ones by order."""
         self.sizes = [16] + [slot_bits] * (SPELL_ORDERS - 1)
-        tables = tables or [np.zeros((2, 1 << b)) for b in self.sizes]
         # small whole numbers while they are sent about
-        self.tables = [np.ascontiguousarray(np.minimum(t, 65535).T.astype(np.uint16)) for t in tables]
+        if tables is None:
+            self.tables = [np.zeros((1 << b, 2), np.uint16) for b in self.sizes]
+        else:
+            self.tables = [np.ascontiguousarray(np.minimum(t, 65535).astype(np.uint16).T) for t in tables]
         self._made: dict[bool, list[tuple[np.ndarray, np.ndarray]]] = {}
 
     def __getstate__(self) -> dict:

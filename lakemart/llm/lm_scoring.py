@@ -68,10 +68,10 @@ MOST_HASH_BITS = 64 - END_BITS - CODE_BITS - CLASS_BITS
 #: Tokens behind one deal, about.
 DEAL_TOKENS = 750_000
 #: Distinct tokens, or pairs, that a task holds before it hands them on.
-HELD_TOKENS = 1_000_000
+HELD_TOKENS = 600_000
 #: Tokens that are told apart together.
-ENCODED_TOKENS = 1_000_000
-HELD_PAIRS = 2_000_000
+ENCODED_TOKENS = 600_000
+HELD_PAIRS = 1_000_000
 #: Rows of one online step; slots of a table that are summed up together.
 STEP_ROWS = 4096
 BLOCK_ROWS = 65_536
@@ -661,7 +661,7 @@ def _chunked(form: int, table: np.ndarray) -> Iterator[pa.RecordBatch]:
     """A table's chunks that hold anything, as rows (form, at, blob)."""
     flat = table.reshape(-1)
     for at in range(0, len(flat), CHUNK):
-        part = flat[at : at + CHUNK]
+        part = flat[at : at + CHUNK].astype(np.int64)
         if part.any():
             yield to_batch(form=pa.array([form], pa.int32()), at=pa.array([at // CHUNK], pa.int64()), blob=pa.array([zlib.compress(part.tobytes(), 1)], pa.binary()))
 
@@ -686,7 +686,7 @@ def _shared_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def _chunks(batches: Iterator[pa.RecordBatch], slot_bits: int) -> Iterator[pa.RecordBatch]:
     """A partition's spelling counts, by order and chunk of slots."""
     speller = SpellModel(slot_bits)
-    spelled = [np.zeros((2, 1 << b), np.int64) for b in speller.sizes]
+    spelled = [np.zeros((2, 1 << b), np.int32) for b in speller.sizes]
     for batch in batches:
         for a in range(0, len(batch), 8192):
             part = batch.slice(a, 8192)
@@ -786,7 +786,8 @@ def fit(words: DataFrame, emitted: DataFrame, deals: DataFrame, totals: Totals,
         Mixer.fresh(SpellModel.GATES, SpellModel.PREDICTORS),
     )
     del tables
-    shared = spark.sparkContext.broadcast(model)
+    coded = spark.sparkContext.broadcast(Model(model.code, None, model.contexts, None, None))
+    spelling = spark.sparkContext.broadcast(Model(None, None, None, model.spell, None))
 
     def learned(mixers: DataFrame, mixer: Mixer) -> None:
         """Fill ``mixer`` with the average of rows (seen, weights * seen, hits)."""
@@ -805,7 +806,7 @@ def fit(words: DataFrame, emitted: DataFrame, deals: DataFrame, totals: Totals,
         for batch in batches:
             for blob in batch.column(0):
                 own = Mixer.fresh(CodeModel.GATES, CodeModel.PREDICTORS)
-                seen = shared.value.learn_codes(Deal.read(blob.as_py()), own)
+                seen = coded.value.learn_codes(Deal.read(blob.as_py()), own)
                 if seen:
                     yield to_batch(v=pa.array([row(own, seen)], pa.list_(pa.float64())))
 
@@ -814,14 +815,15 @@ def fit(words: DataFrame, emitted: DataFrame, deals: DataFrame, totals: Totals,
         once = sorted((zlib.crc32(t), bytes(t[:-1]), k) for t, k in zip(rows["token"], rows["cls"], strict=True))  # a set order, not the alphabet's
         for a in range(0, len(once), STEP_ROWS):
             _, tokens, cls = zip(*once[a : a + STEP_ROWS], strict=True)
-            seen += shared.value.learn_spelling(list(tokens), np.array(cls), own)
+            seen += spelling.value.learn_spelling(list(tokens), np.array(cls), own)
         return pd.DataFrame({"v": [row(own, seen)]})
 
     learned(deals.select("blob").mapInArrow(learn_codes, "v array<double>"), model.code_mixer)
+    coded.destroy()
     groups = max(1, math.ceil(totals.distinct / 200_000))
     once = words.where("c = 1").select("token", "cls", F.pmod(F.xxhash64("token"), F.lit(groups)).alias("g"))
     learned(once.groupBy("g").applyInPandas(lambda rows: learn_spelling(rows), "v array<double>"), model.spell_mixer)
-    shared.destroy()  # before the learned model is sent out
+    spelling.destroy()  # before the learned model is sent out
     return model
 
 
@@ -831,7 +833,8 @@ def fit(words: DataFrame, emitted: DataFrame, deals: DataFrame, totals: Totals,
 def answers(deals: DataFrame, model: Model, listed: Lookup) -> DataFrame:
     """task, blob: what each deal adds to the log2 score of the texts of a task;
     task -1: the log2 of pairs on the list, by their number on it."""
-    shared = deals.sparkSession.sparkContext.broadcast((model, listed))
+    coder = Model(model.code, model.code_mixer, model.contexts, None, None)
+    shared = deals.sparkSession.sparkContext.broadcast((coder, listed))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, listed = shared.value

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import cut, pick, slices, prepare, to_batch
+from lakemart.llm.common import cut, discard, pick, slices, prepare, to_batch
 from lakemart.llm.components import components
 from lakemart.llm.words import NOT_SPACE, single_spaced, split_words, xxh64
 
@@ -198,7 +198,9 @@ def _members(docs: DataFrame, doc_id: str, text: str, shingle: int, max_bits: in
     values = cut(rows.select("fp").distinct(), "distinct-fingerprints")
     linked = components(near_links(values, max_bits))
     roots = rows.join(linked.withColumnRenamed("node", "fp"), "fp", "left")
-    return cut(roots.select("doc_id", "text_key", "fp", F.coalesce("root", "fp").alias("root")), "members")
+    members = cut(roots.select("doc_id", "text_key", "fp", F.coalesce("root", "fp").alias("root")), "members")
+    discard(rows, values)
+    return members
 
 
 def near_duplicates(
