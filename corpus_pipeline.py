@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lakemart.llm import decontamination, language_id, packing, quality, simhash_dedup
-from lakemart.llm.common import cut, table
+from lakemart.llm.common import cut, discard, table
 from lakemart.llm.queries import tokenizer_path
 
 
@@ -54,6 +54,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir), f"stage-{name}")
+    for n, (name, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, cut(stage(spark, docs, sf_dir), f"stage-{name}")
+        if n:  # the next stage has read it
+            discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)
