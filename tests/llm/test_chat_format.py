@@ -82,16 +82,17 @@ def test_a_hot_conversation_with_few_turn_numbers_is_many_tasks(spark):
     hot = [(None, i % 9 if i % 9 < 8 else None, "user", f"text {i}") for i in range(3000)]
     rows = hot + [(i // 4, i % 4, "user", f"t{i}") for i in range(6000)]
     df = spark.createDataFrame(rows, SCHEMA).repartition(6)
-    keys = ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")
-    old = [spark.conf.get(k) for k in keys]
+    # the last two: a written file is read by a task of its own
+    keys = ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions", "spark.sql.files.openCostInBytes", "spark.sql.files.minPartitionNum")
+    old = [spark.conf.get(k, None) for k in keys]
     try:
-        for k, v in zip(keys, ("false", "12")):
+        for k, v in zip(keys, ("false", "12", str(1 << 30), "100")):
             spark.conf.set(k, v)
         placed = C._rank(df)
         sizes = placed.where("conv_id is null").groupBy(F.spark_partition_id()).count().collect()
         found = C.format_chats(df).collect()
     finally:
         for k, v in zip(keys, old):
-            spark.conf.set(k, v)
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert len(sizes) >= 3 and max(r["count"] for r in sizes) < 2000
     check(found, rows)

@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from tokenizers import Tokenizer
 
 from lakemart.llm import packing as P
