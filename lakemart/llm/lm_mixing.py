@@ -273,7 +273,7 @@ class SpellModel:
         for node, bit in self.byte_bits(data):
             for order, context in enumerate(contexts):
                 slots = self.slots(context, node, order).astype(np.int64) + bit.astype(np.int64) * (1 << self.sizes[order])
-                np.add.at(tables[order].reshape(-1), slots, 1)
+                np.add.at(tables[order].reshape(-1), slots, tables[order].dtype.type(1))  # of one type: else it is slow
 
     def bits(self, tokens: list[bytes], cls: np.ndarray, own: bool) -> tuple[np.ndarray, Iterator[tuple[list[np.ndarray], np.ndarray, np.ndarray]]]:
         data, of, contexts = self.spell(tokens, cls)
