@@ -176,14 +176,14 @@ def fact_trip_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = run_of(spark, sf_dir)
     run.house.write("gold.dim_rider")
     out = run.fresh("stream-fact")
-    return run_fact_trip_increment(spark, run.csv("trips"), lambda: run.house.table("gold.dim_rider"), f"{out}/fact_trip", f"{out}/_checkpoint", max_files=4)
+    return run_fact_trip_increment(spark, run.csv("trips"), lambda: run.house.table("gold.dim_rider"), f"{out}/fact_trip", f"{out}/_checkpoint")
 
 
 def dim_rider_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rider dimension kept by a stream's keyed state over every landed rider file."""
     run = run_of(spark, sf_dir)
     out = run.fresh("stream-rider")
-    return run_dim_rider_increment(spark, run.csv("riders"), f"{out}/dim_rider", f"{out}/_checkpoint", max_files=2)
+    return run_dim_rider_increment(spark, run.csv("riders"), f"{out}/dim_rider", f"{out}/_checkpoint")
 
 
 def csv_damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
