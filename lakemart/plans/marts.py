@@ -89,15 +89,19 @@ def rides_by_hour_total(silver_trips: DataFrame) -> DataFrame:
 def rides_by_station_pair(fact_trip: DataFrame, dim_station: DataFrame) -> DataFrame:
     """Start and end station *names* -> ride_count, avg minutes; busiest first.
 
-    Stations sharing a name merge; unknown stations fall in the NULL name."""
+    Stations sharing a name merge; unknown stations fall in the NULL name. Trips
+    are first reduced by the pair of station ids (map-side combined), so the two
+    joins see a row for each pair and no trip is shuffled, however large the
+    station dimension is."""
     m = ride_measure()
     ss = _station_names(dim_station, "start")
     es = _station_names(dim_station, "end")
+    pairs = aggregate(fact_trip, ["start_station_id", "end_station_id"], m)
     joined = (
-        fact_trip.join(ss, fact_trip["start_station_id"] == ss["_start_id"], "left")
-        .join(es, fact_trip["end_station_id"] == es["_end_id"], "left")
+        pairs.join(ss, pairs["start_station_id"] == ss["_start_id"], "left")
+        .join(es, pairs["end_station_id"] == es["_end_id"], "left")
     )
-    parts = aggregate(joined, ["start_station", "end_station"], m)
+    parts = aggregate(joined, ["start_station", "end_station"], m, merge=True)
     return parts.select("start_station", "end_station", *m.final(RIDE_AVG)).orderBy(
         F.desc("ride_count"), "start_station", "end_station"
     )

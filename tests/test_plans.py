@@ -33,6 +33,20 @@ def test_rider_reports_aggregate_before_joining(spark):
     assert "partial_sum" in p[join_at:]  # the partial aggregate sits below the join
 
 
+def test_station_pairs_aggregate_before_joining(spark):
+    W = written_layers(spark, SF_SMALL)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # a station dimension past any broadcast
+        p = plan(M.rides_by_station_pair(W.fact_trip, W.dim_station))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    joins = [i for i in range(len(p)) if p.startswith("SortMergeJoin", i)]
+    assert len(joins) == 2
+    # between the scan of the trips and both joins there is their partial aggregate
+    assert "partial_count" in p[joins[-1]:p.index("start_station_id", joins[-1]) + 4000]
+
+
 def test_fact_trip_skips_unused_rider_join(spark):
     # built lazily, the rider dimension is the dedup aggregate, so Catalyst knows
     # rider_id is unique there and drops a left join none of whose columns is used
