@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 
@@ -126,8 +127,8 @@ class CodeModel:
     counts by class and code, ``after_end`` by hashed end and first bits; the
     preceding token's come from ``ContextCounts``."""
 
-    STEPS = np.array([1, 10, 200], np.float32)
-    CONTEXT_STEPS = np.array([1, 2, 3, 5, 8, 16, 60, 400, 5000], np.float32)
+    STEPS = (1, 10, 200)
+    CONTEXT_STEPS = (1, 2, 3, 5, 8, 16, 60, 400, 5000)
     GATES, PREDICTORS = 10 * 4 * 6, 4
 
     def __init__(self, leaves: np.ndarray, after_end: np.ndarray):
@@ -183,11 +184,14 @@ def _less_one(tree: np.ndarray) -> np.ndarray:
     return out
 
 
-def _step(steps: np.ndarray, n: np.ndarray) -> np.ndarray:
+@cache
+def _step_table(steps: tuple[int, ...]) -> np.ndarray:
+    return np.searchsorted(steps, np.arange(steps[-1] + 1), side="right")
+
+
+def _step(steps: tuple[int, ...], n: np.ndarray) -> np.ndarray:
     """How many of ``steps`` each of ``n`` reaches."""
-    top = int(steps[-1])
-    table = np.searchsorted(steps, np.arange(top + 1), side="right")
-    return table[np.minimum(n, top).astype(np.int64)]
+    return _step_table(steps)[np.minimum(n, steps[-1]).astype(np.int32)]
 
 
 class SpellModel:
@@ -195,7 +199,7 @@ class SpellModel:
     class), three and five bytes; ``tables`` count bits of distinct tokens, by slot. ``slot_bits`` sizes
     the tables of all orders but the first."""
 
-    STEPS = np.array([1, 2, 4, 12, 60, 400, 5000], np.float32)
+    STEPS = (1, 2, 4, 12, 60, 400, 5000)
     GATES, PREDICTORS = 8 * 8, SPELL_ORDERS
 
     def __init__(self, slot_bits: int, tables: list[np.ndarray] | None = None):

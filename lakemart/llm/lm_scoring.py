@@ -74,7 +74,7 @@ ENCODED_TOKENS = 600_000
 HELD_PAIRS = 1_000_000
 #: Rows of one online step; slots of a table that are summed up together.
 STEP_ROWS = 4096
-BLOCK_ROWS = 65_536
+BLOCK_ROWS = 16_384
 CHUNK = 1 << 16
 #: No token is discounted by more than this count.
 MOST_DISCOUNT = 0.75
@@ -657,6 +657,18 @@ class Deal:
 # ------------------------------------------------------------------ the model
 
 
+def _larger(batches: Iterator[pa.RecordBatch], rows: int = 16_384) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``rows``: the work on bits goes by whole batches."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(map(len, held)) >= rows:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held = []
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def _chunked(form: int, table: np.ndarray) -> Iterator[pa.RecordBatch]:
     """A table's chunks that hold anything, as rows (form, at, blob)."""
     flat = table.reshape(-1)
@@ -687,7 +699,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], slot_bits: int) -> Iterator[pa.Re
     """A partition's spelling counts, by order and chunk of slots."""
     speller = SpellModel(slot_bits)
     spelled = [np.zeros((2, 1 << b), np.int32) for b in speller.sizes]
-    for batch in batches:
+    for batch in _larger(batches):
         for a in range(0, len(batch), 8192):
             part = batch.slice(a, 8192)
             speller.count([t[:-1] for t in part.column(0).to_pylist()], part.column(1).to_numpy(), spelled)
@@ -956,7 +968,7 @@ def _rare_sums(emitted: DataFrame, words: DataFrame, shared) -> DataFrame:  # no
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, _, spell, mixer, totals = shared.value
         model = Model(None, None, None, spell, mixer)
-        for batch in batches:
+        for batch in _larger(batches):
             c = batch["c"].fill_null(0).to_numpy()
             k = batch["k"].to_numpy()
             rate = totals.new_rate
