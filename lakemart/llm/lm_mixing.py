@@ -147,8 +147,11 @@ class CodeModel:
             leaves, after_end = self.counts
             made = []
             for counts in (leaves.sum(axis=0, keepdims=True), leaves, after_end):
-                tree = tree_of(counts)
-                made.append(_less_one(tree) if own else log_odds(tree[:, 0::2], tree[:, 1::2]))
+                out = np.empty((len(counts), (2 if own else 1) * counts.shape[1]), np.float32)
+                for k in range(len(counts)):  # a tree at a time, to hold little beside the result
+                    tree = tree_of(counts[k : k + 1])
+                    out[k] = (_less_one(tree) if own else log_odds(tree[:, 0::2], tree[:, 1::2]))[0]
+                made.append(out)
             self._made[own] = made
         return self._made[own]
 
@@ -221,12 +224,17 @@ class SpellModel:
             self._made.clear()
             made = []
             for t in self.tables:
-                zero, one = t[:, 0].astype(np.float32), t[:, 1].astype(np.float32)
-                if own:
-                    less = np.stack([log_odds(np.maximum(zero - 1, 0), one), log_odds(zero, np.maximum(one - 1, 0))], axis=1)
-                    made.append((less.reshape(-1), _step(self.STEPS, np.maximum(zero + one - 1, 0)).astype(np.uint8)))
-                else:
-                    made.append((log_odds(zero, one), _step(self.STEPS, zero + one).astype(np.uint8)))
+                odds = np.empty(len(t) * (2 if own else 1), np.float32)
+                steps = np.empty(len(t), np.uint8)
+                for lo in range(0, len(t), 1 << 16):  # a stretch at a time, to hold little beside the result
+                    zero, one = (t[lo : lo + (1 << 16), k].astype(np.float32) for k in (0, 1))
+                    if own:
+                        less = np.stack([log_odds(np.maximum(zero - 1, 0), one), log_odds(zero, np.maximum(one - 1, 0))], axis=1)
+                        odds[2 * lo : 2 * lo + less.size] = less.reshape(-1)
+                    else:
+                        odds[lo : lo + len(zero)] = log_odds(zero, one)
+                    steps[lo : lo + len(zero)] = _step(self.STEPS, np.maximum(zero + one - own, 0))
+                made.append((odds, steps))
             self._made[own] = made
         return self._made[own]
 

@@ -681,12 +681,12 @@ def _chunked(form: int, table: np.ndarray) -> Iterator[pa.RecordBatch]:
 def _shared_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A partition of deals: training counts by hashed end and first bits of the
     code (form 0), and by class and code (form 1)."""
-    by_end, by_class = np.zeros((1 << END_BITS) << _FIRST, np.int64), np.zeros(CLASSES << CODE_BITS, np.int64)
+    by_end, by_class = np.zeros((1 << END_BITS) << _FIRST, np.int32), np.zeros(CLASSES << CODE_BITS, np.int32)
     for batch in batches:
         for blob in batch.column(0):
             d = Deal.read(blob.as_py())
             on = np.flatnonzero(d.c)
-            keys, c = d.keys[on], d.c[on]
+            keys, c = d.keys[on], d.c[on].astype(np.int32)
             codes = _codes_in(keys)
             end = (keys >> np.uint64(_KEYED)).astype(np.int64) & ((1 << END_BITS) - 1)
             np.add.at(by_end, end << _FIRST | codes >> (CODE_BITS - _FIRST), c)
