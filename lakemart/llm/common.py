@@ -3,6 +3,8 @@ cuts in the shared folder, and byte-bounded slices of Arrow batches."""
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import threading
 import uuid
@@ -165,6 +167,16 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[tu
             at = end
 
 
+def trimmed(rows: Iterator) -> Iterator:
+    """``rows``; when a task has handed on the last one, its worker gives the
+    memory that it freed back to the machine: workers live on from task to task,
+    beside an executor's heap."""
+    yield from rows
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def to_batch(**columns: object) -> pa.RecordBatch:
     arrays = {k: v if isinstance(v, (pa.Array, pa.ChunkedArray)) else pa.array(v) for k, v in columns.items()}
     return pa.RecordBatch.from_arrays(list(arrays.values()), names=list(arrays))

@@ -16,7 +16,7 @@ import numpy as np
 
 APM = 24
 DELTA = 0.4
-MOST_STEP = 0.1
+MOST_STEP = 0.3
 CLOSE = b" "
 #: Bits of a known token's code.
 CODE_BITS = 18

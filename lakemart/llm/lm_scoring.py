@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from lakemart.llm.common import buffers, cut, cut_in_two, discard, fold, prepare, slices, to_batch
+from lakemart.llm.common import buffers, cut, cut_in_two, discard, fold, prepare, slices, to_batch, trimmed
 from lakemart.llm.lm_mixing import CODE_BITS, CodeModel, ContextCounts, Mixer, SpellModel
 from lakemart.llm.words import LOWER, NOT_SPACE, Words, single_spaced, split_words, xxh64
 
@@ -73,7 +73,8 @@ HELD_TOKENS = 600_000
 ENCODED_TOKENS = 600_000
 HELD_PAIRS = 1_000_000
 #: Rows of one online step; slots of a table that are summed up together.
-STEP_ROWS = 4096
+STEP_ROWS = 16_384
+STEP_TOKENS = 8192
 BLOCK_ROWS = 16_384
 CHUNK = 1 << 16
 #: No token is discounted by more than this count.
@@ -267,7 +268,7 @@ def vocabulary(docs: DataFrame, centroids: np.ndarray) -> DataFrame:
     def _typed(t: pa.Table) -> pa.Table:
         return t.cast(pa.schema([("token", pa.binary()), ("c", pa.int64()), ("n", pa.int64()), ("cls", pa.int64())])).combine_chunks()
 
-    counts = docs.mapInArrow(run, "token binary, c long, n long, cls long")
+    counts = docs.mapInArrow(lambda batches: trimmed(run(batches)), "token binary, c long, n long, cls long")
     least = F.pmod(F.min("cls"), F.lit(CLASSES)).cast("int")
     return counts.groupBy("token").agg(F.sum("c").alias("c"), F.sum("n").alias("n"), least.alias("cls"))
 
@@ -348,6 +349,7 @@ class Totals:
     rare_distinct: int
     discount: float
     ends: int  # training texts
+    rarest: int  # count of a token with a code, at least
 
     @property
     def lessen(self) -> float:
@@ -376,7 +378,7 @@ def known_tokens(words: DataFrame, texts: int, training_texts: int) -> tuple[Kno
     by_code[codes] = counts
     by_code[END_CODE], by_code[RARE_CODE] = training_texts, rare
     totals = Totals(
-        total + training_texts, (s["v"] or 0) + (training_texts > 0), (s["n"] or 0) + texts, rare, rare_distinct, discount, training_texts
+        total + training_texts, (s["v"] or 0) + (training_texts > 0), (s["n"] or 0) + texts, rare, rare_distinct, discount, training_texts, bound
     )
     return Known.of(hashes, codes, by_code), totals
 
@@ -583,7 +585,7 @@ def emit(docs: DataFrame, setting: Setting, id_type: str) -> DataFrame:
 
     batch_id_type = docs.schema["doc_id"].dataType
     to_arrow = to_arrow_type
-    return docs.mapInArrow(run, columns)
+    return docs.mapInArrow(lambda batches: trimmed(run(batches)), columns)
 
 
 #: The list columns of a slice's row (None: the type of the ids).
@@ -786,11 +788,11 @@ def fit(words: DataFrame, emitted: DataFrame, deals: DataFrame, totals: Totals,
     spark = words.sparkSession
     by_end, by_large, by_class = (np.zeros(n << b, np.int64) for n, b in ((1 << END_BITS, _FIRST), (len(large), _FIRST), (CLASSES, CODE_BITS)))
     _summed(emitted.where(F.col("deal") == TABLES), [by_large])
-    _summed(deals.select("blob").mapInArrow(_shared_counts, "form int, at long, blob binary"), [by_end, by_class])
+    _summed(deals.select("blob").mapInArrow(lambda batches: trimmed(_shared_counts(batches)), "form int, at long, blob binary"), [by_end, by_class])
     slot_bits = SpellModel.slot_bits(totals.distinct)
     tokens = words.where("c > 0").select("token", "cls")
     tables = [np.zeros(2 << b, np.int64) for b in SpellModel(slot_bits).sizes]
-    _summed(tokens.mapInArrow(lambda batches: _chunks(batches, slot_bits), "form int, at long, blob binary"), tables)
+    _summed(tokens.mapInArrow(lambda batches: trimmed(_chunks(batches, slot_bits)), "form int, at long, blob binary"), tables)
     model = Model(
         CodeModel(by_class.reshape(CLASSES, -1), by_end.reshape(1 << END_BITS, -1)), Mixer.fresh(CodeModel.GATES, CodeModel.PREDICTORS),
         ContextCounts(large.astype(np.int64), by_large.reshape(len(large), 1 << _FIRST)),
@@ -825,12 +827,12 @@ def fit(words: DataFrame, emitted: DataFrame, deals: DataFrame, totals: Totals,
     def learn_spelling(rows: pd.DataFrame) -> pd.DataFrame:
         own, seen = Mixer.fresh(SpellModel.GATES, SpellModel.PREDICTORS), 0.0
         once = sorted((zlib.crc32(t), bytes(t[:-1]), k) for t, k in zip(rows["token"], rows["cls"], strict=True))  # a set order, not the alphabet's
-        for a in range(0, len(once), STEP_ROWS):
-            _, tokens, cls = zip(*once[a : a + STEP_ROWS], strict=True)
+        for a in range(0, len(once), STEP_TOKENS):
+            _, tokens, cls = zip(*once[a : a + STEP_TOKENS], strict=True)
             seen += spelling.value.learn_spelling(list(tokens), np.array(cls), own)
         return pd.DataFrame({"v": [row(own, seen)]})
 
-    learned(deals.select("blob").mapInArrow(learn_codes, "v array<double>"), model.code_mixer)
+    learned(deals.select("blob").mapInArrow(lambda batches: trimmed(learn_codes(batches)), "v array<double>"), model.code_mixer)
     coded.destroy()
     groups = max(1, math.ceil(totals.distinct / 200_000))
     once = words.where("c = 1").select("token", "cls", F.pmod(F.xxhash64("token"), F.lit(groups)).alias("g"))
@@ -870,7 +872,7 @@ def answers(deals: DataFrame, model: Model, listed: Lookup) -> DataFrame:
     def _answer(task: int, text: np.ndarray, total: np.ndarray) -> pa.RecordBatch:
         return to_batch(task=pa.array([task], pa.int32()), blob=pa.array([_pack(text.astype(np.uint32), total)], pa.binary()))
 
-    return deals.select("tasks", "blob").mapInArrow(run, "task int, blob binary")
+    return deals.select("tasks", "blob").mapInArrow(lambda batches: trimmed(run(batches)), "task int, blob binary")
 
 
 def _text_sums(rows: pd.DataFrame) -> pd.DataFrame:
@@ -921,7 +923,7 @@ def score_texts(docs: DataFrame, train: str, doc_id: str = "doc_id", text: str =
     shared = spark.sparkContext.broadcast((by_list, prior, model.spell, model.spell_mixer, totals))
     texts_of = _texts(rest, shared, id_type)
     paired = told.where("task >= 0").groupBy("task").applyInPandas(_text_sums, "task int, at long, log2 double")
-    sums = texts_of.join(paired, ["task", "at"], "left").join(_rare_sums(rest, words, shared), ["task", "at"], "left")
+    sums = texts_of.join(paired, ["task", "at"], "left").join(_rare_sums(rest, words, totals.rarest - 1, shared), ["task", "at"], "left")
     zero = F.lit(0.0)
     score = (F.col("listed") + F.coalesce("log2", zero) + F.coalesce("rare_log2", zero)) * F.lit(LOG10_2)
     found = sums.select(
@@ -957,13 +959,13 @@ def _texts(emitted: DataFrame, shared, id_type: str) -> DataFrame:  # noqa: ANN0
     )
 
 
-def _rare_sums(emitted: DataFrame, words: DataFrame, shared) -> DataFrame:  # noqa: ANN001
+def _rare_sums(emitted: DataFrame, words: DataFrame, most: int, shared) -> DataFrame:  # noqa: ANN001
     """task, at, rare_known, rare_base, rare_log2: the rare tokens of each text,
-    joined to the vocabulary by their bytes; new ones are spelled."""
+    joined to the vocabulary (counts up to ``most``) by their bytes; new ones are spelled."""
     zipped = F.explode(F.arrays_zip("rare_at", "rare", "rare_n")).alias("r")
     rows = emitted.where(F.col("deal") == TEXTS).select("task", "at", "cls", zipped)
     rows = rows.select("task", F.col("r.rare_at").alias("to"), F.col("r.rare").alias("token"), F.col("r.rare_n").alias("k"), F.get("cls", (F.col("r.rare_at") - F.col("at")).cast("int")).alias("cls"))
-    joined = rows.join(words.where("c > 0").select("token", "c"), "token", "left").select("task", F.col("to").alias("at"), "token", "k", "c", "cls")
+    joined = rows.join(words.where(F.col("c").between(1, most)).select("token", "c"), "token", "left").select("task", F.col("to").alias("at"), "token", "k", "c", "cls")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, _, spell, mixer, totals = shared.value
@@ -983,7 +985,7 @@ def _rare_sums(emitted: DataFrame, words: DataFrame, shared) -> DataFrame:  # no
                 task=batch["task"], at=batch["at"], known=np.where(c > 0, k, 0), base=k * (np.log10(c + 0.5) - totals.lessen), log2=k * log2
             )
 
-    each = joined.mapInArrow(run, "task int, at long, known long, base double, log2 double")
+    each = joined.mapInArrow(lambda batches: trimmed(run(batches)), "task int, at long, known long, base double, log2 double")
     return each.groupBy("task", "at").agg(F.sum("known").alias("rare_known"), F.sum("base").alias("rare_base"), F.sum("log2").alias("rare_log2"))
 
 
