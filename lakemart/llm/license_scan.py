@@ -11,8 +11,10 @@ an ``and`` of expressions is then kept as one. Time is linear in a text's length
 from __future__ import annotations
 
 import re
+from collections import deque
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -51,7 +53,7 @@ _TOKEN = re.compile(r"[()]|[A-Za-z0-9.+:_-]+")
 _NOT_WORD = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
 #: Where ``and`` would make more alternatives than this, it stays an ``All`` of its operands.
 MOST_ALTERNATIVES = 64
-#: An expression of more tokens than this is kept as it stands: one operand with all its identifiers.
+#: An expression of more tokens than this is evaluated in order, and an ``and`` of it that would name more than this stays factored.
 MOST_TOKENS = 4096
 
 
@@ -71,7 +73,7 @@ class All:
 
 
 #: Each alternative is a set of identifiers and factored expressions that hold together.
-Alternatives = frozenset[frozenset["str | All | Kept"]]
+Alternatives = frozenset[frozenset["str | All | Factor"]]
 
 
 class ExpressionError(ValueError):
@@ -138,12 +140,27 @@ def longest_expression(tokens: Iterable[str]) -> list[str]:
     return taken[:best]
 
 
-@dataclass(frozen=True)
-class Kept:
-    """A long expression as it stands: its text, and its identifiers."""
+@dataclass(eq=False)
+class Factor:
+    """Alternatives within a long expression that stay together, in the order they
+    stand in; the exceptions, as text, hold for each of their identifiers."""
+
+    listed: tuple[tuple[str | Factor, ...], ...]
+    exceptions: deque[str]
+
+    @property
+    def parts(self) -> tuple[Alternatives]:
+        return (frozenset(map(frozenset, self.listed)),)
+
+    @property
+    def names(self) -> set[str]:
+        return set(_walk(self.listed, bare=True))
+
+
+class Listed(frozenset):
+    """The alternatives of a long expression, with a text that has them in order."""
 
     text: str
-    names: frozenset[str] = field(compare=False, repr=False)
 
 
 def evaluate(expression: str, start: int = 0, stop: int | None = None) -> Alternatives:
@@ -152,10 +169,9 @@ def evaluate(expression: str, start: int = 0, stop: int | None = None) -> Altern
     tokens that parses."""
     found = _TOKEN.finditer(expression, start, len(expression) if stop is None else stop)
     tokens = longest_expression(m.group() for m in found)
-    if len(tokens) > MOST_TOKENS:
-        names = frozenset(t for t in tokens if t not in "()" and t.lower() not in PRECEDENCE)
-        return frozenset([frozenset([Kept(" ".join(tokens), names)])])
     postfix = to_postfix(tokens) if tokens else []
+    if len(tokens) > MOST_TOKENS:
+        return _evaluate_long(postfix)
     values: list[Alternatives] = []
     for token in postfix:
         if token not in PRECEDENCE:
@@ -174,6 +190,153 @@ def evaluate(expression: str, start: int = 0, stop: int | None = None) -> Altern
     return values[0] if values else frozenset()
 
 
+class _Value:
+    """What an operator of a long expression takes: its alternatives in order, each
+    of items that hold together. An item is an identifier, a deque of the texts of
+    one with exceptions, or a ``Factor``. ``size`` counts identifiers."""
+
+    __slots__ = ("alternatives", "size")
+
+    def __init__(self, alternatives: deque[deque], size: int):
+        self.alternatives, self.size = alternatives, size
+
+    def single(self) -> deque | None:
+        return self.alternatives[0] if len(self.alternatives) == 1 else None
+
+    def listed(self) -> tuple[tuple[str | Factor, ...], ...]:
+        """The different alternatives, each of its different items."""
+        closed = [tuple(dict.fromkeys("".join(x) if isinstance(x, deque) else x for x in a)) for a in self.alternatives]
+        first: dict[frozenset, tuple] = {}
+        for a in closed:
+            first.setdefault(frozenset(a), a)
+        return tuple(first.values())
+
+
+def _evaluate_long(postfix: list[str]) -> Listed:
+    """``evaluate`` in time linear in the expression, but for a logarithm: of two
+    operands the smaller is moved into the larger. What would grow out of
+    proportion stays a ``Factor``."""
+    values: list[_Value] = []
+    for token in postfix:
+        if token not in PRECEDENCE:
+            values.append(_Value(deque([deque([token])]), 1))
+            continue
+        right, left = values.pop(), values.pop()
+        if token == "or":
+            values.append(_Value(_moved(left.alternatives, right.alternatives), left.size + right.size))
+        elif token == "and":
+            values.append(_both(left, right))
+        else:
+            values.append(_excepted(left, right))
+    listed = values[0].listed()
+    out = Listed(map(frozenset, listed))
+    out.text = "".join(_walk(listed))
+    return out
+
+
+def _moved(left: deque, right: deque) -> deque:
+    """``left`` and ``right`` in one; both are used up."""
+    if len(left) >= len(right):
+        left.extend(right)
+        return left
+    right.extendleft(reversed(left))
+    return right
+
+
+def _both(left: _Value, right: _Value) -> _Value:
+    many, more = len(left.alternatives), len(right.alternatives)
+    size = left.size * more + right.size * many
+    if many > 1 and more > 1 and many * more <= MOST_ALTERNATIVES and size <= MOST_TOKENS:
+        return _Value(deque(a + b for a in left.alternatives for b in right.alternatives), size)
+    if many * more > MOST_ALTERNATIVES or many * more > 1 and size > MOST_TOKENS:
+        left, right, size = _one(left), _one(right), left.size + right.size
+    if (a := left.single()) is not None and (b := right.single()) is not None:
+        return _Value(deque([_moved(a, b)]), size)
+    if a is None:  # the other side has one alternative, which goes to each
+        (only,) = right.alternatives
+        for x in left.alternatives:
+            x.extend(only)
+        return _Value(left.alternatives, size)
+    for x in right.alternatives:
+        x.extendleft(reversed(a))
+    return _Value(right.alternatives, size)
+
+
+def _one(value: _Value) -> _Value:
+    """The value with one alternative."""
+    if value.single() is not None:
+        return value
+    return _Value(deque([deque([Factor(value.listed(), deque())])]), value.size)
+
+
+def _excepted(left: _Value, right: _Value) -> _Value:
+    """``left with right``: as in ``_with``, all that ``right`` names are exceptions."""
+    texts = _exceptions(right)
+    count = sum(map(len, left.alternatives)) if len(left.alternatives) <= MOST_ALTERNATIVES else left.size
+    size = left.size + right.size * count
+    if count > 1 and size > 4 * MOST_ALTERNATIVES:
+        left, count, size = _Value(deque([deque([Factor(left.listed(), deque())])]), left.size), 1, left.size + right.size
+    if count > 1:
+        return _Value(deque(deque(_bound(x, texts.copy(), False) for x in a) for a in left.alternatives), size)
+    ((item,),) = left.alternatives
+    return _Value(deque([deque([_bound(item, texts, True)])]), size)
+
+
+def _bound(item: str | deque | Factor, texts: deque[str], own: bool) -> deque | Factor:
+    """The item with exceptions; one that other alternatives may hold too is not changed."""
+    texts.appendleft(" with ")
+    if isinstance(item, Factor):
+        if own:
+            item.exceptions = _moved(item.exceptions, texts)
+            return item
+        return Factor(item.listed, item.exceptions + texts)
+    if isinstance(item, deque):
+        return _moved(item, texts) if own else item + texts
+    texts.appendleft(item)
+    return texts
+
+
+def _exceptions(value: _Value) -> deque[str]:
+    """The texts of all items of a value, with ``and`` between."""
+    different = {id(x): x for a in value.alternatives for x in a}.values()
+    found = [x if isinstance(x, deque) else deque(_walk(((x,),))) for x in different]
+    largest = max(range(len(found)), key=lambda i: len(found[i]))
+    out = found[largest]
+    for x in reversed(found[:largest]):
+        out.appendleft(" and ")
+        out.extendleft(reversed(x))
+    for x in found[largest + 1 :]:
+        out.append(" and ")
+        out.extend(x)
+    return out
+
+
+def _pieces(listed: tuple[tuple[str | Factor, ...], ...]) -> Iterator[str | Factor | None]:
+    for n, alternative in enumerate(listed):
+        if n:
+            yield " or "
+        for m, item in enumerate(alternative):
+            if m:
+                yield " and "
+            yield item
+
+
+def _walk(listed: tuple[tuple[str | Factor, ...], ...], bare: bool = False) -> Iterator[str]:
+    """The texts that make up the alternatives, or (``bare``) just their identifiers;
+    factors may stand in one another at any depth."""
+    pieces = (lambda alternatives: (x for a in alternatives for x in a)) if bare else _pieces
+    open_: list[Iterator] = [iter(pieces(listed))]
+    while open_:
+        for piece in open_[-1]:
+            if not isinstance(piece, Factor):
+                yield piece
+                continue
+            open_.append(iter(pieces(piece.listed)) if bare else chain("(", pieces(piece.listed), ")", piece.exceptions))
+            break
+        else:
+            open_.pop()
+
+
 def _factored(alternatives: Alternatives) -> bool:
     return any(isinstance(x, All) for a in alternatives for x in a)
 
@@ -276,9 +439,9 @@ def scan_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     Repeated rows each get their row; a null id is passed through. Text after a
     tag, up to the next tag or the end of its line, that doesn't parse yields the
     longest prefix that does, or nothing. In ``expressions`` an ``and`` that would
-    make over ``MOST_ALTERNATIVES`` alternatives stays factored, and an
-    expression of over ``MOST_TOKENS`` tokens stands as it is; labels and score
-    take all identifiers in any case. Time is linear in the length of a text.
+    make over ``MOST_ALTERNATIVES`` alternatives stays factored; an expression of
+    over ``MOST_TOKENS`` tokens is evaluated likewise, and its alternatives stand
+    in the order of the text. Labels and score take all identifiers in any case. Time is linear in the length of a text.
     Map-side only."""
     prepare(docs.sparkSession)
     source = pick(docs, doc_id=doc_id, text=text)
@@ -310,6 +473,8 @@ def scan_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
 
 def _show(alternatives: Alternatives) -> str:
     """As text; the parts of a factored expression that have alternatives stand in parentheses."""
+    if isinstance(alternatives, Listed):
+        return alternatives.text
     return " or ".join(sorted(" and ".join(sorted(x if isinstance(x, str) else x.text for x in a)) for a in alternatives))
 
 

@@ -152,6 +152,82 @@ def test_a_very_long_expression_keeps_its_identifiers():
     assert L._show(found).startswith("MIT or x0 or x1") and L._show(found).endswith("and GPL-2.0-only")
 
 
+def expanded(item):
+    """All alternatives of an identifier or a factored expression, without factors."""
+    if isinstance(item, str):
+        return {frozenset([item])}
+    exceptions = "".join(getattr(item, "exceptions", ()))
+    held = {frozenset()}
+    for part in item.parts:
+        held = {h | x for h in held for x in all_expanded(part)}
+    return {frozenset(x + exceptions for x in a) for a in held}
+
+
+def all_expanded(alternatives):
+    out = set()
+    for a in alternatives:
+        held = {frozenset()}
+        for item in a:
+            held = {h | x for h in held for x in expanded(item)}
+        out |= held
+    return out
+
+
+@pytest.mark.parametrize("most", [0, 3, 8, 40])
+def test_long_expressions_have_the_alternatives_of_short_ones(monkeypatch, most):
+    rng = random.Random(most)
+
+    def some(depth):
+        if not depth or rng.random() < 0.2:
+            return rng.choice("abcdef")
+        op = rng.choice(["or", "and", "with"])
+        return f"({some(depth - 1)}) {op} {rng.choice('xyz') if op == 'with' else '(' + some(depth - 1) + ')'}"
+
+    texts = [some(rng.randint(1, 4)) for _ in range(300)]
+    monkeypatch.setattr(L, "MOST_ALTERNATIVES", 1 << 20)
+    plain = [L.evaluate(t) for t in texts]
+    monkeypatch.setattr(L, "MOST_TOKENS", most)
+    for many in (2, 6, 64):
+        monkeypatch.setattr(L, "MOST_ALTERNATIVES", many)
+        for text, want in zip(texts, plain):
+            found = L.evaluate(text)
+            assert all_expanded(found) == want
+            assert {x.split()[0] for a in found for x in L._names(a)} == {x.split()[0] for a in want for x in a}
+            monkeypatch.setattr(L, "MOST_TOKENS", 4096)
+            monkeypatch.setattr(L, "MOST_ALTERNATIVES", 1 << 20)
+            assert L.evaluate(L._show(found)) == want
+            monkeypatch.setattr(L, "MOST_TOKENS", most)
+            monkeypatch.setattr(L, "MOST_ALTERNATIVES", many)
+
+
+def test_a_very_long_expression_is_evaluated():
+    n = L.MOST_TOKENS
+    found = L.evaluate(" or ".join(f"(x{i} AND y{i} with z)" for i in range(n)))
+    assert found == frozenset(frozenset([f"x{i}", f"y{i} with z"]) for i in range(n))
+    assert L._show(found).startswith("x0 and y0 with z or x1 and y1 with z or ")
+    assert L.evaluate(" and ".join(f"x{i}" for i in range(n))) == frozenset([frozenset(f"x{i}" for i in range(n))])
+    many = L.evaluate(" and ".join(f"(a{i} or b{i})" for i in range(n)))
+    assert holds(many, {f"{'ab'[i % 2]}{i}" for i in range(n)}) and not holds(many, {f"a{i}" for i in range(1, n)})
+    s = L.Scanner().scan(("License-Expression: MIT with Apache-2.0 or " + " or ".join(["x"] * n)).encode())
+    assert s.expressions == [frozenset(map(frozenset, [["MIT with Apache-2.0"], ["x"]]))] and s.labels == {"mit"}
+
+
+def test_time_of_a_very_long_expression_is_linear():
+    n = 20_000
+    names = [f"x{i}" for i in range(n)]
+    nested = lambda *ops: "".join(f"({x} {ops[i % len(ops)]} " for i, x in enumerate(names)) + "y" + ")" * n
+    texts = [f" {op} ".join(names) for op in ("or", "and", "with")]
+    texts += [nested("or"), nested("and"), nested("with"), nested("or", "and"), nested("with", "and"), nested("with", "or", "and")]
+    texts += ["(" * n + "y" + "".join(f" {op} {x})" for x, op in zip(names, ops * n)) for ops in (["or", "and"], ["or", "with"], ["and", "with"])]
+    texts += [" and ".join(f"({a} or {a}b)" for a in names), "(a or b) and " + " and ".join(names), "(a or b) with " + " with ".join(names)]
+    began = time.time()
+    for text in texts:
+        found = L.evaluate(text)
+        assert found and len(L._show(found)) < 5 * len(text)
+        assert L.Scanner().scan(f"SPDX-License-Identifier: {text}".encode()).score == 1.0
+    assert time.time() - began < 60
+
+
 def test_labels_equal_a_plain_scan(spark, sf001):
     """Labels and score by a second, plain implementation: phrases as word lists, expressions by prefix trials."""
 
