@@ -93,11 +93,11 @@ class Run:
         return f"{self.folder}/{purpose}-{uuid.uuid4().hex[:12]}"
 
     def csv(self, feed: str) -> str:
-        """The feed's folder of header-less CSV files, the form the run takes as input."""
+        """The feed's folder of (compressed) header-less CSV files, the form the run takes as input."""
         with self._locks[feed]:
             if feed not in self._csv:
                 path = f"{self.folder}/raw/{feed}"
-                write_feed(raw_feeds(self.spark, self.sf_dir)[feed], path)
+                write_feed(raw_feeds(self.spark, self.sf_dir)[feed], path, compression="gzip")
                 self._csv[feed] = path
             return self._csv[feed]
 

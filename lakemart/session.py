@@ -20,6 +20,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    # Shuffle partitions are joined up to this size, so that a task of a sort-merge
+    # join sorts tens of MB in memory and spills nothing (64 MB become 280 MB there).
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
 }
 
 

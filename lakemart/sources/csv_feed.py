@@ -81,8 +81,16 @@ def damaged_lines(spark: SparkSession, path: str, feed: FeedSpec | str) -> DataF
     )
 
 
-def write_feed(raw: DataFrame, path: str, mode: str = "overwrite") -> None:
+#: Rows in one compressed file, which a single task reads.
+COMPRESSED_ROWS = 1_000_000
+
+
+def write_feed(raw: DataFrame, path: str, mode: str = "overwrite", compression: str = "none") -> None:
     """Write raw text rows as header-less CSV (overwrite), one file per task,
-    white space at the ends of values kept. The rows may have any number of columns."""
-    writer = raw.write.mode(mode).option("header", False)
+    white space at the ends of values kept. The rows may have any number of columns.
+    Compressed files (``gzip``) can't be split for reading, so a task writes one
+    for each ``COMPRESSED_ROWS`` rows."""
+    writer = raw.write.mode(mode).option("header", False).option("compression", compression)
+    if compression != "none":
+        writer = writer.option("maxRecordsPerFile", COMPRESSED_ROWS)
     writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)

@@ -8,8 +8,9 @@ from conftest import SF_SMALL
 from lakemart.plans.lakehouse import materialize, read_csv_feeds
 from lakemart.plans.silver import clean_stations, clean_trips
 from lakemart.sources.catalog import count_sql
+from lakemart.sources import csv_feed
 from lakemart.sources.csv_feed import read_feed, write_feed
-from lakemart.plans.registry import written_layers
+from lakemart.plans.registry import run_of, written_layers
 
 
 def _write(dirname, name, text):
@@ -91,3 +92,20 @@ def test_layers_in_another_table_format(spark):
     for name in ("dim_rider", "fact_trip", "fact_payment"):
         assert sorted(map(tuple, O.gold[name].collect()), key=str) == \
             sorted(map(tuple, W.gold[name].collect()), key=str)
+
+
+def test_landed_feeds_are_compressed_files_of_bounded_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(csv_feed, "COMPRESSED_ROWS", 10)
+    rows = [(str(i), f" name {i}, \"x\" ", None if i % 3 else "41.5", "-87.0") for i in range(95)]
+    raw = spark.createDataFrame(rows, "_c0 string, _c1 string, _c2 string, _c3 string").coalesce(1)
+    csv_feed.write_feed(raw, f"{tmp_path}/s", compression="gzip")
+    files = [f for f in os.listdir(f"{tmp_path}/s") if f.startswith("part-")]
+    assert len(files) == 10 and all(f.endswith(".csv.gz") for f in files)
+    assert sorted(map(tuple, csv_feed.read_feed(spark, f"{tmp_path}/s", "stations").collect())) == sorted(rows)
+
+
+def test_the_run_lands_compressed_feeds_and_joins_in_small_parts(spark):
+    run = run_of(spark, SF_SMALL)
+    files = [f for f in os.listdir(run.csv("trips").removeprefix("file:")) if f.startswith("part-")]
+    assert files and all(f.endswith(".csv.gz") for f in files)
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
