@@ -23,6 +23,9 @@ RUNTIME_CONF = {
     # Shuffle partitions are joined up to this size, so that a task of a sort-merge
     # join sorts tens of MB in memory and spills nothing (64 MB become 280 MB there).
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+    # A write partitioned into a few folders keeps a file open for each and does
+    # not first sort a task's rows by folder.
+    "spark.sql.maxConcurrentOutputFileWriters": "2",
 }
 
 
